@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 LOCAL_TZ = "America/Sao_Paulo"
 # Layout of the UTC reading timestamp built from the date and hour columns.
 UTC_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Shape an hour string must have once the UTC marker is stripped.
+HOUR_SHAPE = r"^\d{2}:\d{2}:\d{2}$"
 # Marker stripped from hour strings such as "12:00:00 UTC".
 UTC_MARKER_PATTERN = r"\s*UTC\s*"
 # Plant classes of the generation pivot: substring patterns, case- and accent-sensitive.
@@ -42,7 +44,8 @@ def decimal_comma(c: Column | str) -> Column:
     text ("1.234,56" becomes "1.234.56") gives null instead of an error. Numbers that are
     already numeric round-trip through their text form unchanged.
     """
-    text = F.regexp_replace(_col(c).cast("string"), ",", ".")
+    # translate replaces every comma, like a regex replace of ",", without a regex engine
+    text = F.translate(_col(c).cast("string"), ",", ".")
     return text.try_cast("double")
 
 
@@ -54,14 +57,16 @@ def strip_utc_marker(c: Column | str) -> Column:
 def utc_reading_ts(date_c: Column | str, hour_c: Column | str) -> Column:
     """UTC wall-clock timestamp (timestamp_ntz) from a date column and an hour string.
 
-    ``concat_ws`` skips nulls, so a missing date or hour leaves text that does not
-    match the layout and parses to null; so do hours like ``"1200"``.
+    The text ``yyyy-MM-dd HH:mm:ss`` must match exactly: a missing date or hour, or an
+    hour like ``"1200"``, gives null. The strict shape test plus a lenient cast is the
+    same rule as parsing with that pattern, without a formatter per row and without
+    depending on the session time zone.
     """
-    day = F.date_format(_col(date_c).cast("string").try_cast("date"), "yyyy-MM-dd")
-    text = F.concat_ws(" ", day, strip_utc_marker(hour_c))
-    # try_to_timestamp interprets the text in the session zone (UTC by contract); the
-    # cast to timestamp_ntz keeps the same wall clock.
-    return F.try_to_timestamp(text, F.lit(UTC_TS_FORMAT)).cast("timestamp_ntz")
+    day = _col(date_c).cast("string").try_cast("date").cast("string")
+    hour = strip_utc_marker(hour_c)
+    text = F.concat_ws(" ", day, hour)
+    ok = day.isNotNull() & hour.rlike(HOUR_SHAPE)
+    return F.when(ok, text.try_cast("timestamp_ntz"))
 
 
 def utc_to_local(ts_ntz: Column | str, tz: str = LOCAL_TZ) -> Column:

@@ -23,6 +23,9 @@ from ecoflux.operators.shaping import (
 
 
 def _dated(df: DataFrame) -> DataFrame:
+    """Rows with a date. A dated row always has a non-null column, so this also does the
+    all-null drop of the source job (without evaluating every parsed column twice, which a
+    separate all-null filter pushed below the projection would do)."""
     return df.where(F.col("event_date").isNotNull())
 
 
@@ -30,18 +33,14 @@ def hydrology(raw: DataFrame) -> DataFrame:
     """Daily reservoir hydrology: 14 measures to double, ``num_ordemcs``/``cod_usina`` to double."""
     df = select_existing(raw, SC.HYDRO_COLS)
     df = cast_decimal_comma(df, [*SC.HYDRO_MEASURES, "num_ordemcs", "cod_usina"])
-    df = to_event_date(df)
-    df = drop_all_null(df)
-    return add_year_month(_dated(df))
+    return add_year_month(_dated(to_event_date(df)))
 
 
 def load(raw: DataFrame) -> DataFrame:
     """Daily energy load per subsystem."""
     df = select_existing(raw, SC.LOAD_COLS)
     df = cast_decimal_comma(df, ["val_cargaenergiamwmed"])
-    df = to_event_date(df)
-    df = drop_all_null(df)
-    return add_year_month(_dated(df))
+    return add_year_month(_dated(to_event_date(df)))
 
 
 def generation_daily(raw: DataFrame) -> DataFrame:

@@ -20,6 +20,20 @@ from ecoflux.operators.shaping import cast_decimal_comma
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster's cores when it yields fewer partitions.
+
+    A scan is split by files and Parquet row groups; a big file written as one row group
+    (or a gzip CSV) is read by a single task, and every projection after it runs there
+    too. When the scan already has enough splits (any large input on a cluster) the
+    frame is returned unchanged, so no shuffle is added.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     """Plain Parquet scan of one or more files / folders (one schema)."""
     return spark.read.parquet(*paths)
