@@ -147,30 +147,37 @@ def _record(spark: SparkSession, lake: Lake, ds: str, watermark, months: int) ->
     spark.createDataFrame(row, schema).write.mode("append").parquet(lake.log(ds))
 
 
+def rebuild_months(spark: SparkSession, lake: Lake, ds: str, new_rows: DataFrame) -> list[tuple[int, int]]:
+    """Rewrite the silver months that ``new_rows`` (raw rows of newly arrived files) touch.
+
+    Each touched month is rebuilt from every bronze file that can hold its rows, so the
+    rewrite is complete and idempotent (safe to repeat after a failure).
+    """
+    build = SERIES[ds]
+    touched_df = incremental.months_of(build(new_rows))
+    touched = sorted((r["year"], r["month"]) for r in touched_df.collect())  # <= 12 per year
+    if not touched:
+        return []
+    years = {y for y, _ in touched}
+    window = sorted({y + k for y in years for k in (-1, 0, 1)})
+    fy = F.col("file_year")
+    source = readers.scan_years(spark, lake.src(ds)).where(fy.isNull() | fy.isin([f"{y:04d}" for y in window]))
+    months = spark.createDataFrame(touched, "year int, month int")  # size bounded by the month count
+    out = build(source.drop("file_year")).join(F.broadcast(months), ["year", "month"], "left_semi")
+    sinks.write_partitioned(out, lake.dest(ds))
+    return touched
+
+
 def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> int:
     """Incrementally load one daily silver series; returns the number of months written."""
-    build = SERIES[ds]
-    src, dest = lake.src(ds), lake.dest(ds)
-    files = readers.scan_years(spark, src).withColumn("_mtime", F.col("_metadata.file_modification_time"))
-    since = None if full or not _exists(spark, dest) else _last_watermark(spark, lake, ds)
+    files = readers.scan_years(spark, lake.src(ds)).withColumn("_mtime", F.col("_metadata.file_modification_time"))
+    since = None if full or not _exists(spark, lake.dest(ds)) else _last_watermark(spark, lake, ds)
     new = files if since is None else files.where(F.col("_mtime") > F.lit(since))
-    # months touched by the new files (tiny: at most 12 per year)
     stats = new.agg(F.max("_mtime").alias("w")).first()
     watermark = stats["w"] if stats else None
     if watermark is None:
         return 0
-    touched_df = incremental.months_of(build(new.drop("_mtime", "file_year")))
-    touched = [(r["year"], r["month"]) for r in touched_df.collect()]
-    if not touched:
-        _record(spark, lake, ds, watermark, 0)
-        return 0
-    years = {y for y, _ in touched}
-    window = sorted({y + k for y in years for k in (-1, 0, 1)})
-    fy = F.col("file_year")
-    source = files.where(fy.isNull() | fy.isin([f"{y:04d}" for y in window])).drop("_mtime", "file_year")
-    months = spark.createDataFrame(touched, "year int, month int")
-    out = build(source).join(F.broadcast(months), ["year", "month"], "left_semi")
-    sinks.write_partitioned(out, dest)
+    touched = rebuild_months(spark, lake, ds, new.drop("_mtime", "file_year"))
     _record(spark, lake, ds, watermark, len(touched))
     return len(touched)
 
