@@ -17,11 +17,18 @@ from ecoflux.sources.readers import spread
 
 # fact-sized driver tables: spread over the cores when a scan yields too few splits
 LARGE_TABLES = {"lineitem", "orders", "events"}
+# the driver tables are read-only: their scans (file listing + footer read) are planned once
+# per session and path, and reused by every adapter that reads them
+_SCANS: dict[tuple[int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in LARGE_TABLES else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCANS:
+        df = spark.read.parquet(path)
+        _SCANS[key] = spread(df) if name in LARGE_TABLES else df
+    return _SCANS[key]
 
 
 def comma(c: Column) -> Column:
@@ -29,8 +36,8 @@ def comma(c: Column) -> Column:
     return F.translate(c.cast("string"), ".", ",")
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _comma(x: str) -> str:
+    return f"translate(cast({x} AS STRING), '.', ',')"
 
 
 # --- fixed values: plant type per event type, state name per state id ----------------
@@ -45,70 +52,61 @@ STATE_NAME_BY_ID = {0: "AFRICA", 1: "AMERICA", 2: "ASIA", 3: "AFRICA"}
 # ------------------------------------------------------------------------------------
 
 
-def _case(c: Column, mapping: dict) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(c == F.lit(k), F.lit(v)) if expr is None else expr.when(c == F.lit(k), F.lit(v))
-    return expr
+def _case(x: str, mapping: dict) -> str:
+    arms = " ".join(f"WHEN {k!r} THEN '{v}'" if isinstance(k, str) else f"WHEN {k} THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {x} {arms} END"
 
 
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly UTC station readings from ``events``."""
-    e = table(spark, sf_dir, "events")
-    hh = F.lpad(F.hour("ts").cast("string"), 2, "0")
-    hour = F.concat(hh, F.lit(":00:00"), F.when(F.col("user_id") % 2 == 0, " UTC").otherwise(""))
-    return e.select(
-        F.concat(F.lit("E"), _s(F.col("user_id") % 120)).alias("id_estacao"),
-        F.to_date("ts").cast("string").alias("data"),
-        F.when(F.col("event_id") % 50 == 0, F.lit("1200")).otherwise(hour).alias("hora"),
-        F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(comma(F.col("value"))).alias("precipitacao_total"),
-        F.when(F.col("event_type") == "error", F.lit(None)).otherwise(comma(F.col("value"))).alias("radiacao_global"),
-        comma(F.col("value")).alias("temperatura_bulbo_hora"),
-        F.col("value").alias("vento_velocidade"),
-        F.col("event_id").alias("event_id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('E', cast(user_id % 120 AS STRING)) AS id_estacao",
+        "cast(to_date(ts) AS STRING) AS data",
+        "CASE WHEN event_id % 50 = 0 THEN '1200' ELSE concat(lpad(cast(hour(ts) AS STRING), 2, '0'), ':00:00', "
+        "CASE WHEN user_id % 2 = 0 THEN ' UTC' ELSE '' END) END AS hora",
+        f"CASE WHEN event_id % 7 = 0 THEN NULL ELSE {_comma('value')} END AS precipitacao_total",
+        f"CASE WHEN event_type = 'error' THEN NULL ELSE {_comma('value')} END AS radiacao_global",
+        f"{_comma('value')} AS temperatura_bulbo_hora",
+        "value AS vento_velocidade",
+        "event_id",
     )
 
 
 def generation_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly plant generation from ``events``."""
-    e = table(spark, sf_dir, "events")
-    u2 = _s(F.col("user_id") % 2)
-    return e.select(
-        F.col("ts").alias("din_instante"),
-        F.concat(F.lit("S"), u2).alias("id_subsistema"),
-        F.concat(F.lit("SUB"), u2).alias("nom_subsistema"),
-        _s(F.col("user_id") % 4).alias("id_estado"),
-        _case(F.col("user_id") % 4, STATE_NAME_BY_ID).alias("nom_estado"),
-        _case(F.col("event_type"), PLANT_TYPE_BY_EVENT).alias("nom_tipousina"),
-        F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("U"), _s(F.col("user_id")))).alias("nom_usina"),
-        F.concat(F.lit("O"), _s(F.col("user_id"))).alias("id_ons"),
-        comma(F.col("value")).alias("val_geracao"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "ts AS din_instante",
+        "concat('S', cast(user_id % 2 AS STRING)) AS id_subsistema",
+        "concat('SUB', cast(user_id % 2 AS STRING)) AS nom_subsistema",
+        "cast(user_id % 4 AS STRING) AS id_estado",
+        f"{_case('user_id % 4', STATE_NAME_BY_ID)} AS nom_estado",
+        f"{_case('event_type', PLANT_TYPE_BY_EVENT)} AS nom_tipousina",
+        "CASE WHEN event_id % 11 = 0 THEN NULL ELSE concat('U', cast(user_id AS STRING)) END AS nom_usina",
+        "concat('O', cast(user_id AS STRING)) AS id_ons",
+        f"{_comma('value')} AS val_geracao",
     )
 
 
 def load_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly subsystem load from ``events``."""
-    e = table(spark, sf_dir, "events")
-    u2 = _s(F.col("user_id") % 2)
-    return e.select(
-        F.concat(F.lit("S"), u2).alias("id_subsistema"),
-        F.concat(F.lit("SUB"), u2).alias("nom_subsistema"),
-        F.col("ts").alias("din_instante"),
-        comma(F.col("value")).alias("val_cargaenergiamwmed"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('S', cast(user_id % 2 AS STRING)) AS id_subsistema",
+        "concat('SUB', cast(user_id % 2 AS STRING)) AS nom_subsistema",
+        "ts AS din_instante",
+        f"{_comma('value')} AS val_cargaenergiamwmed",
     )
 
 
 def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station register from ``supplier``: every 5th station has an unknown municipality."""
-    s = table(spark, sf_dir, "supplier")
-    return s.select(
-        F.when(F.col("s_suppkey") % 5 == 0, F.col("s_nationkey") + 100).otherwise(F.col("s_nationkey")).cast("int").alias("id_municipio"),
-        F.concat(F.lit("E"), _s(F.col("s_suppkey"))).alias("id_estacao"),
-        F.col("s_name").alias("estacao"),
-        F.lit("2006-07-25").cast("date").alias("data_fundacao"),
-        F.col("s_acctbal").alias("latitude"),
-        F.col("s_suppkey").cast("double").alias("longitude"),
-        F.lit(None).cast("double").alias("altitude"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "cast(CASE WHEN s_suppkey % 5 = 0 THEN s_nationkey + 100 ELSE s_nationkey END AS INT) AS id_municipio",
+        "concat('E', cast(s_suppkey AS STRING)) AS id_estacao",
+        "s_name AS estacao",
+        "DATE'2006-07-25' AS data_fundacao",
+        "s_acctbal AS latitude",
+        "cast(s_suppkey AS DOUBLE) AS longitude",
+        "cast(NULL AS DOUBLE) AS altitude",
     )
 
 
@@ -116,12 +114,12 @@ def municipalities_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Municipality register from ``nation`` x ``region`` (state = region name)."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
-        F.col("n_nationkey").cast("int").alias("id_municipio"),
-        F.col("n_name").alias("nome"),
-        F.substring("r_name", 1, 2).alias("sigla_uf"),
-        F.col("r_name").alias("nome_uf"),
-        F.col("r_name").alias("nome_regiao"),
+    return n.join(r, n.n_regionkey == r.r_regionkey).selectExpr(
+        "cast(n_nationkey AS INT) AS id_municipio",
+        "n_name AS nome",
+        "substring(r_name, 1, 2) AS sigla_uf",
+        "r_name AS nome_uf",
+        "r_name AS nome_regiao",
     )
 
 
@@ -129,99 +127,88 @@ def hydrology_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily reservoir readings from ``lineitem``: text and double measures mixed, a
     blank column, a malformed value, zero and negative turbined flow, a null useful
     volume, and one column outside the allow-list."""
-    li = table(spark, sf_dir, "lineitem")
-    q, p, d, t = (F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
-    ln = F.col("l_linenumber")
-    sk = F.col("l_suppkey")
-    return li.select(
-        F.concat(F.lit("R"), _s(sk)).alias("id_reservatorio"),
-        F.concat(F.lit("RES_"), _s(sk)).alias("nom_reservatorio"),
-        F.concat(F.lit("BACIA_"), F.col("l_returnflag")).alias("nom_bacia"),
-        F.concat(F.lit("SUB_"), F.col("l_linestatus")).alias("nom_subsistema"),
-        F.concat(F.lit("REE_"), F.col("l_returnflag")).alias("nom_ree"),
-        F.col("l_returnflag").alias("tip_reservatorio"),
-        ln.alias("num_ordemcs"),
-        F.col("l_partkey").alias("cod_usina"),
-        F.col("l_shipdate").alias("din_instante"),
-        comma(q).alias("val_nivelmontante"),
-        comma(d).alias("val_niveljusante"),
-        F.when(ln == 7, F.lit(None)).otherwise(comma(t)).alias("val_volumeutilcon"),
-        comma(p).alias("val_vazaoafluente"),
-        F.when(sk % 9 == 0, F.lit("0")).when(sk % 13 == 0, comma(-q)).otherwise(comma(q)).alias("val_vazaoturbinada"),
-        comma(t).alias("val_vazaovertida"),
-        F.lit(None).cast("string").alias("val_vazaooutrasestruturas"),
-        comma(d).alias("val_vazaodefluente"),
-        d.alias("val_vazaotransferida"),
-        comma(p).alias("val_vazaonatural"),
-        F.lit("").alias("val_vazaoartificial"),
-        comma(q).alias("val_vazaoincremental"),
-        comma(t).alias("val_vazaoevaporacaoliquida"),
-        F.when(ln == 6, F.lit("1.234,56")).otherwise(comma(t)).alias("val_vazaousoconsuntivo"),
-        comma(q).alias("val_vazaoincrementalbruta"),
+    q, p, d, t = (_comma(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('R', cast(l_suppkey AS STRING)) AS id_reservatorio",
+        "concat('RES_', cast(l_suppkey AS STRING)) AS nom_reservatorio",
+        "concat('BACIA_', l_returnflag) AS nom_bacia",
+        "concat('SUB_', l_linestatus) AS nom_subsistema",
+        "concat('REE_', l_returnflag) AS nom_ree",
+        "l_returnflag AS tip_reservatorio",
+        "l_linenumber AS num_ordemcs",
+        "l_partkey AS cod_usina",
+        "l_shipdate AS din_instante",
+        f"{q} AS val_nivelmontante",
+        f"{d} AS val_niveljusante",
+        f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {t} END AS val_volumeutilcon",
+        f"{p} AS val_vazaoafluente",
+        f"CASE WHEN l_suppkey % 9 = 0 THEN '0' WHEN l_suppkey % 13 = 0 THEN {_comma('-l_quantity')} ELSE {q} END AS val_vazaoturbinada",
+        f"{t} AS val_vazaovertida",
+        "cast(NULL AS STRING) AS val_vazaooutrasestruturas",
+        f"{d} AS val_vazaodefluente",
+        "l_discount AS val_vazaotransferida",
+        f"{p} AS val_vazaonatural",
+        "'' AS val_vazaoartificial",
+        f"{q} AS val_vazaoincremental",
+        f"{t} AS val_vazaoevaporacaoliquida",
+        f"CASE WHEN l_linenumber = 6 THEN '1.234,56' ELSE {t} END AS val_vazaousoconsuntivo",
+        f"{q} AS val_vazaoincrementalbruta",
     )
 
 
 def generation_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hydro generation from ``orders``: subsystem ``SUB_P`` has no reservoirs, and the
     upper-case type spelling does not match the hydro pattern."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_orderdate").alias("din_instante"),
-        F.col("o_orderstatus").alias("id_subsistema"),
-        F.concat(F.lit("SUB_"), F.col("o_orderstatus")).alias("nom_subsistema"),
-        _s(F.col("o_custkey") % 3).alias("id_estado"),
-        F.concat(F.lit("UF"), _s(F.col("o_custkey") % 3)).alias("nom_estado"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("Hidrelétrica"))
-        .otherwise(F.lit("HIDRELÉTRICA"))
-        .alias("nom_tipousina"),
-        F.concat(F.lit("U"), _s(F.col("o_custkey"))).alias("nom_usina"),
-        comma(F.col("o_totalprice")).alias("val_geracao"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderdate AS din_instante",
+        "o_orderstatus AS id_subsistema",
+        "concat('SUB_', o_orderstatus) AS nom_subsistema",
+        "cast(o_custkey % 3 AS STRING) AS id_estado",
+        "concat('UF', cast(o_custkey % 3 AS STRING)) AS nom_estado",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Hidrelétrica' ELSE 'HIDRELÉTRICA' END AS nom_tipousina",
+        "concat('U', cast(o_custkey AS STRING)) AS nom_usina",
+        f"{_comma('o_totalprice')} AS val_geracao",
     )
 
 
 def load_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily subsystem load from ``orders``."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_orderstatus").alias("id_subsistema"),
-        F.concat(F.lit("SUB_"), F.col("o_orderstatus")).alias("nom_subsistema"),
-        F.col("o_orderdate").alias("din_instante"),
-        comma(F.col("o_totalprice")).alias("val_cargaenergiamwmed"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderstatus AS id_subsistema",
+        "concat('SUB_', o_orderstatus) AS nom_subsistema",
+        "o_orderdate AS din_instante",
+        f"{_comma('o_totalprice')} AS val_cargaenergiamwmed",
     )
 
 
 def capacity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capacity register from ``part``: null and repeated plant codes, codes without a
     modality row, null state ids and modalities."""
-    pt = table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    return pt.select(
-        F.col("p_type").alias("id_subsistema"),
-        F.col("p_type").alias("nom_subsistema"),
-        F.when(F.col("p_size") < 10, F.lit(None)).otherwise(F.col("p_brand")).alias("id_estado"),
-        F.col("p_brand").alias("nom_estado"),
-        F.col("p_type").alias("nom_tipousina"),
-        F.col("p_name").alias("nom_usina"),
-        F.when(k % 97 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), _s(k % 150))).alias("ceg"),
-        F.concat(F.lit("O"), _s(k)).alias("id_ons"),
-        F.when(F.col("p_size") > 40, F.lit(None)).otherwise(F.lit("TIPO I")).alias("nom_modalidadeoperacao"),
-        comma(F.col("p_retailprice")).alias("val_potenciaefetiva"),
-        F.lit("2000-01-01").alias("dat_entradaoperacao"),
-        F.lit(None).cast("string").alias("dat_desativacao"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_type AS id_subsistema",
+        "p_type AS nom_subsistema",
+        "CASE WHEN p_size < 10 THEN NULL ELSE p_brand END AS id_estado",
+        "p_brand AS nom_estado",
+        "p_type AS nom_tipousina",
+        "p_name AS nom_usina",
+        "CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE concat('C', cast(p_partkey % 150 AS STRING)) END AS ceg",
+        "concat('O', cast(p_partkey AS STRING)) AS id_ons",
+        "CASE WHEN p_size > 40 THEN NULL ELSE 'TIPO I' END AS nom_modalidadeoperacao",
+        f"{_comma('p_retailprice')} AS val_potenciaefetiva",
+        "'2000-01-01' AS dat_entradaoperacao",
+        "cast(NULL AS STRING) AS dat_desativacao",
     )
 
 
 def modality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Modality register from ``supplier``: plant codes repeat (many-to-many join)."""
-    s = table(spark, sf_dir, "supplier")
-    k = F.col("s_suppkey")
-    return s.select(
-        F.col("s_name").alias("nom_usina"),
-        F.concat(F.lit("C"), _s(k % 120)).alias("ceg"),
-        F.concat(F.lit("O"), _s(k)).alias("id_ons"),
-        F.lit("TIPO II").alias("nom_modalidadeoperacao"),
-        comma(F.col("s_acctbal")).alias("val_potenciaautorizada"),
-        _s(F.col("s_nationkey")).alias("id_estado"),
-        _s(F.col("s_nationkey")).alias("nom_estado"),
-        F.when(k % 3 == 0, F.lit(None)).otherwise(F.lit("OK")).alias("sts_aneel"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_name AS nom_usina",
+        "concat('C', cast(s_suppkey % 120 AS STRING)) AS ceg",
+        "concat('O', cast(s_suppkey AS STRING)) AS id_ons",
+        "'TIPO II' AS nom_modalidadeoperacao",
+        f"{_comma('s_acctbal')} AS val_potenciaautorizada",
+        "cast(s_nationkey AS STRING) AS id_estado",
+        "cast(s_nationkey AS STRING) AS nom_estado",
+        "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'OK' END AS sts_aneel",
     )
