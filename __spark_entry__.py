@@ -303,6 +303,51 @@ def q_data_dictionary(spark, d):
     return dictionary.describe(A.table(spark, d, "orders"))
 
 
+def q_schema_drift_union(spark, d):
+    """One series delivered in two layouts (measures as decimal-comma text in one group of
+    files, as doubles in the other), scanned per group, normalised and unioned by name."""
+    from ecoflux import schemas as SC
+    from ecoflux.operators.shaping import cast_decimal_comma
+
+    raw = A.hydrology_raw(spark, d)
+    text_dir, num_dir = scratch_dir(spark, "drift-text"), scratch_dir(spark, "drift-num")
+    is_f = F.col("nom_subsistema") == "SUB_F"
+    raw.where(is_f).write.parquet(text_dir)
+    cast_decimal_comma(raw.where(~is_f), SC.HYDRO_MEASURES).write.parquet(num_dir)
+    return silver.hydrology(readers.read_union(spark, [text_dir, num_dir], SC.HYDRO_MEASURES))
+
+
+def q_data_dictionary_csv(spark, d):
+    """M2: dictionary of a CSV register with inferred types."""
+    dest = scratch_dir(spark, "dict-csv")
+    readers.extract_table(A.table(spark, d, "customer"), dest)
+    return dictionary.describe(readers.read_csv(spark, dest))
+
+
+def q_pipeline_bridge(spark, d):
+    """O1: bronze files -> incremental silver -> gold tables; returns the gold bridge table."""
+    from ecoflux.plans import pipeline
+
+    root = scratch_dir(spark, "lake")
+    lake = pipeline.Lake(f"{root}/bronze", f"{root}/silver", f"{root}/gold", database=f"ecoflux_{uuid.uuid4().hex[:8]}")
+
+    def land(df, ds, col):
+        entry = F.concat(F.lit(ds + "_"), F.year(col).cast("string"), F.lit(".parquet"))
+        df.withColumn("entry", entry).write.partitionBy("entry").parquet(lake.src(ds))
+
+    land(A.load_raw_events(spark, d), "load", "din_instante")
+    land(A.generation_raw(spark, d), "generation", "din_instante")
+    land(A.weather_raw(spark, d).drop("event_id"), "weather", F.to_date("data"))
+    A.stations_raw(spark, d).write.option("header", True).option("compression", "gzip").csv(lake.src("stations"))
+    A.municipalities_raw(spark, d).write.option("header", True).csv(lake.src("municipalities"))
+    pipeline.run(
+        spark, lake,
+        datasets=["load", "generation", "weather", "stations", "municipalities"],
+        tables=["gold_dim_localizacao", "gold_bridge_clima_geracao"],
+    )
+    return spark.table(f"{lake.database}.gold_bridge_clima_geracao")
+
+
 _QUERIES = {
     "select_existing": q_select_existing,
     "decimal_comma": q_decimal_comma,
@@ -336,6 +381,9 @@ _QUERIES = {
     "scan_years": q_scan_years,
     "extract_year": q_extract_year,
     "data_dictionary": q_data_dictionary,
+    "schema_drift_union": q_schema_drift_union,
+    "data_dictionary_csv": q_data_dictionary_csv,
+    "pipeline_bridge": q_pipeline_bridge,
 }
 
 
@@ -765,4 +813,13 @@ def oracle_sql() -> dict[str, str]:
         f" count(*) AS n_linhas, count({c}) AS n_preenchidos FROM orders"
         for i, (c, t) in enumerate(cols)
     )
+    q["schema_drift_union"] = q["hydrology_daily"]
+    ccols = [("c_custkey", "INTEGER"), ("c_name", "STRING"), ("c_nationkey", "INTEGER"),
+             ("c_acctbal", "FLOAT"), ("c_mktsegment", "STRING")]
+    q["data_dictionary_csv"] = "\nUNION ALL\n".join(
+        f"SELECT CAST({i + 1} AS INTEGER) AS posicao, '{c}' AS codigo, '{t}' AS tipo, 'Campo {c}' AS descricao,"
+        f" count(*) AS n_linhas, count({c}) AS n_preenchidos FROM customer"
+        for i, (c, t) in enumerate(ccols)
+    )
+    q["pipeline_bridge"] = q["weather_generation_bridge"]
     return q

@@ -207,19 +207,19 @@ def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {ds: spark.read.parquet(lake.dest(ds)) for ds in SILVER_DIRS if _exists(spark, lake.dest(ds))}
 
 
-def gold_frames(s: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, bool]]:
-    """Gold table name -> (frame, partitioned by year/month)."""
-    loc = gold.dim_location(s["stations"], s["municipalities"])
+def gold_frames(s: dict[str, DataFrame]) -> dict[str, tuple[Callable[[], DataFrame], bool]]:
+    """Gold table name -> (builder of its frame, partitioned by year/month)."""
+    loc = lambda: gold.dim_location(s["stations"], s["municipalities"])
     return {
-        "gold_dim_tempo": (gold.dim_time(s["weather"], s["generation"], s["load"], s["hydrology"]), False),
+        "gold_dim_tempo": (lambda: gold.dim_time(s["weather"], s["generation"], s["load"], s["hydrology"]), False),
         "gold_dim_localizacao": (loc, False),
-        "gold_dim_usina": (gold.dim_plant(s["capacity"], s["modality"]), False),
-        "gold_fato_clima": (gold.fact(s["weather"], "weather"), True),
-        "gold_fato_geracao": (gold.fact(s["generation"], "generation"), True),
-        "gold_fato_hidrologia": (gold.fact(s["hydrology"], "hydrology"), True),
-        "gold_fato_carga": (gold.fact(s["load"], "load"), True),
-        "gold_fato_eficiencia_hidro": (gold.hydro_efficiency(s["generation"], s["hydrology"]), True),
-        "gold_bridge_clima_geracao": (gold.bridge(s["weather"], loc, s["generation"], s["load"]), True),
+        "gold_dim_usina": (lambda: gold.dim_plant(s["capacity"], s["modality"]), False),
+        "gold_fato_clima": (lambda: gold.fact(s["weather"], "weather"), True),
+        "gold_fato_geracao": (lambda: gold.fact(s["generation"], "generation"), True),
+        "gold_fato_hidrologia": (lambda: gold.fact(s["hydrology"], "hydrology"), True),
+        "gold_fato_carga": (lambda: gold.fact(s["load"], "load"), True),
+        "gold_fato_eficiencia_hidro": (lambda: gold.hydro_efficiency(s["generation"], s["hydrology"]), True),
+        "gold_bridge_clima_geracao": (lambda: gold.bridge(s["weather"], loc(), s["generation"], s["load"]), True),
     }
 
 
@@ -236,7 +236,8 @@ def run_gold(
     frames = gold_frames(silver_frames(spark, lake))
     built = []
     for name in tables or GOLD_TABLES:
-        df, partitioned = frames[name]
+        build, partitioned = frames[name]
+        df = build()
         full_name = f"{lake.database}.{name}"
         path = lake.gold_path(name)
         if years is not None and partitioned and spark.catalog.tableExists(full_name):
@@ -248,10 +249,16 @@ def run_gold(
     return built
 
 
-def run(spark: SparkSession, lake: Lake, full: bool = False) -> dict:
-    """Silver for every dataset, then every gold table."""
-    loaded = run_silver(spark, lake, full=full)
-    built = run_gold(spark, lake)
+def run(
+    spark: SparkSession,
+    lake: Lake,
+    full: bool = False,
+    datasets: Iterable[str] | None = None,
+    tables: Iterable[str] | None = None,
+) -> dict:
+    """Silver for every (or the given) dataset, then every (or the given) gold table."""
+    loaded = run_silver(spark, lake, datasets, full=full)
+    built = run_gold(spark, lake, tables)
     return {"silver": loaded, "gold": built}
 
 
