@@ -80,3 +80,9 @@ def as_document(dictionary: DataFrame, title: str) -> DataFrame:
         F.lit(title).alias("titulo"),
         F.transform("campos", lambda e: F.struct(e["codigo"].alias("codigo"), e["tipo"].alias("tipo"), e["descricao"].alias("descricao"))).alias("campos"),
     )
+
+
+def write_document(df: DataFrame, dest: str, title: str, descriptions: dict[str, str] | None = None) -> str:
+    """Describe ``df`` and write the ``{titulo, campos}`` document as JSON (one small file)."""
+    as_document(describe(df, descriptions), title).write.mode("overwrite").json(dest)
+    return dest

@@ -27,6 +27,9 @@ DEFAULT_CONF = {
 }
 
 
+CLUSTER_SHUFFLE_PARTITIONS = 8192
+
+
 def build_session(
     app: str = "ecoflux",
     master: str | None = None,
@@ -44,6 +47,10 @@ def build_session(
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = "16g"
+    else:
+        # cluster: start every shuffle wide and let AQE coalesce to ~128 MB partitions,
+        # so the hourly rollups never build multi-GB shuffle partitions
+        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

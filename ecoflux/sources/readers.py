@@ -20,16 +20,21 @@ from ecoflux.operators.shaping import cast_decimal_comma
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 
 
+# a scan with fewer splits than this is a layout problem (one huge row group, a gzip file)
+SPREAD_BELOW_SPLITS = 32
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over the cluster's cores when it yields fewer partitions.
+    """Round-robin a scan that has too few splits to use the cluster.
 
     A scan is split by files and Parquet row groups; a big file written as one row group
     (or a gzip CSV) is read by a single task, and every projection after it runs there
-    too. When the scan already has enough splits (any large input on a cluster) the
-    frame is returned unchanged, so no shuffle is added.
+    too. Only such degenerate layouts (fewer splits than the cores, and fewer than
+    ``SPREAD_BELOW_SPLITS``) are reshuffled; any normally laid-out input is returned
+    unchanged, so no shuffle is added on a cluster.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() >= min(target, SPREAD_BELOW_SPLITS):
         return df
     return df.repartition(target)
 
