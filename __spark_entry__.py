@@ -23,15 +23,17 @@ from pyspark.sql import types as T
 
 from ecoflux.functions import utc_reading_ts, utc_to_local
 from ecoflux.operators import dictionary, incremental
+from ecoflux import schemas as SC
 from ecoflux.operators.shaping import (
     add_year_month,
+    cast_decimal_comma,
     drop_all_null,
     only_years,
     sanitize_types,
     select_existing,
     to_event_date,
 )
-from ecoflux.plans import gold, silver
+from ecoflux.plans import gold, pipeline, silver
 from ecoflux.session import scratch_dir
 from ecoflux.sources import adapters as A
 from ecoflux.sources import readers, sinks
@@ -105,8 +107,6 @@ def q_decimal_comma(spark, d):
         .otherwise(A.comma(F.col("l_extendedprice")))
     )
     df = li.select("l_orderkey", "l_linenumber", text.alias("valor_texto"), F.col("l_discount").alias("valor_num"))
-    from ecoflux.operators.shaping import cast_decimal_comma
-
     return cast_decimal_comma(df, ["valor_texto", "valor_num"])
 
 
@@ -306,9 +306,6 @@ def q_data_dictionary(spark, d):
 def q_schema_drift_union(spark, d):
     """One series delivered in two layouts (measures as decimal-comma text in one group of
     files, as doubles in the other), scanned per group, normalised and unioned by name."""
-    from ecoflux import schemas as SC
-    from ecoflux.operators.shaping import cast_decimal_comma
-
     raw = A.hydrology_raw(spark, d)
     text_dir, num_dir = scratch_dir(spark, "drift-text"), scratch_dir(spark, "drift-num")
     is_f = F.col("nom_subsistema") == "SUB_F"
@@ -326,8 +323,6 @@ def q_data_dictionary_csv(spark, d):
 
 def q_pipeline_bridge(spark, d):
     """O1: bronze files -> incremental silver -> gold tables; returns the gold bridge table."""
-    from ecoflux.plans import pipeline
-
     root = scratch_dir(spark, "lake")
     lake = pipeline.Lake(f"{root}/bronze", f"{root}/silver", f"{root}/gold", database=f"ecoflux_{uuid.uuid4().hex[:8]}")
 
