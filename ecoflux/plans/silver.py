@@ -91,10 +91,11 @@ def weather_daily(raw: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     df = cast_decimal_comma(
         df, ["precipitacao_total", "radiacao_global", "temperatura_bulbo_hora", "vento_velocidade"]
     )
+    # Readings whose time does not parse get a null date; they form one (station, null)
+    # group per station that is dropped after the aggregation. Filtering them before the
+    # aggregation would be pushed below the projection and parse every reading twice.
     df = (
-        df.withColumn("_ts_utc", utc_reading_ts("data", "hora"))
-        .where(F.col("_ts_utc").isNotNull())
-        .withColumn("event_date", F.to_date(utc_to_local("_ts_utc", tz)))
+        df.withColumn("event_date", F.to_date(utc_to_local(utc_reading_ts("data", "hora"), tz)))
         .groupBy("id_estacao", "event_date")
         .agg(
             F.sum("precipitacao_total").alias("precipitacao_total"),
@@ -103,7 +104,10 @@ def weather_daily(raw: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
             F.max("temperatura_bulbo_hora").alias("temperatura_maxima"),
             F.min("temperatura_bulbo_hora").alias("temperatura_minima"),
             F.avg("vento_velocidade").alias("vento_velocidade_media"),
+            F.count("event_date").alias("_dated_readings"),
         )
+        .where(F.col("_dated_readings") > 0)
+        .drop("_dated_readings")
         .withColumn("timezone", F.lit(tz))
     )
     return add_year_month(drop_all_null(df))

@@ -36,7 +36,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= min(target, SPREAD_BELOW_SPLITS):
         return df
-    return df.repartition(target)
+    # hash of the whole row: even spread, deterministic on task retry without the local
+    # sort that a round-robin repartition performs for the same guarantee
+    return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
