@@ -16,7 +16,7 @@ from ecoflux.sources.readers import spread
 
 
 # fact-sized driver tables: spread over the cores when a scan yields too few splits
-LARGE_TABLES = {"lineitem", "orders", "events"}
+LARGE_TABLES = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "events": ["event_id"]}
 # the driver tables are read-only: their scans (file listing + footer read) are planned once
 # per session and path, and reused by every adapter that reads them
 _SCANS: dict[tuple[int, str], DataFrame] = {}
@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), path)
     if key not in _SCANS:
         df = spark.read.parquet(path)
-        _SCANS[key] = spread(df) if name in LARGE_TABLES else df
+        _SCANS[key] = spread(df, LARGE_TABLES[name]) if name in LARGE_TABLES else df
     return _SCANS[key]
 
 

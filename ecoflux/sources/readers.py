@@ -24,21 +24,24 @@ PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 SPREAD_BELOW_SPLITS = 32
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that has too few splits to use the cluster.
+def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition a scan that has too few splits to use the cluster.
 
     A scan is split by files and Parquet row groups; a big file written as one row group
     (or a gzip CSV) is read by a single task, and every projection after it runs there
     too. Only such degenerate layouts (fewer splits than the cores, and fewer than
     ``SPREAD_BELOW_SPLITS``) are reshuffled; any normally laid-out input is returned
     unchanged, so no shuffle is added on a cluster.
+
+    ``keys`` should identify rows (an even, deterministic spread). Hashing only on them
+    lets Catalyst prune every other unused column below the exchange; without keys the
+    whole row is hashed.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= min(target, SPREAD_BELOW_SPLITS):
         return df
-    # hash of the whole row: even spread, deterministic on task retry without the local
-    # sort that a round-robin repartition performs for the same guarantee
-    return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
+    cols = keys or df.columns
+    return df.repartition(target, *[F.col(f"`{c}`") for c in cols])
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
