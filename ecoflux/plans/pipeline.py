@@ -100,6 +100,12 @@ class Lake:
     gold: str
     database: str = "ecoflux"
     bronze_dirs: dict[str, str] = field(default_factory=lambda: dict(BRONZE_DIRS))
+    # inclusive range of file-name years to ingest (files without a year always pass)
+    years: tuple[int, int] | None = None
+
+    def scan(self, spark: SparkSession, ds: str) -> DataFrame:
+        lo, hi = self.years or (None, None)
+        return readers.scan_years(spark, self.src(ds), lo, hi)
 
     def src(self, ds: str) -> str:
         return f"{self.bronze.rstrip('/')}/{self.bronze_dirs[ds]}"
@@ -161,7 +167,7 @@ def rebuild_months(spark: SparkSession, lake: Lake, ds: str, new_rows: DataFrame
     years = {y for y, _ in touched}
     window = sorted({y + k for y in years for k in (-1, 0, 1)})
     fy = F.col("file_year")
-    source = readers.scan_years(spark, lake.src(ds)).where(fy.isNull() | fy.isin([f"{y:04d}" for y in window]))
+    source = lake.scan(spark, ds).where(fy.isNull() | fy.isin([f"{y:04d}" for y in window]))
     months = spark.createDataFrame(touched, "year int, month int")  # size bounded by the month count
     out = build(source.drop("file_year")).join(F.broadcast(months), ["year", "month"], "left_semi")
     sinks.write_partitioned(out, lake.dest(ds))
@@ -170,7 +176,7 @@ def rebuild_months(spark: SparkSession, lake: Lake, ds: str, new_rows: DataFrame
 
 def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> int:
     """Incrementally load one daily silver series; returns the number of months written."""
-    files = readers.scan_years(spark, lake.src(ds)).withColumn("_mtime", F.col("_metadata.file_modification_time"))
+    files = lake.scan(spark, ds).withColumn("_mtime", F.col("_metadata.file_modification_time"))
     since = None if full or not _exists(spark, lake.dest(ds)) else _last_watermark(spark, lake, ds)
     new = files if since is None else files.where(F.col("_mtime") > F.lit(since))
     stats = new.agg(F.max("_mtime").alias("w")).first()

@@ -13,8 +13,10 @@ gives the same tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ecoflux.functions import entry_name, year_in_name
 from ecoflux.plans.pipeline import Lake, rebuild_months
 from ecoflux.sources.readers import PARQUET_GLOB
 
@@ -26,7 +28,12 @@ def series_stream(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
     src = lake.src(ds)
     opts = {"recursiveFileLookup": "true", "pathGlobFilter": PARQUET_GLOB}
     schema = spark.read.options(**opts).parquet(src).schema
-    return spark.readStream.schema(schema).options(**opts).option("maxFilesPerTrigger", 1000).parquet(src)
+    stream = spark.readStream.schema(schema).options(**opts).option("maxFilesPerTrigger", 1000).parquet(src)
+    if lake.years is None:
+        return stream
+    lo, hi = lake.years
+    fy = year_in_name(entry_name(F.col("_metadata.file_path")))
+    return stream.where(fy.isNull() | fy.between(f"{lo:04d}", f"{hi:04d}"))
 
 
 def land_series(spark: SparkSession, lake: Lake, ds: str, checkpoint: str | None = None) -> StreamingQuery:

@@ -26,3 +26,15 @@ def test_stream_lands_new_files(spark, tmp_root):
     before = w.count()
     streaming.land_series_now(spark, lake, "weather")  # nothing new
     assert spark.read.parquet(lake.dest("weather")).count() == before
+
+
+def test_stream_year_range(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.years = (2024, 2024)
+    _december_2023(spark).write.parquet(lake.src("weather") + "/inmet_microdados_raw_2023.parquet")
+    A.weather_raw(spark, SF).drop("event_id").write.parquet(lake.src("weather") + "/inmet_microdados_raw_2024.parquet")
+    streaming.land_series_now(spark, lake, "weather")
+    w = spark.read.parquet(lake.dest("weather"))
+    # the 2023 file is outside the range: only 31 Dec readings from the 2024 file remain in December
+    assert _dec_days(spark, lake) <= 1
+    assert w.where((F.col("year") == 2024) & (F.col("month") == 1)).count() > 0
