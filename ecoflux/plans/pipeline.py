@@ -238,7 +238,7 @@ def run_gold(
     backfill) only those years' partitions of the fact tables are rewritten; the filter
     reaches the silver scans as partition filters.
     """
-    sinks.create_database(spark, lake.database)
+    sinks.create_database(spark, lake.database, f"{lake.gold.rstrip('/')}/_database")
     frames = gold_frames(silver_frames(spark, lake))
     built = []
     for name in tables or GOLD_TABLES:

@@ -45,8 +45,9 @@ def build_session(
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
-        # local mode: the driver JVM is the only executor
+        # local mode: the driver JVM is the only executor; keep catalog folders out of cwd
         conf["spark.driver.memory"] = "16g"
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="ecoflux-warehouse-")
     else:
         # cluster: start every shuffle wide and let AQE coalesce to ~128 MB partitions,
         # so the hourly rollups never build multi-GB shuffle partitions

@@ -42,8 +42,10 @@ def write_dimension(df: DataFrame, dest: str, mode: str = "overwrite") -> str:
     return dest
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` (at ``location`` when given, else the warehouse)."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
 def create_table(
