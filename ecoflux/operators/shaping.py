@@ -120,3 +120,20 @@ def only_years(df: DataFrame, years: Iterable[int | str], col: str = "year") ->
     if isinstance(df.schema[col].dataType, T.StringType):
         return df.where(F.col(col).isin([str(y) for y in wanted]))
     return df.where(F.col(col).isin([int(y) for y in wanted]))
+
+
+def only_months(df: DataFrame, months: Iterable[tuple[int, int]], year_col: str = "year", month_col: str = "month") -> DataFrame:
+    """Rows of the given (year, month) pairs, as a literal predicate per year
+    (``year = y AND month IN (...)``) so it reaches partition filters like ``only_years``."""
+    by_year: dict[int, list[int]] = {}
+    for y, m in months:
+        by_year.setdefault(int(y), []).append(int(m))
+    if not by_year:
+        return df.where(F.lit(False))
+    as_text = isinstance(df.schema[year_col].dataType, T.StringType)
+    lit = (lambda v: str(v)) if as_text else (lambda v: v)
+    cond = None
+    for y, ms in sorted(by_year.items()):
+        c = (F.col(year_col) == lit(y)) & F.col(month_col).isin([lit(m) for m in sorted(set(ms))])
+        cond = c if cond is None else cond | c
+    return df.where(cond)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecoflux.operators import incremental
-from ecoflux.operators.shaping import only_years
+from ecoflux.operators.shaping import only_months, only_years
 from ecoflux.plans import gold, silver
 from ecoflux.sources import readers, sinks
 
@@ -176,16 +176,21 @@ def rebuild_months(spark: SparkSession, lake: Lake, ds: str, new_rows: DataFrame
 
 def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> int:
     """Incrementally load one daily silver series; returns the number of months written."""
+    return len(load_series_months(spark, lake, ds, full))
+
+
+def load_series_months(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> list[tuple[int, int]]:
+    """Incrementally load one daily silver series; returns the (year, month) pairs written."""
     files = lake.scan(spark, ds).withColumn("_mtime", F.col("_metadata.file_modification_time"))
     since = None if full or not _exists(spark, lake.dest(ds)) else _last_watermark(spark, lake, ds)
     new = files if since is None else files.where(F.col("_mtime") > F.lit(since))
     stats = new.agg(F.max("_mtime").alias("w")).first()
     watermark = stats["w"] if stats else None
     if watermark is None:
-        return 0
+        return []
     touched = rebuild_months(spark, lake, ds, new.drop("_mtime", "file_year"))
     _record(spark, lake, ds, watermark, len(touched))
-    return len(touched)
+    return touched
 
 
 def load_register(spark: SparkSession, lake: Lake, ds: str, force: bool = False) -> bool:
@@ -199,11 +204,22 @@ def load_register(spark: SparkSession, lake: Lake, ds: str, force: bool = False)
     return True
 
 
-def run_silver(spark: SparkSession, lake: Lake, datasets: Iterable[str] | None = None, full: bool = False) -> dict:
+def run_silver(
+    spark: SparkSession,
+    lake: Lake,
+    datasets: Iterable[str] | None = None,
+    full: bool = False,
+    touched: dict[str, list[tuple[int, int]]] | None = None,
+) -> dict:
+    """Load the given (default: all) datasets; series report months written, registers
+    whether they were (re)loaded. ``touched`` collects each series' (year, month) pairs."""
     done = {}
     for ds in datasets or [*SERIES, *REGISTERS]:
         if ds in SERIES:
-            done[ds] = load_series(spark, lake, ds, full=full)
+            months = load_series_months(spark, lake, ds, full=full)
+            done[ds] = len(months)
+            if touched is not None:
+                touched[ds] = months
         else:
             done[ds] = load_register(spark, lake, ds, force=full)
     return done
@@ -229,28 +245,58 @@ def gold_frames(s: dict[str, DataFrame]) -> dict[str, tuple[Callable[[], DataFra
     }
 
 
+def _state_map_changed(spark: SparkSession, lake: Lake, generation: DataFrame) -> bool:
+    """Whether the (state id, state name) map behind the bridge differs from the one the
+    bridge was last built with; the new map is recorded. The map is tiny (one row per
+    state id and name), so both comparisons are cheap."""
+    path = f"{lake.gold.rstrip('/')}/_state_names"
+    current = gold.state_names(generation)
+    if _exists(spark, path):
+        previous = spark.read.parquet(path)
+        if current.exceptAll(previous).isEmpty() and previous.exceptAll(current).isEmpty():
+            return False
+    current.write.mode("overwrite").parquet(path)  # computed from silver, not from ``path``
+    return True
+
+
 def run_gold(
-    spark: SparkSession, lake: Lake, tables: Iterable[str] | None = None, years: Iterable[int] | None = None
+    spark: SparkSession,
+    lake: Lake,
+    tables: Iterable[str] | None = None,
+    years: Iterable[int] | None = None,
+    months: Iterable[tuple[int, int]] | None = None,
 ) -> list[str]:
     """Build gold tables in name order (the location dimension precedes the bridge).
 
-    Without ``years`` each table is dropped and re-created. With ``years`` (historical
-    backfill) only those years' partitions of the fact tables are rewritten; the filter
-    reaches the silver scans as partition filters.
+    By default each table is dropped and re-created. With ``years`` (historical backfill)
+    or ``months`` (the months an incremental silver load touched) only those partitions
+    of the existing partitioned tables are rewritten, through dynamic overwrite; the
+    filter reaches the silver scans as partition filters. The bridge also depends on the
+    global state-name map: when that map changed, the bridge is rebuilt whole.
+    Dimensions are always rebuilt (they are small).
     """
     sinks.create_database(spark, lake.database, f"{lake.gold.rstrip('/')}/_database")
-    frames = gold_frames(silver_frames(spark, lake))
+    silver_now = silver_frames(spark, lake)
+    frames = gold_frames(silver_now)
+    month_list = sorted(set(months)) if months is not None else None
     built = []
     for name in tables or GOLD_TABLES:
         build, partitioned = frames[name]
-        df = build()
         full_name = f"{lake.database}.{name}"
         path = lake.gold_path(name)
-        if years is not None and partitioned and spark.catalog.tableExists(full_name):
-            sinks.write_partitioned(only_years(df, years), path)
-            spark.sql(f"REFRESH TABLE {full_name}")
+        exists = partitioned and spark.catalog.tableExists(full_name)
+        if exists and name == "gold_bridge_clima_geracao" and (years is not None or month_list is not None):
+            if _state_map_changed(spark, lake, silver_now["generation"]):
+                years, month_list = None, None  # the map changed: every month may change
+        if exists and years is not None:
+            sinks.overwrite_table_partitions(spark, only_years(build(), years), full_name, path)
+        elif exists and month_list is not None:
+            if month_list:
+                sinks.overwrite_table_partitions(spark, only_months(build(), month_list), full_name, path)
         else:
-            sinks.create_table(spark, df, full_name, path=path, partition_by=["year", "month"] if partitioned else None)
+            sinks.create_table(spark, build(), full_name, path=path, partition_by=["year", "month"] if partitioned else None)
+            if name == "gold_bridge_clima_geracao":
+                _state_map_changed(spark, lake, silver_now["generation"])
         built.append(name)
     return built
 
@@ -262,10 +308,16 @@ def run(
     datasets: Iterable[str] | None = None,
     tables: Iterable[str] | None = None,
 ) -> dict:
-    """Silver for every (or the given) dataset, then every (or the given) gold table."""
-    loaded = run_silver(spark, lake, datasets, full=full)
-    built = run_gold(spark, lake, tables)
-    return {"silver": loaded, "gold": built}
+    """Silver for every (or the given) dataset, then gold.
+
+    Incremental by default: partitioned gold tables that already exist get only the months
+    the silver loads touched; ``full=True`` reloads silver and re-creates every gold table.
+    """
+    touched: dict[str, list[tuple[int, int]]] = {}
+    loaded = run_silver(spark, lake, datasets, full=full, touched=touched)
+    months = None if full else sorted({m for ms in touched.values() for m in ms})
+    built = run_gold(spark, lake, tables, months=months)
+    return {"silver": loaded, "gold": built, "months": months}
 
 
 def local_lake(root: str) -> Lake:

@@ -79,3 +79,12 @@ def append_years(df: DataFrame, name: str, years: Iterable[int | str] | None = N
     part = df if years is None else only_years(df, years, year_col)
     part.write.insertInto(name, overwrite=False)
     return name
+
+
+def overwrite_table_partitions(spark: SparkSession, df: DataFrame, name: str, path: str) -> str:
+    """Replace the partitions present in ``df`` of an existing partitioned table at ``path``
+    (dynamic overwrite), then register any new partition folders in the catalog."""
+    write_partitioned(df, path)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {name}")
+    return name
