@@ -68,7 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach, and it is used
-    as given. Only when it is unset (local runs, tests) is a fresh local folder made.
+    as given. Only a local-mode session (tests, a laptop) with the setting unset gets a
+    fresh local folder; a cluster session without it is an error, because a folder on
+    the driver's disk is not visible to executors and does not survive losing them.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +80,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "
+            "that every executor can reach"
+        )
     local = tempfile.mkdtemp(prefix="ecoflux-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -10,6 +10,9 @@ import __spark_entry__ as E
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.01"
+# physical operators no registered query may contain: Python evaluation (row or Arrow
+# batches) leaves the JVM; a cartesian product or nested-loop join emits all pairs
+FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "InPandas", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 # regression values measured at sf0.01 (rows)
 EXPECTED_ROWS = {
@@ -50,6 +53,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert digest(sdf.columns, srows) == digest(dcols, drows)
     if name in EXPECTED_ROWS:
         assert len(srows) == EXPECTED_ROWS[name]
+    final_plan = sdf._jdf.queryExecution().executedPlan().toString()  # after AQE re-planning
+    assert not [n for n in FORBIDDEN_NODES if n in final_plan]
 
 
 def test_entry_smoke(spark):

@@ -90,3 +90,39 @@ def test_write_dictionary_document(spark, tmp_root):
         {"codigo": "id_municipio", "tipo": "INTEGER", "descricao": "Campo id_municipio"},
         {"codigo": "nome", "tipo": "STRING", "descricao": "Campo nome"},
     ]
+
+
+class _StubContext:
+    def __init__(self, master, configured=None):
+        self.master, self._configured, self._dir = master, configured, None
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, d):
+        self._dir = d
+
+    def getConf(self):
+        return {"spark.checkpoint.dir": self._configured} if self._configured else {}
+
+
+class _StubSession:
+    def __init__(self, sc):
+        self.sparkContext = sc
+
+
+def test_checkpoint_root_uses_the_configured_shared_folder():
+    from ecoflux.session import checkpoint_root
+
+    sc = _StubContext("spark://master:7077", configured="hdfs:///shared/ckpt")
+    assert checkpoint_root(_StubSession(sc)) == "hdfs:///shared/ckpt"
+
+
+def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
+    import pytest
+
+    from ecoflux.session import checkpoint_root
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_StubSession(_StubContext("yarn")))
+    assert checkpoint_root(_StubSession(_StubContext("local[2]")))  # tests, laptops
