@@ -51,6 +51,11 @@ def generation_daily(raw: DataFrame) -> DataFrame:
     keys form their own group. The sum and the distinct count are both computed partially
     before the shuffle (Spark plans the distinct count as a two-level aggregate), so a
     hot group does not send its rows to one task.
+
+    The source's all-null drop after the aggregation is a no-op (every group has a date)
+    and is left out: a filter over every column would keep Catalyst from pruning the
+    aggregates a consumer does not read (e.g. the distinct count, and its extra shuffle,
+    under the calendar or the state-name map).
     """
     df = select_existing(raw, SC.GENERATION_COLS)
     df = cast_decimal_comma(df, ["val_geracao"])
@@ -59,7 +64,7 @@ def generation_daily(raw: DataFrame) -> DataFrame:
         F.sum("val_geracao").alias("val_geracao_total_mwmed"),
         F.countDistinct("nom_usina").alias("qtd_usinas_ativas"),
     )
-    return add_year_month(drop_all_null(df))
+    return add_year_month(df)
 
 
 def capacity(raw: DataFrame) -> DataFrame:
@@ -110,7 +115,9 @@ def weather_daily(raw: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
         .drop("_dated_readings")
         .withColumn("timezone", F.lit(tz))
     )
-    return add_year_month(drop_all_null(df))
+    # no all-null drop: the literal ``timezone`` is never null, so it would drop nothing
+    # and only keep unread aggregates alive in the plans of consumers
+    return add_year_month(df)
 
 
 def stations(raw: DataFrame) -> DataFrame:

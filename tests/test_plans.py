@@ -103,3 +103,11 @@ def test_file_year_predicate_prunes_files(spark, tmp_root):
     all_files = glob.glob(f"{root}/*/part-*.parquet")
     files_1996 = glob.glob(f"{root}/entry=orders_1996.parquet/part-*.parquet")
     assert 0 < files_read == len(files_1996) < len(all_files)
+
+
+@pytest.mark.parametrize("name", ["dim_time", "plant_class_pivot", "hydro_efficiency", "weather_generation_bridge"])
+def test_unread_aggregates_are_pruned(spark, name):
+    """Results that do not read the daily plant count do not compute it (nor shuffle for
+    it): the silver rollups carry no filter over every column that would pin it."""
+    p = plan(E.queries()[name](spark, SF))
+    assert "count(distinct" not in p and "nom_usina" not in p
