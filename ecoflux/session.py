@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    # PySpark otherwise captures the Python call site of every Column function (stack
+    # walk + a conf lookup over py4j) for error messages; with plans built from hundreds
+    # of expressions that doubles the driver's plan-construction time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
