@@ -8,6 +8,8 @@ and all years go through one plan (no per-year loop; see ``ecoflux.plans.pipelin
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ from ecoflux.operators.shaping import (
 )
 
 
+# placeholder for a date that is known to be present (see ``weather_daily``)
+_NEVER = dt.date(1900, 1, 1)
+
+
 def _dated(df: DataFrame) -> DataFrame:
     """Rows with a date. A dated row always has a non-null column, so this also does the
     all-null drop of the source job (without evaluating every parsed column twice, which a
@@ -113,6 +119,11 @@ def weather_daily(raw: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
         )
         .where(F.col("_dated_readings") > 0)
         .drop("_dated_readings")
+        # Every remaining group has a date. Saying so in the schema (a non-nullable
+        # column; the coalesce never takes its second arm) lets Catalyst fold a
+        # consumer's ``event_date IS NOT NULL`` (gold facts, the bridge) to true, instead
+        # of pushing it below the aggregation where it would parse every reading again.
+        .withColumn("event_date", F.coalesce("event_date", F.lit(_NEVER)))
         .withColumn("timezone", F.lit(tz))
     )
     # no all-null drop: the literal ``timezone`` is never null, so it would drop nothing

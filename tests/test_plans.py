@@ -111,3 +111,11 @@ def test_unread_aggregates_are_pruned(spark, name):
     it): the silver rollups carry no filter over every column that would pin it."""
     p = plan(E.queries()[name](spark, SF))
     assert "count(distinct" not in p and "nom_usina" not in p
+
+
+@pytest.mark.parametrize("name", ["weather_daily", "fact_weather", "weather_generation_bridge"])
+def test_each_reading_is_parsed_once(spark, name):
+    """Gold's null-date filters fold away on the (non-nullable) daily weather date rather
+    than being pushed below the rollup, where they would parse every reading again."""
+    optimized = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("convert_timezone(") == 1
