@@ -81,3 +81,29 @@ def test_dim_time_matches_python_calendar(spark, dates):
         assert r.dia_semana_numero == d.isoweekday()
         assert r.fim_de_semana == (d.isoweekday() >= 6)
         assert r.nome_dia_semana == d.strftime("%A") and r.nome_mes == d.strftime("%B")
+
+
+def test_bridge_rows_are_the_product_of_fan_outs(spark):
+    """Per station and day the bridge has (ids sharing the state name) x (subsystems of the
+    state that day) rows, or one row when the state name has no generation (G9 notes 1-2)."""
+    from collections import Counter
+
+    import __spark_entry__ as E
+    from ecoflux.sources import adapters as A
+
+    sf = "/root/testdata/sf0.01"
+    weather = silver.weather_daily(A.weather_raw(spark, sf))
+    location = E._location(spark, sf)
+    generation = silver.generation_daily(A.generation_raw(spark, sf))
+    load = silver.load(A.load_raw_events(spark, sf))
+
+    ids = Counter(r.nom_estado for r in gold.state_names(generation).collect())
+    subsystems = Counter((r.event_date, r.nom_estado) for r in gold.generation_by_state(generation).collect())
+    expected = Counter()
+    for r in gold.weather_with_location(weather, location).select("event_date", "id_estacao", "nome_uf").collect():
+        k = ids.get(r.nome_uf, 0)
+        expected[(r.event_date, r.id_estacao)] += k * max(subsystems.get((r.event_date, r.nome_uf), 0), 1) if k else 1
+    bridge = gold.bridge(weather, location, generation, load)
+    got = Counter((r.event_date, r.id_estacao) for r in bridge.select("event_date", "id_estacao").collect())
+    assert got == expected
+    assert max(ids.values()) > 1 and max(got.values()) > 2  # both fan-outs occur in the fixture
