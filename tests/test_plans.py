@@ -119,3 +119,56 @@ def test_each_reading_is_parsed_once(spark, name):
     than being pushed below the rollup, where they would parse every reading again."""
     optimized = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("convert_timezone(") == 1
+
+
+def test_hot_state_is_split_when_not_broadcast(spark):
+    """A state holding a third of the station-days: were the state-name map too big to
+    broadcast, AQE's skew handling splits the hot partition of the sort-merge join."""
+    import datetime as dt
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    day0 = F.lit(dt.date(2024, 1, 1))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        weather = spark.range(30000).select(
+            F.concat(F.lit("E"), (F.col("id") % 300).cast("string")).alias("id_estacao"),
+            F.date_add(day0, (F.col("id") / 300).cast("int")).alias("event_date"),
+            *[F.lit(1.0).alias(c) for c in ("precipitacao_total", "radiacao_global", "temperatura_media",
+                                             "temperatura_maxima", "temperatura_minima", "vento_velocidade_media")],
+        ).withColumns({"year": F.year("event_date"), "month": F.month("event_date")})
+        location = spark.range(300).select(
+            F.concat(F.lit("E"), F.col("id").cast("string")).alias("id_estacao"),
+            F.when(F.col("id") < 100, "HOT").otherwise(F.concat(F.lit("UF"), (F.col("id") % 40).cast("string"))).alias("nome_uf"),
+            *[F.lit(x).alias(c) for c, x in (("sigla_uf", "X"), ("nome_regiao", "R"), ("nome_municipio", "M"),
+                                             ("latitude", 0.0), ("longitude", 0.0))],
+        )
+        state = F.when(F.col("id") % 41 == 40, "HOT").otherwise(F.concat(F.lit("UF"), (F.col("id") % 41).cast("string")))
+        generation = spark.range(4000).select(
+            F.date_add(day0, (F.col("id") % 100).cast("int")).alias("event_date"),
+            (F.col("id") % 2).cast("string").alias("id_subsistema"),
+            F.concat(F.lit("SUB"), (F.col("id") % 2).cast("string")).alias("nom_subsistema"),
+            (F.col("id") % 41).cast("string").alias("id_estado"),
+            state.alias("nom_estado"),
+            F.lit("Solar").alias("nom_tipousina"),
+            F.lit(1.0).alias("val_geracao_total_mwmed"),
+        ).withColumns({"year": F.year("event_date"), "month": F.month("event_date")})
+        load = generation.select("event_date", "nom_subsistema", "year", "month", F.lit(5.0).alias("val_cargaenergiamwmed"))
+        out = gold.bridge(weather, location, generation, load)
+        out.collect()
+        p = plan(out)
+        assert "SortMergeJoin(skew=true)" in p and "AQEShuffleRead skewed" in p
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
