@@ -126,3 +126,11 @@ def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(_StubSession(_StubContext("yarn")))
     assert checkpoint_root(_StubSession(_StubContext("local[2]")))  # tests, laptops
+
+
+def test_library_session_defaults(spark):
+    """UTC session zone (source timestamps are UTC); no per-call Python call-site capture,
+    which otherwise doubles driver-side plan construction; AQE on."""
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.python.sql.dataFrameDebugging.enabled") == "false"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
