@@ -56,6 +56,9 @@ def build_session(
         # cluster: start every shuffle wide and let AQE coalesce to ~128 MB partitions,
         # so the hourly rollups never build multi-GB shuffle partitions
         conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
+        # coalesce toward the advisory size; the default (parallelism first) ignores it and
+        # keeps ~1 MB partitions, i.e. many tiny tasks on a busy cluster
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
