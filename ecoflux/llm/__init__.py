@@ -1 +1,11 @@
-"""Training-data pipeline operators. Nothing else in the library imports this package."""
+"""Training-data pipeline operators. Nothing else in the library imports this package.
+
+Functions that run in Python workers are sent by value, so executors need numpy and pyarrow
+but no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -78,7 +78,10 @@ class LineRuns:
 
     def repeated(self) -> DataFrame:
         """(h1, h2, last) of every key seen in at least ``min_docs`` documents."""
-        return self._merge(self._all()).where(F.col("n") >= self.min_docs).select(*KEYS, "last")
+        runs = self._all()
+        if len(runs) > 1:
+            self.levels = [[], [self._write(self._merge(runs))]]
+        return self._all()[0].where(F.col("n") >= self.min_docs).select(*KEYS, "last")
 
 
 def batch_bounds(docs: DataFrame, id_col: str, n_batches: int) -> list[int]:

@@ -11,10 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import decontaminate, line_dedup
+from ecoflux.llm import decontaminate, line_dedup, mixing, simhash
 from ecoflux.llm.common import table
 
 
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 1, 2, 3 by source, range-sorted by first position."""
+    plan = mixing.schedule(table(spark, sf_dir, "documents"))
+    first = F.get("copies", F.lit(0))["position"].alias("position")
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", first).orderBy("position", "doc_id")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 3-word shingles, linked at 3 bits or fewer, closed into components."""
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 characters and more that at least 3 documents hold stay in one of them."""
     out = line_dedup.line_report(table(spark, sf_dir, "documents"))
@@ -35,6 +48,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_mix": op5_mix,
+    "op6_simhash": op6_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
