@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import decontaminate, line_dedup, mixing, simhash
+from ecoflux.llm import decontaminate, line_dedup, mixing, simhash, substring_dedup
 from ecoflux.llm.common import table
 
 
@@ -28,6 +28,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 20 words that also start earlier are cut out of every text."""
+    out = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 characters and more that at least 3 documents hold stay in one of them."""
     out = line_dedup.line_report(table(spark, sf_dir, "documents"))
@@ -50,6 +56,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix": op5_mix,
     "op6_simhash": op6_simhash,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
