@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import decontaminate, line_dedup, mixing, simhash, substring_dedup
+from ecoflux.llm import decontaminate, langid, line_dedup, mixing, simhash, substring_dedup
 from ecoflux.llm.common import table
 
 
@@ -34,6 +34,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def held_out(remainder: int, parts: int) -> Column:
+    """Whether crc32 of the id as text leaves this remainder (false for a null id)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == remainder, F.lit(False))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from two thirds of the documents."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(1, 3))
+    model = langid.fit(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"))
+    return langid.predicted(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 characters and more that at least 3 documents hold stay in one of them."""
     out = line_dedup.line_report(table(spark, sf_dir, "documents"))
@@ -57,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix": op5_mix,
     "op6_simhash": op6_simhash,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
