@@ -11,10 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import decontaminate, langid, line_dedup, mixing, simhash, substring_dedup
+from ecoflux.llm import decontaminate, langid, line_dedup, mixing, quality, simhash, substring_dedup
 from ecoflux.llm.common import table
 
 
+def held_out(remainder: int, parts: int) -> Column:
+    """Whether crc32 of the id as text leaves this remainder (false for a null id)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == remainder, F.lit(False))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learned from three quarters of the labels."""
+    labels = table(spark, sf_dir, "labels").where(~held_out(2, 4)).select(F.col("doc_id").alias("id"), F.col("quality").alias("y"))
+    out = quality.quality(table(spark, sf_dir, "documents"), labels)
+    out = out.select(F.col("id").alias("doc_id"), "score")
+    return out.select("doc_id", held_out(2, 4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3 by source, range-sorted by first position."""
     plan = mixing.schedule(table(spark, sf_dir, "documents"))
@@ -34,11 +47,6 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-def held_out(remainder: int, parts: int) -> Column:
-    """Whether crc32 of the id as text leaves this remainder (false for a null id)."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == remainder, F.lit(False))
-
-
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text, learned from two thirds of the documents."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(1, 3))
@@ -66,6 +74,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op5_mix": op5_mix,
     "op6_simhash": op6_simhash,
     "op7_substring_dedup": op7_substring_dedup,
