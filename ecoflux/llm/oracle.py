@@ -29,4 +29,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_line_dedup": _OP9, "op10_decontaminate": _OP10}
+_OP4 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY rank <= 5
+"""
+
+_OP1 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+-- the marks of a turn, and one backslash for each control string in a text
+f AS (SELECT *, length(text) + len(regexp_extract_all(text, '<\\*s>|<\\*/s>|\[\\*(SYS|/SYS|INST|/INST|ANS|ROLE|/ROLE)\]'))
+             + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 22 WHEN 'assistant' THEN 13 ELSE 20 + length(role) END AS chars,
+             coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), 'start') || '>' || role IN
+             ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS ok FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(ok) AS in_order
+FROM f GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10}
