@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import chat_format, decontaminate, langid, line_dedup, mixing, quality, simhash, substring_dedup, topk
+from ecoflux.llm import chat_format, decontaminate, langid, license_scan, line_dedup, mixing, quality, simhash, substring_dedup, topk
 from ecoflux.llm.common import table
 
 
@@ -37,6 +37,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(2, 4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every whole text, with their exact differences from the template."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every 50th vector among all others."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -90,6 +95,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_quality": op2_quality,
+    "op3_license_scan": op3_license_scan,
     "op4_topk": op4_topk,
     "op5_mix": op5_mix,
     "op6_simhash": op6_simhash,
