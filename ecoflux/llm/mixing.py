@@ -148,9 +148,10 @@ def training_order(plan: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The documents that the mix takes, range-sorted by the position of their first copy,
-    with their columns and size, source_size, target, taken, position and copies."""
-    plan = schedule(docs, id_col, text_col, **how).where(F.col("taken") > 0)
+    """The documents range-sorted by the position of their first copy, with their columns and
+    size, source_size, target, taken, position and copies. Those that the mix leaves out come
+    last, with 0 taken."""
+    plan = schedule(docs, id_col, text_col, **how)
     new = ["size", "source_size", "target", "taken", "position", "copies"]
     row_id = lambda i, tk: F.concat(F.coalesce(i.cast("string"), F.lit("-")), F.lit(":"), tk.cast("string"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
@@ -160,4 +161,4 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     nth = lambda by: F.row_number().over(Window.partitionBy("row_id").orderBy(by))
     both = own.withColumn("nth", nth(F.xxhash64("row"))).join(plan.withColumn("nth", nth("position")), ["row_id", "nth"])
     keep = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in new]
-    return both.select(*keep, *new).orderBy("position", id_col)
+    return both.select(*keep, *new).orderBy(F.col("position").asc_nulls_last(), id_col)
