@@ -24,6 +24,7 @@ give empty results. ``keep_one`` passes all columns through, whatever their name
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,9 +75,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def covering_masks(radius: int, level: int) -> list[int]:
-    """The masks of one covering family, as signed 64-bit numbers. Levels deal phi differently."""
+    """The masks of one covering family, as signed 64-bit numbers. Every nonzero phi serves
+    about equally many bits; levels deal them differently."""
     n = (1 << radius + 1) - 1
-    phi = [(i * (2 * level + 1) + (i // n) * (3 * level + 1) + level) % n + 1 for i in range(BITS)]
+    phi = [i % n + 1 for i in range(BITS)]
+    random.Random(level).shuffle(phi)
     masks = [sum(1 << i for i in range(BITS) if (phi[i] & v).bit_count() & 1) for v in range(1, n + 1)]
     return [m - (1 << BITS) if m >> BITS - 1 else m for m in masks]
 
@@ -89,6 +92,11 @@ def _dealt(rows: DataFrame, radius: int, level: int) -> DataFrame:
     return more.select("fixed", F.col("fp").bitwiseAND(F.col("fixed")).alias("key"), "fp")
 
 
+def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits signed 64-bit numbers differ (a signed count would take the absolute value)."""
+    return np.bitwise_count((x ^ y).view(np.uint64))
+
+
 def _forest(x: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(child, parent): edges that connect what the links within ``x`` connect."""
     left, a, b = x, [], []
@@ -98,7 +106,7 @@ def _forest(x: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             queue, left = left[:1], left[1:]
             continue
         root = queue[0]
-        near = np.bitwise_count(left ^ root) <= radius
+        near = _far(left, root) <= radius
         a.append(left[near])
         b.append(np.full(int(near.sum()), root, x.dtype))
         queue, left = np.concatenate((queue[1:], left[near])), left[~near]
@@ -123,7 +131,7 @@ def _links(radius: int):
             size = np.diff(np.concatenate((start, [len(fp)])))
             a, b = [], []
             two = start[(size == 2) & (start + 2 <= done)]
-            linked = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius]
+            linked = two[_far(fp[two], fp[two + 1]) <= radius]
             a.append(fp[linked])
             b.append(fp[linked + 1])
             for s, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
@@ -145,6 +153,8 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray] |
 def links(classes: DataFrame, radius: int = 3, bucket_rows: int = 2048) -> DataFrame:
     """(a, b): edges between distinct fingerprints (column fp) that connect exactly what the
     links of at most ``radius`` bits connect."""
+    if bucket_rows < 1 << radius + 2:
+        raise ValueError("so many fingerprints can differ in the same few bits")
     rows, found = classes.select(F.lit(0).cast("long").alias("fixed"), "fp"), []
     for level in range(8):
         dealt = _dealt(rows, radius, level)
