@@ -38,6 +38,8 @@ BASE = 0x9E3779B97F4A7C15
 LEAST_ID = -(1 << 63)
 #: Distinct words whose hashes a task remembers.
 WORD_CACHE = 1 << 18
+#: Texts that a task holds before it passes them on.
+OUTPUT_BYTES = 1 << 22
 
 
 class _WordHashes(dict):
@@ -237,12 +239,18 @@ def _cut(width: int):
             step[b - 1 + width] -= 1
         return np.cumsum(step[:-1]) > 0
 
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*out)) or [[]] * 4
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        ids, n_words, n_removed, kept = (pa.array(c, t) for c, t in zip(cols, types))
+        return pa.RecordBatch.from_arrays([ids, n_words, n_removed, kept.cast(pa.string())], ["id", "n_words", "n_removed", "kept"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHashes()
         now, spans, hashes = None, {}, {}
         for b in batches:
             place, kind, ids, tks, bodies = (b.column(i).to_pylist() for i in range(5))
-            out = []
+            out, size = [], 0
             for p, k, i, tk, body, text in zip(place, kind, ids, tks, bodies, text_bytes(b.column(5))):
                 if p != now:
                     now, spans, hashes = p, {}, {}
@@ -262,16 +270,17 @@ def _cut(width: int):
                         gone = removed(words, *mine, cache)
                         words = [w for w, g in zip(words, gone.tolist()) if not g]
                     out.append((i, n, n - len(words), b" ".join(words)))
-            cols = list(zip(*out)) or [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            ids, n_words, n_removed, kept = (pa.array(c, t) for c, t in zip(cols, types))
-            yield pa.RecordBatch.from_arrays([ids, n_words, n_removed, kept.cast(pa.string())], ["id", "n_words", "n_removed", "kept"])
+                    size += len(out[-1][3])
+                    if size >= OUTPUT_BYTES:
+                        yield rows(out)
+                        out, size = [], 0
+            yield rows(out)
 
     return run
 
 
 def without_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, chunk_words: int = 1 << 20, bucket_windows: int = 1 << 21
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, chunk_words: int = 1 << 19, bucket_windows: int = 1 << 21
 ) -> DataFrame:
     """(id, n_words, n_removed, kept) for each row: ``kept`` are the words that stay, joined
     by one space."""
