@@ -7,6 +7,7 @@ of bad text raises instead of giving null.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -119,18 +120,14 @@ def year_in_name(name: Column | str) -> Column:
     return F.when(y != "", y)
 
 
-def entry_name(file_path: Column | str) -> Column:
-    """Name of the delivered entry a data file belongs to.
-
-    A delivered file is its own entry; a Spark-written folder ``x_2016.parquet/part-*``
-    is named by the folder.
-    """
-    parts = F.split(_col(file_path), "/")
-    name = F.element_at(parts, -1)
-    parent = F.element_at(parts, -2)
-    return F.when(name.startswith("part-"), parent).otherwise(name)
-
-
-def is_parquet_name(name: Column | str) -> Column:
-    """Case-insensitive ``.parquet`` extension test."""
-    return F.lower(_col(name)).endswith(".parquet")
+def entry_name(file_path: Column | str, root: str | None = None) -> Column:
+    """Name of the delivered entry a data file belongs to: the first part of its path (below
+    ``root``, when given) with a ``.parquet`` extension in any case, be it the file itself or a
+    folder of part files; the file's own name when no part has one."""
+    path = _col(file_path)
+    if root:
+        below = re.sub(r"^[A-Za-z][\w+.-]*:/*", "/", root).rstrip("/") + "/"
+        at = F.instr(path, below)
+        path = F.when(at > 0, F.substring(path, at + F.lit(len(below)), F.length(path))).otherwise(path)
+    entry = F.regexp_extract(path, r"(?i)(?:^|/)([^/]+\.parquet)(?=/|$)", 1)
+    return F.when(entry != "", entry).otherwise(F.element_at(F.split(path, "/"), -1))

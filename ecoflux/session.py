@@ -1,17 +1,19 @@
 """Session construction and the shared scratch folder.
 
-Only two things are global for this library: the session time zone (UTC, so that
-timestamps parsed from text are UTC instants, as the source data is UTC) and AQE.
-Everything else is set per write (for example dynamic partition overwrite).
+``DEFAULT_CONF`` holds what every session of this library has: the UTC time zone (timestamps
+parsed from text are UTC instants, as the source data is UTC), AQE with its sizes, and plan
+building without call-site capture. A local session also gets driver memory and a warehouse
+folder of its own. What belongs to one write (such as dynamic partition overwrite) is set there.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,7 +33,14 @@ DEFAULT_CONF = {
 }
 
 
-CLUSTER_SHUFFLE_PARTITIONS = 8192
+#: Bytes of input for each initial shuffle partition, when the input size is known.
+PARTITION_BYTES = 128 << 20
+
+
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """Initial shuffle partitions for an input of this size. AQE merges small partitions but
+    does not split those of an aggregate, so the initial number must follow the input."""
+    return max(200, -(-input_bytes // PARTITION_BYTES))
 
 
 def build_session(
@@ -39,10 +48,12 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    ``master`` is only set when given: on a cluster the launcher decides it.
+    ``master`` is only set when given: on a cluster the launcher decides it, and also the
+    number of shuffle partitions unless ``input_bytes`` (of the largest input) is given.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -51,14 +62,13 @@ def build_session(
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor; keep catalog folders out of cwd
         conf["spark.driver.memory"] = "16g"
-        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="ecoflux-warehouse-")
+        conf["spark.sql.warehouse.dir"] = _local_folder("ecoflux-warehouse-")
     else:
-        # cluster: start every shuffle wide and let AQE coalesce to ~128 MB partitions,
-        # so the hourly rollups never build multi-GB shuffle partitions
-        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
         # coalesce toward the advisory size; the default (parallelism first) ignores it and
         # keeps ~1 MB partitions, i.e. many tiny tasks on a busy cluster
         conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    if input_bytes:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -71,6 +81,13 @@ def build_session(
     return spark
 
 
+def _local_folder(prefix: str) -> str:
+    """A temporary folder of a local-mode session, removed when the process ends."""
+    path = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -92,7 +109,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "
             "that every executor can reach"
         )
-    local = tempfile.mkdtemp(prefix="ecoflux-ckpt-")
+    local = _local_folder("ecoflux-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
@@ -103,10 +120,9 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{root}/ecoflux-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme, for helpers that need a plain path in local tests."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return os.fspath(uri)
+def written(df: DataFrame, name: str = "written") -> DataFrame:
+    """Write ``df`` to a new scratch folder and read it back: cuts the lineage, and joins see
+    its real size."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,23 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.sources.readers import spread
-
-
-# fact-sized driver tables: spread over the cores when a scan yields too few splits
-LARGE_TABLES = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "events": ["event_id"]}
-# the driver tables are read-only: their scans (file listing + footer read) are planned once
-# per session and path, and reused by every adapter that reads them
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _SCANS:
-        df = spark.read.parquet(path)
-        _SCANS[key] = spread(df, LARGE_TABLES[name]) if name in LARGE_TABLES else df
-    return _SCANS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def comma(c: Column) -> Column:
@@ -191,7 +177,7 @@ def capacity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_brand AS nom_estado",
         "p_type AS nom_tipousina",
         "p_name AS nom_usina",
-        "CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE concat('C', cast(p_partkey % 150 AS STRING)) END AS ceg",
+        "CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE concat('C', cast(p_partkey div 3 AS STRING)) END AS ceg",
         "concat('O', cast(p_partkey AS STRING)) AS id_ons",
         "CASE WHEN p_size > 40 THEN NULL ELSE 'TIPO I' END AS nom_modalidadeoperacao",
         f"{_comma('p_retailprice')} AS val_potenciaefetiva",
@@ -204,7 +190,7 @@ def modality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Modality register from ``supplier``: plant codes repeat (many-to-many join)."""
     return table(spark, sf_dir, "supplier").selectExpr(
         "s_name AS nom_usina",
-        "concat('C', cast(s_suppkey % 120 AS STRING)) AS ceg",
+        "concat('C', cast(s_suppkey div 2 AS STRING)) AS ceg",
         "concat('O', cast(s_suppkey AS STRING)) AS id_ons",
         "'TIPO II' AS nom_modalidadeoperacao",
         f"{_comma('s_acctbal')} AS val_potenciaautorizada",

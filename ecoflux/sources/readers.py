@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,30 +22,6 @@ from ecoflux.operators.shaping import cast_decimal_comma
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 
 
-# a scan with fewer splits than this is a layout problem (one huge row group, a gzip file)
-SPREAD_BELOW_SPLITS = 32
-
-
-def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition a scan that has too few splits to use the cluster.
-
-    A scan is split by files and Parquet row groups; a big file written as one row group
-    (or a gzip CSV) is read by a single task, and every projection after it runs there
-    too. Only such degenerate layouts (fewer splits than the cores, and fewer than
-    ``SPREAD_BELOW_SPLITS``) are reshuffled; any normally laid-out input is returned
-    unchanged, so no shuffle is added on a cluster.
-
-    ``keys`` should identify rows (an even, deterministic spread). Hashing only on them
-    lets Catalyst prune every other unused column below the exchange; without keys the
-    whole row is hashed.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= min(target, SPREAD_BELOW_SPLITS):
-        return df
-    cols = keys or df.columns
-    return df.repartition(target, *[F.col(f"`{c}`") for c in cols])
-
-
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     """Plain Parquet scan of one or more files / folders (one schema)."""
     return spark.read.parquet(*paths)
@@ -63,14 +41,77 @@ def read_csv(spark: SparkSession, *paths: str, infer_schema: bool = True) -> Dat
     )
 
 
-def read_union(spark: SparkSession, paths: list[str], numeric_text: list[str] = ()) -> DataFrame:
-    """Scan files whose schemas drifted (a measure stored as text in one file and as
-    double in another), one scan per path or folder, normalised and unioned by name.
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, mtime in epoch microseconds) of every Parquet file below ``path``; the
+    files are not opened."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", PARQUET_GLOB)
+        .load(path)
+        .select("path", "length", F.unix_micros("modificationTime").alias("mtime"))
+    )
 
-    Spark cannot merge a string and a double column of the same name in one scan, so
-    each group is read on its own; columns missing from a group come back as null.
+
+def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """Group files whose schemas can be merged (same type for the same column).
+
+    Each footer pass is one distributed ``mergeSchema`` job over many files. Only when it
+    meets two types for one column is the sorted list halved, so the number of passes
+    follows the number of places where the layout changes, not the number of files.
+    Groups that agree are put together again, so there is one scan for each layout.
+    """
+    found: list[tuple[list[str], T.StructType]] = []
+    todo = [sorted(paths)] if paths else []
+    while todo:
+        some = todo.pop()
+        try:
+            found.append((some, spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*some).schema))
+        except (PySparkException, Py4JJavaError) as e:
+            if len(some) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(e):
+                raise
+            todo += [some[len(some) // 2 :], some[: len(some) // 2]]
+    groups: list[tuple[list[str], dict[str, T.DataType]]] = []
+    for some, schema in found:
+        types = {f.name: f.dataType for f in schema.fields}
+        for own, known in groups:
+            if all(known.get(n, t) == t for n, t in types.items()):
+                own += some
+                known |= types
+                break
+        else:
+            groups.append((some, types))
+    return [(own, T.StructType([T.StructField(n, t) for n, t in types.items()])) for own, types in groups]
+
+
+def _common(types: list[T.DataType]) -> T.DataType:
+    """The type in which the values of drifted columns meet."""
+    if all(t == types[0] for t in types):
+        return types[0]
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    return T.DoubleType() if all(isinstance(t, T.NumericType) for t in types) else T.StringType()
+
+
+def read_union(spark: SparkSession, paths: list[str], numeric_text: list[str] = (), with_path: bool = False) -> DataFrame:
+    """Scan files whose schemas drifted: one scan for each layout, normalised, unioned by name.
+
+    Columns of ``numeric_text`` become doubles whether a file holds decimal-comma text or
+    numbers. Other columns with several types meet in a common one (text, if they are not
+    all numbers). Columns that a layout lacks are null. ``with_path`` adds the hidden file
+    path as ``_path``.
     """
-    frames = [cast_decimal_comma(spark.read.parquet(p), list(numeric_text)) for p in paths]
+    frames = []
+    for own, schema in schema_groups(spark, paths):
+        df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*own)
+        df = df.withColumn("_path", F.col("_metadata.file_path")) if with_path else df
+        frames.append(cast_decimal_comma(df, list(numeric_text)))
+    kinds: dict[str, list[T.DataType]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            kinds.setdefault(f.name, []).append(f.dataType)
+    meet = {n: _common(ts) for n, ts in kinds.items() if len(frames) > 1}
+    frames = [df.withColumns({n: F.col(f"`{n}`").cast(t) for n, t in meet.items() if n in df.columns and df.schema[n].dataType != t}) for df in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -92,7 +133,7 @@ def scan_years(
         .option("pathGlobFilter", PARQUET_GLOB)
         .parquet(path)
     )
-    fy = year_in_name(entry_name(F.col("_metadata.file_path")))
+    fy = year_in_name(entry_name(F.col("_metadata.file_path"), path))
     if lo is not None or hi is not None:
         cond = F.lit(True)
         if lo is not None:
