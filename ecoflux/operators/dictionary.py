@@ -32,6 +32,8 @@ DEFAULT_TYPE_NAME = "STRING"
 def describe(df: DataFrame, descriptions: dict[str, str] | None = None) -> DataFrame:
     """Rows (posicao, codigo, tipo, descricao, n_linhas, n_preenchidos) for ``df``'s columns.
 
+    A description is taken from ``descriptions``, else from the column's comment in the schema.
+
     The column metadata frame has one row per column (its size is the schema's, not the
     data's), so joining it costs nothing.
     """
@@ -61,7 +63,7 @@ def describe(df: DataFrame, descriptions: dict[str, str] | None = None) -> DataF
                 i + 1,
                 f.name,
                 TYPE_NAMES.get(f.dataType.typeName(), DEFAULT_TYPE_NAME),
-                descriptions.get(f.name, f"Campo {f.name}"),
+                descriptions.get(f.name) or (f.metadata or {}).get("comment") or f"Campo {f.name}",
             )
             for i, f in enumerate(df.schema.fields)
         ],

@@ -25,7 +25,7 @@ from ecoflux.functions import (
     safe_ratio,
     weekday_name,
 )
-from ecoflux.operators.shaping import conditional_sums, conform
+from ecoflux.operators.shaping import coalesce_pairs, conditional_sums, conform
 
 YM = ["year", "month"]
 
@@ -99,26 +99,11 @@ def dim_plant(capacity: DataFrame, modality: DataFrame) -> DataFrame:
     ).distinct().alias("m")
     c = lambda n: F.col(f"c.{n}")
     m = lambda n: F.col(f"m.{n}")
-    return (
-        cap.join(mod, c("ceg") == m("ceg"), "left")
-        .select(
-            c("id_subsistema").alias("id_subsistema"),
-            c("nom_subsistema").alias("nom_subsistema"),
-            F.coalesce(c("id_estado"), m("id_estado")).alias("id_estado"),
-            F.coalesce(c("nom_estado"), m("nom_estado")).alias("nom_estado"),
-            c("nom_tipousina").alias("nom_tipousina"),
-            F.coalesce(c("nom_usina"), m("nom_usina")).alias("nom_usina"),
-            F.coalesce(c("ceg"), m("ceg")).alias("ceg"),
-            m("id_ons").alias("id_ons"),
-            F.coalesce(c("nom_modalidadeoperacao"), m("nom_modalidadeoperacao")).alias("nom_modalidadeoperacao"),
-            c("val_potenciaefetiva").alias("val_potenciaefetiva"),
-            m("val_potenciaautorizada").alias("val_potenciaautorizada"),
-            c("dat_entradaoperacao").alias("dat_entradaoperacao"),
-            c("dat_desativacao").alias("dat_desativacao"),
-            m("sts_aneel").alias("sts_aneel"),
-        )
-        .distinct()
-    )
+    both = ["id_estado", "nom_estado", "nom_usina", "ceg", "nom_modalidadeoperacao"]
+    shared = dict(zip(both, coalesce_pairs({n: c(n) for n in both}, {n: m(n) for n in both}, both)))
+    from_modality = {"id_ons", "val_potenciaautorizada", "sts_aneel"}
+    columns = [shared.get(n, (m if n in from_modality else c)(n).alias(n)) for n in SC.GOLD_DIM_PLANT_COLS]
+    return cap.join(mod, c("ceg") == m("ceg"), "left").select(*columns).distinct()
 
 
 def fact(silver: DataFrame, kind: str) -> DataFrame:
@@ -197,11 +182,11 @@ def generation_by_state(generation: DataFrame, with_year_month: bool = True) ->
     )
 
 
-def state_names(generation: DataFrame) -> DataFrame:
-    """Distinct (state id, state name) pairs seen in generation (the name map)."""
+def state_names(generation: DataFrame, also: list[str] = ()) -> DataFrame:
+    """Distinct (state id, state name, ``also``...) seen in generation (the name map)."""
     return (
         generation.where(F.col("nom_estado").isNotNull())
-        .select(F.col("id_estado").cast("string").alias("id_estado"), "nom_estado")
+        .select(F.col("id_estado").cast("string").alias("id_estado"), "nom_estado", *also)
         .distinct()
     )
 
@@ -214,66 +199,34 @@ def load_by_subsystem(load: DataFrame) -> DataFrame:
     )
 
 
-def weather_with_location(weather: DataFrame, location: DataFrame) -> DataFrame:
-    """Daily weather of stations that have a location row (INNER)."""
-    m = weather.where(F.col("event_date").isNotNull()).alias("m")
-    loc = location.alias("loc")
-    return m.join(loc, F.col("m.id_estacao").cast("string") == F.col("loc.id_estacao"), "inner").select(
-        F.col("m.event_date").alias("event_date"),
-        F.col("m.id_estacao").alias("id_estacao"),
-        *[F.col(f"loc.{c}").alias(c) for c in ("sigla_uf", "nome_uf", "nome_regiao", "nome_municipio", "latitude", "longitude")],
-        *[
-            F.col(f"m.{c}").cast("double").alias(c)
-            for c in (
-                "precipitacao_total", "radiacao_global", "temperatura_media",
-                "temperatura_maxima", "temperatura_minima", "vento_velocidade_media",
-            )
-        ],
-        F.col("m.year").alias("year"),
-        F.col("m.month").alias("month"),
+def places(location: DataFrame, names: DataFrame) -> DataFrame:
+    """Stations with the state names that generation knows (LEFT, by exact name): one row for
+    each state id of that name, one without a state where no name fits. Both sides are
+    registers, so the result is small; write it before a join with the facts, so that the
+    join sees its size and not the product of both."""
+    loc, dp = location.alias("loc"), names.alias("dp")
+    return loc.join(dp, F.col("loc.nome_uf") == F.col("dp.nom_estado"), "left").select(
+        *[F.col(f"loc.{c}").alias(c) for c in ("id_estacao", "sigla_uf", "nome_uf", "nome_regiao", "nome_municipio", "latitude", "longitude")],
+        F.col("dp.nom_estado").alias("nom_estado"),
     )
 
 
-def bridge(weather: DataFrame, location: DataFrame, generation: DataFrame, load: DataFrame) -> DataFrame:
+def bridge(weather: DataFrame, station_places: DataFrame, generation: DataFrame, load: DataFrame) -> DataFrame:
     """Weather x generation x load bridge, one row per station, day and matched subsystem.
 
-    Stations are linked to generation through the state *name* (``nome_uf`` =
-    ``nom_estado``, exact text), via the distinct (id, name) map: a name with two ids
-    repeats the row, a state present in two subsystems fans out once per subsystem, and
-    load follows the generation row's subsystem. State-level measures repeat on every
-    station of the state, so they are not additive over stations.
+    ``station_places`` (see :func:`places`) links a station to generation by the state
+    *name*: a name with two ids repeats the row, a state present in two subsystems fans out
+    once per subsystem, and load follows the generation row's subsystem. State-level
+    measures repeat on every station of the state, so they are not additive over stations.
+    Weather of stations without a place is not kept.
     """
-    c = weather_with_location(weather, location).alias("c")
-    dp = state_names(generation).alias("dp")
-    g = generation_by_state(generation).alias("g")
-    ca = load_by_subsystem(load).alias("ca")
-    col = F.col
-    out = (
-        c.join(dp, col("c.nome_uf") == col("dp.nom_estado"), "left")
-        .join(
-            g,
-            (col("c.event_date") == col("g.event_date"))
-            & (col("dp.nom_estado") == col("g.nom_estado"))
-            & (col("c.year") == col("g.year"))
-            & (col("c.month") == col("g.month")),
-            "left",
-        )
-        .join(
-            ca,
-            (col("c.event_date") == col("ca.event_date"))
-            & (col("g.nom_subsistema") == col("ca.nom_subsistema"))
-            & (col("c.year") == col("ca.year"))
-            & (col("c.month") == col("ca.month")),
-            "left",
-        )
-    )
-    c_cols = SC.GOLD_BRIDGE_COLS[:14]
-    g_cols = ["nom_subsistema", "geracao_eolica_mwmed", "geracao_solar_mwmed", "geracao_hidro_mwmed",
-              "geracao_termica_mwmed", "geracao_total_mwmed"]
-    return out.select(
-        *[col(f"c.{n}").alias(n) for n in c_cols],
-        *[col(f"g.{n}").alias(n) for n in g_cols],
-        col("ca.val_cargaenergiamwmed").alias("val_cargaenergiamwmed"),
-        col("c.year").cast("string").alias("year"),
-        col("c.month").cast("string").alias("month"),
+    measures = ["precipitacao_total", "radiacao_global", "temperatura_media", "temperatura_maxima", "temperatura_minima", "vento_velocidade_media"]
+    at = station_places.withColumnRenamed("id_estacao", "place_id")
+    days = weather.where(F.col("event_date").isNotNull())
+    days = days.join(at, days["id_estacao"].cast("string") == at["place_id"]).select(
+        "event_date", "id_estacao", "sigla_uf", "nome_uf", "nome_regiao", "nome_municipio", "latitude", "longitude",
+        *[F.col(c).cast("double").alias(c) for c in measures], *YM, "nom_estado",
     )
+    out = days.join(generation_by_state(generation), ["event_date", "nom_estado", *YM], "left")
+    out = out.join(load_by_subsystem(load), ["event_date", "nom_subsistema", *YM], "left")
+    return out.select(*SC.GOLD_BRIDGE_COLS[:-2], *[F.col(c).cast("string").alias(c) for c in YM])

@@ -1,36 +1,44 @@
 """End-to-end runs: bronze files -> silver tables -> gold tables.
 
-The only module with paths, order and writes. One Spark job per table and layer, over
-all years at once (the source ran one job per year, and per gold statement per year).
-
-Incremental silver loads work at (year, month) grain:
-
-1. *new files* are the bronze files modified after the last recorded load (a predicate
-   on ``_metadata.file_modification_time``, so older files are not opened);
-2. the *touched months* are the output months those files produce (after the UTC ->
-   local shift, so a reading of 1 Jan 01:00 UTC touches December);
-3. every bronze file that can hold rows of a touched month (its name's year within one
-   year of a touched year, or no year in the name) is re-read, the output is restricted
-   to the touched months, and only those partitions are overwritten.
-
-This replaces the source job's rules, which lost data at year ends (a spill-over day
-replaced a whole December), invented a year, and never read late monthly files.
+The only module with paths, order and writes. One Spark job per table and layer, over all
+years at once (the source ran one job per year, and per gold statement per year). One run at
+a time is assumed; every record below is written after what it records, so a run that breaks
+off anywhere is made up for by the next.
+
+Silver series load at (year, month) grain:
+
+1. *new files* are those whose (path, length, time) the dataset's ledger does not hold (an anti
+   join; file times are compared for equality only, so late files with old times count);
+2. the *touched months* are the local months of their rows (after the UTC -> local shift, so a
+   reading of 1 Jan 01:00 UTC touches December), and of a file that was replaced also the
+   months of its former rows; months outside ``Lake.years`` are left out;
+3. every bronze file that can hold rows of a touched month (its name's year within one year of
+   a touched year, or no year in the name) is re-read, one scan for each file layout, and only
+   those partitions are overwritten. Partitions left without rows are removed;
+4. the touched months go to the change log with a rising version, then the files to the ledger.
+
+Each gold table records the version up to which it was built. Its pending work is what the
+change log holds beyond that for its inputs: months of its series, or a register, after which
+it is rebuilt whole.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import os
+import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ecoflux.operators import incremental
+from ecoflux import schemas as SC
+from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_name
+from ecoflux.operators.incremental import YM, restrict_to_months
 from ecoflux.operators.shaping import only_months, only_years
 from ecoflux.plans import gold, silver
+from ecoflux.session import written
 from ecoflux.sources import readers, sinks
 
 # --- fixed values: folder layout of the lake -----------------------------------------
@@ -77,11 +85,25 @@ GOLD_TABLES = [
 ]
 # ------------------------------------------------------------------------------------
 
-SERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "hydrology": silver.hydrology,
-    "load": silver.load,
-    "generation": silver.generation_daily,
-    "weather": silver.weather_daily,
+@dataclass(frozen=True)
+class Series:
+    """How a daily series is built from raw rows, and the date of a raw row."""
+
+    build: Callable[[DataFrame], DataFrame]
+    numeric: tuple[str, ...]
+    time_col: str
+    date: Callable[[DataFrame], Column]
+
+
+def _instant_date(raw: DataFrame) -> Column:
+    return to_date_lenient(F.col("din_instante"), raw.schema["din_instante"].dataType.typeName())
+
+
+SERIES: dict[str, Series] = {
+    "hydrology": Series(silver.hydrology, (*SC.HYDRO_MEASURES, "num_ordemcs", "cod_usina"), "din_instante", _instant_date),
+    "load": Series(silver.load, ("val_cargaenergiamwmed",), "din_instante", _instant_date),
+    "generation": Series(silver.generation_daily, ("val_geracao",), "din_instante", _instant_date),
+    "weather": Series(silver.weather_daily, tuple(SC.WEATHER_COLS[3:]), "data", lambda raw: local_date("data", "hora")),
 }
 REGISTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "capacity": silver.capacity,
@@ -90,7 +112,25 @@ REGISTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "municipalities": silver.municipalities,
 }
 CSV_REGISTERS = {"stations", "municipalities"}
-LOG_DIR = "_ecoflux_load_log"
+#: The inputs of each gold table; the first series drives its rows (a month without rows there has none in gold).
+GOLD_INPUTS = {
+    "gold_dim_tempo": ["weather", "generation", "load", "hydrology"],
+    "gold_dim_localizacao": ["stations", "municipalities"],
+    "gold_dim_usina": ["capacity", "modality"],
+    "gold_fato_clima": ["weather"],
+    "gold_fato_geracao": ["generation"],
+    "gold_fato_hidrologia": ["hydrology"],
+    "gold_fato_carga": ["load"],
+    "gold_fato_eficiencia_hidro": ["hydrology", "generation"],
+    "gold_bridge_clima_geracao": ["weather", "generation", "load", "stations", "municipalities"],
+}
+DIMENSIONS = {"gold_dim_tempo", "gold_dim_localizacao", "gold_dim_usina"}
+BRIDGE = "gold_bridge_clima_geracao"
+LOCATION = "gold_dim_localizacao"
+
+LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long"
+CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
+PROGRESS = "table string, version long"
 
 
 @dataclass
@@ -100,224 +140,273 @@ class Lake:
     gold: str
     database: str = "ecoflux"
     bronze_dirs: dict[str, str] = field(default_factory=lambda: dict(BRONZE_DIRS))
-    # inclusive range of file-name years to ingest (files without a year always pass)
+    # inclusive range of years: of the names of ingested files (files without a year always
+    # pass) and of the dates in silver
     years: tuple[int, int] | None = None
 
-    def scan(self, spark: SparkSession, ds: str) -> DataFrame:
-        lo, hi = self.years or (None, None)
-        return readers.scan_years(spark, self.src(ds), lo, hi)
-
     def src(self, ds: str) -> str:
         return f"{self.bronze.rstrip('/')}/{self.bronze_dirs[ds]}"
 
     def dest(self, ds: str) -> str:
         return f"{self.silver.rstrip('/')}/{SILVER_DIRS[ds]}"
 
-    def log(self, ds: str) -> str:
-        return f"{self.silver.rstrip('/')}/{LOG_DIR}/{ds}"
+    def state(self, name: str) -> str:
+        return f"{self.silver.rstrip('/')}/_ecoflux/{name}"
 
     def gold_path(self, table: str) -> str:
         return f"{self.gold.rstrip('/')}/{table}"
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Readable Parquet output exists at ``path``.
-
-    Spark's commit protocol publishes a job's files only at job commit, so a folder that
-    reads back holds a completed write, never a half-written one.
-    """
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - lists the files, reads one footer
-        return True
-    except Exception:  # noqa: BLE001 - missing path / no data files
-        return False
-
-
-def _last_watermark(spark: SparkSession, lake: Lake, ds: str) -> dt.datetime | None:
-    if not _exists(spark, lake.log(ds)):
-        return None
-    row = spark.read.parquet(lake.log(ds)).agg(F.max("watermark").alias("w")).first()
-    return row["w"] if row else None
-
-
-def _record(spark: SparkSession, lake: Lake, ds: str, watermark, months: int) -> None:
-    schema = T.StructType(
-        [
-            T.StructField("dataset", T.StringType()),
-            T.StructField("loaded_at", T.TimestampType()),
-            T.StructField("watermark", T.TimestampType()),
-            T.StructField("months", T.IntegerType()),
-        ]
-    )
-    row = [(ds, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), watermark, months)]
-    spark.createDataFrame(row, schema).write.mode("append").parquet(lake.log(ds))
-
-
-def rebuild_months(spark: SparkSession, lake: Lake, ds: str, new_rows: DataFrame) -> list[tuple[int, int]]:
-    """Rewrite the silver months that ``new_rows`` (raw rows of newly arrived files) touch.
-
-    Each touched month is rebuilt from every bronze file that can hold its rows, so the
-    rewrite is complete and idempotent (safe to repeat after a failure).
-    """
-    build = SERIES[ds]
-    touched_df = incremental.months_of(build(new_rows))
-    touched = sorted((r["year"], r["month"]) for r in touched_df.collect())  # <= 12 per year
-    if not touched:
+    def gold_state(self, name: str) -> str:
+        return f"{self.gold.rstrip('/')}/_ecoflux/{name}"
+
+    def silver_table(self, ds: str) -> str:
+        return f"{self.database}.{SILVER_TABLES[ds]}"
+
+    def gold_table(self, table: str) -> str:
+        return f"{self.database}.{table}"
+
+    def in_years(self, year: Column) -> Column:
+        return F.lit(True) if self.years is None else year.between(*self.years)
+
+
+# --- records ------------------------------------------------------------------------------
+def _records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A record table, empty before its first write."""
+    if sinks.is_complete(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+def _next_version(spark: SparkSession, lake: Lake) -> int:
+    return (_records(spark, lake.state("changes"), CHANGES).agg(F.max("version")).first()[0] or 0) + 1
+
+
+def _log_change(spark: SparkSession, lake: Lake, ds: str, months: Iterable[tuple[int | None, int | None, bool]]) -> int:
+    version = _next_version(spark, lake)
+    rows = [(ds, y, m, has_rows, version) for y, m, has_rows in months]
+    if rows:
+        spark.createDataFrame(rows, CHANGES).write.mode("append").parquet(lake.state("changes"))
+    return version
+
+
+# --- silver -------------------------------------------------------------------------------
+def bronze_files(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
+    """(path, length, mtime, file_year) of the dataset's files within the ingest years."""
+    files = readers.list_files(spark, lake.src(ds)).withColumn("file_year", year_in_name(entry_name("path", lake.src(ds))))
+    if lake.years is None:
+        return files
+    lo, hi = (f"{y:04d}" for y in lake.years)
+    return files.where(F.col("file_year").isNull() | F.col("file_year").between(lo, hi))
+
+
+def _between(raw: DataFrame, col: str, months: list[tuple[int, int]]) -> DataFrame:
+    """Raw rows within a UTC day of the span of ``months``. A plain range on a date or time
+    column reaches the Parquet scan; text dates are left to the month join."""
+    if col not in raw.columns or not isinstance(raw.schema[col].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return raw
+    (y0, m0), (y1, m1) = months[0], months[-1]
+    first, last = f"date'{y0:04d}-{m0:02d}-01'", f"date'{y1:04d}-{m1:02d}-01'"
+    kind = raw.schema[col].dataType.simpleString()
+    return raw.where(f"`{col}` >= cast(date_sub({first}, 1) AS {kind}) AND `{col}` < cast(date_add(add_months({last}, 1), 2) AS {kind})")
+
+
+def rebuild_months(spark: SparkSession, lake: Lake, ds: str, months: list[tuple[int, int]], maybe_empty: Iterable[tuple[int, int]] = ()) -> set[tuple[int, int]]:
+    """Rewrite these silver months from every bronze file that can hold their rows, and
+    remove those of ``maybe_empty`` that have no row any more (they are returned). The
+    rewrite is complete and idempotent, so it can be repeated after a failure."""
+    if not months:
+        return set()
+    series, months = SERIES[ds], sorted(set(months))
+    window = sorted({f"{y + k:04d}" for y, _ in months for k in (-1, 0, 1)})
+    files = bronze_files(spark, lake, ds).where(F.col("file_year").isNull() | F.col("file_year").isin(window))
+    paths = [r["path"] for r in files.select("path").collect()]  # file names only
+    gone: set[tuple[int, int]] = set()
+    if paths:
+        raw = _between(readers.read_union(spark, paths, list(series.numeric)), series.time_col, months)
+        out = only_months(series.build(raw), months)
+        sinks.write_partitioned(out, lake.dest(ds))
+        if check := set(maybe_empty):
+            kept = restrict_to_months(out, spark.createDataFrame(sorted(check), "year int, month int")).select(*YM).distinct()
+            gone = check - {(r["year"], r["month"]) for r in kept.collect()}
+    for y, m in gone:
+        sinks.drop_partition_folder(spark, lake.dest(ds), {"year": y, "month": m})
+    return gone
+
+
+def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> list[tuple[int, int]]:
+    """Incrementally load one daily silver series; returns the (year, month) pairs written."""
+    ledger = _records(spark, lake.state(f"files/{ds}"), LEDGER)
+    files = bronze_files(spark, lake, ds).drop("file_year")
+    pending = written(files if full else files.join(ledger, ["path", "length", "mtime"], "left_anti"), "pending-files")
+    paths = [r["path"] for r in pending.select("path").collect()]  # file names only
+    if not paths:
         return []
-    years = {y for y, _ in touched}
-    window = sorted({y + k for y in years for k in (-1, 0, 1)})
-    fy = F.col("file_year")
-    source = lake.scan(spark, ds).where(fy.isNull() | fy.isin([f"{y:04d}" for y in window]))
-    months = spark.createDataFrame(touched, "year int, month int")  # size bounded by the month count
-    out = build(source.drop("file_year")).join(F.broadcast(months), ["year", "month"], "left_semi")
-    sinks.write_partitioned(out, lake.dest(ds))
+    raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True)
+    dated = raw.select("_path", SERIES[ds].date(raw).alias("d")).where(F.col("d").isNotNull() & lake.in_years(F.year("d")))
+    # one entry for each file and month, combined map-side: the only pass over the new rows
+    by_file = dated.groupBy("_path").agg(F.collect_set(F.year("d") * 12 + F.month("d") - 1).alias("months"))
+    # the listing and the scan spell a path differently: file:/a b and file:///a%20b
+    plain = F.url_decode(F.regexp_replace("_path", r"\+", "%2B"))
+    one_slash = lambda c: F.regexp_replace(c, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+    news = pending.withColumn("k", one_slash(F.col("path"))).join(by_file.select(one_slash(plain).alias("k"), "months"), "k", "left")
+    news = written(news.select("path", "length", "mtime", F.coalesce("months", F.array().cast("array<int>")).alias("months")), "new-files")
+    codes = lambda df: {(r["c"] // 12, r["c"] % 12 + 1) for r in df.select(F.explode("months").alias("c")).distinct().collect()}
+    new_months = codes(news)
+    old = ledger.join(news.select("path").distinct(), "path", "left_semi") if not full else ledger
+    old_months = {m for m in codes(old) if lake.years is None or lake.years[0] <= m[0] <= lake.years[1]}
+    touched = sorted(new_months | old_months)
+    gone = rebuild_months(spark, lake, ds, touched, old_months - new_months)
+    if ds == "generation":
+        _record_state_names(spark, lake, touched, gone)
+    if touched:
+        sinks.register_table(spark, lake.silver_table(ds), lake.dest(ds), YM)
+    version = _log_change(spark, lake, ds, [(y, m, (y, m) not in gone) for y, m in touched])
+    done = news.withColumns({"version": F.lit(version).cast("long"), "loaded_at": F.lit(time.time_ns() // 1000)})
+    done.write.mode("append").parquet(lake.state(f"files/{ds}"))
     return touched
 
 
-def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> int:
-    """Incrementally load one daily silver series; returns the number of months written."""
-    return len(load_series_months(spark, lake, ds, full))
-
-
-def load_series_months(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> list[tuple[int, int]]:
-    """Incrementally load one daily silver series; returns the (year, month) pairs written."""
-    files = lake.scan(spark, ds).withColumn("_mtime", F.col("_metadata.file_modification_time"))
-    since = None if full or not _exists(spark, lake.dest(ds)) else _last_watermark(spark, lake, ds)
-    new = files if since is None else files.where(F.col("_mtime") > F.lit(since))
-    stats = new.agg(F.max("_mtime").alias("w")).first()
-    watermark = stats["w"] if stats else None
-    if watermark is None:
-        return []
-    touched = rebuild_months(spark, lake, ds, new.drop("_mtime", "file_year"))
-    _record(spark, lake, ds, watermark, len(touched))
-    return touched
+def _record_state_names(spark: SparkSession, lake: Lake, months: list[tuple[int, int]], gone: set[tuple[int, int]]) -> None:
+    """Keep the state-name map of each month, so that the whole map is read from a small table."""
+    if not months:
+        return
+    dest = lake.state("state_names")
+    rows = only_months(spark.read.option("mergeSchema", "true").parquet(lake.dest("generation")), months)
+    sinks.write_partitioned(gold.state_names(rows, YM), dest)
+    for y, m in gone:
+        sinks.drop_partition_folder(spark, dest, {"year": y, "month": m})
 
 
 def load_register(spark: SparkSession, lake: Lake, ds: str, force: bool = False) -> bool:
     """Load a static register unless a completed copy exists (``force`` rebuilds it)."""
     dest = lake.dest(ds)
-    if not force and _exists(spark, dest):
+    if not force and sinks.is_complete(spark, dest) and not _records(spark, lake.state("changes"), CHANGES).where(F.col("dataset") == ds).isEmpty():
         return False
     src = lake.src(ds)
     raw = readers.read_csv(spark, src) if ds in CSV_REGISTERS else readers.read_parquet(spark, src)
     sinks.write_dimension(REGISTERS[ds](raw), dest)
+    sinks.register_table(spark, lake.silver_table(ds), dest)
+    _log_change(spark, lake, ds, [(None, None, True)])
     return True
 
 
-def run_silver(
-    spark: SparkSession,
-    lake: Lake,
-    datasets: Iterable[str] | None = None,
-    full: bool = False,
-    touched: dict[str, list[tuple[int, int]]] | None = None,
-) -> dict:
-    """Load the given (default: all) datasets; series report months written, registers
-    whether they were (re)loaded. ``touched`` collects each series' (year, month) pairs."""
-    done = {}
-    for ds in datasets or [*SERIES, *REGISTERS]:
-        if ds in SERIES:
-            months = load_series_months(spark, lake, ds, full=full)
-            done[ds] = len(months)
-            if touched is not None:
-                touched[ds] = months
-        else:
-            done[ds] = load_register(spark, lake, ds, force=full)
-    return done
+def run_silver(spark: SparkSession, lake: Lake, datasets: Iterable[str] | None = None, full: bool = False) -> dict:
+    """Load the given (default: all) datasets; series report the months written, registers
+    whether they were (re)loaded."""
+    sinks.create_database(spark, lake.database, f"{lake.gold.rstrip('/')}/_database")
+    load = lambda ds: load_series(spark, lake, ds, full) if ds in SERIES else load_register(spark, lake, ds, force=full)
+    return {ds: load(ds) for ds in datasets or [*SERIES, *REGISTERS]}
 
 
 def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    return {ds: spark.read.parquet(lake.dest(ds)) for ds in SILVER_DIRS if _exists(spark, lake.dest(ds))}
-
-
-def gold_frames(s: dict[str, DataFrame]) -> dict[str, tuple[Callable[[], DataFrame], bool]]:
-    """Gold table name -> (builder of its frame, partitioned by year/month)."""
-    loc = lambda: gold.dim_location(s["stations"], s["municipalities"])
-    return {
-        "gold_dim_tempo": (lambda: gold.dim_time(s["weather"], s["generation"], s["load"], s["hydrology"]), False),
-        "gold_dim_localizacao": (loc, False),
-        "gold_dim_usina": (lambda: gold.dim_plant(s["capacity"], s["modality"]), False),
-        "gold_fato_clima": (lambda: gold.fact(s["weather"], "weather"), True),
-        "gold_fato_geracao": (lambda: gold.fact(s["generation"], "generation"), True),
-        "gold_fato_hidrologia": (lambda: gold.fact(s["hydrology"], "hydrology"), True),
-        "gold_fato_carga": (lambda: gold.fact(s["load"], "load"), True),
-        "gold_fato_eficiencia_hidro": (lambda: gold.hydro_efficiency(s["generation"], s["hydrology"]), True),
-        "gold_bridge_clima_geracao": (lambda: gold.bridge(s["weather"], loc(), s["generation"], s["load"]), True),
-    }
-
-
-def _state_map_changed(spark: SparkSession, lake: Lake, generation: DataFrame) -> bool:
-    """Whether the (state id, state name) map behind the bridge differs from the one the
-    bridge was last built with; the new map is recorded. The map is tiny (one row per
-    state id and name), so both comparisons are cheap."""
-    path = f"{lake.gold.rstrip('/')}/_state_names"
-    current = gold.state_names(generation)
-    if _exists(spark, path):
-        previous = spark.read.parquet(path)
-        if current.exceptAll(previous).isEmpty() and previous.exceptAll(current).isEmpty():
-            return False
-    current.write.mode("overwrite").parquet(path)  # computed from silver, not from ``path``
-    return True
-
-
-def run_gold(
-    spark: SparkSession,
-    lake: Lake,
-    tables: Iterable[str] | None = None,
-    years: Iterable[int] | None = None,
-    months: Iterable[tuple[int, int]] | None = None,
-) -> list[str]:
-    """Build gold tables in name order (the location dimension precedes the bridge).
-
-    By default each table is dropped and re-created. With ``years`` (historical backfill)
-    or ``months`` (the months an incremental silver load touched) only those partitions
-    of the existing partitioned tables are rewritten, through dynamic overwrite; the
-    filter reaches the silver scans as partition filters. The bridge also depends on the
-    global state-name map: when that map changed, the bridge is rebuilt whole.
-    Dimensions are always rebuilt (they are small).
+    """The loaded silver tables, from the catalog."""
+    return {ds: spark.table(lake.silver_table(ds)) for ds in SILVER_TABLES if spark.catalog.tableExists(lake.silver_table(ds))}
+
+
+# --- gold ---------------------------------------------------------------------------------
+def pending_gold(spark: SparkSession, lake: Lake, table: str) -> tuple[bool, dict[tuple[int, int], bool], int]:
+    """(rebuild whole, months to rewrite, version they lead up to). The months tell whether
+    the driving series has rows there."""
+    done = _records(spark, lake.gold_state("progress"), PROGRESS).where(F.col("table") == table).agg(F.max("version")).first()[0]
+    mine = _records(spark, lake.state("changes"), CHANGES).where(F.col("dataset").isin(GOLD_INPUTS[table]))
+    upto = mine.agg(F.max("version")).first()[0] or 0
+    if done is None or not spark.catalog.tableExists(lake.gold_table(table)):
+        return True, {}, upto
+    latest = F.max(F.struct("version", "has_rows"))["has_rows"]
+    news = mine.where(F.col("version") > done).groupBy("dataset", "year", "month").agg(latest.alias("has_rows")).collect()  # months
+    if any(r["year"] is None for r in news):
+        return True, {}, upto
+    driver = GOLD_INPUTS[table][0]
+    months = {(r["year"], r["month"]): True for r in news}
+    months |= {(r["year"], r["month"]): r["has_rows"] for r in news if r["dataset"] == driver}
+    return False, months, upto
+
+
+def _names(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.read.parquet(lake.state("state_names")).select("id_estado", "nom_estado").distinct()
+
+
+def _names_changed(spark: SparkSession, lake: Lake) -> bool:
+    """Whether the state-name map differs from the one that the bridge was last built with."""
+    path = lake.gold_state("bridge_names")
+    if not sinks.is_complete(spark, path):
+        return True
+    now, then = _names(spark, lake), spark.read.parquet(path)
+    return not (now.exceptAll(then).isEmpty() and then.exceptAll(now).isEmpty())
+
+
+def _frame(spark: SparkSession, lake: Lake, s: dict[str, DataFrame], table: str) -> DataFrame:
+    if table == "gold_dim_tempo":
+        return gold.dim_time(s["weather"], s["generation"], s["load"], s["hydrology"])
+    if table == LOCATION:
+        return gold.dim_location(s["stations"], s["municipalities"])
+    if table == "gold_dim_usina":
+        return gold.dim_plant(s["capacity"], s["modality"])
+    if table == "gold_fato_eficiencia_hidro":
+        return gold.hydro_efficiency(s["generation"], s["hydrology"])
+    if table != BRIDGE:
+        ds = GOLD_INPUTS[table][0]
+        return gold.fact(s[ds], ds)
+    stale, _, _ = pending_gold(spark, lake, LOCATION)
+    location = written(_frame(spark, lake, s, LOCATION), "location") if stale else spark.table(lake.gold_table(LOCATION))
+    return gold.bridge(s["weather"], written(gold.places(location, _names(spark, lake)), "places"), s["generation"], s["load"])
+
+
+def _calendar(spark: SparkSession, lake: Lake, s: dict[str, DataFrame], months: list[tuple[int, int]]) -> DataFrame:
+    """The calendar with the dates of these months anew; other dates are taken over."""
+    old = spark.table(lake.gold_table("gold_dim_tempo"))
+    keep = old.where(~F.array_contains(F.array(*[F.lit(y * 12 + m) for y, m in months]), F.col("ano") * 12 + F.col("mes")))
+    fresh = gold.dim_time(*[only_months(s[ds], months) for ds in GOLD_INPUTS["gold_dim_tempo"]])
+    return written(keep.unionByName(fresh.select(*old.columns)), "calendar")  # not read while it is replaced
+
+
+def _build(spark: SparkSession, lake: Lake, table: str, s: dict[str, DataFrame], whole: bool, months: dict[tuple[int, int], bool]) -> None:
+    name, path = lake.gold_table(table), lake.gold_path(table)
+    if whole:
+        sinks.create_table(spark, _frame(spark, lake, s, table), name, path=path, partition_by=None if table in DIMENSIONS else YM)
+    elif table in DIMENSIONS:
+        sinks.create_table(spark, _calendar(spark, lake, s, sorted(months)), name, path=path)
+    else:
+        sinks.overwrite_table_partitions(spark, only_months(_frame(spark, lake, s, table), sorted(months)), name, path)
+        for y, m in (ym for ym, has_rows in months.items() if not has_rows):
+            sinks.drop_table_partition(spark, name, path, {"year": y, "month": m})
+
+
+def run_gold(spark: SparkSession, lake: Lake, tables: Iterable[str] | None = None, years: Iterable[int] | None = None, full: bool = False) -> list[str]:
+    """Bring gold tables (default: all, the location dimension before the bridge) up to date
+    with silver; returns those that were written.
+
+    A table is built whole the first time, after a register changed, with ``full``, and the
+    bridge also when the state-name map changed; otherwise only its pending months are
+    rewritten, and the filter reaches the silver scans as partition filters. Progress is
+    recorded after each table. ``years`` is the historical backfill: it rewrites these years of
+    the existing partitioned tables and leaves the recorded progress alone.
     """
-    sinks.create_database(spark, lake.database, f"{lake.gold.rstrip('/')}/_database")
-    silver_now = silver_frames(spark, lake)
-    frames = gold_frames(silver_now)
-    month_list = sorted(set(months)) if months is not None else None
+    s = silver_frames(spark, lake)
     built = []
-    for name in tables or GOLD_TABLES:
-        build, partitioned = frames[name]
-        full_name = f"{lake.database}.{name}"
-        path = lake.gold_path(name)
-        exists = partitioned and spark.catalog.tableExists(full_name)
-        if exists and name == "gold_bridge_clima_geracao" and (years is not None or month_list is not None):
-            if _state_map_changed(spark, lake, silver_now["generation"]):
-                years, month_list = None, None  # the map changed: every month may change
-        if exists and years is not None:
-            sinks.overwrite_table_partitions(spark, only_years(build(), years), full_name, path)
-        elif exists and month_list is not None:
-            if month_list:
-                sinks.overwrite_table_partitions(spark, only_months(build(), month_list), full_name, path)
-        else:
-            sinks.create_table(spark, build(), full_name, path=path, partition_by=["year", "month"] if partitioned else None)
-            if name == "gold_bridge_clima_geracao":
-                _state_map_changed(spark, lake, silver_now["generation"])
-        built.append(name)
+    for table in tables or GOLD_TABLES:
+        whole, months, upto = pending_gold(spark, lake, table)
+        if years is not None and not whole:
+            if table not in DIMENSIONS:
+                sinks.overwrite_table_partitions(spark, only_years(_frame(spark, lake, s, table), years), lake.gold_table(table), lake.gold_path(table))
+                built.append(table)
+            continue
+        whole = whole or full or (table == BRIDGE and _names_changed(spark, lake))
+        if not whole and not months:
+            continue
+        _build(spark, lake, table, s, whole, months)
+        if table == BRIDGE:
+            _names(spark, lake).write.mode("overwrite").parquet(lake.gold_state("bridge_names"))
+        spark.createDataFrame([(table, upto)], PROGRESS).write.mode("append").parquet(lake.gold_state("progress"))
+        built.append(table)
     return built
 
 
-def run(
-    spark: SparkSession,
-    lake: Lake,
-    full: bool = False,
-    datasets: Iterable[str] | None = None,
-    tables: Iterable[str] | None = None,
-) -> dict:
-    """Silver for every (or the given) dataset, then gold.
-
-    Incremental by default: partitioned gold tables that already exist get only the months
-    the silver loads touched; ``full=True`` reloads silver and re-creates every gold table.
-    """
-    touched: dict[str, list[tuple[int, int]]] = {}
-    loaded = run_silver(spark, lake, datasets, full=full, touched=touched)
-    months = None if full else sorted({m for ms in touched.values() for m in ms})
-    built = run_gold(spark, lake, tables, months=months)
-    return {"silver": loaded, "gold": built, "months": months}
+def run(spark: SparkSession, lake: Lake, full: bool = False, datasets: Iterable[str] | None = None, tables: Iterable[str] | None = None) -> dict:
+    """Silver for every (or the given) dataset, then gold. Incremental by default; with
+    ``full`` all of silver is loaded again and every gold table is rebuilt."""
+    loaded = run_silver(spark, lake, datasets, full=full)
+    return {"silver": loaded, "gold": run_gold(spark, lake, tables, full=full)}
 
 
 def local_lake(root: str) -> Lake:

@@ -88,3 +88,43 @@ def overwrite_table_partitions(spark: SparkSession, df: DataFrame, name: str, pa
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {name}")
     return name
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has committed its output at ``path`` (its ``_SUCCESS`` marker is there).
+    Errors of the storage are not taken for "no"."""
+    fs, at = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return fs.exists(at)
+
+
+def drop_partition_folder(spark: SparkSession, dest: str, values: dict[str, object]) -> None:
+    """Remove one partition's folder (no error if it is not there)."""
+    fs, at = _file_system(spark, "/".join([dest.rstrip("/"), *(f"{k}={v}" for k, v in values.items())]))
+    fs.delete(at, True)
+
+
+def drop_table_partition(spark: SparkSession, name: str, path: str, values: dict[str, object]) -> None:
+    """Remove one partition of an external table, with its files."""
+    drop_partition_folder(spark, path, values)
+    spec = ", ".join(f"{k} = '{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    spark.sql(f"REFRESH TABLE {name}")
+
+
+def register_table(spark: SparkSession, name: str, path: str, partition_by: Iterable[str] = ()) -> str:
+    """(Re-)register Parquet output at ``path`` as an external catalog table, with every column
+    that any of its files has."""
+    cols = list(partition_by)
+    schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*(f for f in schema if f.name not in cols), *(f for f in schema if f.name in cols)])
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    by = f" PARTITIONED BY ({', '.join(cols)})" if cols else ""
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{by} LOCATION '{path}'")
+    if cols:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return name

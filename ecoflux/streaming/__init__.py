@@ -1,55 +1,42 @@
 """File-triggered incremental landing with Structured Streaming.
 
-The source project has no streams; its incremental rule ("load what has not been
-loaded") is expressed here the Spark way too: a file-source stream over a bronze folder
-with ``Trigger.AvailableNow`` picks up exactly the files not yet processed (the stream
-checkpoint records them), and each micro-batch rewrites the silver months those files
-touch (``ecoflux.plans.pipeline.rebuild_months``). A run processes everything pending and
-stops, so it can be scheduled like a batch job; the checkpoint makes it restartable after
-a driver or executor loss, and the month rewrite is idempotent, so a replayed batch
-gives the same tables.
+A stream over the *listing* of a bronze folder (no file is opened) wakes up for files it has
+not seen, and each micro-batch runs the incremental load of the dataset. What is pending is
+decided by the load's own ledger (``ecoflux.plans.pipeline.load_series``), so a micro-batch that
+is replayed, or that holds only part of a delivery, changes nothing: the stream says when to
+load, never what. It has no cap on files and no age limit. A run processes everything pending
+and stops, so it can be scheduled like a batch job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ecoflux.functions import entry_name, year_in_name
-from ecoflux.plans.pipeline import Lake, rebuild_months
+from ecoflux.plans.pipeline import Lake, load_series
+from ecoflux.sources import sinks
 from ecoflux.sources.readers import PARQUET_GLOB
 
-STREAMS_DIR = "_ecoflux_streams"
+#: Longer than any file's age: the default of a week would skip late files for ever.
+NO_AGE_LIMIT = "36500d"
 
 
-def series_stream(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
-    """Streaming scan of a bronze series folder (schema taken from the files present)."""
-    src = lake.src(ds)
-    opts = {"recursiveFileLookup": "true", "pathGlobFilter": PARQUET_GLOB}
-    schema = spark.read.options(**opts).parquet(src).schema
-    stream = spark.readStream.schema(schema).options(**opts).option("maxFilesPerTrigger", 1000).parquet(src)
-    if lake.years is None:
-        return stream
-    lo, hi = lake.years
-    fy = year_in_name(entry_name(F.col("_metadata.file_path")))
-    return stream.where(fy.isNull() | fy.between(f"{lo:04d}", f"{hi:04d}"))
+def arrivals(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
+    """Streaming listing (path, time, length) of a bronze folder."""
+    files = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", PARQUET_GLOB)
+    files = files.schema("path string, modificationTime timestamp, length long, content binary").option("maxFileAge", NO_AGE_LIMIT)
+    return files.load(lake.src(ds)).select("path", "modificationTime", "length")
 
 
 def land_series(spark: SparkSession, lake: Lake, ds: str, checkpoint: str | None = None) -> StreamingQuery:
     """Start an AvailableNow stream that lands new bronze files of ``ds`` into silver."""
-    ckpt = checkpoint or f"{lake.silver.rstrip('/')}/{STREAMS_DIR}/{ds}"
-
-    def batch(new_rows: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - Spark callback
-        rebuild_months(spark, lake, ds, new_rows)
-
-    return (
-        series_stream(spark, lake, ds)
-        .writeStream.foreachBatch(batch)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
+    sinks.create_database(spark, lake.database, f"{lake.gold.rstrip('/')}/_database")
+
+    def batch(new_files: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - Spark callback
+        load_series(spark, lake, ds)
+
+    stream = arrivals(spark, lake, ds).writeStream.foreachBatch(batch)
+    return stream.option("checkpointLocation", checkpoint or lake.state(f"streams/{ds}")).trigger(availableNow=True).start()
 
 
 def land_series_now(spark: SparkSession, lake: Lake, ds: str, checkpoint: str | None = None) -> None:
