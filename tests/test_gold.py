@@ -82,7 +82,7 @@ def _bridge_inputs(spark):
 def test_bridge_fan_outs(spark):
     weather, stations, muni, gen, load = _bridge_inputs(spark)
     loc = gold.dim_location(stations, muni)
-    out = gold.bridge(weather, loc, gen, load).collect()
+    out = gold.bridge(weather, gold.places(loc, gold.state_names(gen)), gen, load).collect()
     by_station = {}
     for r in out:
         by_station.setdefault(r.id_estacao, []).append(r)

@@ -1,12 +1,16 @@
 """End-to-end lake runs: incremental silver at (year, month) grain, then gold tables."""
 
 import datetime as dt
-import time
+import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from ecoflux.plans import pipeline as P
+from ecoflux.plans import silver
 from ecoflux.sources import adapters as A
+from ecoflux.sources import readers
 
 SF = "/root/testdata/sf0.001"
 WEATHER_SCHEMA = (
@@ -38,7 +42,7 @@ def _build_bronze(spark, lake):
 
 
 def _dec_days(spark, lake, station="E1"):
-    w = spark.read.parquet(lake.dest("weather"))
+    w = spark.table(lake.silver_table("weather"))
     return w.where((F.col("id_estacao") == station) & (F.col("year") == 2023) & (F.col("month") == 12)).select("event_date").distinct().count()
 
 
@@ -48,36 +52,28 @@ def test_incremental_lake_and_gold(spark, tmp_root):
     _build_bronze(spark, lake)
 
     first = P.run_silver(spark, lake)
-    assert first["weather"] == 1 and first["capacity"] is True
+    assert first["weather"] == [(2023, 12)] and first["capacity"] is True
     assert _dec_days(spark, lake) == 31
 
     # the 2024 file: its first UTC hours of 1 Jan belong to 31 Dec 2023 locally
-    time.sleep(1.1)
-    weather_2024 = A.weather_raw(spark, SF).drop("event_id")
-    weather_2024.write.parquet(lake.src("weather") + "/inmet_microdados_raw_2024.parquet")
-    second = P.run_silver(spark, lake, ["weather"])
-    assert second["weather"] >= 2  # December 2023 and January 2024
+    A.weather_raw(spark, SF).drop("event_id").write.parquet(lake.src("weather") + "/inmet_microdados_raw_2024.parquet")
+    assert P.run_silver(spark, lake, ["weather"])["weather"] == [(2023, 12), (2024, 1)]
     # the whole December survives (the source job would keep only 31 Dec)
     assert _dec_days(spark, lake) == 31
-    months = {(r.year, r.month) for r in spark.read.parquet(lake.dest("weather")).select("year", "month").distinct().collect()}
-    assert months == {(2023, 12), (2024, 1)}
 
     # nothing new: a no-op
-    assert P.run_silver(spark, lake, ["weather"])["weather"] == 0
+    assert P.run_silver(spark, lake, ["weather"])["weather"] == []
 
-    # a late monthly file of an already loaded year is picked up
-    time.sleep(1.1)
+    # a late monthly file of an already loaded year is picked up, whatever its file time
     nov = spark.createDataFrame([("E7", "2023-11-10", "12:00:00", "5,0", "1,0", "25,0", 3.0)], WEATHER_SCHEMA)
     nov.write.parquet(lake.src("weather") + "/inmet_microdados_raw_2023_11.parquet")
-    assert P.run_silver(spark, lake, ["weather"])["weather"] == 1
-    w = spark.read.parquet(lake.dest("weather"))
+    _age(lake.src("weather") + "/inmet_microdados_raw_2023_11.parquet", days=30)
+    assert P.run_silver(spark, lake, ["weather"])["weather"] == [(2023, 11)]
+    w = spark.table(lake.silver_table("weather"))
     assert w.where((F.col("year") == 2023) & (F.col("month") == 11)).count() == 1
     assert _dec_days(spark, lake) == 31
 
     # silver equals the one-shot result over all files
-    from ecoflux.plans import silver
-    from ecoflux.sources import readers
-
     all_weather = silver.weather_daily(readers.scan_years(spark, lake.src("weather")))
     assert w.count() == all_weather.count()
     assert w.select("id_estacao", "event_date").exceptAll(all_weather.select("id_estacao", "event_date")).count() == 0
@@ -85,73 +81,165 @@ def test_incremental_lake_and_gold(spark, tmp_root):
     # registers are skipped once present
     assert P.load_register(spark, lake, "stations") is False
 
-    built = P.run_gold(spark, lake)
-    assert built == P.GOLD_TABLES
-    bridge = spark.table(f"{lake.database}.gold_bridge_clima_geracao")
-    assert bridge.columns[-2:] == ["year", "month"]
-    assert dict(bridge.dtypes)["year"] == "string"
-    dim_time = spark.table(f"{lake.database}.gold_dim_tempo")
+    assert P.run_gold(spark, lake) == P.GOLD_TABLES
+    bridge = spark.table(lake.gold_table(P.BRIDGE))
+    assert bridge.columns[-2:] == ["year", "month"] and dict(bridge.dtypes)["year"] == "string"
+    dim_time = spark.table(lake.gold_table("gold_dim_tempo"))
     assert dim_time.count() == dim_time.select("event_date").distinct().count()
     assert dim_time.where(F.col("event_date") == dt.date(2023, 11, 10)).count() == 1
+    assert P.run_gold(spark, lake) == []  # nothing pending
 
     # historical backfill of one year rewrites only that year's partitions
-    before = spark.table(f"{lake.database}.gold_fato_clima").where(F.col("year") == "2024").count()
-    P.run_gold(spark, lake, ["gold_fato_clima"], years=[2023])
-    spark.sql(f"REFRESH TABLE {lake.database}.gold_fato_clima")
-    fact = spark.table(f"{lake.database}.gold_fato_clima")
-    assert fact.where(F.col("year") == "2024").count() == before
-    assert fact.where(F.col("year") == "2023").count() == w.where(F.col("year") == 2023).count()
+    fact = lake.gold_table("gold_fato_clima")
+    before = spark.table(fact).where(F.col("year") == "2024").count()
+    assert P.run_gold(spark, lake, ["gold_fato_clima"], years=[2023]) == ["gold_fato_clima"]
+    assert spark.table(fact).where(F.col("year") == "2024").count() == before
+    assert spark.table(fact).where(F.col("year") == "2023").count() == w.where(F.col("year") == 2023).count()
+
+
+def _age(folder, days):
+    for root, _, names in os.walk(folder):
+        for n in names:
+            then = os.stat(os.path.join(root, n)).st_mtime - days * 86_400
+            os.utime(os.path.join(root, n), (then, then))
+
 
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
-def test_incremental_gold_rewrites_touched_months(spark, tmp_root):
-    from ecoflux.plans import gold
 
+def _one_shot(spark, lake, table):
+    """The gold table as a first build over the same silver gives it."""
+    return P._frame(spark, lake, P.silver_frames(spark, lake), table)
+
+
+def test_gold_catches_up_after_failed_and_partial_runs(spark, tmp_root, monkeypatch):
     lake = P.local_lake(tmp_root)
-    lake.database = "ecoflux_test_incr"
+    lake.database = "ecoflux_test_catchup"
     _build_bronze(spark, lake)
-    first = P.run(spark, lake)
-    assert first["gold"] == P.GOLD_TABLES
-    clima = f"{lake.database}.gold_fato_clima"
-    assert {(r.year, r.month) for r in spark.table(clima).select("year", "month").distinct().collect()} == {("2023", "12")}
+    assert P.run(spark, lake)["gold"] == P.GOLD_TABLES
+    assert {(r.year, r.month) for r in spark.table(lake.gold_table("gold_fato_clima")).select("year", "month").distinct().collect()} == {("2023", "12")}
 
-    time.sleep(1.1)
     A.weather_raw(spark, SF).drop("event_id").write.parquet(lake.src("weather") + "/inmet_microdados_raw_2024.parquet")
-    second = P.run(spark, lake)
-    assert second["months"] == [(2023, 12), (2024, 1)]
-    spark.sql(f"REFRESH TABLE {clima}")
-    fact = spark.table(clima)
-    silver_weather = spark.read.parquet(lake.dest("weather"))
-    assert fact.count() == silver_weather.count()
-    assert fact.where((F.col("year") == "2023") & (F.col("id_estacao") == "E1")).select("event_date").distinct().count() == 31
-    # the incrementally maintained bridge equals a full rebuild from silver
-    s = P.silver_frames(spark, lake)
-    full = gold.bridge(s["weather"], gold.dim_location(s["stations"], s["municipalities"]), s["generation"], s["load"])
-    table = spark.table(f"{lake.database}.gold_bridge_clima_geracao")
-    assert table.count() == full.count()
-    assert table.exceptAll(full.select(*table.columns)).isEmpty()
-
-    # nothing new: no month is rewritten
-    assert P.run(spark, lake)["months"] == []
+    with monkeypatch.context() as broken:  # the first gold write breaks off, after silver is loaded
+        broken.setattr(P.sinks, "overwrite_table_partitions", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            P.run(spark, lake)
+    assert P.run(spark, lake, tables=["gold_fato_clima"])["gold"] == ["gold_fato_clima"]  # only a part
+    again = P.run(spark, lake)
+    assert again["silver"]["weather"] == [] and P.BRIDGE in again["gold"] and "gold_fato_clima" not in again["gold"]
+    for table in ("gold_fato_clima", "gold_dim_tempo", P.BRIDGE):
+        got = spark.table(lake.gold_table(table))
+        assert _rows(got) == _rows(_one_shot(spark, lake, table).select(*got.columns))
+    assert P.run(spark, lake)["gold"] == []
+
+
+def test_bridge_follows_registers_and_state_names(spark, tmp_root, monkeypatch):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_follow"
+    _build_bronze(spark, lake)
+    A.weather_raw(spark, SF).drop("event_id").write.parquet(lake.src("weather") + "/inmet_microdados_raw_2024.parquet")
+    P.run(spark, lake)
+    bridge = lake.gold_table(P.BRIDGE)
+    before = spark.table(bridge).count()
+
+    # a corrected register: the bridge agrees with the location dimension afterwards
+    A.stations_raw(spark, SF).withColumn("latitude", F.lit(5.5)).write.mode("overwrite").option("header", True).csv(lake.src("stations"))
+    P.load_register(spark, lake, "stations", force=True)
+    assert set(P.run(spark, lake)["gold"]) == {P.LOCATION, P.BRIDGE}
+    assert {r.latitude for r in spark.table(bridge).select("latitude").distinct().collect()} == {5.5}
+
+    # a second id for a state name: every month of the bridge changes, also if the first attempt fails
+    extra = A.generation_raw(spark, SF).where("nom_estado IS NOT NULL").dropDuplicates(["nom_estado"])
+    extra = extra.withColumns({"id_estado": F.lit("99"), "din_instante": F.lit("2022-05-05").cast("timestamp_ntz")})
+    extra.write.parquet(lake.src("generation") + "/geracao_usina_2022.parquet")
+    build = P._build
+    with monkeypatch.context() as broken:
+        broken.setattr(P, "_build", lambda s, lk, t, *a: 1 / 0 if t == P.BRIDGE else build(s, lk, t, *a))
+        with pytest.raises(ZeroDivisionError):
+            P.run(spark, lake)
+    assert P.run(spark, lake)["gold"] == [P.BRIDGE]
+    got = spark.table(bridge)
+    assert got.count() > before and _rows(got) == _rows(_one_shot(spark, lake, P.BRIDGE).select(*got.columns))
+
+
+def test_year_range_bounds_dates(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database, lake.years = "ecoflux_test_years", (2024, 2024)
+    _december_2023(spark).write.parquet(lake.src("weather") + "/inmet_microdados_raw_2023.parquet")
+    A.weather_raw(spark, SF).drop("event_id").write.parquet(lake.src("weather") + "/inmet_microdados_raw_2024.parquet")
+    assert P.run_silver(spark, lake, ["weather"])["weather"] == [(2024, 1)]  # not 31 Dec 2023 of the 2024 file
+    assert {r.year for r in spark.table(lake.silver_table("weather")).select("year").distinct().collect()} == {2024}
+
+
+def test_corrected_file_empties_a_month(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_empty"
+    path = lake.src("load") + "/carga_2022.parquet"
+    make = lambda day: spark.createDataFrame([("S", "SUB", day, "1,5")], "id_subsistema string, nom_subsistema string, din_instante string, val_cargaenergiamwmed string").coalesce(1)
+    make("2022-03-01").write.parquet(path)
+    P.run_silver(spark, lake, ["load"])
+    P.run_gold(spark, lake, ["gold_fato_carga"])
+    part = next(n for n in os.listdir(path) if n.startswith("part-"))
+    make("2022-07-01").write.parquet(f"{tmp_root}/other")
+    new = next(n for n in os.listdir(f"{tmp_root}/other") if n.startswith("part-"))
+    os.remove(f"{path}/.{part}.crc")
+    shutil.copyfile(f"{tmp_root}/other/{new}", f"{path}/{part}")  # the same file, corrected
+    _age(path, days=1)
+    assert P.run_silver(spark, lake, ["load"])["load"] == [(2022, 3), (2022, 7)]
+    assert [(r.year, r.month) for r in spark.table(lake.silver_table("load")).collect()] == [(2022, 7)]
+    P.run_gold(spark, lake, ["gold_fato_carga"])
+    assert [(r.year, r.month) for r in spark.table(lake.gold_table("gold_fato_carga")).collect()] == [("2022", "7")]
+
+
+def test_layout_changes_within_a_lake(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_drift"
+    src = lake.src("hydrology")
+    spark.createDataFrame([("R1", "2016-05-01", "1,5")], "id_reservatorio string, din_instante string, val_nivelmontante string").write.parquet(f"{src}/h_2016.parquet")
+    P.run_silver(spark, lake, ["hydrology"])
+    late = "id_reservatorio string, din_instante timestamp_ntz, val_nivelmontante double, val_vazaovertida double"
+    spark.createDataFrame([("R1", dt.datetime(2017, 1, 1), 2.5, 9.0)], late).write.parquet(f"{src}/h_2017.parquet")
+    P.run_silver(spark, lake, ["hydrology"])
+    cols = ["id_reservatorio", "event_date", "val_nivelmontante", "val_vazaovertida", "year", "month"]
+    got = spark.table(lake.silver_table("hydrology")).select(cols).orderBy("event_date")
+    first = _rows(got)
+    assert [(r.event_date, r.val_nivelmontante, r.val_vazaovertida) for r in got.collect()] == [
+        (dt.date(2016, 5, 1), 1.5, None), (dt.date(2017, 1, 1), 2.5, 9.0)]
+    assert P.run_silver(spark, lake, ["hydrology"], full=True)["hydrology"] == [(2016, 5), (2017, 1)]
+    assert _rows(spark.table(lake.silver_table("hydrology")).select(cols)) == first
+
+
+def test_storage_errors_are_not_taken_for_missing_output(spark):
+    with pytest.raises(Exception, match="nosuchscheme"):
+        P.sinks.is_complete(spark, "nosuchscheme://host/x")
+
+
+def test_incremental_rebuild_reads_a_date_range(spark, tmp_root):
+    """A late month re-reads typed sources through a pushed range, not three whole years."""
+    lake = P.local_lake(tmp_root)
+    A.load_raw_orders(spark, SF).write.parquet(lake.src("load") + "/carga.parquet")
+    raw = P._between(readers.read_union(spark, [lake.src("load") + "/carga.parquet"], ["val_cargaenergiamwmed"]), "din_instante", [(1995, 3), (1995, 4)])
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(din_instante), GreaterThanOrEqual(din_instante" in plan
+    days = {r.d for r in raw.select(F.to_date("din_instante").alias("d")).distinct().collect()}
+    assert min(days) >= dt.date(1995, 2, 28) and max(days) <= dt.date(1995, 5, 1)
 
 
 def test_replayed_loads_leave_silver_unchanged(spark, tmp_root):
-    """A batch replayed after a failure (the stream or the load log did not record it) and
-    a forced full reload rewrite the same months with the same rows: nothing doubles."""
+    """A load replayed after a failure (the ledger did not record it) and a forced full reload
+    rewrite the same months with the same rows: nothing doubles."""
     lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_replay"
     _write_entries(A.load_raw_events(spark, SF), lake.src("load"), "carga_energia", "din_instante")
     _december_2023(spark).write.parquet(lake.src("weather") + "/inmet_microdados_raw_2023.parquet")
     _write_entries(A.weather_raw(spark, SF).drop("event_id"), lake.src("weather"), "inmet_microdados_raw", F.to_date("data"))
-
-    def snapshot(ds):
-        return sorted(tuple(r) for r in spark.read.parquet(lake.dest(ds)).collect())
-
-    for ds in ("load", "weather"):
-        new_rows = lake.scan(spark, ds).drop("file_year")
-        first = P.rebuild_months(spark, lake, ds, new_rows)
-        before = snapshot(ds)
-        assert first and before
-        assert P.rebuild_months(spark, lake, ds, new_rows) == first  # the replayed batch
-        assert snapshot(ds) == before
-        P.load_series_months(spark, lake, ds, full=True)  # forced reload over existing output
-        assert snapshot(ds) == before
+    first = P.run_silver(spark, lake, ["load", "weather"])
+    before = {ds: _rows(spark.table(lake.silver_table(ds))) for ds in first}
+    assert all(first.values()) and all(before.values())
+    for ds in first:
+        shutil.rmtree(lake.state(f"files/{ds}"))  # as if it had not been written
+    assert P.run_silver(spark, lake, ["load", "weather"]) == first
+    assert P.run_silver(spark, lake, ["load", "weather"], full=True) == first
+    assert {ds: _rows(spark.table(lake.silver_table(ds))) for ds in first} == before
     assert _dec_days(spark, lake) == 31  # the year-end month stays whole through the replays

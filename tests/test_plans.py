@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from ecoflux.operators.shaping import only_years
 from ecoflux.plans import gold, silver
+from ecoflux.session import written
 from ecoflux.sources import adapters as A
 from ecoflux.sources import readers, sinks
 
@@ -121,9 +122,9 @@ def test_each_reading_is_parsed_once(spark, name):
     assert optimized.count("convert_timezone(") == 1
 
 
-def test_hot_state_is_split_when_not_broadcast(spark):
-    """A state holding a third of the station-days: were the state-name map too big to
-    broadcast, AQE's skew handling splits the hot partition of the sort-merge join."""
+def test_hot_state_is_spread_when_nothing_is_broadcast(spark):
+    """A state holding a third of the station-days: the state-name map meets the stations,
+    not the facts, so even without any broadcast no fact is dealt out by state name alone."""
     import datetime as dt
 
     conf = {
@@ -162,13 +163,62 @@ def test_hot_state_is_split_when_not_broadcast(spark):
             F.lit(1.0).alias("val_geracao_total_mwmed"),
         ).withColumns({"year": F.year("event_date"), "month": F.month("event_date")})
         load = generation.select("event_date", "nom_subsistema", "year", "month", F.lit(5.0).alias("val_cargaenergiamwmed"))
-        out = gold.bridge(weather, location, generation, load)
+        out = gold.bridge(weather, written(gold.places(location, gold.state_names(generation)), "places"), generation, load)
         out.collect()
         p = plan(out)
-        assert "SortMergeJoin(skew=true)" in p and "AQEShuffleRead skewed" in p
+        dealt = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+        assert dealt and all(re.search("event_date|id_estacao|place_id", by) for by in dealt)
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hydrology_is_a_projection(spark):
+    p = plan(E.queries()["hydrology_daily"](spark, SF))
+    assert "Exchange" not in p and "Python" not in p
+
+
+def test_bridge_does_not_shuffle_weather_for_places(spark):
+    """600 stations and 5,570 municipalities: with the written places the first join is a
+    broadcast, straight on the weather rows, although both registers' product is large."""
+    stations = spark.range(600).selectExpr("concat('E', id) AS id_estacao", "cast(id * 9 AS int) AS id_municipio", "'s' AS estacao",
+                                           "DATE'2006-01-01' AS data_fundacao", "1.0 AS latitude", "2.0 AS longitude", "3.0 AS altitude")
+    towns = spark.range(5570).selectExpr("cast(id AS int) AS id_municipio", "concat('T', id) AS nome", "'U' AS sigla_uf",
+                                         "concat('UF', id % 27) AS nome_uf", "'R' AS nome_regiao")
+    generation = written(silver.generation_daily(A.generation_raw(spark, SF)), "generation")
+    weather = written(silver.weather_daily(A.weather_raw(spark, SF)), "weather")
+    location = written(gold.dim_location(stations, towns), "location")
+    places = written(gold.places(location, gold.state_names(generation)), "places")
+    out = gold.bridge(weather, places, generation, silver.load(A.load_raw_events(spark, SF)))
+    out.collect()
+    p = plan(out).split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    lines = p.splitlines()
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "vento_velocidade_media" in x)
+    depth = lambda x: len(re.match(r"[\s:+\-|]*", x)[0])
+    above, now = [], depth(lines[scan])
+    for x in reversed(lines[:scan]):  # the operators over the weather scan, nearest first
+        if depth(x) < now:
+            above.append(x)
+            now = depth(x)
+    first_join = next(i for i, x in enumerate(above) if "Join" in x)
+    assert "BroadcastHashJoin" in above[first_join] and not any("Exchange" in x or "ShuffleQueryStage" in x for x in above[:first_join])
+
+
+def test_flagship_reads_events_three_times(spark):
+    reads = {"n": 0}
+    old = A.table
+
+    def counted(s, d, name):
+        reads["n"] += name == "events"
+        return old(s, d, name)
+
+    A.table = counted
+    try:
+        E.queries()["weather_generation_bridge"](spark, SF).collect()
+    finally:
+        A.table = old
+    assert reads["n"] <= 3

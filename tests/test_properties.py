@@ -100,10 +100,10 @@ def test_bridge_rows_are_the_product_of_fan_outs(spark):
     ids = Counter(r.nom_estado for r in gold.state_names(generation).collect())
     subsystems = Counter((r.event_date, r.nom_estado) for r in gold.generation_by_state(generation).collect())
     expected = Counter()
-    for r in gold.weather_with_location(weather, location).select("event_date", "id_estacao", "nome_uf").collect():
+    for r in weather.join(location, "id_estacao").select("event_date", "id_estacao", "nome_uf").collect():
         k = ids.get(r.nome_uf, 0)
         expected[(r.event_date, r.id_estacao)] += k * max(subsystems.get((r.event_date, r.nome_uf), 0), 1) if k else 1
-    bridge = gold.bridge(weather, location, generation, load)
+    bridge = gold.bridge(weather, gold.places(location, gold.state_names(generation)), generation, load)
     got = Counter((r.event_date, r.id_estacao) for r in bridge.select("event_date", "id_estacao").collect())
     assert got == expected
     assert max(ids.values()) > 1 and max(got.values()) > 2  # both fan-outs occur in the fixture

@@ -60,6 +60,6 @@ def test_gold_contracts(spark):
     eff = gold.hydro_efficiency(E._generation_orders(spark, SF), h)
     assert eff.columns == SC.GOLD_HYDRO_EFFICIENCY_COLS
     assert dict(eff.dtypes)["year"] == "string"
-    br = gold.bridge(w, loc, g, ld)
+    br = gold.bridge(w, gold.places(loc, gold.state_names(g)), g, ld)
     assert br.columns == SC.GOLD_BRIDGE_COLS
     assert {t for c, t in br.dtypes if c.startswith("geracao_")} == {"double"}

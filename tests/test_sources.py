@@ -42,6 +42,39 @@ def test_scan_years_names_and_range(spark, tmp_root):
     assert some == {2, 3}
 
 
+def test_entry_names(spark):
+    from ecoflux.functions import entry_name, year_in_name
+
+    cases = {
+        "file:///a/b/part-0001_2016.parquet": "part-0001_2016.parquet",  # a delivered file keeps its name
+        "file:///a/b/dados_2017.PARQUET/part-00000-0199-c000.snappy.parquet": "dados_2017.PARQUET",
+        "file:///a/b/2018/dados.parquet": "dados.parquet",
+        "file:///a/b/entry=x_2019.parquet/part-1": "entry=x_2019.parquet",
+        "file:///a/b/plain": "plain",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "p string").select("p", entry_name("p", "/a/b").alias("e"))
+    assert {r.p: r.e for r in df.collect()} == cases
+    inside = spark.createDataFrame([("s3a://k/lake_2001.parquet/in/x_2016.parquet",)], "p string")
+    assert inside.select(year_in_name(entry_name("p", "s3a://k/lake_2001.parquet/in"))).first()[0] == "2016"
+
+
+def test_schema_groups_do_not_follow_the_file_count(spark, tmp_root, monkeypatch):
+    for i in range(12):
+        kind = "string" if i < 5 else "double"
+        spark.sql(f"SELECT cast({i} AS {kind}) AS v, {i} AS n" + (", 1 AS late" if i > 9 else "")).write.parquet(f"{tmp_root}/x_{i:02d}.parquet")
+    paths = [r.path for r in readers.list_files(spark, tmp_root).collect()]
+    groups = readers.schema_groups(spark, paths)
+    assert sorted(len(p) for p, _ in groups) == [5, 7]
+    out = readers.read_union(spark, paths, ["v"])
+    assert sorted((r.n, r.v, r.late) for r in out.collect()) == [(i, float(i), 1 if i > 9 else None) for i in range(12)]
+
+
+def test_shuffle_partitions_follow_the_input():
+    from ecoflux.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(1) == 200 and shuffle_partitions_for(100 << 40) == 819_200
+
+
 def test_extract_year_and_extract_table(spark, tmp_root):
     df = spark.createDataFrame(
         [(1, dt.datetime(2016, 1, 1, 5, 6, 7), 2016), (2, dt.datetime(2017, 1, 1, 23, 0, 0), 2017)],
