@@ -4,6 +4,17 @@ from __future__ import annotations
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+_OP7 = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, p, w[p : p + 19] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d WHERE len(w) >= 20)),
+again AS (SELECT doc_id, p FROM win QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS q, TRUE AS out FROM again),
+each AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS q FROM d),
+left_over AS (SELECT doc_id, count(out) AS n_removed, string_agg(x, ' ' ORDER BY q) FILTER (out IS NULL) AS kept FROM each LEFT JOIN gone USING (doc_id, q) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+"""
+
 _OP9 = rf"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 l AS (SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line FROM d),
@@ -53,4 +64,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op7_substring_dedup": _OP7, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10}
