@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from ecoflux import schemas as SC
 from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_name
 from ecoflux.operators.incremental import YM, restrict_to_months
-from ecoflux.operators.shaping import only_months, only_years
+from ecoflux.operators.shaping import only_months, only_years, sanitize_types
 from ecoflux.plans import gold, silver
 from ecoflux.session import written
 from ecoflux.sources import readers, sinks
@@ -210,10 +210,13 @@ def _between(raw: DataFrame, col: str, months: list[tuple[int, int]]) -> DataFra
     return raw.where(f"`{col}` >= cast(date_sub({first}, 1) AS {kind}) AND `{col}` < cast(date_add(add_months({last}, 1), 2) AS {kind})")
 
 
-def rebuild_months(spark: SparkSession, lake: Lake, ds: str, months: list[tuple[int, int]], maybe_empty: Iterable[tuple[int, int]] = ()) -> set[tuple[int, int]]:
+def rebuild_months(
+    spark: SparkSession, lake: Lake, ds: str, months: list[tuple[int, int]], maybe_empty: Iterable[tuple[int, int]] = (), whole: bool = False
+) -> set[tuple[int, int]]:
     """Rewrite these silver months from every bronze file that can hold their rows, and
     remove those of ``maybe_empty`` that have no row any more (they are returned). The
-    rewrite is complete and idempotent, so it can be repeated after a failure."""
+    rewrite is complete and idempotent, so it can be repeated after a failure. ``whole``:
+    these are all months of the table."""
     if not months:
         return set()
     series, months = SERIES[ds], sorted(set(months))
@@ -223,13 +226,15 @@ def rebuild_months(spark: SparkSession, lake: Lake, ds: str, months: list[tuple[
     gone: set[tuple[int, int]] = set()
     if paths:
         raw = _between(readers.read_union(spark, paths, list(series.numeric)), series.time_col, months)
-        out = only_months(series.build(raw), months)
+        out = sanitize_types(only_months(series.build(raw), months))
         sinks.write_partitioned(out, lake.dest(ds))
         if check := set(maybe_empty):
             kept = restrict_to_months(out, spark.createDataFrame(sorted(check), "year int, month int")).select(*YM).distinct()
             gone = check - {(r["year"], r["month"]) for r in kept.collect()}
-    for y, m in gone:
-        sinks.drop_partition_folder(spark, lake.dest(ds), {"year": y, "month": m})
+        sinks.register_table(spark, lake.silver_table(ds), lake.dest(ds), out.schema, YM, replace=whole)
+    if spark.catalog.tableExists(lake.silver_table(ds)):
+        for y, m in gone:
+            sinks.drop_table_partition(spark, lake.silver_table(ds), lake.dest(ds), {"year": y, "month": m})
     return gone
 
 
@@ -255,11 +260,9 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
     old = ledger.join(news.select("path").distinct(), "path", "left_semi") if not full else ledger
     old_months = {m for m in codes(old) if lake.years is None or lake.years[0] <= m[0] <= lake.years[1]}
     touched = sorted(new_months | old_months)
-    gone = rebuild_months(spark, lake, ds, touched, old_months - new_months)
+    gone = rebuild_months(spark, lake, ds, touched, old_months - new_months, whole=full)
     if ds == "generation":
         _record_state_names(spark, lake, touched, gone)
-    if touched:
-        sinks.register_table(spark, lake.silver_table(ds), lake.dest(ds), YM)
     version = _log_change(spark, lake, ds, [(y, m, (y, m) not in gone) for y, m in touched])
     done = news.withColumns({"version": F.lit(version).cast("long"), "loaded_at": F.lit(time.time_ns() // 1000)})
     done.write.mode("append").parquet(lake.state(f"files/{ds}"))
@@ -271,7 +274,7 @@ def _record_state_names(spark: SparkSession, lake: Lake, months: list[tuple[int,
     if not months:
         return
     dest = lake.state("state_names")
-    rows = only_months(spark.read.option("mergeSchema", "true").parquet(lake.dest("generation")), months)
+    rows = only_months(spark.table(lake.silver_table("generation")), months)
     sinks.write_partitioned(gold.state_names(rows, YM), dest)
     for y, m in gone:
         sinks.drop_partition_folder(spark, dest, {"year": y, "month": m})
@@ -284,8 +287,9 @@ def load_register(spark: SparkSession, lake: Lake, ds: str, force: bool = False)
         return False
     src = lake.src(ds)
     raw = readers.read_csv(spark, src) if ds in CSV_REGISTERS else readers.read_parquet(spark, src)
-    sinks.write_dimension(REGISTERS[ds](raw), dest)
-    sinks.register_table(spark, lake.silver_table(ds), dest)
+    register = REGISTERS[ds](raw)
+    sinks.write_dimension(register, dest)
+    sinks.register_table(spark, lake.silver_table(ds), dest, sanitize_types(register).schema, replace=True)
     _log_change(spark, lake, ds, [(None, None, True)])
     return True
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ecoflux.operators.shaping import only_years, sanitize_types
 
@@ -116,15 +117,23 @@ def drop_table_partition(spark: SparkSession, name: str, path: str, values: dict
     spark.sql(f"REFRESH TABLE {name}")
 
 
-def register_table(spark: SparkSession, name: str, path: str, partition_by: Iterable[str] = ()) -> str:
-    """(Re-)register Parquet output at ``path`` as an external catalog table, with every column
-    that any of its files has."""
+def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition_by: Iterable[str] = (), replace: bool = False) -> str:
+    """Register Parquet output at ``path`` as an external catalog table, or bring the table up
+    to date after a write with ``schema``: new columns are added, and new partitions found.
+    No data file is opened. A column that changed its type is an error unless all of the
+    table was written anew (``replace``), for older partitions could not be read."""
     cols = list(partition_by)
-    schema = spark.read.option("mergeSchema", "true").parquet(path).schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*(f for f in schema if f.name not in cols), *(f for f in schema if f.name in cols)])
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    by = f" PARTITIONED BY ({', '.join(cols)})" if cols else ""
-    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{by} LOCATION '{path}'")
+    known = {} if replace or not spark.catalog.tableExists(name) else {f.name: f.dataType for f in spark.table(name).schema}
+    new = {f.name: f.dataType for f in schema}
+    if odd := [n for n, t in new.items() if known.get(n, t) != t]:
+        raise ValueError(f"{name}: columns {odd} changed their types; load the table anew")
+    if not known or set(new) - set(known):
+        types = known | new
+        fields = ", ".join(f"`{n}` {types[n].simpleString()}" for n in [*(n for n in types if n not in cols), *cols])
+        by = f" PARTITIONED BY ({', '.join(cols)})" if cols else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{by} LOCATION '{path}'")
     if cols:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {name}")
     return name
