@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.session import scratch_dir
+from ecoflux.session import written  # a general helper, passed on
+
+__all__ = ["ASCII_SPACE", "ASCII_UPPER", "ascii_lower", "table", "text_bytes", "text_key", "utf8", "written"]
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_SPACE = " \t\n\x0b\f\r"
@@ -19,14 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back: the lineage ends
-    there, so a lost executor costs a re-read and not a recomputation."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z and nothing else (``lower`` would also fold letters beyond ASCII)."""
     return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())
