@@ -156,9 +156,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     row_id = lambda i, tk: F.concat(F.coalesce(i.cast("string"), F.lit("-")), F.lit(":"), tk.cast("string"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     own = docs.select(row, row_id(F.col(id_col), text_key(F.col(text_col))).alias("row_id"))
-    plan = plan.select(row_id(F.col("id"), F.col("tk")).alias("row_id"), "size", "source_size", "target", "taken", F.get("copies", F.lit(0))["position"].alias("position"), "copies")
-    # rows that repeat both id and text pair off one by one
-    nth = lambda by: F.row_number().over(Window.partitionBy("row_id").orderBy(by))
-    both = own.withColumn("nth", nth(F.xxhash64("row"))).join(plan.withColumn("nth", nth("position")), ["row_id", "nth"])
+    place = F.struct(F.get("copies", F.lit(0))["position"].alias("position"), "size", "source_size", "target", "taken", "copies")
+    plan = plan.groupBy(row_id(F.col("id"), F.col("tk")).alias("row_id")).agg(F.array_sort(F.collect_list(place)).alias("places"))
+    # rows that repeat both id and text take their places one by one (the join has them together)
+    nth = F.row_number().over(Window.partitionBy("row_id").orderBy(F.xxhash64("row")))
+    both = own.join(plan, "row_id").withColumn("place", F.get("places", nth - 1))
     keep = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in new]
-    return both.select(*keep, *new).orderBy(F.col("position").asc_nulls_last(), id_col)
+    return both.select(*keep, *[F.col(f"place.{c}").alias(c) for c in new]).orderBy(F.col("position").asc_nulls_last(), id_col)
