@@ -21,6 +21,7 @@ Other columns are not touched.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 from difflib import SequenceMatcher
 
@@ -84,7 +85,11 @@ class Scanner:
         self.words = {n: self.word.findall(templates[n].encode().lower()) for n in self.names}
         if any(len(w) < 3 for w in self.words.values()):
             raise ValueError("a template needs three words")
+        if not 0 <= margin < 3:
+            raise ValueError("a margin is 0 to 2 words")
         self.trigrams = {t for w in self.words.values() for t in zip(w, w[1:], w[2:])}
+        self.longest = max(map(len, self.words.values()))
+        self.reach = 4 * self.longest
         # a word that is in the middle of no trigram needs no further look
         self.middles = {t[1] for t in self.trigrams}
         how = {"level": level, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -95,17 +100,20 @@ class Scanner:
     def _dictionary(words: list[bytes]) -> zstandard.ZstdCompressionDict:
         return zstandard.ZstdCompressionDict(b" ".join(words), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
-    def blocks(self, words: list[bytes]) -> list[tuple[int, int]]:
+    def hits(self, words: list[bytes]) -> list[int]:
+        """Where trigrams of templates begin."""
         middles, trigrams = self.middles, self.trigrams
-        hits = [i for i, w in enumerate(words[1:-1]) if w in middles and (words[i], w, words[i + 2]) in trigrams]
-        out: list[list[int]] = []
-        for i in hits:
-            a, b = max(0, i - self.margin), min(len(words), i + 3 + self.margin)
-            if out and i - out[-1][2] <= self.gap:
-                out[-1][1:] = [b, i]
-            else:
-                out.append([a, b, i])
-        return [(a, b) for a, b, _ in out]
+        return [i for i, w in enumerate(words[1:-1]) if w in middles and (words[i], w, words[i + 2]) in trigrams]
+
+    def next_block(self, hits: list[int], lo: int, hi: int) -> tuple[int, int] | None:
+        """The first block within the words [lo, hi), at most ``reach`` words of it."""
+        at = bisect_left(hits, lo)
+        if at == len(hits) or hits[at] + 3 > hi:
+            return None
+        last = at
+        while last + 1 < len(hits) and hits[last + 1] - hits[last] <= self.gap and hits[last + 1] + 3 <= hi and hits[last + 1] < hits[at] + self.reach:
+            last += 1
+        return max(lo, hits[at] - self.margin), min(hi, hits[last] + 3 + self.margin)
 
     def ranked(self, block: bytes) -> list[tuple[float, str]]:
         """(reduction, template) of the best templates, best first."""
@@ -128,9 +136,13 @@ class Scanner:
         return missing, extra, start, end
 
     def findings(self, words: list[bytes]) -> Iterator[tuple]:
-        todo = self.blocks(words)[::-1]
+        hits = self.hits(words)
+        todo = [(0, len(words))] if hits else []
         while todo:
-            a, b = todo.pop()
+            lo, hi = todo.pop()
+            if (block := self.next_block(hits, lo, hi)) is None:
+                continue
+            a, b = block
             part = words[a:b]
             won = []
             for reduction, name in self.ranked(b" ".join(part)):
@@ -138,11 +150,12 @@ class Scanner:
                 if end > start and len(missing) + len(extra) <= self.tolerance * len(self.words[name]):
                     won.append((len(missing) + len(extra), -reduction, name, missing, extra, start, end))
             if not won:
+                # a block as long as the reach may have cut a notice off: go on within it
+                todo.append((b - self.longest if b - a > self.reach else b - self.margin, hi))
                 continue
             _, reduction, name, missing, extra, start, end = min(won)
             yield a + start, end - start, name, -reduction, missing, extra, not missing and not extra, b" ".join(part[start:end])
-            for lo, hi in ((a + end, b), (a, a + start)):
-                todo += [(lo + x, lo + y) for x, y in self.blocks(words[lo:hi])[::-1]]
+            todo += [(a + end, hi), (a, a + start)]
 
 
 def scan(

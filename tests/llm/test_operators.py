@@ -393,3 +393,13 @@ def test_licences_and_their_differences(spark, empty):
         (7, short, True, (), ()), (7, short, True, (), ()), (7, short, True, (), ()),
     ]
     assert got[0][1] == 300 and license_scan.scan(empty).count() == 0
+
+
+def test_many_licences_in_one_text(spark):
+    import time
+
+    names = ["MIT/text", "Apache-2.0/short", "GPL-3.0/header", "MIT/short"]
+    text = " ".join(license_scan.TEMPLATES[n] for n in names * 300)
+    began = time.time()
+    got = license_scan.scan(frame(spark, [(1, text)])).orderBy("at").collect()
+    assert [r.template for r in got] == names * 300 and all(r.exact for r in got) and time.time() - began < 60
