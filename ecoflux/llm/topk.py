@@ -16,7 +16,8 @@ are copied to each shard and stream past its tree in blocks; neither side is bro
 the seed (``seed_rows`` vectors) is.
 
 Defined cases: vectors that are null, hold a null or a non-finite component, or whose length
-is not the most common one, take no part, nor do rows without an id. A query is not a
+is not the most common one, take no part, nor do rows without an id. Components so large that
+a score could pass 2^53 are an error. A query is not a
 candidate of its own: rows with its id are left out. Of several query rows with one id the
 smallest vector counts. Repeated candidate rows each take a rank. Fewer candidates than k:
 all of them. Empty tables give empty results. Other columns are not touched.
@@ -40,7 +41,7 @@ LEAST = -(1 << 62)
 def quantised(vector: Column, factor: float) -> Column:
     """floor(factor * x) of each component, null unless all are finite numbers."""
     cells = F.transform(vector, lambda x: F.floor(x.cast("double") * factor).cast("long"))
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) > F.lit(1e9)))
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == F.lit(float("inf"))))
     return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), cells)
 
 
@@ -122,11 +123,14 @@ def top_k(
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("q"), quantised(F.col(vector_col), factor).alias("v"))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
-    dims = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
+    largest = F.max(F.array_max(F.transform("v", F.abs)))
+    dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("count"), largest.alias("largest")).orderBy(F.desc("count"), "dim").first()
     out = "query_id long, rank int, vec_id long, score long"
     if dims is None or dims["dim"] == 0:
         return spark.createDataFrame([], out)
     dim, n = dims["dim"], dims["count"]
+    if dim * dims["largest"] ** 2 >= 1 << 53:
+        raise ValueError("the components are too large for exact scores")
     rows = rows.where(F.size("v") == dim)
     shards = max(-(-n // shard_rows), spark.sparkContext.defaultParallelism)
     seed = rows.orderBy(F.xxhash64(F.lit("seed"), "id"), "id", "v").limit(seed_rows).select("id", "v").collect()

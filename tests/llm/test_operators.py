@@ -316,6 +316,12 @@ def test_top_k_equals_brute_force(spark, n, shard_rows, seed_rows):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_refuses_what_it_cannot_score_exactly(spark):
+    df = spark.createDataFrame([(0, [1e6, 2.0]), (1, [3e6, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="too large"):
+        topk.top_k(df, F.col("vec_id") % 50 == 0)
+
+
 def test_tree_leaves_boxes_out():
     rng = np.random.default_rng(4)
     points = (rng.normal(0, 20, (20, 8))[rng.integers(0, 20, 8000)] + rng.normal(0, 1, (8000, 8))).astype(np.int64)
@@ -403,3 +409,19 @@ def test_many_licences_in_one_text(spark):
     began = time.time()
     got = license_scan.scan(frame(spark, [(1, text)])).orderBy("at").collect()
     assert [r.template for r in got] == names * 300 and all(r.exact for r in got) and time.time() - began < 60
+
+
+@pytest.mark.parametrize("module", [line_dedup, decontaminate])
+def test_native_operators_have_no_python_in_tasks(module):
+    import inspect
+    import re
+
+    assert not re.search(r"mapIn|applyIn|udf|pandas|pyarrow|\.rdd|numpy", inspect.getsource(module))
+
+
+def test_whole_texts_are_not_shuffled(docs):
+    plans = [langid.predicted(docs, langid.Model([], np.zeros((0, 0)), np.zeros(0))), license_scan.scan(docs), quality.with_statistics(docs), simhash.fingerprints(docs)]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        above = plan.split("InMemoryTableScan")[0]  # the cached test table has an exchange of its own
+        assert "MapInArrow" in above and "Exchange" not in above
