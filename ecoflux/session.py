@@ -114,10 +114,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+#: Scratch folders that this process has named and not yet cleared.
+_scratch: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A new, unique folder below the shared checkpoint root for written intermediates."""
+    """A new, unique folder below the shared checkpoint root for written intermediates. It
+    stays until :func:`clear_scratch` or the end of the process, as lazy results read it."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/ecoflux-{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(f"{root}/ecoflux-{name}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders of this process; frames that read them must be done with."""
+    n = len(_scratch)
+    while _scratch:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return n
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
 
 
 def written(df: DataFrame, name: str = "written") -> DataFrame:

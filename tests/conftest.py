@@ -13,6 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ecoflux import build_session
+    from ecoflux.session import clear_scratch
 
     scratch = tempfile.mkdtemp(prefix="ecoflux-tests-")
     s = build_session(
@@ -25,6 +26,7 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     yield s
+    clear_scratch(s)
 
 
 @pytest.fixture()

@@ -167,3 +167,17 @@ def test_library_session_defaults(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.python.sql.dataFrameDebugging.enabled") == "false"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_scratch_is_cleared(spark):
+    from ecoflux import session
+
+    before = list(session._scratch)
+    session._scratch.clear()
+    try:
+        df = session.written(spark.range(5), "gone")
+        assert df.count() == 5
+        path = session._scratch[0].removeprefix("file:")
+        assert os.path.isdir(path) and session.clear_scratch(spark) == 1 and not os.path.exists(path)
+    finally:
+        session._scratch.extend(before)
