@@ -376,6 +376,16 @@ def _build(spark: SparkSession, lake: Lake, table: str, s: dict[str, DataFrame],
             sinks.drop_table_partition(spark, name, path, {"year": y, "month": m})
 
 
+def _backfill(spark: SparkSession, lake: Lake, table: str, frame: DataFrame, years: set[str]) -> None:
+    """Rewrite the partitions of these years, and remove those that have no row any more."""
+    name, path = lake.gold_table(table), lake.gold_path(table)
+    sinks.overwrite_table_partitions(spark, frame, name, path)
+    kept = {(r["year"], r["month"]) for r in frame.select(*YM).distinct().collect()}  # months
+    for part in sinks.partitions_of(spark, name):
+        if part["year"] in years and (part["year"], part["month"]) not in kept:
+            sinks.drop_table_partition(spark, name, path, part)
+
+
 def run_gold(spark: SparkSession, lake: Lake, tables: Iterable[str] | None = None, years: Iterable[int] | None = None, full: bool = False) -> list[str]:
     """Bring gold tables (default: all, the location dimension before the bridge) up to date
     with silver; returns those that were written.
@@ -386,13 +396,13 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Iterable[str] | None = Non
     recorded after each table. ``years`` is the historical backfill: it rewrites these years of
     the existing partitioned tables and leaves the recorded progress alone.
     """
-    s = silver_frames(spark, lake)
+    s, years = silver_frames(spark, lake), None if years is None else sorted(set(years))
     built = []
     for table in tables or GOLD_TABLES:
         whole, months, upto = pending_gold(spark, lake, table)
         if years is not None and not whole:
             if table not in DIMENSIONS:
-                sinks.overwrite_table_partitions(spark, only_years(_frame(spark, lake, s, table), years), lake.gold_table(table), lake.gold_path(table))
+                _backfill(spark, lake, table, only_years(_frame(spark, lake, s, table), years), {str(y) for y in years})
                 built.append(table)
             continue
         whole = whole or full or (table == BRIDGE and _names_changed(spark, lake))

@@ -117,6 +117,11 @@ def drop_table_partition(spark: SparkSession, name: str, path: str, values: dict
     spark.sql(f"REFRESH TABLE {name}")
 
 
+def partitions_of(spark: SparkSession, name: str) -> list[dict[str, str]]:
+    """The registered partitions of a table, as column values."""
+    return [dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
 def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition_by: Iterable[str] = (), replace: bool = False) -> str:
     """Register Parquet output at ``path`` as an external catalog table, or bring the table up
     to date after a write with ``schema``: new columns are added, and new partitions found.
