@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,10 +12,13 @@ from pyspark.sql import functions as F
 
 from ecoflux.session import written  # a general helper, passed on
 
-__all__ = ["ASCII_SPACE", "ASCII_UPPER", "ascii_lower", "table", "text_bytes", "text_key", "utf8", "written"]
+__all__ = ["ASCII_SPACE", "ASCII_UPPER", "ascii_lower", "table", "text_bytes", "text_key", "utf8", "word_pieces", "written"]
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_SPACE = " \t\n\x0b\f\r"
+#: Bytes of text that a task splits into words at once.
+PIECE_BYTES = 1 << 20
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,3 +51,14 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
     view = memoryview(np.ascontiguousarray(raw))
     for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
         yield bytes(view[a:b])
+
+
+def word_pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a UTF-8 text (what ASCII white space parts), some at a time, so that a
+    very long text is never a list of all its words."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, at + PIECE_BYTES)
+        end = gap.start() if gap else len(text)
+        yield text[at:end].split()
+        at = end

@@ -35,29 +35,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ecoflux.llm.common import text_bytes, text_key, written
+from ecoflux.llm.common import text_bytes, text_key, word_pieces, written
 
 SEED = 42  # Spark's xxhash64 has the same
 BITS = 64
 PIECE = 1 << 16
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """Of UTF-8 bytes; ``bytes.lower`` and ``bytes.split`` know only ASCII letters and space."""
-    words = text.lower().split()
-    n = max(len(words) - shingle + 1, 1 if words else 0)
-    if not n:
-        return 0
-    whole = b" ".join(words)
+def _bit_counts(words: list[bytes], shingle: int) -> np.ndarray:
+    """How many shingles of the words have each bit of their hash set."""
+    whole, n = b" ".join(words), len(words) - shingle + 1
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    last = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
     counts = np.zeros(BITS, np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, PIECE):
-        spans = zip(starts[at : min(at + PIECE, n)].tolist(), last[at : at + PIECE].tolist())
+        spans = zip(starts[at : min(at + PIECE, n)].tolist(), ends[at + shingle - 1 : at + shingle - 1 + PIECE].tolist())
         h = np.array([digest(whole[a:b], SEED) for a, b in spans], "<u8")
         counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return counts
+
+
+def fingerprint(text: bytes, shingle: int) -> int:
+    """Of UTF-8 bytes; ``bytes.lower`` and ``bytes.split`` know only ASCII letters and space."""
+    counts, n, held = np.zeros(BITS, np.int64), 0, []
+    for words in word_pieces(text.lower()):
+        held += words
+        if len(held) >= shingle:
+            counts += _bit_counts(held, shingle)
+            n += len(held) - shingle + 1
+            held = held[len(held) - shingle + 1 :]
+    if not n and held:  # fewer words than a shingle
+        counts, n = _bit_counts(held, len(held)), 1
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecoflux.llm.common import text_bytes, text_key
+from ecoflux.llm.common import text_bytes, text_key, word_pieces
 
 BASE = 0x9E3779B97F4A7C15
 LEAST_ID = -(1 << 63)
@@ -50,6 +50,12 @@ class _WordHashes(dict):
         return h
 
 
+def _hashed(text: bytes, cache: _WordHashes) -> np.ndarray:
+    """The hash of every word."""
+    some = [np.array(list(map(cache.__getitem__, words)), np.uint64) for words in word_pieces(text)]
+    return np.concatenate(some) if some else np.zeros(0, np.uint64)
+
+
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """The hash of every window of ``width`` consecutive word hashes, by doubling."""
     if len(words) < width:
@@ -152,13 +158,13 @@ def _local(width: int, buckets: int, slots: int, chunk_words: int):
 
         for b in batches:
             for i, tk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2))):
-                words = text.split()
-                if len(words) < width:
+                own = window_hashes(_hashed(text, cache), width)
+                if not len(own):
                     continue
                 ids.append(LEAST_ID if i is None else i)
                 keys.append(tk)
-                hashes.append(window_hashes(np.array(list(map(cache.__getitem__, words)), np.uint64), width))
-                n += len(hashes[-1])
+                hashes.append(own)
+                n += len(own)
                 if n >= chunk_words:
                     yield flush()
                     ids, keys, hashes, n = [], [], [], 0
@@ -225,20 +231,33 @@ def _cut(width: int):
     """Rows (place, kind, id, tk, body, text) sorted by place and kind in: the repeats of a
     slot (kinds 1 and 2), then its documents (kind 3). Documents with what they keep out."""
 
-    def removed(words: list[bytes], spans: list, hashes: list, cache: _WordHashes) -> np.ndarray:
+    def removed(text: bytes, spans: list, hashes: list, cache: _WordHashes) -> np.ndarray:
+        words = _hashed(text, cache)
         n = len(words) - width + 1
         start = np.zeros(max(n, 0), bool)
         for s in spans:
             for a, b in s.reshape(-1, 2).tolist():
                 start[a:b] = True
         if hashes and n > 0:
-            start |= np.isin(window_hashes(np.array(list(map(cache.__getitem__, words)), np.uint64), width), np.concatenate(hashes))
+            start |= np.isin(window_hashes(words, width), np.concatenate(hashes))
         step = np.zeros(len(words) + 1, np.int32)
         for a, b in _runs(start).reshape(-1, 2).tolist():
             step[a] += 1
             step[b - 1 + width] -= 1
         return np.cumsum(step[:-1]) > 0
 
+    def cut(text: bytes, gone: np.ndarray | None) -> tuple[int, int, bytes]:
+        """(words, words removed, the others joined by a space)."""
+        n, parts = 0, []
+        for words in word_pieces(text):
+            m = n + len(words)
+            if gone is not None:
+                words = [w for w, g in zip(words, gone[n:m].tolist()) if not g]
+            n = m
+            if words:
+                parts.append(b" ".join(words))
+        return n, 0 if gone is None else int(gone.sum()), b" ".join(parts)
+
     def rows(out: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*out)) or [[]] * 4
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -263,13 +282,9 @@ def _cut(width: int):
                     for o, part in zip(own.tolist(), np.split(h, np.cumsum(counts)[:-1])):
                         hashes.setdefault(o, []).append(part)
                 else:
-                    o, words = LEAST_ID if i is None else i, text.split()
+                    o = LEAST_ID if i is None else i
                     mine = spans.get((o, tk), []), hashes.get(o, [])
-                    n = len(words)
-                    if any(mine):
-                        gone = removed(words, *mine, cache)
-                        words = [w for w, g in zip(words, gone.tolist()) if not g]
-                    out.append((i, n, n - len(words), b" ".join(words)))
+                    out.append((i, *cut(text, removed(text, *mine, cache) if any(mine) else None)))
                     size += len(out[-1][3])
                     if size >= OUTPUT_BYTES:
                         yield rows(out)

@@ -425,3 +425,15 @@ def test_whole_texts_are_not_shuffled(docs):
         plan = df._jdf.queryExecution().executedPlan().toString()
         above = plan.split("InMemoryTableScan")[0]  # the cached test table has an exchange of its own
         assert "MapInArrow" in above and "Exchange" not in above
+
+
+@pytest.mark.parametrize("size", [1, 3, 40])
+def test_pieces_of_a_text_change_nothing(monkeypatch, size):
+    from ecoflux.llm import common
+
+    texts = [(t or "").encode() for _, t in corpus()]
+    cache = substring_dedup._WordHashes()
+    whole = [(simhash.fingerprint(t, 3), t.split(), substring_dedup._hashed(t, cache).tolist()) for t in texts if len(t) < 5000]
+    monkeypatch.setattr(common, "PIECE_BYTES", size)
+    again = [(simhash.fingerprint(t, 3), [w for p in common.word_pieces(t) for w in p], substring_dedup._hashed(t, cache).tolist()) for t in texts if len(t) < 5000]
+    assert whole == again
