@@ -308,22 +308,34 @@ def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 # --- gold ---------------------------------------------------------------------------------
-def pending_gold(spark: SparkSession, lake: Lake, table: str) -> tuple[bool, dict[tuple[int, int], bool], int]:
-    """(rebuild whole, months to rewrite, version they lead up to). The months tell whether
-    the driving series has rows there."""
-    done = _records(spark, lake.gold_state("progress"), PROGRESS).where(F.col("table") == table).agg(F.max("version")).first()[0]
-    mine = _records(spark, lake.state("changes"), CHANGES).where(F.col("dataset").isin(GOLD_INPUTS[table]))
-    upto = mine.agg(F.max("version")).first()[0] or 0
-    if done is None or not spark.catalog.tableExists(lake.gold_table(table)):
-        return True, {}, upto
-    latest = F.max(F.struct("version", "has_rows"))["has_rows"]
-    news = mine.where(F.col("version") > done).groupBy("dataset", "year", "month").agg(latest.alias("has_rows")).collect()  # months
-    if any(r["year"] is None for r in news):
-        return True, {}, upto
-    driver = GOLD_INPUTS[table][0]
-    months = {(r["year"], r["month"]): True for r in news}
-    months |= {(r["year"], r["month"]): r["has_rows"] for r in news if r["dataset"] == driver}
-    return False, months, upto
+@dataclass
+class GoldState:
+    """What gold has to catch up with: the latest change of each month and register, and the
+    version that each table was built up to. Read once for a run; sized by months."""
+
+    changes: list
+    progress: dict[str, int]
+
+    @classmethod
+    def read(cls, spark: SparkSession, lake: Lake) -> GoldState:
+        last = F.max(F.struct("version", "has_rows")).alias("last")
+        changes = _records(spark, lake.state("changes"), CHANGES).groupBy("dataset", "year", "month").agg(last).collect()
+        progress = _records(spark, lake.gold_state("progress"), PROGRESS).groupBy("table").agg(F.max("version").alias("v")).collect()
+        return cls(changes, {r["table"]: r["v"] for r in progress if spark.catalog.tableExists(lake.gold_table(r["table"]))})
+
+    def pending(self, table: str) -> tuple[bool, dict[tuple[int, int], bool], int]:
+        """(rebuild whole, months to rewrite, version they lead up to). The months tell whether
+        the driving series has rows there."""
+        mine = [r for r in self.changes if r["dataset"] in GOLD_INPUTS[table]]
+        upto = max((r["last"]["version"] for r in mine), default=0)
+        done = self.progress.get(table)
+        news = [r for r in mine if done is not None and r["last"]["version"] > done]
+        if done is None or any(r["year"] is None for r in news):
+            return True, {}, upto
+        driver = GOLD_INPUTS[table][0]
+        months = {(r["year"], r["month"]): True for r in news}
+        months |= {(r["year"], r["month"]): r["last"]["has_rows"] for r in news if r["dataset"] == driver}
+        return False, months, upto
 
 
 def _names(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -339,7 +351,7 @@ def _names_changed(spark: SparkSession, lake: Lake) -> bool:
     return not (now.exceptAll(then).isEmpty() and then.exceptAll(now).isEmpty())
 
 
-def _frame(spark: SparkSession, lake: Lake, s: dict[str, DataFrame], table: str) -> DataFrame:
+def _frame(spark: SparkSession, lake: Lake, s: dict[str, DataFrame], table: str, state: GoldState | None = None) -> DataFrame:
     if table == "gold_dim_tempo":
         return gold.dim_time(s["weather"], s["generation"], s["load"], s["hydrology"])
     if table == LOCATION:
@@ -351,7 +363,7 @@ def _frame(spark: SparkSession, lake: Lake, s: dict[str, DataFrame], table: str)
     if table != BRIDGE:
         ds = GOLD_INPUTS[table][0]
         return gold.fact(s[ds], ds)
-    stale, _, _ = pending_gold(spark, lake, LOCATION)
+    stale, _, _ = (state or GoldState.read(spark, lake)).pending(LOCATION)
     location = written(_frame(spark, lake, s, LOCATION), "location") if stale else spark.table(lake.gold_table(LOCATION))
     return gold.bridge(s["weather"], written(gold.places(location, _names(spark, lake)), "places"), s["generation"], s["load"])
 
@@ -364,14 +376,14 @@ def _calendar(spark: SparkSession, lake: Lake, s: dict[str, DataFrame], months:
     return written(keep.unionByName(fresh.select(*old.columns)), "calendar")  # not read while it is replaced
 
 
-def _build(spark: SparkSession, lake: Lake, table: str, s: dict[str, DataFrame], whole: bool, months: dict[tuple[int, int], bool]) -> None:
+def _build(spark: SparkSession, lake: Lake, table: str, s: dict[str, DataFrame], state: GoldState, whole: bool, months: dict[tuple[int, int], bool]) -> None:
     name, path = lake.gold_table(table), lake.gold_path(table)
     if whole:
-        sinks.create_table(spark, _frame(spark, lake, s, table), name, path=path, partition_by=None if table in DIMENSIONS else YM)
+        sinks.create_table(spark, _frame(spark, lake, s, table, state), name, path=path, partition_by=None if table in DIMENSIONS else YM)
     elif table in DIMENSIONS:
         sinks.create_table(spark, _calendar(spark, lake, s, sorted(months)), name, path=path)
     else:
-        sinks.overwrite_table_partitions(spark, only_months(_frame(spark, lake, s, table), sorted(months)), name, path)
+        sinks.overwrite_table_partitions(spark, only_months(_frame(spark, lake, s, table, state), sorted(months)), name, path)
         for y, m in (ym for ym, has_rows in months.items() if not has_rows):
             sinks.drop_table_partition(spark, name, path, {"year": y, "month": m})
 
@@ -397,21 +409,22 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Iterable[str] | None = Non
     the existing partitioned tables and leaves the recorded progress alone.
     """
     s, years = silver_frames(spark, lake), None if years is None else sorted(set(years))
-    built = []
+    state, built = GoldState.read(spark, lake), []
     for table in tables or GOLD_TABLES:
-        whole, months, upto = pending_gold(spark, lake, table)
+        whole, months, upto = state.pending(table)
         if years is not None and not whole:
             if table not in DIMENSIONS:
-                _backfill(spark, lake, table, only_years(_frame(spark, lake, s, table), years), {str(y) for y in years})
+                _backfill(spark, lake, table, only_years(_frame(spark, lake, s, table, state), years), {str(y) for y in years})
                 built.append(table)
             continue
         whole = whole or full or (table == BRIDGE and _names_changed(spark, lake))
         if not whole and not months:
             continue
-        _build(spark, lake, table, s, whole, months)
+        _build(spark, lake, table, s, state, whole, months)
         if table == BRIDGE:
             _names(spark, lake).write.mode("overwrite").parquet(lake.gold_state("bridge_names"))
         spark.createDataFrame([(table, upto)], PROGRESS).write.mode("append").parquet(lake.gold_state("progress"))
+        state.progress[table] = upto
         built.append(table)
     return built
 
