@@ -110,6 +110,11 @@ def _whole(short: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
     return out.view("<u8").ravel() | np.uint64(top)
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """Non-negative numbers in the fewest bytes that hold them."""
+    return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a.astype(np.uint8)
+
+
 def _runs(flags: np.ndarray) -> np.ndarray:
     """(start, end) of each run of true flags."""
     edge = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
@@ -137,7 +142,7 @@ def _chunk_rows(ids: list[int], keys: list[int], hashes: list[np.ndarray], bucke
     lead, place = lead[turn], place[turn]
     for b, part in zip(np.unique(place).tolist(), np.split(lead, np.flatnonzero(np.diff(place)) + 1)):
         rows, counts = np.unique(row[part], return_counts=True)
-        yield 0, b, _pack(np.diff(id_of[rows], prepend=0), counts.astype(np.uint16 if counts.max() < 1 << 16 else np.int32), _short(h[part], buckets))
+        yield 0, b, _pack(id_of[rows[:1]], _narrow(np.diff(id_of[rows].view(np.uint64))), _narrow(counts), _short(h[part], buckets))
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     some = np.flatnonzero(np.add.reduceat(gone, bounds[:-1]) * (sizes > 0))
     out: dict[int, list] = {}
@@ -176,8 +181,8 @@ def _local(width: int, buckets: int, slots: int, chunk_words: int):
 def _repeats(bodies: list[bytes], bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(id, hash) of the windows of one bucket that a smaller id has too, sorted by id."""
     ids, h = [], []
-    for step, counts, hashes in map(_unpack, bodies):
-        ids.append(np.repeat(np.cumsum(step), counts))
+    for first, step, counts, hashes in map(_unpack, bodies):
+        ids.append(np.repeat(np.cumsum(np.concatenate((first.view(np.uint64), step)), dtype=np.uint64).view(np.int64), counts))
         h.append(_whole(hashes, bucket, buckets))
     ids, h = np.concatenate(ids), np.concatenate(h)
     by = np.argsort(h, kind="stable")

@@ -194,6 +194,17 @@ def test_cuts_equal_brute_force(docs, chunk):
     assert got == want and sum(w[1] for w in want.values()) > 500
 
 
+def test_packets_hold_any_ids():
+    ids = [substring_dedup.LEAST_ID, -5, 0, 7, (1 << 63) - 1]
+    hashes = [np.array([1, 2], np.uint64), np.array([2, 3], np.uint64), np.array([9], np.uint64), np.array([3, 1, 1], np.uint64), np.array([4, 9], np.uint64)]
+    packets = [list(substring_dedup._chunk_rows([i], [0], [h], 256, 4)) for i, h in zip(ids, hashes)] + [list(substring_dedup._chunk_rows(ids, [0] * 5, hashes, 256, 4))]
+    bodies = [body for rows in packets[:-1] for kind, _, body in rows if kind == 0]
+    own, h = substring_dedup._repeats(bodies, 0, 256)
+    assert list(zip(own.tolist(), h.tolist())) == [(-5, 2), (7, 1), (7, 3), (ids[4], 9)]
+    own, h = substring_dedup._repeats([b for kind, _, b in packets[-1] if kind == 0], 0, 256)
+    assert not len(own)  # one packet has each window once
+
+
 def test_window_hashes_tell_windows_apart():
     rng = np.random.default_rng(1)
     for width in (1, 2, 3, 7, 20):
