@@ -6,10 +6,11 @@
    notice inside a long line or wrapped over many lines is one block.
 2. A block is compressed as it is and with each template as a zstandard raw dictionary. What
    the dictionary saves, as a share of the plain size, ranks the templates.
-3. The ``winners`` best are confirmed by their exact wording: the words are aligned, and
-   ``missing`` (of the template) and ``extra`` (between the aligned ones) words are listed. A
-   template is confirmed with at most ``tolerance`` differences per template word; the one
-   with the fewest wins, and what is left of the block on either side is scanned again.
+3. The ``winners`` best are confirmed by their exact wording, copy by copy: a template is
+   aligned with the stretch that ends at each word of the block, and a copy is where the
+   fewest ``missing`` (of the template) and ``extra`` (between the aligned ones) words are at
+   most ``tolerance`` per template word. Of overlapping copies the one with the most aligned
+   words less differences wins; what is left around the copies is scanned again.
 
 Every whole text is scanned in Spark tasks, row by row; there is no shuffle.
 
@@ -21,10 +22,10 @@ Other columns are not touched.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
-from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -88,8 +89,9 @@ class Scanner:
         if not 0 <= margin < 3:
             raise ValueError("a margin is 0 to 2 words")
         self.trigrams = {t for w in self.words.values() for t in zip(w, w[1:], w[2:])}
-        self.longest = max(map(len, self.words.values()))
-        self.reach = 4 * self.longest
+        self.most = {n: int(tolerance * len(w) + 1e-9) for n, w in self.words.items()}
+        self.places = {n: self._places(w) for n, w in self.words.items()}
+        self.places_back = {n: self._places(w[::-1]) for n, w in self.words.items()}
         # a word that is in the middle of no trigram needs no further look
         self.middles = {t[1] for t in self.trigrams}
         how = {"level": level, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -100,18 +102,23 @@ class Scanner:
     def _dictionary(words: list[bytes]) -> zstandard.ZstdCompressionDict:
         return zstandard.ZstdCompressionDict(b" ".join(words), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
+    @staticmethod
+    def _places(words: list[bytes]) -> dict[bytes, np.ndarray]:
+        """Where each word is in a template, counted from 1."""
+        return {w: np.array([i for i, x in enumerate(words, 1) if x == w]) for w in words}
+
     def hits(self, words: list[bytes]) -> list[int]:
         """Where trigrams of templates begin."""
         middles, trigrams = self.middles, self.trigrams
         return [i for i, w in enumerate(words[1:-1]) if w in middles and (words[i], w, words[i + 2]) in trigrams]
 
     def next_block(self, hits: list[int], lo: int, hi: int) -> tuple[int, int] | None:
-        """The first block within the words [lo, hi), at most ``reach`` words of it."""
+        """The first block within the words [lo, hi)."""
         at = bisect_left(hits, lo)
         if at == len(hits) or hits[at] + 3 > hi:
             return None
         last = at
-        while last + 1 < len(hits) and hits[last + 1] - hits[last] <= self.gap and hits[last + 1] + 3 <= hi and hits[last + 1] < hits[at] + self.reach:
+        while last + 1 < len(hits) and hits[last + 1] - hits[last] <= self.gap and hits[last + 1] + 3 <= hi:
             last += 1
         return max(lo, hits[at] - self.margin), min(hi, hits[last] + 3 + self.margin)
 
@@ -121,19 +128,56 @@ class Scanner:
         saved = [(1 - len(self.given[n].compress(block)) / size, n) for n in self.names]
         return sorted(saved, key=lambda s: (-s[0], s[1]))[: self.winners]
 
-    def compared(self, name: str, words: list[bytes]) -> tuple[list[bytes], list[bytes], int, int]:
-        """(missing, extra, start, end) of a template's wording in a block."""
-        own = self.words[name]
-        same = [m for m in SequenceMatcher(None, own, words, autojunk=False).get_matching_blocks() if m.size]
-        if not same:
-            return own, [], 0, 0
-        start, end = same[0].b, same[-1].b + same[-1].size
-        missing = own[: same[0].a] + own[same[-1].a + same[-1].size :]
-        extra: list[bytes] = []
-        for x, y in zip(same, same[1:]):
-            missing += own[x.a + x.size : y.a]
-            extra += words[x.b + x.size : y.b]
-        return missing, extra, start, end
+    @staticmethod
+    def _column(before: np.ndarray, places: np.ndarray | None, steps: np.ndarray, first: int) -> np.ndarray:
+        """Differences of each beginning of a template after one more word of the text."""
+        column = before + 1
+        column[0] = first
+        if places is not None:
+            column[places] = np.minimum(column[places], before[places - 1])
+        return np.minimum.accumulate(column - steps) + steps
+
+    def aligned(self, name: str, words: list[bytes], end: int) -> tuple[int, list[bytes], list[bytes]]:
+        """(start, missing, extra) of the template's copy that ends before the word ``end``."""
+        own, places = self.words[name], self.places_back[name]
+        n = len(own)
+        steps = np.arange(n + 1)
+        columns = [steps]
+        for j in range(1, min(end, n + self.most[name]) + 1):
+            columns.append(self._column(columns[-1], places.get(words[end - j]), steps, j))
+        i, j = n, min(range(len(columns)), key=lambda k: (columns[k][n], -k))
+        start, missing, extra = end - j, [], []
+        while i or j:
+            if i and j and own[n - i] == words[end - j] and columns[j][i] == columns[j - 1][i - 1]:
+                i, j = i - 1, j - 1
+            elif i and columns[j][i] == columns[j][i - 1] + 1:
+                missing.append(own[n - i])
+                i -= 1
+            else:
+                extra.append(words[end - j])
+                j -= 1
+        return start, missing, extra
+
+    def copies(self, name: str, words: list[bytes]) -> list[tuple[int, int, list[bytes], list[bytes]]]:
+        """(start, end, missing, extra) of the copies of a template that don't overlap, taken by
+        fewest differences; the time grows with the number of words."""
+        n, most, places = len(self.words[name]), self.most[name], self.places[name]
+        steps = np.arange(n + 1)
+        column, fewest = steps, [n]
+        for w in words:
+            column = self._column(column, places.get(w), steps, 0)
+            fewest.append(int(column[n]))
+        # a stretch with one difference more than without its last word ends there
+        ends = [e for e in range(1, len(fewest)) if fewest[e] <= most and fewest[e] <= fewest[e - 1]]
+        found: list[tuple[int, int, list[bytes], list[bytes]]] = []
+        for end in sorted(ends, key=lambda e: (fewest[e], -e)):
+            before = bisect_left(found, (end,)) - 1
+            free = found[before][1] if before >= 0 else 0
+            if end - (n - most) >= free:  # a copy has so many words at least
+                start, missing, extra = self.aligned(name, words, end)
+                if start >= free:
+                    insort(found, (start, end, missing, extra))
+        return found
 
     def findings(self, words: list[bytes]) -> Iterator[tuple]:
         hits = self.hits(words)
@@ -146,16 +190,19 @@ class Scanner:
             part = words[a:b]
             won = []
             for reduction, name in self.ranked(b" ".join(part)):
-                missing, extra, start, end = self.compared(name, part)
-                if end > start and len(missing) + len(extra) <= self.tolerance * len(self.words[name]):
-                    won.append((len(missing) + len(extra), -reduction, name, missing, extra, start, end))
-            if not won:
-                # a block as long as the reach may have cut a notice off: go on within it
-                todo.append((b - self.longest if b - a > self.reach else b - self.margin, hi))
-                continue
-            _, reduction, name, missing, extra, start, end = min(won)
-            yield a + start, end - start, name, -reduction, missing, extra, not missing and not extra, b" ".join(part[start:end])
-            todo += [(a + end, hi), (a, a + start)]
+                for start, end, missing, extra in self.copies(name, part):
+                    kept = len(self.words[name]) - 2 * len(missing) - len(extra)
+                    won.append((-kept, -reduction, name, a + start, a + end, missing, extra))
+            taken: list[tuple[int, int]] = []
+            for _, reduction, name, start, end, missing, extra in sorted(won):
+                before = bisect_left(taken, (end,)) - 1
+                if before < 0 or taken[before][1] <= start:
+                    insort(taken, (start, end))
+                    yield start, end - start, name, -reduction, missing, extra, not missing and not extra, b" ".join(words[start:end])
+            if taken:
+                todo += zip([e for _, e in taken] + [lo], [s for s, _ in taken[1:]] + [hi, taken[0][0]])
+            else:
+                todo.append((b - self.margin, hi))
 
 
 def scan(

@@ -422,6 +422,29 @@ def test_many_licences_in_one_text(spark):
     assert [r.template for r in got] == names * 300 and all(r.exact for r in got) and time.time() - began < 60
 
 
+def _scanned(words, tolerance=0.15, templates=license_scan.TEMPLATES):
+    scanner = license_scan.Scanner(templates, 12, 2, 3, tolerance, 3)
+    return sorted((at, n, name, tuple(missing), tuple(extra)) for at, n, name, _, missing, extra, _, _ in scanner.findings(words))
+
+
+def _own(name):
+    return license_scan.Scanner(license_scan.TEMPLATES, 12, 2, 3, 0.15, 3).words[name]
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0/header", "MIT/text", "GPL-3.0/header"])
+def test_adjoining_near_copies_are_judged_one_by_one(name):
+    own = _own(name)
+    n, changed = len(own), lambda i: own[:i] + [b"zzz"] + own[i + 1 :]
+    one = lambda at, i: (at, n, name, (own[i],), (b"zzz",))
+    assert _scanned(changed(n // 2)) == [one(0, n // 2)]
+    for apart in (0, 5, 12):
+        between = [b"q%d" % i for i in range(apart)]
+        assert _scanned(changed(n // 2) + between + changed(n // 4)) == [one(0, n // 2), one(n + apart, n // 4)]
+        cut = own[: n // 3] + own[n // 3 + 2 :]
+        want = [(0, n - 2, name, tuple(own[n // 3 : n // 3 + 2]), ()), one(n - 2 + apart, n // 2), (2 * n - 2 + 2 * apart, n, name, (), ())]
+        assert _scanned(cut + between + changed(n // 2) + between + own) == want
+
+
 @pytest.mark.parametrize("module", [line_dedup, decontaminate])
 def test_native_operators_have_no_python_in_tasks(module):
     import inspect
