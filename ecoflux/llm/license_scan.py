@@ -5,9 +5,11 @@
    candidate block, with ``margin`` words around them. Blocks need no line structure, so a
    notice inside a long line or wrapped over many lines is one block.
 2. A block is compressed as it is and with each template as a zstandard raw dictionary. What
-   the dictionary saves, as a share of the plain size, ranks the templates.
-3. The ``winners`` best are confirmed by their exact wording, copy by copy: a template is
-   aligned with the stretch that ends at each word of the block, and a copy is where the
+   the dictionary saves, as a share of the plain size, ranks the templates. All are ranked
+   that can have a copy there: n words with d differences keep n - 2 - 3 d trigrams, and so
+   many must begin within the words that a copy can take.
+3. All ranked templates are confirmed by their exact wording, copy by copy: a template is
+   aligned with the stretch that ends at each of these words, and a copy is where the
    fewest ``missing`` (of the template) and ``extra`` (between the aligned ones) words are at
    most ``tolerance`` per template word. Of overlapping copies the one with the most aligned
    words less differences wins; what is left around the copies is scanned again.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, insort
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +90,10 @@ class Scanner:
             raise ValueError("a template needs three words")
         if not 0 <= margin < 3:
             raise ValueError("a margin is 0 to 2 words")
-        self.trigrams = {t for w in self.words.values() for t in zip(w, w[1:], w[2:])}
+        self.trigrams: dict[tuple, list[str]] = {}
+        for n in self.names:
+            for t in set(zip(self.words[n], self.words[n][1:], self.words[n][2:])):
+                self.trigrams.setdefault(t, []).append(n)
         self.most = {n: int(tolerance * len(w) + 1e-9) for n, w in self.words.items()}
         self.places = {n: self._places(w) for n, w in self.words.items()}
         self.places_back = {n: self._places(w[::-1]) for n, w in self.words.items()}
@@ -122,11 +127,31 @@ class Scanner:
             last += 1
         return max(lo, hits[at] - self.margin), min(hi, hits[last] + 3 + self.margin)
 
-    def ranked(self, block: bytes) -> list[tuple[float, str]]:
-        """(reduction, template) of the best templates, best first."""
+    def stretches(self, words: list[bytes], hits: list[int], a: int, b: int) -> dict[str, list[list[int]]]:
+        """[start, end) of the words within [a, b) that copies of each template can take."""
+        begins: dict[str, list[int]] = {}
+        for at in hits[bisect_left(hits, a) : bisect_left(hits, b - 2)]:
+            for name in self.trigrams[tuple(words[at : at + 3])]:
+                begins.setdefault(name, []).append(at)
+        out: dict[str, list[list[int]]] = {}
+        for name, at in begins.items():
+            n, most = len(self.words[name]), self.most[name]
+            least, span = max(1, n - 2 - 3 * most), n + most - 3
+            for first, last in zip(at, at[least - 1 :]):
+                if last - first <= span:
+                    start, end = max(a, last - span), min(b, first + span + 3)
+                    mine = out.setdefault(name, [[start, end]])
+                    if start <= mine[-1][1]:
+                        mine[-1][1] = end
+                    else:
+                        mine.append([start, end])
+        return out
+
+    def ranked(self, block: bytes, names: Iterable[str]) -> list[tuple[float, str]]:
+        """(reduction, template), best first."""
         size = len(self.plain.compress(block))
-        saved = [(1 - len(self.given[n].compress(block)) / size, n) for n in self.names]
-        return sorted(saved, key=lambda s: (-s[0], s[1]))[: self.winners]
+        saved = [(1 - len(self.given[n].compress(block)) / size, n) for n in names]
+        return sorted(saved, key=lambda s: (-s[0], s[1]))
 
     @staticmethod
     def _column(before: np.ndarray, places: np.ndarray | None, steps: np.ndarray, first: int) -> np.ndarray:
@@ -187,12 +212,13 @@ class Scanner:
             if (block := self.next_block(hits, lo, hi)) is None:
                 continue
             a, b = block
-            part = words[a:b]
+            stretches = self.stretches(words, hits, a, b)
             won = []
-            for reduction, name in self.ranked(b" ".join(part)):
-                for start, end, missing, extra in self.copies(name, part):
-                    kept = len(self.words[name]) - 2 * len(missing) - len(extra)
-                    won.append((-kept, -reduction, name, a + start, a + end, missing, extra))
+            for reduction, name in self.ranked(b" ".join(words[a:b]), stretches) if stretches else []:
+                for at, to in stretches[name]:
+                    for start, end, missing, extra in self.copies(name, words[at:to]):
+                        kept = len(self.words[name]) - 2 * len(missing) - len(extra)
+                        won.append((-kept, -reduction, name, at + start, at + end, missing, extra))
             taken: list[tuple[int, int]] = []
             for _, reduction, name, start, end, missing, extra in sorted(won):
                 before = bisect_left(taken, (end,)) - 1
@@ -217,7 +243,8 @@ def scan(
     level: int = 3,
 ) -> DataFrame:
     """(id, at, n_words, template, reduction, missing, extra, exact, wording): one row per
-    confirmed notice, ``at`` being the number of its first word."""
+    confirmed notice, ``at`` being the number of its first word. ``winners`` is accepted from
+    former calls and limits nothing: every template that can have a copy is tried."""
     templates = dict(templates)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 

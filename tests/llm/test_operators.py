@@ -445,6 +445,21 @@ def test_adjoining_near_copies_are_judged_one_by_one(name):
         assert _scanned(cut + between + changed(n // 2) + between + own) == want
 
 
+def test_short_notices_beside_parts_of_long_ones_are_found():
+    mit, apache = _own("MIT/text"), _own("Apache-2.0/header")
+    assert _scanned(_own("MIT/short") + mit[14:65]) == [(0, 5, "MIT/short", (), ())]
+    for part in (apache[19:70], apache[-40:]):
+        assert _scanned(_own("All-rights-reserved/short") + part) == [(0, 3, "All-rights-reserved/short", (), ())]
+        assert _scanned(part + _own("All-rights-reserved/short")) == [(len(part), 3, "All-rights-reserved/short", (), ())]
+
+
+def test_more_templates_hide_no_notice():
+    rng = random.Random(3)
+    long = {f"long{i}": license_scan.TEMPLATES["MIT/text"] + " " + say(rng, 20 + i) for i in range(20)}
+    words = _own("MIT/short") + _own("MIT/text")[14:65]
+    assert _scanned(words, templates=license_scan.TEMPLATES | long) == [(0, 5, "MIT/short", (), ())]
+
+
 @pytest.mark.parametrize("module", [line_dedup, decontaminate])
 def test_native_operators_have_no_python_in_tasks(module):
     import inspect
