@@ -2,12 +2,15 @@
 
 1. Texts are read as words (runs of letters and digits, lowered). Where words form a trigram
    of some template, the text may quote it: trigram hits at most ``gap`` words apart make one
-   candidate block, with ``margin`` words around them. Blocks need no line structure, so a
-   notice inside a long line or wrapped over many lines is one block.
+   candidate block, with ``margin`` words around them. The gap is at least what the tolerance
+   can bring about: with an inserted word after every two, d differences part trigrams by
+   3 d + 1 words. Blocks need no line structure, so a notice inside a long line or wrapped
+   over many lines is one block.
 2. A block is compressed as it is and with each template as a zstandard raw dictionary. What
    the dictionary saves, as a share of the plain size, ranks the templates. All are ranked
    that can have a copy there: n words with d differences keep n - 2 - 3 d trigrams, and so
-   many must begin within the words that a copy can take.
+   many must begin within the words that a copy can take, which may lie around the block.
+   (From a tolerance of a third or so, copies without any trigram can be; they go unseen.)
 3. All ranked templates are confirmed by their exact wording, copy by copy: a template is
    aligned with the stretch that ends at each of these words, and a copy is where the
    fewest ``missing`` (of the template) and ``extra`` (between the aligned ones) words are at
@@ -82,7 +85,7 @@ SCHEMA = T.StructType(
 
 class Scanner:
     def __init__(self, templates: Mapping[str, str], gap: int, margin: int, winners: int, tolerance: float, level: int):
-        self.gap, self.margin, self.winners, self.tolerance = gap, margin, winners, tolerance
+        self.margin = margin
         self.word = re.compile(rb"[0-9a-z\x80-\xff]+")
         self.names = sorted(templates)
         self.words = {n: self.word.findall(templates[n].encode().lower()) for n in self.names}
@@ -95,6 +98,8 @@ class Scanner:
             for t in set(zip(self.words[n], self.words[n][1:], self.words[n][2:])):
                 self.trigrams.setdefault(t, []).append(n)
         self.most = {n: int(tolerance * len(w) + 1e-9) for n, w in self.words.items()}
+        # the words of a copy reach 3 d words beyond its trigrams: no copy meets two blocks
+        self.gap = max(gap, 3 * max(self.most.values(), default=0) + 3)
         self.places = {n: self._places(w) for n, w in self.words.items()}
         self.places_back = {n: self._places(w[::-1]) for n, w in self.words.items()}
         # a word that is in the middle of no trigram needs no further look
@@ -127,8 +132,9 @@ class Scanner:
             last += 1
         return max(lo, hits[at] - self.margin), min(hi, hits[last] + 3 + self.margin)
 
-    def stretches(self, words: list[bytes], hits: list[int], a: int, b: int) -> dict[str, list[list[int]]]:
-        """[start, end) of the words within [a, b) that copies of each template can take."""
+    def stretches(self, words: list[bytes], hits: list[int], a: int, b: int, lo: int, hi: int) -> dict[str, list[list[int]]]:
+        """[start, end) of the words within [lo, hi) that copies of each template with trigrams
+        in the block [a, b) can take."""
         begins: dict[str, list[int]] = {}
         for at in hits[bisect_left(hits, a) : bisect_left(hits, b - 2)]:
             for name in self.trigrams[tuple(words[at : at + 3])]:
@@ -139,7 +145,7 @@ class Scanner:
             least, span = max(1, n - 2 - 3 * most), n + most - 3
             for first, last in zip(at, at[least - 1 :]):
                 if last - first <= span:
-                    start, end = max(a, last - span), min(b, first + span + 3)
+                    start, end = max(lo, last - span), min(hi, first + span + 3)
                     mine = out.setdefault(name, [[start, end]])
                     if start <= mine[-1][1]:
                         mine[-1][1] = end
@@ -212,7 +218,7 @@ class Scanner:
             if (block := self.next_block(hits, lo, hi)) is None:
                 continue
             a, b = block
-            stretches = self.stretches(words, hits, a, b)
+            stretches = self.stretches(words, hits, a, b, lo, hi)
             won = []
             for reduction, name in self.ranked(b" ".join(words[a:b]), stretches) if stretches else []:
                 for at, to in stretches[name]:

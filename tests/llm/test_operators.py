@@ -460,6 +460,39 @@ def test_more_templates_hide_no_notice():
     assert _scanned(words, templates=license_scan.TEMPLATES | long) == [(0, 5, "MIT/short", (), ())]
 
 
+@pytest.mark.parametrize("name", sorted(license_scan.TEMPLATES))
+def test_edits_up_to_the_tolerance_are_found_wherever_they_are(name):
+    own, rng = _own(name), random.Random(5)
+    n, most, new = len(own), int(0.15 * len(own) + 1e-9), [b"q%d" % i for i in range(20)]
+    only = {name: license_scan.TEMPLATES[name]}  # CC BY-NC without NC is CC BY
+    found = lambda words: [len(r[3]) + len(r[4]) for r in _scanned(new[:3] + words + new[:3], templates=only)]
+    assert found(own) == [0]
+    for at in range(1, n):  # all in one place; words before or after it can count as missing instead
+        assert found(own[:at] + new[:most] + own[at:]) == [min(most, at, n - at)]
+    for first in (2, max(2, n // 2 - most)):  # one after every two words
+        words = own[:first]
+        for i in range(first, n, 2):
+            words = words + ([new[(i - first) // 2]] if (i - first) // 2 < most else []) + own[i : i + 2]
+        assert found(words) == [most]
+    for _ in range(30):  # anywhere, of any kind
+        words, left = [(w, True) for w in own], rng.randint(0, most)
+        for k in range(left):
+            i = rng.randrange(1, len(words))
+            if rng.random() < 0.5:
+                words.insert(i, (new[k], False))
+            elif words[i][1]:
+                del words[i]
+        words = [w for w, _ in words]
+        (differences,) = found(words)
+        assert differences <= left
+
+
+def test_substitutions_three_apart_are_found():
+    own = _own("Apache-2.0/header")
+    words = [b"q%d" % i if i in (40, 43, 46, 49) else w for i, w in enumerate(own)]
+    assert [(r[2], len(r[3]), len(r[4])) for r in _scanned(words)] == [("Apache-2.0/header", 4, 4)]
+
+
 @pytest.mark.parametrize("module", [line_dedup, decontaminate])
 def test_native_operators_have_no_python_in_tasks(module):
     import inspect
