@@ -12,9 +12,10 @@ Silver series load at (year, month) grain:
 2. the *touched months* are the local months of their rows (after the UTC -> local shift, so a
    reading of 1 Jan 01:00 UTC touches December), and of a file that was replaced also the
    months of its former rows; months outside ``Lake.years`` are left out;
-3. every bronze file that can hold rows of a touched month (its name's year within one year of
-   a touched year, or no year in the name) is re-read, one scan for each file layout, and only
-   those partitions are overwritten. Partitions left without rows are removed;
+3. every bronze file that can hold rows of a touched month (all but those whose months, as the
+   ledger has them or as just found, include none; names don't count) is re-read, one scan for
+   each file layout, and only those partitions are overwritten. Partitions left without rows
+   are removed;
 4. the touched months go to the change log with a rising version, then the files to the ledger.
 
 Each gold table records the version up to which it was built. Its pending work is what the
@@ -128,7 +129,8 @@ DIMENSIONS = {"gold_dim_tempo", "gold_dim_localizacao", "gold_dim_usina"}
 BRIDGE = "gold_bridge_clima_geracao"
 LOCATION = "gold_dim_localizacao"
 
-LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long"
+# all_months: the months are those of all rows; without it, only of those within ``Lake.years``
+LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long, all_months boolean"
 CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
 PROGRESS = "table string, version long"
 
@@ -211,24 +213,35 @@ def _between(raw: DataFrame, col: str, months: list[tuple[int, int]]) -> DataFra
 
 
 def rebuild_months(
-    spark: SparkSession, lake: Lake, ds: str, months: list[tuple[int, int]], maybe_empty: Iterable[tuple[int, int]] = (), whole: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    ds: str,
+    months: list[tuple[int, int]],
+    maybe_empty: Iterable[tuple[int, int]] = (),
+    whole: bool = False,
+    news: DataFrame | None = None,
 ) -> set[tuple[int, int]]:
     """Rewrite these silver months from every bronze file that can hold their rows, and
     remove those of ``maybe_empty`` that have no row any more (they are returned). The
     rewrite is complete and idempotent, so it can be repeated after a failure. ``whole``:
-    these are all months of the table."""
+    these are all months of the table. ``news``: (path, length, mtime, months) of files that
+    the ledger does not hold yet; files in neither are read."""
     if not months:
         return set()
     series, months = SERIES[ds], sorted(set(months))
-    window = sorted({f"{y + k:04d}" for y, _ in months for k in (-1, 0, 1)})
-    files = bronze_files(spark, lake, ds).where(F.col("file_year").isNull() | F.col("file_year").isin(window))
+    file = ["path", "length", "mtime"]
+    known = _records(spark, lake.state(f"files/{ds}"), LEDGER).where("all_months").select(*file, "months")
+    known = known if news is None else known.unionByName(news)
+    touched = F.array(*[F.lit(y * 12 + m - 1) for y, m in months])
+    others = known.groupBy(*file).agg(F.max(F.arrays_overlap("months", touched)).alias("some")).where("NOT some")
+    files = bronze_files(spark, lake, ds).join(others, file, "left_anti")
     paths = [r["path"] for r in files.select("path").collect()]  # file names only
-    gone: set[tuple[int, int]] = set()
+    gone = set(maybe_empty)
     if paths:
         raw = _between(readers.read_union(spark, paths, list(series.numeric)), series.time_col, months)
         out = sanitize_types(only_months(series.build(raw), months))
         sinks.write_partitioned(out, lake.dest(ds))
-        if check := set(maybe_empty):
+        if check := gone:
             kept = restrict_to_months(out, spark.createDataFrame(sorted(check), "year int, month int")).select(*YM).distinct()
             gone = check - {(r["year"], r["month"]) for r in kept.collect()}
         sinks.register_table(spark, lake.silver_table(ds), lake.dest(ds), out.schema, YM, replace=whole)
@@ -247,7 +260,7 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
     if not paths:
         return []
     raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True)
-    dated = raw.select("_path", SERIES[ds].date(raw).alias("d")).where(F.col("d").isNotNull() & lake.in_years(F.year("d")))
+    dated = raw.select("_path", SERIES[ds].date(raw).alias("d")).where(F.col("d").isNotNull())
     # one entry for each file and month, combined map-side: the only pass over the new rows
     by_file = dated.groupBy("_path").agg(F.collect_set(F.year("d") * 12 + F.month("d") - 1).alias("months"))
     # the listing and the scan spell a path differently: file:/a b and file:///a%20b
@@ -256,15 +269,16 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
     news = pending.withColumn("k", one_slash(F.col("path"))).join(by_file.select(one_slash(plain).alias("k"), "months"), "k", "left")
     news = written(news.select("path", "length", "mtime", F.coalesce("months", F.array().cast("array<int>")).alias("months")), "new-files")
     codes = lambda df: {(r["c"] // 12, r["c"] % 12 + 1) for r in df.select(F.explode("months").alias("c")).distinct().collect()}
-    new_months = codes(news)
+    in_years = lambda ms: {m for m in ms if lake.years is None or lake.years[0] <= m[0] <= lake.years[1]}
+    new_months = in_years(codes(news))
     old = ledger.join(news.select("path").distinct(), "path", "left_semi") if not full else ledger
-    old_months = {m for m in codes(old) if lake.years is None or lake.years[0] <= m[0] <= lake.years[1]}
+    old_months = in_years(codes(old))
     touched = sorted(new_months | old_months)
-    gone = rebuild_months(spark, lake, ds, touched, old_months - new_months, whole=full)
+    gone = rebuild_months(spark, lake, ds, touched, old_months - new_months, whole=full, news=news)
     if ds == "generation":
         _record_state_names(spark, lake, touched, gone)
     version = _log_change(spark, lake, ds, [(y, m, (y, m) not in gone) for y, m in touched])
-    done = news.withColumns({"version": F.lit(version).cast("long"), "loaded_at": F.lit(time.time_ns() // 1000)})
+    done = news.withColumns({"version": F.lit(version).cast("long"), "loaded_at": F.lit(time.time_ns() // 1000), "all_months": F.lit(True)})
     done.write.mode("append").parquet(lake.state(f"files/{ds}"))
     return touched
 

@@ -200,6 +200,52 @@ def test_corrected_file_empties_a_month(spark, tmp_root):
     assert [(r.year, r.month) for r in spark.table(lake.gold_table("gold_fato_carga")).collect()] == [("2022", "7")]
 
 
+def _land_load(spark, lake, name, days):
+    schema = "id_subsistema string, nom_subsistema string, din_instante string, val_cargaenergiamwmed string"
+    rows = [(name, "SUB", day, "1,5") for day in days]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{lake.src('load')}/{name}.parquet")
+
+
+def _load_days(spark, lake):
+    return sorted((r.id_subsistema, str(r.event_date)) for r in spark.table(lake.silver_table("load")).collect())
+
+
+def test_rows_are_kept_whatever_the_file_names_say(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_names"
+    want = {"load_2016_2020": ["2016-03-01", "2018-07-01", "2020-03-01"], "station_1234_2020": ["2020-03-02"], "load_2020": ["2020-03-03"], "load_2016": ["2016-03-04"]}
+    touched = [[(2016, 3), (2018, 7), (2020, 3)], [(2020, 3)], [(2020, 3)], [(2016, 3)]]
+    for i, (name, days) in enumerate(want.items()):
+        _land_load(spark, lake, name, days)
+        assert P.run_silver(spark, lake, ["load"])["load"] == touched[i]
+        assert _load_days(spark, lake) == sorted((n, d) for n, ds in list(want.items())[: i + 1] for d in ds)
+    # the ledger of a former version, which has no all_months, leaves no file out
+    ledger = spark.read.parquet(lake.state("files/load")).drop("all_months").localCheckpoint()
+    ledger.write.mode("overwrite").parquet(lake.state("files/load"))
+    _land_load(spark, lake, "more_2018", ["2018-07-09"])
+    want["more_2018"] = ["2018-07-09"]
+    assert P.run_silver(spark, lake, ["load"])["load"] == [(2018, 7)]
+    assert _load_days(spark, lake) == sorted((n, d) for n, ds in want.items() for d in ds)
+
+
+def test_a_widened_year_range_and_a_file_left_without_dates(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database, lake.years = "ecoflux_test_widened", (2020, 2020)
+    _land_load(spark, lake, "load_2020", ["2019-12-31", "2020-01-01"])
+    assert P.run_silver(spark, lake, ["load"])["load"] == [(2020, 1)]
+    lake.years = None
+    _land_load(spark, lake, "load_2019", ["2019-12-30"])
+    assert P.run_silver(spark, lake, ["load"])["load"] == [(2019, 12)]
+    assert _load_days(spark, lake) == [("load_2019", "2019-12-30"), ("load_2020", "2019-12-31"), ("load_2020", "2020-01-01")]
+    part = next(n for n in os.listdir(lake.src("load") + "/load_2019.parquet") if n.startswith("part-"))
+    _land_load(spark, P.local_lake(f"{tmp_root}/other"), "load_2019", ["no date"])
+    other = P.local_lake(f"{tmp_root}/other").src("load") + "/load_2019.parquet"
+    os.remove(f"{lake.src('load')}/load_2019.parquet/.{part}.crc")
+    shutil.copyfile(f"{other}/{next(n for n in os.listdir(other) if n.startswith('part-'))}", f"{lake.src('load')}/load_2019.parquet/{part}")
+    assert P.run_silver(spark, lake, ["load"])["load"] == [(2019, 12)]
+    assert _load_days(spark, lake) == [("load_2020", "2019-12-31"), ("load_2020", "2020-01-01")]
+
+
 def test_layout_changes_within_a_lake(spark, tmp_root):
     lake = P.local_lake(tmp_root)
     lake.database = "ecoflux_test_drift"
