@@ -364,6 +364,13 @@ def test_language_of_edge_cases(spark, docs, empty):
     assert langid.identified(empty, model).count() == 0
 
 
+def test_languages_left_out_of_training_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where("lang <> 'es'"))
+    share = {r.new: r.share for r in langid.predicted(docs, model).groupBy((F.col("lang") == "es").alias("new")).agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
+    assert share[True] > 0.3 and share[False] < 0.02
+
+
 def test_blocks_of_bytes_do_not_change_scores(monkeypatch):
     import pyarrow as pa
 
