@@ -365,12 +365,31 @@ def test_language_of_edge_cases(spark, docs, empty):
 
 
 def test_languages_left_out_of_training_are_rejected(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL").select("doc_id", "text", "lang")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang IS NOT NULL").select("doc_id", "text", "lang")
     model = langid.fit(docs.where("lang <> 'es'"))
     share = {r.new: r.share for r in langid.predicted(docs, model).groupBy((F.col("lang") == "es").alias("new")).agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
     assert share[True] > 0.3 and share[False] < 0.02
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_rejection_costs_what_it_may(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").select("doc_id", "text", "lang")
+    out = langid.predicted(docs, langid.fit(docs)).where("lang_pred = lang")
+    n, gone = out.agg(F.count("*"), F.sum(F.col("rejected").cast("int"))).first()
+    assert n > 150 and gone <= 0.002 * n
+
+
+def test_threshold_has_the_confidence_it_states():
+    scores = np.zeros(100, np.int64)
+    scores[[10, 20, 30, 40, 99]] = [1, 1, 1, 1, 2990]
+    assert langid._threshold(scores, 0.001) == 0.0  # under 2,995 rows one can't tell
+    scores[99] = 2995
+    assert langid._threshold(scores, 0.001) == 0.10  # none may lie lower: chance of 0 in 2,999 is 0.0497
+    scores[99] = 8400
+    assert langid._threshold(scores, 0.001) == 0.40  # at most 3 of 8,404: chance 0.03; 4: 0.08
+    assert langid._threshold(np.zeros(100, np.int64), 0.001) == 0.0
+
+
 def test_blocks_of_bytes_do_not_change_scores(monkeypatch):
     import pyarrow as pa
 
