@@ -64,4 +64,30 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op7_substring_dedup": _OP7, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10}
+_OP13 = r"""
+WITH RECURSIVE enc AS (SELECT doc_id, lang, n_chars,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+-- crc32, byte by byte through the table of its polynomial
+steps AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+          FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))),
+c AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS crc FROM enc, steps),
+d AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+             CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS changed FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+tree AS (SELECT lang, 0 AS lvl, list(leaf ORDER BY pos) AS l FROM r GROUP BY lang
+         UNION ALL SELECT lang, lvl + 1, list_transform(range(0, len(l), 2), lambda i: sha256(l[i + 1] || coalesce(l[i + 2], ''))) FROM tree WHERE len(l) > 1),
+sub AS (SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM tree WHERE len(l) = 1),
+top AS (SELECT 0 AS lvl, list(subroot ORDER BY pos) AS l FROM sub
+        UNION ALL SELECT lvl + 1, list_transform(range(0, len(l), 2), lambda i: sha256(l[i + 1] || coalesce(l[i + 2], ''))) FROM top WHERE len(l) > 1),
+up AS (SELECT r.doc_id, r.lang, r.pos, lvl, (r.pos >> lvl) & 1 AS side, l[xor(r.pos >> lvl, 1) + 1] AS sib FROM r JOIN tree ON r.lang IS NOT DISTINCT FROM tree.lang AND len(l) > 1
+       UNION ALL SELECT r.doc_id, r.lang, r.pos, 1000 + lvl, (sub.pos >> lvl) & 1, l[xor(sub.pos >> lvl, 1) + 1] FROM r JOIN sub ON r.lang IS NOT DISTINCT FROM sub.lang JOIN top ON len(l) > 1),
+p AS (SELECT lang, pos, coalesce(string_agg(sib, '' ORDER BY lvl), '') AS proof, list(CASE WHEN sib IS NULL THEN 'N' WHEN side = 1 THEN 'L' || sib ELSE 'R' || sib END ORDER BY lvl) AS path FROM up GROUP BY lang, pos),
+f AS (SELECT r.doc_id, leaf, subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+             list_reduce(list_prepend(coalesce(changed, leaf), coalesce(path, [])), lambda a, x: sha256(CASE x[1] WHEN 'L' THEN x[2:] || a WHEN 'R' THEN a || x[2:] ELSE a END)) AS folded_root
+      FROM r JOIN sub ON r.lang IS NOT DISTINCT FROM sub.lang LEFT JOIN p ON r.lang IS NOT DISTINCT FROM p.lang AND r.pos = p.pos)
+SELECT *, folded_root = root AS verified FROM f
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op7_substring_dedup": _OP7, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10, "op13_merkle": _OP13}

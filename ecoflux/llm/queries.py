@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import chat_format, decontaminate, langid, license_scan, line_dedup, mixing, quality, simhash, substring_dedup, topk
+from ecoflux.llm import chat_format, decontaminate, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
 from ecoflux.llm.common import table
 
 
@@ -92,6 +92,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a leaf of the manifest, its proof, and the root that a leaf folds to,
+    with one document in seven tampered with."""
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = F.when(tampered, merkle.leaf_digest([more if c == "n_chars" else F.col(c) for c in columns]))
+    out = merkle.manifest(table(spark, sf_dir, "documents"), columns=columns, keep={"changed": changed})
+    out = out.withColumn("folded", merkle.folded(F.coalesce("changed", "leaf"), F.col("path")))
+    proof = F.sha2(F.array_join(merkle.proof_texts(F.col("path")), "").cast("binary"), 256)
+    digests = [merkle.as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return out.select(
+        F.col("id").alias("doc_id"), *digests, proof.alias("proof_sha256"), merkle.as_hex(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_quality": op2_quality,
@@ -103,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op13_merkle": op13_merkle,
 }

@@ -114,3 +114,31 @@ def shares(sizes, weights=(1, 2, 3), most=3):
             left -= out[s]
             free.remove(s)
     return out
+
+
+def encoded(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def tree(leaves):
+    """(root, [siblings of each leaf from the leaf up, as (text before, text after)])."""
+    paths, level, at = [[] for _ in leaves], list(leaves), list(range(len(leaves)))
+    while len(level) > 1:
+        for p, i in zip(paths, at):
+            p.append((level[i - 1], "") if i % 2 else ("", level[i + 1] if i + 1 < len(level) else ""))
+        level = [sha("".join(level[i : i + 2])) for i in range(0, len(level), 2)]
+        at = [i // 2 for i in at]
+    return level[0], paths
+
+
+def manifest(rows):
+    """[(id, leaf, subroot, root, path)] from rows (id, source, lang, n_chars, text)."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r[0], sha("".join(map(encoded, r)))))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    for g in names:
+        groups[g].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    trees = [tree([x for _, x in groups[g]]) for g in names]
+    root, tops = tree([t[0] for t in trees]) if names else (None, [])
+    return [(i, leaf, sub, root, path + top) for g, (sub, paths), top in zip(names, trees, tops) for (i, leaf), path in zip(groups[g], paths)]

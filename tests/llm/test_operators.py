@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ecoflux.llm import chat_format, decontaminate, langid, license_scan, line_dedup, mixing, quality, simhash, substring_dedup, topk
+from ecoflux.llm import chat_format, decontaminate, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, kept string, fingerprint string, id int, tk int, h1 int, row int, score int"
@@ -519,6 +519,60 @@ def test_substitutions_three_apart_are_found():
     assert [(r[2], len(r[3]), len(r[4])) for r in _scanned(words)] == [("Apache-2.0/header", 4, 4)]
 
 
+# ---------------------------------------------------------------- Merkle manifest
+
+
+def proofs(out):
+    text = merkle.proof_texts(F.col("path"))
+    rows = out.select("id", *[merkle.as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")], text.alias("proof"), merkle.as_hex(merkle.folded(F.col("leaf"), F.col("path"))).alias("folded"))
+    got = [(r.id, r.leaf, r.subroot, r.root, "".join(r.proof), r.folded) for r in rows.collect()]
+    return sorted(got, key=str)
+
+
+def proofs_by_hand(rows):
+    return sorted(((i, leaf, sub, root, "".join(a + b for a, b in path), root) for i, leaf, sub, root, path in brute.manifest(rows)), key=str)
+
+
+def manifest_frame(spark, rows):
+    clash = "rank int, n int, grp string, page int, digest string, path string, levels int, leaf int, root int"
+    return spark.createDataFrame([(*r, 1, 2, "g", 3, "d", "p", 4, 5, 6) for r in rows], f"doc_id long, source string, lang string, n_chars long, text string, {clash}")
+
+
+def manifest_rows():
+    rng = random.Random(9)
+    rows = [(i, rng.choice(["s", "", None]), rng.choice(["en", "en", "de", "", None]), rng.choice([i, None]), rng.choice([None, "", "é", say(rng, 4)])) for i in range(300)]
+    rows += [(7, "s", "en", 1, "x")] * 70 + [(None, None, None, None, None)] * 140 + [(None, "s", "en", 2, "y"), (-5, "s", "one leaf", 2, "y" * 100_000)]
+    rows += [(i, "s", f"Ä{i % 90}", 1, "t") for i in range(400, 600)]
+    return rows
+
+
+def test_proofs_equal_brute_force(spark):
+    rows = manifest_rows()
+    assert proofs(merkle.manifest(manifest_frame(spark, rows).repartition(5))) == proofs_by_hand(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None)], [(i, "s", "en", i, "t") for i in range(65)], [(i, "s", str(i), i, "t") for i in range(65)]])
+def test_small_manifests(spark, rows):
+    assert proofs(merkle.manifest(manifest_frame(spark, rows))) == proofs_by_hand(rows)
+
+
+def test_requests_follow_their_branches_only(spark):
+    leaves = spark.range(5000).select(F.lit("g").alias("grp"), F.col("id").alias("rank"), F.lit(5000).cast("long").alias("n"), merkle.digest_of(F.col("id").cast("string")).alias("digest"))
+    forest = merkle.build(leaves)
+    asked = leaves.where("rank IN (0, 63, 64, 4999)").withColumn("name", F.lit("kept")).crossJoin(spark.range(2).withColumnRenamed("id", "twice"))
+    out = merkle.descend(forest, asked)
+    root = bytes(forest.roots.first()["digest"])
+    rows = out.select("rank", "name", "twice", merkle.folded(F.col("digest"), F.col("path")).alias("root"), F.size("path").alias("n")).collect()
+    assert len(rows) == 8 and {bytes(r.root) for r in rows} == {root} and {r.n for r in rows} == {13}
+    changed = out.select(merkle.folded(merkle.digest_of(F.lit("other")), F.col("path")).alias("root"))
+    assert root not in {bytes(r.root) for r in changed.collect()}
+
+
+def test_equal_subtrees_are_one_record(spark):
+    same = spark.range(64 * 40).select(F.lit("g").alias("grp"), F.col("id").alias("rank"), F.lit(64 * 40).cast("long").alias("n"), merkle.digest_of(F.lit("same")).alias("digest"))
+    assert [r.count() for r in merkle.build(same).records] == [1, 1]
+
+
 @pytest.mark.parametrize("module", [line_dedup, decontaminate])
 def test_native_operators_have_no_python_in_tasks(module):
     import inspect
