@@ -64,6 +64,25 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
+_OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
+w AS (SELECT doc, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT g.lang, g.source, k.term, v, CAST(coalesce(c.n, 0) AS HUGEINT) AS n FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + 1000000000 * (n + 1) // CAST(sum(n) OVER (PARTITION BY lang, source) + v AS HUGEINT) AS p FROM n),
+l AS (SELECT lang, term, 1 + 1000000000 * (n + 1) // CAST(sum(n) OVER (PARTITION BY lang) + v AS HUGEINT) AS q
+      FROM (SELECT lang, term, any_value(v) AS v, CAST(sum(n) AS HUGEINT) AS n FROM n GROUP BY lang, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200
+"""
+
 _OP13 = r"""
 WITH RECURSIVE enc AS (SELECT doc_id, lang, n_chars,
     coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
@@ -90,4 +109,4 @@ f AS (SELECT r.doc_id, leaf, subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS
 SELECT *, folded_root = root AS verified FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op7_substring_dedup": _OP7, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10, "op13_merkle": _OP13}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op7_substring_dedup": _OP7, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10, "op12_divergence": _OP12, "op13_merkle": _OP13}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import chat_format, decontaminate, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
+from ecoflux.llm import chat_format, decontaminate, divergence, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
 from ecoflux.llm.common import table
 
 
@@ -92,6 +92,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each source's words differ from those of every other source of its language, and
+    the terms by which it differs most from its language."""
+    return divergence.audit(table(spark, sf_dir, "documents")).withColumnRenamed("grp", "lang")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a leaf of the manifest, its proof, and the root that a leaf folds to,
     with one document in seven tampered with."""
@@ -119,5 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op12_divergence": op12_divergence,
     "op13_merkle": op13_merkle,
 }

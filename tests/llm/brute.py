@@ -142,3 +142,30 @@ def manifest(rows):
     trees = [tree([x for _, x in groups[g]]) for g in names]
     root, tops = tree([t[0] for t in trees]) if names else (None, [])
     return [(i, leaf, sub, root, path + top) for g, (sub, paths), top in zip(names, trees, tops) for (i, leaf), path in zip(groups[g], paths)]
+
+
+def audit(rows, least=3, top=200):
+    """[(lang, source, part, item, value, rank)] from rows (lang, source, text)."""
+    df, count, groups = {}, {}, {}
+    for lang, source, text in rows:
+        lang, source = lang or "", source or ""
+        groups.setdefault(lang, set()).add(source)
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low(text))
+        for t in set(terms):
+            df[lang, t] = df.get((lang, t), 0) + 1
+        for t in terms:
+            count[lang, source, t] = count.get((lang, source, t), 0) + 1
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for (x, t), n in df.items() if x == lang and n >= least]
+        n = {s: {t: count.get((lang, s, t), 0) for t in kept} for s in sources}
+        n[None] = {t: sum(n[s][t] for s in sources) for t in kept}
+        p = {s: {t: 1 + 10**9 * (c + 1) // (sum(own.values()) + len(kept)) for t, c in own.items()} for s, own in n.items()}
+        f = lambda a, b: (a - b) ** 2 // b
+        for s in sources:
+            pairs = [(o, sum(f(p[s][t], p[o][t]) for t in kept)) for o in sources if o != s]
+            terms = [(t, f(p[s][t], p[None][t])) for t in kept if n[s][t] and p[s][t] > p[None][t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda x: (-x[1], x[0].encode()))
+                out += [(lang, s, part, item, value, r) for r, (item, value) in enumerate(found[:most], 1)]
+    return sorted(out)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ecoflux.llm import chat_format, decontaminate, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
+from ecoflux.llm import chat_format, decontaminate, divergence, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, kept string, fingerprint string, id int, tk int, h1 int, row int, score int"
@@ -519,6 +519,49 @@ def test_substitutions_three_apart_are_found():
     assert [(r[2], len(r[3]), len(r[4])) for r in _scanned(words)] == [("Apache-2.0/header", 4, 4)]
 
 
+# ---------------------------------------------------------------- source divergence
+
+
+def audit_frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, "x", 3, [4]) for r in rows], "lang string, source string, text string, v int, df int, grp string, value int, counts array<int>")
+
+
+def audit_rows():
+    rng = random.Random(11)
+    words = [f"{a}{b}" for a in ("Ab", "ÉÜ", "ab", "日本", "zz") for b in "abcdefghij"]
+    text = lambda: rng.choice(" ,.1\n\x00[`{~").join(rng.choice(words) for _ in range(rng.randrange(30)))
+    rows = [(rng.choice(["en", "de", None, ""]), rng.choice(["s1", "s2", "é", None, ""]), text()) for _ in range(200)]
+    rows += [("en", "s1", None), ("en", "no words", " 12 "), ("xx", "a", "one two"), ("xx", "b", None), ("xx", "c", "one"), ("alone", "a", "Same same SAME")]
+    return rows + [("alone", "a", "same")] * 3 + [("de", "s1", "Ab " * 50_000 + "deb")]
+
+
+def audited(df, **how):
+    return sorted(tuple(r) for r in divergence.audit(df, **how).select("grp", "source", "part", "item", "value", "rank").collect())
+
+
+@pytest.mark.parametrize("how", [{}, {"spill_entries": 5}, {"spill_bytes": 300, "top": 3}])
+def test_divergences_equal_brute_force(spark, how):
+    rows = audit_rows()
+    got = audited(audit_frame(spark, rows).repartition(4), **how)
+    want = brute.audit(rows, top=how.get("top", 200))
+    assert got == want and sum(x[4] for x in want) > 0
+
+
+def test_divergences_of_many_sources_and_blocks(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [("en", f"s{i % 40}", " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(12))) for i in range(400)]
+    for name, value in (("CELLS", 100), ("PAIR_CELLS", 1000), ("HELD", 10), ("CHUNK", 64)):
+        monkeypatch.setattr(divergence, name, value)
+    assert audited(audit_frame(spark, rows)) == brute.audit(rows)
+    assert audited(audit_frame(spark, [])) == [] and audited(audit_frame(spark, [(None, None, None)])) == []
+
+
+@given(st.integers(1, 9 * 10**17), st.data())
+def test_shares_are_exact(total, data):
+    count = data.draw(st.integers(1, total))
+    assert divergence.shares(np.array([count]), np.array([total]))[0] == 1 + 10**9 * count // total
+
+
 # ---------------------------------------------------------------- Merkle manifest
 
 
