@@ -46,6 +46,8 @@ CELLS = 1 << 20
 #: Cells of pairs of sources that a task sums before it sends them; a language with more pairs
 #: than that sends them for each block.
 PAIR_CELLS = 1 << 22
+#: Stripes for each part that they are dealt out by to meet the totals of their language.
+PART = 1 << 14
 #: Best terms that a task holds before it sends them.
 HELD = 1 << 20
 STRIPE = "grp string, term string, df long, sources array<string>, counts array<long>"
@@ -309,7 +311,10 @@ def audit(docs: DataFrame, group_col: str = "lang", source_col: str = "source",
     every = every.agg(F.sort_array(F.collect_list(F.struct("source", F.coalesce("total", F.lit(0)).alias("total")))).alias("own"))  # one row for each language, as wide as its sources
     every = written(every.select("grp", F.col("own.source").alias("all_sources"), F.col("own.total").alias("all_totals")), "sources")
     size = kept.groupBy("grp").agg(F.count("*").alias("v"))
-    met = kept.join(every.join(size, "grp"), "grp")
+    # a language's row goes to every part of its stripes, so that no task gets a whole language
+    parts = 1 + kept.count() // PART
+    whole = every.join(size, "grp").select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    met = kept.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int")).join(whole, ["grp", "part"])
     parts = written(met.mapInArrow(_divergences(top), "grp string, source string, part string, item string, value long"), "divergences")
     # pairs of languages without kept terms have no stripe: every pair starts at 0
     none = every.select("grp", F.explode("all_sources").alias("source"), "all_sources").select("grp", "source", F.explode("all_sources").alias("item"), F.lit(0).cast("long").alias("value"))

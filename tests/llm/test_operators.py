@@ -550,7 +550,7 @@ def test_divergences_equal_brute_force(spark, how):
 def test_divergences_of_many_sources_and_blocks(spark, monkeypatch):
     rng = random.Random(2)
     rows = [("en", f"s{i % 40}", " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(12))) for i in range(400)]
-    for name, value in (("CELLS", 100), ("PAIR_CELLS", 1000), ("HELD", 10), ("CHUNK", 64)):
+    for name, value in (("CELLS", 100), ("PAIR_CELLS", 1000), ("HELD", 10), ("CHUNK", 64), ("PART", 5)):
         monkeypatch.setattr(divergence, name, value)
     assert audited(audit_frame(spark, rows)) == brute.audit(rows)
     assert audited(audit_frame(spark, [])) == [] and audited(audit_frame(spark, [(None, None, None)])) == []
