@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ecoflux.session import written  # a general helper, passed on
 
-__all__ = ["ASCII_SPACE", "ASCII_UPPER", "ascii_lower", "table", "text_bytes", "text_key", "utf8", "word_pieces", "written"]
+__all__ = ["ASCII_SPACE", "ASCII_UPPER", "ascii_lower", "narrowed", "packed", "table", "text_bytes", "text_key", "unpacked", "utf8", "word_pieces", "written"]
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_SPACE = " \t\n\x0b\f\r"
@@ -62,3 +63,22 @@ def word_pieces(text: bytes) -> Iterator[list[bytes]]:
         end = gap.start() if gap else len(text)
         yield text[at:end].split()
         at = end
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays as one message."""
+    return struct.pack("<I", len(arrays)) + b"".join(struct.pack("<cQ", a.dtype.char.encode(), a.nbytes) + a.tobytes() for a in arrays)
+
+
+def unpacked(body: bytes) -> list[np.ndarray]:
+    (n,), at, out = struct.unpack_from("<I", body), 4, []
+    for _ in range(n):
+        kind, size = struct.unpack_from("<cQ", body, at)
+        out.append(np.frombuffer(body, kind.decode(), size // np.dtype(kind.decode()).itemsize, at + 9))
+        at += 9 + size
+    return out
+
+
+def narrowed(a: np.ndarray) -> np.ndarray:
+    """Non-negative numbers in the fewest bytes that hold them."""
+    return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a.astype(np.uint8)

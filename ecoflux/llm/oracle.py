@@ -64,6 +64,19 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
+_OP11 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, p, h[2 * p + 1 : 2 * p + 100] AS g FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS p FROM d WHERE length(h) >= 100)),
+again AS (SELECT doc_id, p FROM win QUALIFY doc_id > min(doc_id) OVER (PARTITION BY g)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM again),
+edge AS (SELECT *, q - 1 IS DISTINCT FROM lag(q) OVER (PARTITION BY doc_id ORDER BY q) AS opens FROM gone),
+run AS (SELECT doc_id, min(q) AS a, max(q) + 1 AS b FROM (SELECT doc_id, q, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY q) AS r FROM edge) GROUP BY doc_id, r),
+cut AS (SELECT doc_id, h, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM run JOIN d USING (doc_id)),
+left_over AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(h[2 * since + 1 : 2 * a], '' ORDER BY a) || any_value(h)[2 * max(b) + 1 :] AS kept FROM cut GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+"""
+
 _OP12 = rf"""
 WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
 w AS (SELECT doc, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
@@ -109,4 +122,4 @@ f AS (SELECT r.doc_id, leaf, subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS
 SELECT *, folded_root = root AS verified FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op7_substring_dedup": _OP7, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10, "op12_divergence": _OP12, "op13_merkle": _OP13}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": _OP1, "op4_topk": _OP4, "op7_substring_dedup": _OP7, "op9_line_dedup": _OP9, "op10_decontaminate": _OP10, "op11_suffix_dedup": _OP11, "op12_divergence": _OP12, "op13_merkle": _OP13}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoflux.llm import chat_format, decontaminate, divergence, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
+from ecoflux.llm import chat_format, decontaminate, divergence, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, suffix_dedup, topk
 from ecoflux.llm.common import table
 
 
@@ -92,6 +92,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes that a smaller document holds too are cut out of every text."""
+    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each source's words differ from those of every other source of its language, and
     the terms by which it differs most from its language."""
@@ -125,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_divergence": op12_divergence,
     "op13_merkle": op13_merkle,
 }

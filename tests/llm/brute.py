@@ -169,3 +169,25 @@ def audit(rows, least=3, top=200):
                 found.sort(key=lambda x: (-x[1], x[0].encode()))
                 out += [(lang, s, part, item, value, r) for r, (item, value) in enumerate(found[:most], 1)]
     return sorted(out)
+
+
+def cut_bytes(rows, length=50):
+    """[(id, n_bytes, n_removed, spans, kept)] from (id, text); a null id counts as the smallest."""
+    order = lambda i: -(1 << 63) if i is None else i
+    least = {}
+    for i, t in rows:
+        b = (t or "").encode()
+        for p in range(len(b) - length + 1):
+            s = b[p : p + length]
+            least[s] = min(least.get(s, order(i)), order(i))
+    out = []
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = [False] * len(b)
+        for p in range(len(b) - length + 1):
+            if least[b[p : p + length]] < order(i):
+                gone[p : p + length] = [True] * length
+        edge = [p for p in range(len(b) + 1) if (p < len(b) and gone[p]) != (p > 0 and gone[p - 1])]
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((i, len(b), sum(gone), list(zip(edge[::2], edge[1::2])), kept))
+    return sorted(out, key=str)

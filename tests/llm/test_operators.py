@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ecoflux.llm import chat_format, decontaminate, divergence, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, topk
+from ecoflux.llm import chat_format, decontaminate, divergence, langid, license_scan, line_dedup, merkle, mixing, quality, simhash, substring_dedup, suffix_dedup, topk
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, kept string, fingerprint string, id int, tk int, h1 int, row int, score int"
@@ -519,6 +519,77 @@ def test_substitutions_three_apart_are_found():
     assert [(r[2], len(r[3]), len(r[4])) for r in _scanned(words)] == [("Apache-2.0/header", 4, 4)]
 
 
+# ---------------------------------------------------------------- suffix-array dedup
+
+
+def byte_cuts(df, **how):
+    out = suffix_dedup.without_repeats(df, **how).collect()
+    return sorted(((r.id, r.n_bytes, r.n_removed, [tuple(x) for x in r.spans], bytes(r.kept)) for r in out), key=str)
+
+
+def repetitive_rows():
+    rng = random.Random(21)
+    passage, phrase = "Ä passage of words that many documents share, " * 2, "a phrase of forty bytes among new words."
+    rows = [(i, f"{say(rng, 9)} {phrase} {say(rng, 9)}") for i in range(60)] + [(100 + i, say(rng, 6) + passage[: 60 + i] + say(rng, 6)) for i in range(30)]
+    near = say(rng, 120)
+    rows += [(200 + i, near[: 40 * i] + "X" + near[40 * i :]) for i in range(8)] + [(300, "ab" * 400), (301, "ab" * 100), (302, "xx" + "ab" * 99), (303, "a" * 49), (304, "a" * 50)]
+    rows += [(7, near)] * 5 + [(None, near + "!")] * 6 + [(None, None), (None, ""), (-5, near), (7, near + near), (400, "日本" * 60), (401, "本日" * 60), (402, "x\x00\x01" * 40), (403, "\x01x\x00" * 40)]
+    return rows + [(500, say(rng, 20_000, 50))]
+
+
+@pytest.mark.parametrize("how", [{}, {"hot_docs": 2}, {"chunk_bytes": 300, "bucket_bytes": 1 << 10}, {"length": 24, "hot_docs": 5}])
+def test_byte_cuts_equal_brute_force(spark, how):
+    rows = repetitive_rows()
+    want = brute.cut_bytes(rows, how.get("length", 50))
+    assert byte_cuts(frame(spark, rows).repartition(3), **how) == want and sum(w[2] for w in want) > 5000
+
+
+def test_byte_cuts_of_the_edge_cases(spark, docs, empty):
+    assert byte_cuts(docs) == brute.cut_bytes(corpus()) and byte_cuts(empty) == []
+
+
+def test_stretches_may_be_cut_anywhere(spark, monkeypatch):
+    # (workers have their own copy of the module: the blocks of bytes are tested here)
+    raw = np.frombuffer(b"".join((t or "").encode() for _, t in corpus()[:24]), np.uint8)
+    off = np.concatenate(([0], np.cumsum([len((t or "").encode()) for _, t in corpus()[:24]])))
+
+    def strings():
+        return sorted((d, p, int(h)) for doc, at, n, key in suffix_dedup.stretches(raw, off, 50) for d, a, m, h in zip(doc.tolist(), at.tolist(), n.tolist(), key) for p in range(a, a + m))
+
+    whole = strings()
+    assert len(whole) == sum(max(0, n - 49) for n in np.diff(off).tolist())
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 61)
+    monkeypatch.setattr(suffix_dedup, "MOST_STRINGS", 3)
+    assert strings() == whole
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.binary(min_size=1, max_size=40), st.text("ab", min_size=1, max_size=120).map(str.encode)), min_size=1, max_size=12, unique=True), st.integers(1, 30))
+def test_run_length_index_equals_sorted_suffixes(texts, length):
+    index = suffix_dedup.RunIndex(texts)
+    start = [0, *index.ends.tolist()]
+    suffixes = sorted((t[p:], start[n] + p) for n, t in enumerate(texts) for p in range(len(t)))
+    assert index.order.tolist() == [p for _, p in suffixes]
+    before = [0 if p in start else b"".join(texts)[p - 1] + 1 for _, p in suffixes]
+    runs = [i for i, c in enumerate(before) if i == 0 or c == 0 or c != before[i - 1]]
+    assert index.starts.tolist() == runs and index.symbols.tolist() == [before[i] for i in runs]
+    common = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    match = {p: common(s, suffixes[i - 1][0]) if i else 0 for i, (s, p) in enumerate(suffixes)}
+    assert index.statistics().tolist() == [match[p] for p in range(index.size)]
+    owner = np.arange(len(texts))[::-1].copy()
+    least = index.least(owner, length)
+    for n, t in enumerate(texts):
+        for p in range(len(t) - length + 1):
+            assert least[start[n] + p] == min(int(o) for o, x in zip(owner, texts) if t[p : p + length] in x)
+
+
+def test_a_run_length_index_of_copies_is_small():
+    rng = random.Random(1)
+    text = say(rng, 2000).encode()
+    copies = [text[: 5 * i] + b"#" + text[5 * i :] for i in range(1, 40)]
+    assert len(suffix_dedup.RunIndex(copies).starts) < 2 * len(suffix_dedup.RunIndex(copies[:1]).starts)
+
+
 # ---------------------------------------------------------------- source divergence
 
 
