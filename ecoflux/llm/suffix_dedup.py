@@ -13,7 +13,7 @@ be equal are brought together in small indexes:
    document in the same chunk are repeats as a whole; the others are sent. Stretches of an
    anchor that more than ``hot_docs`` documents share (a common phrase among ever new words)
    are cut into single strings, dealt out by their own hash, so that no bucket is hot.
-3. *Index.* A bucket's different stretches are sorted by all suffixes and transformed. The
+3. *Index.* The suffixes of a bucket's different stretches are sorted and transformed. The
    index keeps the runs of the transform and, at the ends of runs, text positions with the
    length of the match to the suffix before. From these samples the matching statistics of
    every position are streamed in text order: inside a run a match is one byte shorter than at
@@ -35,6 +35,7 @@ not touched.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ KEY_BITS = 40
 #: Strings that a stretch holds at most.
 MOST_STRINGS = 64
 #: Bytes of text that are looked at for anchors at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Documents of a chunk at most.
 CHUNK_DOCS = 1 << 16
 #: Frequent anchors that are told to every task at most.
@@ -125,11 +126,18 @@ def _key(h: np.ndarray, bits: int) -> np.ndarray:
     return h >> np.uint64(64 - bits - KEY_BITS)
 
 
+def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are in ``known`` (sorted)."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 def _anchors(length: int, bits: int, chunk_bytes: int):
     """Rows (id, tk, place, text) in. Out: kind 0, the anchors of a chunk for a bucket; kind 1,
-    for the chunk itself, its documents and the anchors that two of them share."""
+    for the chunk itself, the slots of its documents and the anchors that two of them share."""
 
-    def chunk(number: int, docs: list[tuple], found: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def chunk(number: int, docs: list[int], found: list[tuple]) -> Iterator[pa.RecordBatch]:
         doc, key = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
         by = np.argsort(key, kind="stable")  # documents ascend within a key
         doc, key = doc[by], key[by]
@@ -138,7 +146,7 @@ def _anchors(length: int, bits: int, chunk_bytes: int):
         doc, key, lead = doc[once], key[once], np.flatnonzero(new[once])
         n = np.diff(np.concatenate((lead, [len(key)]))).astype(np.int64)
         shared = np.repeat(n > 1, n)
-        yield _batch([(1, number, packed(*(np.array(c, np.int64) for c in zip(*docs)), doc[shared].astype(np.int32), key[shared]))])
+        yield _batch([(1, number, packed(np.array(docs, np.int64), doc[shared].astype(np.int32), key[shared]))])
         key, doc, n = key[lead], doc[lead], np.minimum(n, 255).astype(np.uint8)
         ends = np.searchsorted(key >> np.uint64(KEY_BITS), np.arange((1 << bits) + 1, dtype=np.uint64))  # keys ascend
         rows = []
@@ -154,19 +162,26 @@ def _anchors(length: int, bits: int, chunk_bytes: int):
         docs, seen, found, size = [], set(), [], 0
         for b in batches:
             raw, off = utf8(b.column(3))
-            new = np.full(b.num_rows, -1)
-            for r, (i, tk, place) in enumerate(_columns(b, "id", "tk", "place")):
-                if off[r + 1] - off[r] >= length and (i, tk) not in seen:
-                    seen.add((i, tk))
-                    new[r] = len(docs)
-                    docs.append((i, tk, place))
-            for doc, _, _, h in stretches(raw, off, length):
-                some = new[doc] >= 0
-                found.append((new[doc[some]], _key(h[some], bits)))
-            size += len(raw)
-            if size >= chunk_bytes or len(docs) >= CHUNK_DOCS:
-                yield from chunk(number, docs, found) if docs else ()
-                docs, seen, found, size, number = [], set(), [], 0, number + 1
+            whole = list(_columns(b, "id", "tk", "place"))
+            at = 0
+            while at < len(whole):
+                # some rows at a time, as many as the chunk has room for (at least one)
+                to = max(at + 1, min(int(np.searchsorted(off, off[at] + chunk_bytes - size, "right")) - 1, at + CHUNK_DOCS - len(docs)))
+                new = np.full(to - at, -1)
+                for r in range(at, to):
+                    i, tk, place = whole[r]
+                    if off[r + 1] - off[r] >= length and (i, tk) not in seen:
+                        seen.add((i, tk))
+                        new[r - at] = len(docs)
+                        docs.append(place)
+                for doc, _, _, h in stretches(raw[off[at] : off[to]], off[at : to + 1] - off[at], length):
+                    some = new[doc] >= 0
+                    found.append((new[doc[some]], _key(h[some], bits)))
+                size += int(off[to] - off[at])
+                at = to
+                if size >= chunk_bytes or len(docs) >= CHUNK_DOCS or at < len(whole):
+                    yield from chunk(number, docs, found) if docs else ()
+                    docs, seen, found, size, number = [], set(), [], 0, number + 1
         if docs:
             yield from chunk(number, docs, found)
 
@@ -219,19 +234,21 @@ def _met(hot_docs: int):
 
 
 def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kinds 1 and 2 sorted by chunk in. Out: kind 1, for a slot, the met anchors of documents."""
+    """Kinds 1 and 2 sorted by chunk in. Out: kind 1, for a slot, the met anchors of its documents."""
 
     def answers(bodies: list[bytes]) -> pa.RecordBatch:
-        ids, tks, places, doc, key = unpacked(bodies[0])
+        places, doc, key = unpacked(bodies[0])
         more = [unpacked(b) for b in bodies[1:]]
         doc = np.concatenate([doc, *(m[0].astype(np.int64) for m in more)]).astype(np.int64)
         key = np.concatenate([key, *(m[1] for m in more)])
-        by = np.lexsort((key, doc, places[doc]))
-        doc, key = doc[by], key[by]
+        place = places[doc]
+        by = np.lexsort((key, place))
+        place, key = place[by], key[by]
+        once = np.concatenate(([True], (place[1:] != place[:-1]) | (key[1:] != key[:-1])))[: len(key)]
+        place, key = place[once], key[once]
         rows = []
-        for some in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(places[doc])) + 1) if len(doc) else []:
-            own, n = np.unique(doc[some], return_counts=True)
-            rows.append((1, int(places[own[0]]), packed(ids[own], tks[own], n.astype(np.int32), key[some])))
+        for some in np.split(np.arange(len(key)), np.flatnonzero(np.diff(place)) + 1) if len(key) else []:
+            rows.append((1, int(place[some[0]]), packed(key[some])))
         return _batch(rows)
 
     held, now = [], None
@@ -312,40 +329,54 @@ def _sent(length: int, bits: int, hot: np.ndarray, chunk_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzipper = zstandard.ZstdDecompressor()
-        now, met = None, {}
-        seen, keys, ids, docs, size, last = {}, {}, [], [], 0, None
-        for place, rank, told, (i, tk, _, body) in _by_slot(batches):
-            if place != now:
-                now, met = place, {}
-                for _, m in told:
-                    own, tks, n, key = unpacked(m)
-                    for o, t, k in zip(own.tolist(), tks.tolist(), np.split(key, np.cumsum(n)[:-1])):
-                        met.setdefault((o, t), []).append(k)
-            if (place, rank) == last or (i, tk) not in met:
-                continue
-            last = place, rank
-            text = unzipper.decompress(body)
-            raw = np.frombuffer(text, np.uint8)
-            mine = np.unique(np.concatenate(met[i, tk]))
-            d = len(ids)
-            for _, start, n, h in stretches(raw, np.array([0, len(raw)]), length):
+        now, last, met = None, None, np.zeros(0, np.uint64)
+        seen: dict[bytes, list] = {}
+        keys: dict[bytes, int] = {}
+        ids: list[int] = []
+        docs: list[tuple[int, int]] = []
+        some: list[bytes] = []
+        size = waiting = 0
+
+        def look() -> None:
+            """Take the stretches of the texts of ``some``, the last documents of ``docs``."""
+            raw = np.frombuffer(b"".join(some), np.uint8)
+            off = np.concatenate(([0], np.cumsum([len(t) for t in some])))
+            base = len(docs) - len(some)
+            for doc, start, n, h in stretches(raw, off, length):
                 key = _key(h, bits)
-                some = np.flatnonzero(np.isin(key, mine))
-                key, frequent = key[some], np.isin(key[some], hot)
-                for at, m, k, cut in zip(start[some].tolist(), n[some].tolist(), (key >> np.uint64(KEY_BITS)).tolist(), frequent.tolist()):
+                own = np.flatnonzero(_among(key, met))
+                key, frequent = key[own], _among(key[own], hot)
+                for d, at, m, k, cut in zip(doc[own].tolist(), start[own].tolist(), n[own].tolist(), (key >> np.uint64(KEY_BITS)).tolist(), frequent.tolist()):
+                    text = some[d]
                     for a, c in ((a, 1) for a in range(at, at + m)) if cut else ((at, m),):
                         s = text[a : a + c + length - 1]
                         if held := seen.get(s):
-                            held.append((d, a))
+                            held.append((base + d, a))
                         else:
-                            seen[s] = [(d, a)]
+                            seen[s] = [(base + d, a)]
                             keys[s] = xxhash.xxh64_intdigest(s) >> (64 - bits) if cut else k
+            some.clear()
+
+        for place, rank, told, (i, tk, _, body) in _by_slot(batches):
+            if place != now:
+                look()
+                # an anchor that one document of the slot shares with others is met for all of them
+                now, waiting = place, 0
+                met = np.unique(np.concatenate([np.zeros(0, np.uint64), *(unpacked(m)[0] for _, m in told)]))
+            if (place, rank) == last:
+                continue
+            last = place, rank
+            some.append(unzipper.decompress(body))
             ids.append(i)
             docs.append((place, rank))
-            size += len(raw)
+            size, waiting = size + len(some[-1]), waiting + len(some[-1])
+            if size >= chunk_bytes or waiting >= BLOCK:
+                look()
+                waiting = 0
             if size >= chunk_bytes:
                 yield from flush(seen, ids, docs, keys)
                 seen, keys, ids, docs, size = {}, {}, [], [], 0
+        look()
         yield from flush(seen, ids, docs, keys)
 
     return run
@@ -355,62 +386,62 @@ def _sent(length: int, bits: int, hot: np.ndarray, chunk_bytes: int):
 
 
 class RunIndex:
-    """Run-compressed Burrows-Wheeler transform of texts (each with an end of its own).
-
-    ``symbols`` are the runs' bytes (0: the start of a text, else byte + 1), ``starts`` their
-    first rows. ``sample``, ``before`` and ``match`` are, for the first row of each run, its text
-    position, that of the row above, and the length of their match."""
+    """Run-compressed Burrows-Wheeler transform of texts, over suffixes of ``length`` bytes and
+    more (others can't begin a match), sorted by their first ``length`` bytes.
 
-    WORD = 7  # bytes, of 9 bits each, in a word of 63 bits
+    ``order`` are the rows' text positions. ``symbols`` are the runs' preceding bytes (0: none,
+    the start of a text; else a code), ``starts`` their first rows. A run also ends where the
+    suffixes that are a byte longer are no neighbours. ``sample``, ``before`` and ``match`` are,
+    for the first row of each run, its position, that of the row above, and the length of their
+    match."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], length: int):
+        self.length = length
         sizes = np.array([len(t) for t in texts], np.int64)
         self.ends = np.cumsum(sizes)
         self.size = int(sizes.sum())
-        symbols = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
+        raw = np.frombuffer(b"".join(texts), np.uint8)
         self.room = np.repeat(self.ends, sizes) - np.arange(self.size)  # bytes to the end of the text
-        words = np.zeros(self.size, np.int64)
-        for j in range(self.WORD):
-            words <<= 9
+        # bytes by their rank among those that occur, as many in a word as it holds
+        used = np.bincount(raw, minlength=256) > 0
+        codes = np.cumsum(used)[raw].astype(np.int64)
+        self.base = int(used.sum()) + 1
+        self.wide = int(63 / math.log2(self.base) - 1e-9)
+        self.words = np.zeros(self.size, np.int64)
+        for j in range(self.wide):
+            self.words *= self.base
             here = max(self.size - j, 0)
-            words[:here] |= np.where(self.room[:here] > j, symbols[j:], 0)
-        self.words = words
-        self.order = self._sorted(words, int(sizes.max(initial=0)))
-        previous = np.concatenate(([0], symbols[:-1])) if self.size else symbols
+            self.words[:here] += codes[j:]
+        self.order = self._sorted(np.flatnonzero(self.room >= length))
+        above = np.concatenate(([-1], self.order[:-1]))[: len(self.order)]
+        over = np.full(self.size + 1, -2)
+        over[self.order] = above
+        previous = np.concatenate(([0], codes[:-1]))[: self.size]
         previous[self.ends[:-1][self.ends[:-1] < self.size]] = 0
         bwt = previous[self.order]
-        new = np.concatenate(([True], bwt[1:] != bwt[:-1]))[: self.size] | (bwt == 0)
-        self.starts = np.flatnonzero(new)
+        ends_run = (bwt == 0) | (above < 0) | (bwt != previous[above]) | (over[self.order - 1] + 1 != above)
+        self.starts = np.flatnonzero(ends_run)
         self.symbols = bwt[self.starts]
-        self.sample = self.order[self.starts]
-        self.before = np.where(self.starts > 0, self.order[self.starts - 1], -1) if self.size else self.starts
+        self.sample, self.before = self.order[self.starts], above[self.starts]
         self.match = self._matches(self.sample, self.before)
 
-    def _sorted(self, words: np.ndarray, longest: int) -> np.ndarray:
-        """Positions in order of their suffixes; equal ones in order of position."""
-        key, known, size = words, self.WORD, self.size
-        while True:
-            by = np.argsort(key)
-            ordered = key[by]
-            new = np.concatenate(([True], ordered[1:] != ordered[:-1]))[:size]
-            rank = np.empty(size, np.int64)
-            rank[by] = np.cumsum(new)
-            if known >= longest or new.all():
+    def _sorted(self, rows: np.ndarray) -> np.ndarray:
+        """Positions in order of the ``length`` bytes there: by a word, then what is tied by
+        further bytes, at last by position."""
+        by = rows[np.argsort(self.words[rows])] if len(rows) else rows
+        known, place, key = self.wide, np.arange(len(by)), self.words[by]
+        while len(place):
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+            tied = ~new | ~np.concatenate((new[1:], [True]))
+            place, group = place[tied], np.cumsum(new[tied])
+            if not len(place) or known >= self.length:
+                by[place] = by[place][np.argsort(group * self.size + by[place])]
                 break
-            base = int(new.sum()) + 1
-            times = 3 if base < 1 << 21 else 2
-            key = rank
-            for t in range(1, times):
-                after = np.zeros(size, np.int64)
-                have = np.flatnonzero(self.room > t * known)
-                after[have] = rank[have + t * known]
-                key = key * base + after
-            known *= times
-        tied = ~new | ~np.concatenate((new[1:], [True]))[:size]
-        place = np.flatnonzero(tied)
-        if len(place):
-            some = by[place]
-            by[place] = some[np.argsort(rank[some] * size + some)]
+            more = min(self.wide, int((62 - math.log2(int(group[-1]) + 1)) / math.log2(self.base)))
+            key = group * self.base**more + self.words[by[place] + known] // self.base ** (self.wide - more)
+            turn = np.argsort(key)
+            by[place], key = by[place[turn]], key[turn]
+            known += more
         return by
 
     def _matches(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -420,16 +451,21 @@ class RunIndex:
         most = np.minimum(self.room[a[live]], self.room[b[live]])
         at = 0
         while len(live):
-            x = self.words[a[live] + at] ^ self.words[b[live] + at]
-            same = sum((x >> (63 - 9 * g) == 0).astype(np.int64) for g in range(1, self.WORD + 1))
+            x, y = self.words[a[live] + at], self.words[b[live] + at]
+            same = np.where(x == y, self.wide, 0)
+            odd = np.flatnonzero(x != y)
+            x, y = x[odd], y[odd]
+            for _ in range(self.wide - 1):
+                x, y = x // self.base, y // self.base
+                same[odd] += x == y
             out[live] = np.minimum(at + same, most)
-            on = (same == self.WORD) & (at + self.WORD < most)
-            live, most, at = live[on], most[on], at + self.WORD
+            on = (same == self.wide) & (at + self.wide < most)
+            live, most, at = live[on], most[on], at + self.wide
         return out
 
     def statistics(self) -> np.ndarray:
-        """For each text position, the length of its match with the suffix sorted before it,
-        streamed from the samples: between two of them it falls by one at each byte."""
+        """For each row's text position, the length of its match with the row above, streamed
+        from the samples: between two of them it falls by one at each byte."""
         sampled = np.zeros(self.size, np.int64)
         sampled[self.sample] = self.sample
         last = np.maximum.accumulate(sampled)
@@ -437,16 +473,14 @@ class RunIndex:
         first[self.sample] = self.match
         return first[last] - (np.arange(self.size) - last)
 
-    def least(self, owner: np.ndarray, length: int) -> np.ndarray:
-        """For each position, the least owner of a text that holds the ``length`` bytes there
-        (``owner`` has one number for each text)."""
-        linked = self.statistics()[self.order] >= length
-        head = np.flatnonzero(~linked)
-        if not len(head):
-            return np.zeros(0, np.int64)
-        own = np.repeat(owner, np.diff(np.concatenate(([0], self.ends))))[self.order]
-        out = np.empty(self.size, np.int64)
-        out[self.order] = np.repeat(np.minimum.reduceat(own, head), np.diff(np.concatenate((head, [self.size]))))
+    def least(self, owner: np.ndarray) -> np.ndarray:
+        """For each row's position, the least owner of a text that holds the ``length`` bytes
+        there (``owner`` has one number for each text)."""
+        out = np.zeros(self.size, np.int64)
+        head = np.flatnonzero(self.statistics()[self.order] < self.length)
+        if len(head):
+            own = np.repeat(owner, np.diff(np.concatenate(([0], self.ends))))[self.order]
+            out[self.order] = np.repeat(np.minimum.reduceat(own, head), np.diff(np.concatenate((head, [len(self.order)]))))
         return out
 
 
@@ -467,8 +501,8 @@ def _indexed(length: int):
         ids, place, rank, at, size, which = (np.concatenate(x) for x in zip(*parts))
         owner = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(owner, which, ids)
-        index = RunIndex(list(number))
-        least = index.least(owner, length)
+        index = RunIndex(list(number), length)
+        least = index.least(owner)
         # the strings of each message: those of its text in the index
         n = size - length + 1
         first = np.concatenate(([0], index.ends))[which]
@@ -569,7 +603,7 @@ def without_repeats(
     text_col: str = "text",
     length: int = 50,
     hot_docs: int = 10_000,
-    bucket_bytes: int = 1 << 21,
+    bucket_bytes: int = 1 << 20,
     chunk_bytes: int = 1 << 23,
 ) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept) for each row: ``spans`` are the maximal runs of
@@ -584,7 +618,7 @@ def without_repeats(
     hot_docs = max(hot_docs, size // 8 // MOST_HOT)  # anchors are no denser than one in eight bytes
     met = written(anchors.repartition("kind", "place").sortWithinPartitions("kind", "place").mapInArrow(_met(hot_docs), MESSAGE), "anchors")
     hot = [unpacked(bytes(r["body"]))[0] for r in met.where("kind = 4").select("body").collect()]  # MOST_HOT numbers at most
-    hot = np.concatenate([np.zeros(0, np.uint64), *hot])
+    hot = np.sort(np.concatenate([np.zeros(0, np.uint64), *hot]))
     told = met.where("kind IN (1, 2)").repartition("place").sortWithinPartitions("place", "kind").mapInArrow(_told, MESSAGE)
     texts = rows.mapInArrow(_zipped, MESSAGE)
     dealt = lambda df: df.repartition("place").sortWithinPartitions("place", "kind", "id", "tk")

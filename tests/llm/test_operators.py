@@ -563,21 +563,23 @@ def test_stretches_may_be_cut_anywhere(spark, monkeypatch):
     assert strings() == whole
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=80, deadline=None)
 @given(st.lists(st.one_of(st.binary(min_size=1, max_size=40), st.text("ab", min_size=1, max_size=120).map(str.encode)), min_size=1, max_size=12, unique=True), st.integers(1, 30))
 def test_run_length_index_equals_sorted_suffixes(texts, length):
-    index = suffix_dedup.RunIndex(texts)
-    start = [0, *index.ends.tolist()]
-    suffixes = sorted((t[p:], start[n] + p) for n, t in enumerate(texts) for p in range(len(t)))
-    assert index.order.tolist() == [p for _, p in suffixes]
-    before = [0 if p in start else b"".join(texts)[p - 1] + 1 for _, p in suffixes]
-    runs = [i for i, c in enumerate(before) if i == 0 or c == 0 or c != before[i - 1]]
-    assert index.starts.tolist() == runs and index.symbols.tolist() == [before[i] for i in runs]
+    index = suffix_dedup.RunIndex(texts, length)
+    whole, start = b"".join(texts), [0, *index.ends.tolist()]
+    suffixes = {start[n] + p: t[p:] for n, t in enumerate(texts) for p in range(len(t) - length + 1)}
+    order = index.order.tolist()
+    assert sorted(order) == sorted(suffixes) and [suffixes[p][:length] for p in order] == sorted(s[:length] for s in suffixes.values())
+    previous = lambda p: -1 if p in start else whole[p - 1]
+    above = dict(zip(order, [None, *order]))
+    runs = [i for i, p in enumerate(order) if i == 0 or previous(p) < 0 or previous(p) != previous(order[i - 1]) or above.get(p - 1) != order[i - 1] - 1]
+    assert index.starts.tolist() == runs and index.sample.tolist() == [order[i] for i in runs]
     common = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-    match = {p: common(s, suffixes[i - 1][0]) if i else 0 for i, (s, p) in enumerate(suffixes)}
-    assert index.statistics().tolist() == [match[p] for p in range(index.size)]
+    got = index.statistics().tolist()
+    assert all(got[p] == (common(suffixes[p], suffixes[above[p]]) if above[p] is not None else 0) for p in order)
     owner = np.arange(len(texts))[::-1].copy()
-    least = index.least(owner, length)
+    least = index.least(owner)
     for n, t in enumerate(texts):
         for p in range(len(t) - length + 1):
             assert least[start[n] + p] == min(int(o) for o, x in zip(owner, texts) if t[p : p + length] in x)
@@ -587,7 +589,8 @@ def test_a_run_length_index_of_copies_is_small():
     rng = random.Random(1)
     text = say(rng, 2000).encode()
     copies = [text[: 5 * i] + b"#" + text[5 * i :] for i in range(1, 40)]
-    assert len(suffix_dedup.RunIndex(copies).starts) < 2 * len(suffix_dedup.RunIndex(copies[:1]).starts)
+    one, many = (suffix_dedup.RunIndex(x, 50) for x in (copies[:1], copies))
+    assert len(many.order) > 38 * len(one.order) and len(many.starts) < 3 * len(one.starts)
 
 
 # ---------------------------------------------------------------- source divergence
