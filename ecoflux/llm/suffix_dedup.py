@@ -122,8 +122,9 @@ def stretches(raw: np.ndarray, off: np.ndarray, length: int) -> Iterator[tuple[n
 
 
 def _key(h: np.ndarray, bits: int) -> np.ndarray:
-    """The part of a hash that is kept: ``bits`` tell the bucket."""
-    return h >> np.uint64(64 - bits - KEY_BITS)
+    """The part of an anchor's hash that is kept: ``bits`` tell the bucket. Least hashes are
+    small, so they are mixed once more."""
+    return (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits - KEY_BITS)
 
 
 def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
