@@ -22,7 +22,8 @@ be equal are brought together in small indexes:
 4. Documents meet their marks, and merged marks go.
 
 Hashes choose candidates and places only; every mark comes from a comparison of bytes.
-The number of buckets follows the text size; a task holds a chunk or a bucket at a time.
+The number of buckets follows the text size; a task holds a chunk or a bucket at a time, and
+builds a bucket's indexes one after the other.
 The frequent anchors (at most ``MOST_HOT``, 32 MB) are sent to every task. Chunks are told
 apart by their place in the input's partitions, so ``docs`` must be a written table or another
 frame that gives the same partitions when a lost task runs again.
@@ -53,6 +54,8 @@ LEAST_ID = -(1 << 63)
 ANCHOR = 16
 #: Bits of an anchor's hash beyond those that tell its bucket.
 KEY_BITS = 40
+#: Bits of it that part a bucket: so many indexes are built for a bucket, one after the other.
+PART_BITS = 4
 #: Strings that a stretch holds at most.
 MOST_STRINGS = 64
 #: Bytes of text that are looked at for anchors at once.
@@ -305,22 +308,23 @@ def _sent(length: int, bits: int, hot: np.ndarray, chunk_bytes: int):
         for text, held in seen.items():
             least = min(ids[d] for d, _ in held)
             n = len(text) - length + 1
+            k = keys[text]
             for d in {d for d, _ in held}:
                 own = [at for x, at in held if x == d] if len(held) > 1 else [held[0][1]]
                 place, rank = docs[d]
                 if ids[d] > least:
                     slots.setdefault(place, []).extend((rank, at, at, n) for at in own)
                 else:
-                    buckets.setdefault(keys[text], []).append((ids[d], place, rank, own[0], text))
+                    buckets.setdefault(k >> PART_BITS, []).append((place, rank, own[0], k & (1 << PART_BITS) - 1, ids[d], text))
                     if len(own) > 1:  # marked with the first
                         slots.setdefault(place, []).extend((rank, at, own[0], n) for at in own[1:])
         zipper = zstandard.ZstdCompressor(level=1)
         rows = []
         for b, got in buckets.items():
-            own, place, rank, at, texts = zip(*got)
+            place, rank, at, part, own, texts = zip(*sorted(got))  # stretches that overlap come together
             own = np.array(own, np.int64)
             span = narrowed(own.view(np.uint64) - np.int64(own.min()).view(np.uint64))
-            numbers = [narrowed(np.array(x, np.int64)) for x in (place, rank, at, [len(t) for t in texts])]
+            numbers = [narrowed(np.array(x, np.int64)) for x in (part, place, rank, at, [len(t) for t in texts])]
             rows.append((0, b, zipper.compress(packed(np.array([own.min()]), span, *numbers, np.frombuffer(b"".join(texts), np.uint8)))))
             if len(rows) == 64:
                 yield _batch(rows)
@@ -347,7 +351,7 @@ def _sent(length: int, bits: int, hot: np.ndarray, chunk_bytes: int):
                 key = _key(h, bits)
                 own = np.flatnonzero(_among(key, met))
                 key, frequent = key[own], _among(key[own], hot)
-                for d, at, m, k, cut in zip(doc[own].tolist(), start[own].tolist(), n[own].tolist(), (key >> np.uint64(KEY_BITS)).tolist(), frequent.tolist()):
+                for d, at, m, k, cut in zip(doc[own].tolist(), start[own].tolist(), n[own].tolist(), (key >> np.uint64(KEY_BITS - PART_BITS)).tolist(), frequent.tolist()):
                     text = some[d]
                     for a, c in ((a, 1) for a in range(at, at + m)) if cut else ((at, m),):
                         s = text[a : a + c + length - 1]
@@ -355,7 +359,7 @@ def _sent(length: int, bits: int, hot: np.ndarray, chunk_bytes: int):
                             held.append((base + d, a))
                         else:
                             seen[s] = [(base + d, a)]
-                            keys[s] = xxhash.xxh64_intdigest(s) >> (64 - bits) if cut else k
+                            keys[s] = xxhash.xxh64_intdigest(s) >> (64 - bits - PART_BITS) if cut else k
             some.clear()
 
         for place, rank, told, (i, tk, _, body) in _by_slot(batches):
@@ -489,36 +493,44 @@ def _indexed(length: int):
     """Messages sorted by kind and place in. Out: kind 2 as it is; kind 1, for a slot, the
     strings of its documents that a smaller document holds too."""
 
-    def answers(bodies: list[bytes]) -> pa.RecordBatch:
-        unzipper = zstandard.ZstdDecompressor()
+    def strings(some: list[tuple]) -> tuple[np.ndarray, ...]:
+        """Of stretches (ids, places, ranks, positions, sizes, texts), runs of strings that a
+        smaller document holds too: (place, rank, position of the stretch, first, how many)."""
         number: dict[bytes, int] = {}
-        parts = []
-        for body in bodies:
-            base, span, place, rank, at, size, raw = unpacked(unzipper.decompress(body))
-            ids = (base.view(np.uint64) + span.astype(np.uint64)).view(np.int64)
-            raw, ends = raw.tobytes(), np.cumsum(size, dtype=np.int64).tolist()
-            which = [number.setdefault(raw[a:b], len(number)) for a, b in zip([0, *ends], ends)]
-            parts.append((ids, *(x.astype(np.int64) for x in (place, rank, at, size)), np.array(which)))
-        ids, place, rank, at, size, which = (np.concatenate(x) for x in zip(*parts))
+        which = np.array([number.setdefault(t, len(number)) for x in some for t in x[5]], np.int64)
+        ids, place, rank, at, size = (np.concatenate([x[c] for x in some]).astype(np.int64) for c in range(5))
         owner = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(owner, which, ids)
         index = RunIndex(list(number), length)
         least = index.least(owner)
-        # the strings of each message: those of its text in the index
+        # the strings of each stretch: those of its text in the index
         n = size - length + 1
         first = np.concatenate(([0], index.ends))[which]
         each = np.repeat(np.arange(len(which)), n)
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        hit = np.concatenate(([0], (least[first[each] + step] < ids[each]).astype(np.int8), [0]))
-        begin = (hit[1:] > hit[:-1]) | ((hit[1:] == 1) & np.concatenate((step == 0, [False])))
-        begin = np.flatnonzero(begin[:-1])
-        stop = np.flatnonzero((hit[1:-1] == 1) & ((hit[2:] == 0) | np.concatenate((step[1:] == 0, [True]))))
+        hit = least[first[each] + step] < ids[each]
+        last = np.concatenate((step[1:] == 0, [True]))
+        begin = np.flatnonzero(hit & ((step == 0) | ~np.concatenate(([False], hit[:-1]))))
+        stop = np.flatnonzero(hit & (last | ~np.concatenate((hit[1:], [False]))))
         e = each[begin]
+        return place[e], rank[e], at[e], step[begin], stop - begin + 1
+
+    def answers(bodies: list[bytes]) -> pa.RecordBatch:
+        unzipper = zstandard.ZstdDecompressor()
+        parts: dict[int, list] = {}
+        for body in bodies:
+            base, span, part, place, rank, at, size, raw = unpacked(unzipper.decompress(body))
+            ids = (base.view(np.uint64) + span.astype(np.uint64)).view(np.int64)
+            raw, ends = raw.tobytes(), np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+            for p in np.unique(part).tolist():
+                mine = np.flatnonzero(part == p)
+                texts = [raw[x:y] for x, y in zip(ends[mine].tolist(), ends[mine + 1].tolist())]
+                parts.setdefault(p, []).append((*(x[mine] for x in (ids, place, rank, at, size)), texts))
+        place, *marks = (np.concatenate(x) for x in zip(*(strings(some) for some in parts.values())))
+        by = np.argsort(place, kind="stable")
         rows = []
-        by = np.argsort(place[e], kind="stable")
-        for some in np.split(by, np.flatnonzero(np.diff(place[e][by])) + 1) if len(by) else []:
-            m = e[some]
-            rows.append((1, int(place[m[0]]), packed(*(narrowed(x) for x in (rank[m], at[m], step[begin[some]], stop[some] - begin[some] + 1)))))
+        for some in np.split(by, np.flatnonzero(np.diff(place[by])) + 1) if len(by) else []:
+            rows.append((1, int(place[some[0]]), packed(*(narrowed(x[some]) for x in marks))))
         return _batch(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -604,7 +616,7 @@ def without_repeats(
     text_col: str = "text",
     length: int = 50,
     hot_docs: int = 10_000,
-    bucket_bytes: int = 1 << 20,
+    bucket_bytes: int = 1 << 24,
     chunk_bytes: int = 1 << 23,
 ) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept) for each row: ``spans`` are the maximal runs of
@@ -613,7 +625,7 @@ def without_repeats(
         raise ValueError(f"length must be {ANCHOR + 8} at least")
     own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)).alias("id"), text_key(F.col(text_col)).alias("tk"), F.col(text_col).alias("text"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(24, max(4, (size // bucket_bytes).bit_length()))
+    bits = min(64 - KEY_BITS, max(5, (size // bucket_bytes).bit_length()))
     rows = own.select("id", "tk", F.pmod(F.xxhash64("id", "tk"), F.lit(1 << bits)).alias("place"), "text")
     anchors = rows.mapInArrow(_anchors(length, bits, chunk_bytes), MESSAGE)
     hot_docs = max(hot_docs, size // 8 // MOST_HOT)  # anchors are no denser than one in eight bytes
