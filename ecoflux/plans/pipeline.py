@@ -15,7 +15,8 @@ Silver series load at (year, month) grain:
 3. every bronze file that can hold rows of a touched month (all but those whose months, as the
    ledger has them or as just found, include none; names don't count) is re-read, one scan for
    each file layout, and only those partitions are overwritten. Partitions left without rows
-   are removed;
+   are removed. Keys and names are cast to their declared types (``schemas.SILVER``) in each
+   layout, and the result is checked against the registered table before any file is touched;
 4. the touched months go to the change log with a rising version, then the files to the ledger.
 
 Each gold table records the version up to which it was built. Its pending work is what the
@@ -37,6 +38,7 @@ from pyspark.sql import types as T
 from ecoflux import schemas as SC
 from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_name
 from ecoflux.operators.incremental import YM, restrict_to_months
+from ecoflux.operators.contract import conform_declared, lost_values
 from ecoflux.operators.shaping import only_months, only_years, sanitize_types
 from ecoflux.plans import gold, silver
 from ecoflux.session import written
@@ -53,16 +55,6 @@ BRONZE_DIRS = {
     "stations": "inmet/estacoes",
     "municipalities": "diretorios_brasil/municipios",
 }
-SILVER_DIRS = {
-    "hydrology": "ons/dados_hidrologicos_di",
-    "load": "ons/carga_energia_di",
-    "generation": "ons/geracao_usina_2_ho",
-    "capacity": "ons/capacidade_geracao",
-    "modality": "ons/modalidade_usina",
-    "weather": "inmet/microdados",
-    "stations": "inmet/estacoes",
-    "municipalities": "diretorios_brasil/municipios",
-}
 SILVER_TABLES = {
     "hydrology": "silver_dados_hidrologicos_di",
     "load": "silver_carga_energia_di",
@@ -150,7 +142,7 @@ class Lake:
         return f"{self.bronze.rstrip('/')}/{self.bronze_dirs[ds]}"
 
     def dest(self, ds: str) -> str:
-        return f"{self.silver.rstrip('/')}/{SILVER_DIRS[ds]}"
+        return f"{self.silver.rstrip('/')}/{BRONZE_DIRS[ds]}"
 
     def state(self, name: str) -> str:
         return f"{self.silver.rstrip('/')}/_ecoflux/{name}"
@@ -238,8 +230,11 @@ def rebuild_months(
     paths = [r["path"] for r in files.select("path").collect()]  # file names only
     gone = set(maybe_empty)
     if paths:
-        raw = _between(readers.read_union(spark, paths, list(series.numeric)), series.time_col, months)
-        out = sanitize_types(only_months(series.build(raw), months))
+        raw = readers.read_union(spark, paths, list(series.numeric), declared=SC.raw_text(ds))
+        raw = _between(raw, series.time_col, months)
+        out = sanitize_types(conform_declared(only_months(series.build(raw), months), SC.SILVER[ds]))
+        if not whole:
+            sinks.check_types(spark, lake.silver_table(ds), out.schema)  # before any file is touched
         sinks.write_partitioned(out, lake.dest(ds))
         if check := gone:
             kept = restrict_to_months(out, spark.createDataFrame(sorted(check), "year int, month int")).select(*YM).distinct()
@@ -301,7 +296,10 @@ def load_register(spark: SparkSession, lake: Lake, ds: str, force: bool = False)
         return False
     src = lake.src(ds)
     raw = readers.read_csv(spark, src) if ds in CSV_REGISTERS else readers.read_parquet(spark, src)
-    register = REGISTERS[ds](raw)
+    register = REGISTERS[ds](conform_declared(raw, SC.raw_text(ds)))
+    if lost := lost_values(register, SC.SILVER[ds]):
+        raise ValueError(f"{ds}: values that are not of the declared types: {lost}")
+    register = conform_declared(register, SC.SILVER[ds])
     sinks.write_dimension(register, dest)
     sinks.register_table(spark, lake.silver_table(ds), dest, sanitize_types(register).schema, replace=True)
     _log_change(spark, lake, ds, [(None, None, True)])

@@ -46,6 +46,45 @@ def _st(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# --- fixed values: declared columns of the silver tables (without year and month) -------
+SILVER = {
+    "hydrology": _st(
+        ("id_reservatorio", S), ("nom_reservatorio", S), ("nom_bacia", S), ("nom_subsistema", S), ("nom_ree", S),
+        ("tip_reservatorio", S), ("num_ordemcs", D), ("cod_usina", D), *[(m, D) for m in HYDRO_MEASURES], ("event_date", DT),
+    ),
+    "load": _st(("id_subsistema", S), ("nom_subsistema", S), ("val_cargaenergiamwmed", D), ("event_date", DT)),
+    "generation": _st(
+        ("event_date", DT), ("id_subsistema", S), ("nom_subsistema", S), ("id_estado", S), ("nom_estado", S),
+        ("nom_tipousina", S), ("val_geracao_total_mwmed", D), ("qtd_usinas_ativas", L),
+    ),
+    "weather": _st(
+        ("id_estacao", S), ("event_date", DT), ("precipitacao_total", D), ("radiacao_global", D), ("temperatura_media", D),
+        ("temperatura_maxima", D), ("temperatura_minima", D), ("vento_velocidade_media", D), ("timezone", S),
+    ),
+    "capacity": _st(
+        ("id_subsistema", S), ("nom_subsistema", S), ("id_estado", S), ("nom_estado", S), ("nom_tipousina", S),
+        ("nom_usina", S), ("ceg", S), ("nom_modalidadeoperacao", S), ("val_potenciaefetiva", D),
+        ("dat_entradaoperacao", S), ("dat_desativacao", S),
+    ),
+    "modality": _st(
+        ("nom_usina", S), ("ceg", S), ("id_ons", S), ("nom_modalidadeoperacao", S), ("val_potenciaautorizada", D),
+        ("id_estado", S), ("nom_estado", S), ("sts_aneel", S),
+    ),
+    "stations": _st(
+        ("id_estacao", S), ("id_municipio", I), ("estacao", S), ("data_fundacao", DT), ("latitude", D), ("longitude", D), ("altitude", D),
+    ),
+    "municipalities": _st(("id_municipio", I), ("nome", S), ("sigla_uf", S), ("nome_uf", S), ("nome_regiao", S)),
+}
+# ------------------------------------------------------------------------------------
+#: Text columns that are read but not written under their names, or not declared: keys and names all the same.
+RAW_TEXT = _st(("nom_usina", S), ("id_ons", S))
+
+
+def raw_text(dataset: str) -> T.StructType:
+    """The columns of a raw delivery that are keys or names, whatever type it has them in."""
+    return T.StructType([f for f in SILVER[dataset] if f.dataType == S] + list(RAW_TEXT))
+
+
 YM_STR = (("year", S), ("month", S))
 
 GOLD_FACT_WEATHER = _st(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecoflux.functions import entry_name, year_in_name
+from ecoflux.operators.contract import conform_declared
 from ecoflux.operators.shaping import cast_decimal_comma
 
 # Case-insensitive ``*.parquet`` glob (globs are case-sensitive).
@@ -93,19 +94,22 @@ def _common(types: list[T.DataType]) -> T.DataType:
     return T.DoubleType() if all(isinstance(t, T.NumericType) for t in types) else T.StringType()
 
 
-def read_union(spark: SparkSession, paths: list[str], numeric_text: list[str] = (), with_path: bool = False) -> DataFrame:
+def read_union(
+    spark: SparkSession, paths: list[str], numeric_text: list[str] = (), with_path: bool = False, declared: T.StructType | None = None
+) -> DataFrame:
     """Scan files whose schemas drifted: one scan for each layout, normalised, unioned by name.
 
     Columns of ``numeric_text`` become doubles whether a file holds decimal-comma text or
-    numbers. Other columns with several types meet in a common one (text, if they are not
-    all numbers). Columns that a layout lacks are null. ``with_path`` adds the hidden file
+    numbers. Columns of ``declared`` are cast to their types in each layout. Other columns with
+    several types meet in a common one (text, if they are not all numbers). Columns that a layout lacks are null. ``with_path`` adds the hidden file
     path as ``_path``.
     """
     frames = []
     for own, schema in schema_groups(spark, paths):
         df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*own)
         df = df.withColumn("_path", F.col("_metadata.file_path")) if with_path else df
-        frames.append(cast_decimal_comma(df, list(numeric_text)))
+        df = cast_decimal_comma(df, list(numeric_text))
+        frames.append(conform_declared(df, declared) if declared else df)
     kinds: dict[str, list[T.DataType]] = {}
     for df in frames:
         for f in df.schema.fields:

@@ -122,16 +122,24 @@ def partitions_of(spark: SparkSession, name: str) -> list[dict[str, str]]:
     return [dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
 
 
+def check_types(spark: SparkSession, name: str, schema: T.StructType) -> dict[str, T.DataType]:
+    """The columns of a registered table (none, if there is no table). An error if ``schema``
+    has another type for one of them, for older partitions could not be read any more. To be
+    called before a write."""
+    known = {f.name: f.dataType for f in spark.table(name).schema} if spark.catalog.tableExists(name) else {}
+    if odd := [f.name for f in schema if known.get(f.name, f.dataType) != f.dataType]:
+        raise ValueError(f"{name}: columns {odd} changed their types; load the table anew")
+    return known
+
+
 def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition_by: Iterable[str] = (), replace: bool = False) -> str:
     """Register Parquet output at ``path`` as an external catalog table, or bring the table up
     to date after a write with ``schema``: new columns are added, and new partitions found.
-    No data file is opened. A column that changed its type is an error unless all of the
-    table was written anew (``replace``), for older partitions could not be read."""
+    No data file is opened. A column that changed its type is an error (``check_types``) unless
+    all of the table was written anew (``replace``)."""
     cols = list(partition_by)
-    known = {} if replace or not spark.catalog.tableExists(name) else {f.name: f.dataType for f in spark.table(name).schema}
+    known = {} if replace else check_types(spark, name, schema)
     new = {f.name: f.dataType for f in schema}
-    if odd := [n for n, t in new.items() if known.get(n, t) != t]:
-        raise ValueError(f"{name}: columns {odd} changed their types; load the table anew")
     if not known or set(new) - set(known):
         types = known | new
         fields = ", ".join(f"`{n}` {types[n].simpleString()}" for n in [*(n for n in types if n not in cols), *cols])

@@ -111,3 +111,16 @@ def test_dictionary_describe_and_document(spark):
     doc = dictionary.as_document(d, "Dicionario teste").first()
     assert doc["titulo"] == "Dicionario teste"
     assert [c["codigo"] for c in doc["campos"]] == ["id", "name", "x"]
+
+
+def test_declared_types(spark):
+    from pyspark.sql import types as T
+
+    from ecoflux.operators.contract import conform_declared, lost_values
+
+    df = spark.createDataFrame([(7.0, "1", "x", 1), (7.5, "z", None, None), (None, None, "3", 2)], "k double, n string, other string, m int")
+    declared = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("m", T.DoubleType()), T.StructField("absent", T.DateType())])
+    out = conform_declared(df, declared)
+    assert out.dtypes == [("k", "string"), ("n", "int"), ("other", "string"), ("m", "double")]
+    assert [tuple(r) for r in out.collect()] == [("7", 1, "x", 1.0), ("7.5", None, None, None), (None, None, "3", 2.0)]
+    assert lost_values(df, declared) == {"n": 1} and lost_values(out, declared) == {}

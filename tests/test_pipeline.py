@@ -297,3 +297,60 @@ def test_replayed_loads_leave_silver_unchanged(spark, tmp_root):
     assert P.run_silver(spark, lake, ["load", "weather"], full=True) == first
     assert {ds: _rows(spark.table(lake.silver_table(ds))) for ds in first} == before
     assert _dec_days(spark, lake) == 31  # the year-end month stays whole through the replays
+
+
+LOAD = "id_subsistema {}, nom_subsistema string, din_instante timestamp, val_cargaenergiamwmed string"
+
+
+def _deliver_load(spark, lake, name, kind, rows):
+    rows = [(key, "N", dt.datetime.fromisoformat(day), "1,5") for key, day in rows]
+    spark.createDataFrame(rows, LOAD.format(kind)).write.parquet(f"{lake.src('load')}/{name}.parquet")
+    P.run_silver(spark, lake, ["load"])
+    table = spark.table(lake.silver_table("load"))
+    assert dict(table.dtypes)["id_subsistema"] == "string"
+    return sorted(((r.id_subsistema, str(r.event_date)) for r in table.collect()), key=lambda x: (x[0] is None, x))
+
+
+def test_a_key_keeps_its_declared_type(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_key_types"
+    got = _deliver_load(spark, lake, "a_2016", "string", [("7", "2016-03-01"), (None, "2016-03-02")])
+    assert len(got) == 2
+    _deliver_load(spark, lake, "b_2017", "bigint", [(7, "2017-03-01"), (8, "2016-03-03")])
+    got = _deliver_load(spark, lake, "c_2018", "double", [(7.0, "2018-03-01"), (7.5, "2016-03-04")])
+    assert got == [("7", "2016-03-01"), ("7", "2017-03-01"), ("7", "2018-03-01"), ("7.5", "2016-03-04"), ("8", "2016-03-03"), (None, "2016-03-02")]
+    assert spark.read.parquet(lake.dest("load")).count() == 6  # every partition has one type
+
+
+def _files(root):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names)
+
+
+def test_a_table_of_other_types_stops_the_load_before_a_write(spark, tmp_root, monkeypatch):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_old_types"
+    with monkeypatch.context() as m:  # a table as a version without declared types left it
+        m.setattr(P, "conform_declared", lambda df, declared: df.withColumn("id_subsistema", F.col("id_subsistema").cast("int")))
+        spark.createDataFrame([("1", "N", dt.datetime(2016, 3, 1), "1,5")], LOAD.format("string")).write.parquet(f"{lake.src('load')}/a.parquet")
+        P.run_silver(spark, lake, ["load"])
+    before = _files(lake.silver)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="id_subsistema"):
+            _deliver_load(spark, lake, f"b{len(_files(lake.bronze))}", "string", [("1", "2016-03-02")])
+        assert _files(lake.silver) == before and spark.table(lake.silver_table("load")).count() == 1
+    P.run_silver(spark, lake, ["load"], full=True)
+    assert spark.table(lake.silver_table("load")).where("id_subsistema = '1'").count() == 3
+
+
+def test_a_register_with_values_of_another_type_is_refused(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_register_types"
+    schema = "id_municipio string, nome string, sigla_uf string, nome_uf string, nome_regiao string"
+    write = lambda rows: spark.createDataFrame(rows, schema).write.mode("overwrite").option("header", True).csv(lake.src("municipalities"))
+    write([("12", "a", "b", "c", "d")])
+    P.run_silver(spark, lake, ["municipalities"])
+    write([("12", "a", "b", "c", "d"), ("x9", "a", "b", "c", "d")])
+    with pytest.raises(ValueError, match="id_municipio"):
+        P.load_register(spark, lake, "municipalities", force=True)
+    table = spark.table(lake.silver_table("municipalities"))
+    assert [r.id_municipio for r in table.collect()] == [12] and dict(table.dtypes)["id_municipio"] == "int"
