@@ -15,10 +15,12 @@ Shards hold about ``shard_rows`` rows, and there are at least as many as cores.
 are copied to each shard and stream past its tree in blocks; neither side is broadcast. Only
 the seed (``seed_rows`` vectors) is.
 
-Defined cases: vectors that are null, hold a null or a non-finite component, or whose length
-is not the most common one, take no part, nor do rows without an id. Components so large that
-a score could pass 2^53 are an error. A query is not a
-candidate of its own: rows with its id are left out. Of several query rows with one id the
+Defined cases: vectors that are null or hold a null or a non-finite component take no part, nor
+do rows without an id. Vectors of different lengths have no product: each length is searched
+among its own (shards of the most common length apart from those of all others, which have a
+tree for each length). Where a score could pass 2^53, products are taken in whole numbers of
+63 bits, or of any size where it could pass those; a score of the result, or a component, that
+does not fit in 63 bits is an error. A query is not a candidate of its own: rows with its id are left out. Of several query rows with one id the
 smallest vector counts. Repeated candidate rows each take a rank. Fewer candidates than k:
 all of them. Empty tables give empty results. Other columns are not touched.
 """
@@ -26,6 +28,7 @@ all of them. Empty tables give empty results. Other columns are not touched.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 LEAF = 128
-LEAST = -(1 << 62)
+#: Stands for no k-th score yet.
+LEAST = -(1 << 63)
 
 
 def quantised(vector: Column, factor: float) -> Column:
@@ -46,9 +50,10 @@ def quantised(vector: Column, factor: float) -> Column:
 
 
 class KDTree:
-    """Over integer points (rows) with ids; nodes are arrays, children 2i + 1 and 2i + 2."""
+    """Over integer points (rows) with ids; nodes are arrays, children 2i + 1 and 2i + 2.
+    ``kind`` is the number type in which all products are exact."""
 
-    def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
+    def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int = LEAF, kind: type = np.float64):
         order = np.arange(len(ids))
         self.lo, self.hi, self.least, self.span = {}, {}, {}, {}
         todo = [(0, 0, len(ids))]
@@ -65,11 +70,11 @@ class KDTree:
                 todo += [(2 * node + 1, a, a + mid), (2 * node + 2, a + mid, b)]
             else:
                 self.span[node] = (a, b)
-        self.points, self.ids = points[order].astype(np.float64), ids[order]
+        self.points, self.ids = points[order].astype(kind), ids[order]
         self.nodes = sorted(self.lo)
         self.row = {n: i for i, n in enumerate(self.nodes)}
-        self.box_lo = np.array([self.lo[n] for n in self.nodes], np.float64)
-        self.box_hi = np.array([self.hi[n] for n in self.nodes], np.float64)
+        self.box_lo = np.array([self.lo[n] for n in self.nodes]).astype(kind)
+        self.box_hi = np.array([self.hi[n] for n in self.nodes]).astype(kind)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """The best score that any point of each node's box can have, per query."""
@@ -105,8 +110,19 @@ class KDTree:
         return best, scored
 
 
-def _vectors(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim).astype(np.int64)
+def _vectors(column: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """These rows, all of one length, of a column of vectors."""
+    ends = column.offsets.to_numpy()
+    if not len(rows):
+        return np.zeros((0, 0), np.int64)
+    dim = int(ends[rows[0] + 1] - ends[rows[0]])
+    return column.values.to_numpy(zero_copy_only=False)[ends[rows][:, None] + np.arange(dim)].astype(np.int64)
+
+
+def exact_kind(dim: int, largest: int) -> type:
+    """The number type that holds every sum of ``dim`` products of components up to ``largest``."""
+    most = dim * largest**2
+    return np.float64 if most < 1 << 53 else np.int64 if most < 1 << 63 else object
 
 
 def top_k(
@@ -123,56 +139,67 @@ def top_k(
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("q"), quantised(F.col(vector_col), factor).alias("v"))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
-    largest = F.max(F.array_max(F.transform("v", F.abs)))
-    dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("count"), largest.alias("largest")).orderBy(F.desc("count"), "dim").first()
+    rows = rows.where(F.size("v") > 0)
+    dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("count")).orderBy(F.desc("count"), "dim").first()
     out = "query_id long, rank int, vec_id long, score long"
-    if dims is None or dims["dim"] == 0:
+    if dims is None:
         return spark.createDataFrame([], out)
-    dim, n = dims["dim"], dims["count"]
-    if dim * dims["largest"] ** 2 >= 1 << 53:
-        raise ValueError("the components are too large for exact scores")
-    rows = rows.where(F.size("v") == dim)
-    shards = max(-(-n // shard_rows), spark.sparkContext.defaultParallelism)
-    seed = rows.orderBy(F.xxhash64(F.lit("seed"), "id"), "id", "v").limit(seed_rows).select("id", "v").collect()
-    seed_ids, seed_v = np.array([r["id"] for r in seed]), np.array([r["v"] for r in seed], np.float64)
+    n, wide, low, high = rows.agg(F.count("*"), F.max(F.size("v")), F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
+    largest = max(abs(low), abs(high))
+    if largest >= 1 << 62:
+        raise ValueError("a component does not fit in 62 bits")
+    dim, kind = dims["dim"], exact_kind(wide, largest)
+    common, others = dims["count"], n - dims["count"]
+    shards = max(-(-common // shard_rows), spark.sparkContext.defaultParallelism)
+    more = -(-others // shard_rows)
+    usual = F.size("v") == dim
+    seed = rows.where(usual).orderBy(F.xxhash64(F.lit("seed"), "id"), "id", "v").limit(seed_rows).select("id", "v").collect()
+    seed_ids, seed_v = np.array([r["id"] for r in seed]), np.array([r["v"] for r in seed]).astype(kind)
 
     def first_kth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, q = b.column(0).to_numpy(), _vectors(b.column(1), dim)
-            kth = []
-            for i, row in zip(ids.tolist(), q.astype(np.float64) @ seed_v.T):
-                score = row[seed_ids != i]
-                kth.append(int(np.partition(score, len(score) - k)[len(score) - k]) if len(score) >= k else LEAST)
+            ids = b.column(0).to_numpy()
+            kth = np.full(len(ids), LEAST)
+            own = np.flatnonzero(np.diff(b.column(1).offsets.to_numpy()) == dim)
+            for j, row in zip(own.tolist(), _vectors(b.column(1), own).astype(kind) @ seed_v.T if len(own) else ()):
+                score = np.sort(row[seed_ids != ids[j]])
+                if len(score) >= k:
+                    kth[j] = max(min(int(score[-k]), (1 << 63) - 1), LEAST)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(kth, pa.int64())], ["id", "v", "kth"])
 
     queries = rows.where("q").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(first_kth, "id long, v array<bigint>, kth long")
-    every = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    dealt = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"), F.lit(None).cast("long").alias("kth"), "id", "v")
+    places = F.when(usual, F.sequence(F.lit(0), F.lit(shards - 1)))
+    places = places.otherwise(F.sequence(F.lit(shards), F.lit(shards + more - 1))) if more else places
+    every = queries.withColumn("shard", F.explode(places))
+    by = F.xxhash64("id", "v")
+    shard = F.when(usual, F.pmod(by, F.lit(shards))).otherwise(F.pmod(by, F.lit(max(more, 1))) + shards)
+    dealt = rows.select(shard.cast("int").alias("shard"), F.lit(None).cast("long").alias("kth"), "id", "v")
     # a hot vector with a hot id would be one row per copy; rows of one vector but many ids spread
-    both = dealt.unionAll(every.select("shard", "kth", "id", "v")).repartition("shard").sortWithinPartitions("shard", F.col("kth").asc_nulls_first())
+    both = dealt.unionAll(every.select("shard", "kth", "id", "v")).repartition("shard").sortWithinPartitions("shard", F.size("v"), F.col("kth").asc_nulls_first())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, tree = None, [], None
         for b in batches:
-            shard, ids, v = b.column(0).to_numpy(), b.column(2).to_numpy(), _vectors(b.column(3), dim)
+            shard, ids, size = b.column(0).to_numpy(), b.column(2).to_numpy(), np.diff(b.column(3).offsets.to_numpy())
             is_point = b.column(1).is_null().to_numpy(zero_copy_only=False)
             kth = b.column(1).fill_null(0).to_numpy()
             found = []
-            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | (is_point[1:] != is_point[:-1])) + 1
+            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | (size[1:] != size[:-1]) | (is_point[1:] != is_point[:-1])) + 1
             for part in np.split(np.arange(len(ids)), cuts):
                 if not len(part):
                     continue
-                if shard[part[0]] != now:
-                    now, held, tree = shard[part[0]], [], None
+                if (shard[part[0]], size[part[0]]) != now:
+                    now, held, tree = (shard[part[0]], size[part[0]]), [], None
                 if is_point[part[0]]:
-                    held.append((v[part], ids[part]))
+                    held.append((_vectors(b.column(3), part), ids[part]))
                     continue
                 if tree is None and held:
-                    tree, held = KDTree(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])), []
+                    tree, held = KDTree(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), kind=kind), []
                 for some in np.array_split(part, -(-len(part) // 256)) if tree else []:
-                    q = v[some].astype(np.float64)
+                    q = _vectors(b.column(3), some).astype(kind)
                     for j, bound in enumerate(tree.bounds(q)):
-                        best, _ = tree.search(q[j], bound, int(ids[some[j]]), k, (int(kth[some[j]]), LEAST))
+                        start = -math.inf if kth[some[j]] == LEAST else int(kth[some[j]])
+                        best, _ = tree.search(q[j], bound, int(ids[some[j]]), k, (start, LEAST))
                         found += [(int(ids[some[j]]), -i, s) for s, i in best]
             cols = list(zip(*found)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])

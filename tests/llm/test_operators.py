@@ -1,6 +1,7 @@
 """Every operator against plain Python, on a table of edge cases: nulls, empty and very long
 texts, ties, repeated rows, and extra columns whose names clash with results."""
 
+import math
 import random
 
 import numpy as np
@@ -327,9 +328,29 @@ def test_top_k_equals_brute_force(spark, n, shard_rows, seed_rows):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_top_k_refuses_what_it_cannot_score_exactly(spark):
-    df = spark.createDataFrame([(0, [1e6, 2.0]), (1, [3e6, 1.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(ValueError, match="too large"):
+@pytest.mark.parametrize("scale", [3e6, 3e9, 1e10])
+def test_top_k_of_large_components_and_mixed_lengths(spark, scale):
+    """Scores past 2^53 are exact; past 2^63 in between as well, where those of the result fit."""
+    rng = random.Random(int(scale))
+    rows = [(i, [rng.uniform(-scale, scale) / 256 for _ in range(rng.choice([2, 3, 3, 3, 5]))]) for i in range(120)]
+    rows += [(200 + i, []) for i in range(3)] + [(300, [1.0]), (350, [2.0]), (400, [5.0] * 9)]
+    cells = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q, v in cells.items():
+        found = [(-sum(a * b for a, b in zip(v, w)), c) for c, w in cells.items() if c != q and len(w) == len(v) > 0 and q % 50 == 0]
+        want += [(q, r, c, -s) for r, (s, c) in enumerate(sorted(found)[:5], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    if max(abs(w[3]) for w in want) >= 1 << 63:
+        with pytest.raises(Exception, match="int too|too (large|big)|overflow|OverflowError|out of bounds"):
+            topk.top_k(df, F.col("vec_id") % 50 == 0).collect()
+    else:
+        got = topk.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=16, seed_rows=20).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
+def test_top_k_refuses_components_past_62_bits(spark):
+    df = spark.createDataFrame([(0, [1e17, 2.0]), (1, [3e6, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="62 bits"):
         topk.top_k(df, F.col("vec_id") % 50 == 0)
 
 
