@@ -14,7 +14,7 @@
 
 The number of buckets follows the text size, so the memory of a task doesn't grow with the
 corpus. Windows are compared by hash: among n windows n^2 / 2^65 false matches are expected
-(none in 10^9 windows, about two in 10^10).
+(about 0.03 in 10^9 windows, about 3 in 10^10, about 8 million in 1.7 * 10^13).
 
 Defined cases: a null or empty text has no words. Ids are integers; a null id counts as the
 smallest. Rows that repeat an id are each compared with smaller ids and with themselves, not
