@@ -270,6 +270,18 @@ def q_table_append(spark, d):
     return spark.table(name)
 
 
+def q_table_append_retry(spark, d):
+    """K6: the later years are appended as one batch, and then once more, as after a failure."""
+    fact = gold.fact(_load_orders(spark, d), "load")
+    name = f"ecoflux_fact_load_{uuid.uuid4().hex[:8]}"
+    path = scratch_dir(spark, "table")
+    early = fact.where(F.col("year") < "1997").withColumn("batch", F.lit("first"))
+    sinks.create_table(spark, early, name, path=path, partition_by=["year", "month", "batch"])
+    for _ in range(2):
+        sinks.append_batch(fact.where(F.col("year") >= "1997"), name, path, "later")
+    return spark.table(name).drop("batch")
+
+
 def q_csv_roundtrip(spark, d):
     """A register landed as headered CSV and gzip CSV, read back with inferred types."""
     src = A.municipalities_raw(spark, d)
@@ -493,6 +505,7 @@ _QUERIES = {
     "pending_partitions": q_pending_partitions,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "table_append": q_table_append,
+    "table_append_retry": q_table_append_retry,
     "csv_roundtrip": q_csv_roundtrip,
     "scan_years": q_scan_years,
     "extract_year": q_extract_year,
@@ -927,6 +940,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT DISTINCT {_ym('o_orderdate')} FROM orders WHERE o_orderdate IS NOT NULL"""
     q["partitioned_roundtrip"] = q["load_daily"]
     q["table_append"] = q["fact_load"]
+    q["table_append_retry"] = q["fact_load"]
     q["csv_roundtrip"] = _with(
         "SELECT *, 'csv' AS fonte FROM fx_municipalities UNION ALL SELECT *, 'csv.gz' AS fonte FROM fx_municipalities",
         "fx_municipalities",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecoflux.operators.shaping import only_years, sanitize_types
@@ -82,6 +83,25 @@ def append_years(df: DataFrame, name: str, years: Iterable[int | str] | None = N
     return name
 
 
+def append_batch(
+    df: DataFrame, name: str, path: str, batch: str, partition_by: Iterable[str] = PARTITION_COLS, batch_col: str = "batch"
+) -> str:
+    """Append ``df`` as a batch to the table at ``path``, whose last partition column is
+    ``batch_col``. The batch has partitions of its own, which are replaced as a whole: to repeat
+    it, after a failure at any point or with corrected rows, leaves it in the table once.
+    Other batches are not touched."""
+    spark, cols = df.sparkSession, list(partition_by)
+    write_partitioned(df.withColumn(batch_col, F.lit(batch)), path, [*cols, batch_col])
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    old = [p for p in partitions_of(spark, name) if p[batch_col] == batch]
+    now = {tuple(str(v) for v in r) for r in df.select(*cols).distinct().collect()}  # as many as months
+    for p in old:
+        if tuple(p[c] for c in cols) not in now:
+            drop_table_partition(spark, name, path, p)
+    spark.sql(f"REFRESH TABLE {name}")
+    return name
+
+
 def overwrite_table_partitions(spark: SparkSession, df: DataFrame, name: str, path: str) -> str:
     """Replace the partitions present in ``df`` of an existing partitioned table at ``path``
     (dynamic overwrite), then register any new partition folders in the catalog."""

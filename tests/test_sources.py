@@ -113,6 +113,23 @@ def test_create_table_and_append_years(spark, tmp_root):
     assert spark.table(f"ecoflux_tests.{name}").count() == 2
 
 
+def test_a_batch_can_be_repeated(spark, tmp_root):
+    schema = "k string, v double, year string, month string"
+    name, path = "ecoflux_tests.ecoflux_test_batches", f"{tmp_root}/batches"
+    sinks.create_database(spark, "ecoflux_tests")
+    first = spark.createDataFrame([("a", 1.0, "2016", "1"), ("b", 2.0, "2017", "3")], schema)
+    sinks.create_table(spark, first.withColumn("batch", F.lit("one")), name, path=path, partition_by=["year", "month", "batch"])
+    rows = lambda: sorted(tuple(r) for r in spark.table(name).drop("batch").collect())
+    second = spark.createDataFrame([("c", 3.0, "2017", "3"), ("d", 4.0, "2017", "4")], schema)
+    for _ in range(2):
+        sinks.append_batch(second, name, path, "two")
+        assert rows() == [("a", 1.0, "2016", "1"), ("b", 2.0, "2017", "3"), ("c", 3.0, "2017", "3"), ("d", 4.0, "2017", "4")]
+    # a batch whose files were left in part, as by a lost driver, and one with fewer months
+    spark.createDataFrame([("c", 3.0)], "k string, v double").write.mode("append").parquet(f"{path}/year=2017/month=3/batch=two")
+    sinks.append_batch(second.where("month = '3'"), name, path, "two")
+    assert rows() == [("a", 1.0, "2016", "1"), ("b", 2.0, "2017", "3"), ("c", 3.0, "2017", "3")]
+
+
 def test_write_dictionary_document(spark, tmp_root):
     df = spark.createDataFrame([(1, "x")], "id_municipio int, nome string")
     dest = dictionary.write_document(df, f"{tmp_root}/dict", "Dicionario Municipios")
