@@ -14,8 +14,9 @@ Silver series load at (year, month) grain:
    months of its former rows; months outside ``Lake.years`` are left out;
 3. every bronze file that can hold rows of a touched month (all but those whose months, as the
    ledger has them or as just found, include none; names don't count) is re-read, one scan for
-   each file layout, and only those partitions are overwritten. Partitions left without rows
-   are removed. Keys and names are cast to their declared types (``schemas.SILVER``) in each
+   each file layout, and only those partitions are replaced: a month is written into a fresh
+   folder, and the catalog's partition is pointed at it when all of it is there, so readers and
+   a lost driver never meet half a month. Partitions left without rows are removed. Keys and names are cast to their declared types (``schemas.SILVER``) in each
    layout, and the result is checked against the registered table before any file is touched;
 4. the touched months go to the change log with a rising version, then the files to the ledger.
 
@@ -37,7 +38,7 @@ from pyspark.sql import types as T
 
 from ecoflux import schemas as SC
 from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_name
-from ecoflux.operators.incremental import YM, restrict_to_months
+from ecoflux.operators.incremental import YM
 from ecoflux.operators.contract import conform_declared, lost_values
 from ecoflux.operators.shaping import only_months, only_years, sanitize_types
 from ecoflux.plans import gold, silver
@@ -235,11 +236,10 @@ def rebuild_months(
         out = sanitize_types(conform_declared(only_months(series.build(raw), months), SC.SILVER[ds]))
         if not whole:
             sinks.check_types(spark, lake.silver_table(ds), out.schema)  # before any file is touched
-        sinks.write_partitioned(out, lake.dest(ds))
-        if check := gone:
-            kept = restrict_to_months(out, spark.createDataFrame(sorted(check), "year int, month int")).select(*YM).distinct()
-            gone = check - {(r["year"], r["month"]) for r in kept.collect()}
+        fresh = sinks.stage_partitions(spark, out, lake.dest(ds))
         sinks.register_table(spark, lake.silver_table(ds), lake.dest(ds), out.schema, YM, replace=whole)
+        sinks.switch_partitions(spark, lake.silver_table(ds), fresh)
+        gone -= {(int(y), int(m)) for y, m in fresh}
     if spark.catalog.tableExists(lake.silver_table(ds)):
         for y, m in gone:
             sinks.drop_table_partition(spark, lake.silver_table(ds), lake.dest(ds), {"year": y, "month": m})

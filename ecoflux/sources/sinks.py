@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,8 @@ from pyspark.sql import types as T
 from ecoflux.operators.shaping import only_years, sanitize_types
 
 PARTITION_COLS = ("year", "month")
+#: The folder level of one write, below that of its partition. Names rise with time.
+LOAD_COL = "load_id"
 
 
 def write_partitioned(df: DataFrame, dest: str, partition_cols: Iterable[str] = PARTITION_COLS) -> str:
@@ -102,15 +107,82 @@ def append_batch(
     return name
 
 
-def overwrite_table_partitions(spark: SparkSession, df: DataFrame, name: str, path: str) -> str:
-    """Replace the partitions present in ``df`` of an existing partitioned table at ``path``
-    (dynamic overwrite), then register any new partition folders in the catalog."""
-    write_partitioned(df, path)
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+def stage_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Iterable[str] = PARTITION_COLS) -> dict[tuple[str, ...], str]:
+    """Write ``df`` into fresh folders, one below the folder of each of its partitions
+    (``year=/month=/load_id=``), and return them by partition values. A folder gets its
+    ``_SUCCESS`` marker when all of it is there. No table reads the folders before
+    :func:`switch_partitions`, and what a table reads now stays untouched."""
+    cols, load_id = list(partition_by), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    out = sanitize_types(df).withColumn(LOAD_COL, F.lit(load_id))
+    out.hint("rebalance", *cols).write.mode("append").partitionBy(*cols, LOAD_COL).parquet(path)
+    fs, _ = _file_system(spark, path)
+    fresh = {}
+    for values, folder in _partition_folders(spark, path, cols):
+        own = f"{folder}/{LOAD_COL}={load_id}"
+        if fs.exists(_path(spark, own)):
+            fs.create(_path(spark, f"{own}/_SUCCESS"), True).close()
+            fresh[values] = own
+    return fresh
+
+
+def switch_partitions(
+    spark: SparkSession, name: str, fresh: dict[tuple[str, ...], str], partition_by: Iterable[str] = PARTITION_COLS
+) -> str:
+    """Point the partitions of a table at staged folders, one catalog change for each, then
+    remove what they replace. A reader that plans its scan before a switch gets the old
+    partition, after it the new one, and never a part of either; where the driver is lost in
+    between, the remaining partitions stay as they were and their staged folders are removed
+    by the next switch."""
+    cols = list(partition_by)
+    known = {tuple(p[c] for c in cols) for p in partitions_of(spark, name)}
+    for values, folder in sorted(fresh.items()):
+        spec = ", ".join(f"{c} = '{v}'" for c, v in zip(cols, values))
+        if values in known:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION '{folder}'")
     spark.sql(f"REFRESH TABLE {name}")
+    for folder in fresh.values():
+        fs, at = _file_system(spark, folder)
+        for old in fs.listStatus(at.getParent()):
+            if old.getPath().getName() != at.getName():
+                fs.delete(old.getPath(), True)
     return name
 
 
+def overwrite_table_partitions(spark: SparkSession, df: DataFrame, name: str, path: str) -> str:
+    """Replace the partitions present in ``df`` of an existing partitioned table at ``path``;
+    each is written apart and switched to when all of them are there."""
+    return switch_partitions(spark, name, stage_partitions(spark, df, path))
+
+
+def _recover_partitions(spark: SparkSession, name: str, path: str, cols: list[str]) -> None:
+    """Find the partitions of a table that the catalog does not know yet. Each is the newest
+    load that is all there, or the partition's own folder if none is."""
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    fs, _ = _file_system(spark, path)
+    for values, folder in _partition_folders(spark, path, cols):
+        loads = [s.getPath() for s in fs.listStatus(_path(spark, folder)) if s.getPath().getName().startswith(f"{LOAD_COL}=")]
+        if whole := [p for p in loads if is_complete(spark, p.toString())]:
+            newest = max(whole, key=lambda p: p.getName()).toString()
+            spec = ", ".join(f"{c} = '{v}'" for c, v in zip(cols, values))
+            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{newest}'")
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _partition_folders(spark: SparkSession, path: str, cols: list[str]) -> list[tuple[tuple[str, ...], str]]:
+    """(values, folder) of the partitions below ``path``: as many as months, so the driver lists them."""
+    fs, at = _file_system(spark, path)
+    found = [((), at)] if fs.exists(at) else []
+    for c in cols:
+        subs = [(v, s.getPath()) for v, p in found for s in fs.listStatus(p) if s.isDirectory()]
+        found = [((*v, unquote(p.getName()[len(c) + 1 :])), p) for v, p in subs if p.getName().startswith(f"{c}=")]
+    return [(v, p.toString()) for v, p in found]
+
+
 def _file_system(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
@@ -130,11 +202,11 @@ def drop_partition_folder(spark: SparkSession, dest: str, values: dict[str, obje
 
 
 def drop_table_partition(spark: SparkSession, name: str, path: str, values: dict[str, object]) -> None:
-    """Remove one partition of an external table, with its files."""
-    drop_partition_folder(spark, path, values)
+    """Remove one partition of an external table, then its files."""
     spec = ", ".join(f"{k} = '{v}'" for k, v in values.items())
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
     spark.sql(f"REFRESH TABLE {name}")
+    drop_partition_folder(spark, path, values)
 
 
 def partitions_of(spark: SparkSession, name: str) -> list[dict[str, str]]:
@@ -153,20 +225,21 @@ def check_types(spark: SparkSession, name: str, schema: T.StructType) -> dict[st
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition_by: Iterable[str] = (), replace: bool = False) -> str:
-    """Register Parquet output at ``path`` as an external catalog table, or bring the table up
-    to date after a write with ``schema``: new columns are added, and new partitions found.
-    No data file is opened. A column that changed its type is an error (``check_types``) unless
+    """Register Parquet output at ``path`` as an external catalog table and find its partitions,
+    or bring the table up to date for ``schema``: new columns are added, and partitions stay
+    where they point (``switch_partitions`` adds new ones). No data file is opened. A column that changed its type is an error (``check_types``) unless
     all of the table was written anew (``replace``)."""
     cols = list(partition_by)
     known = {} if replace else check_types(spark, name, schema)
-    new = {f.name: f.dataType for f in schema}
-    if not known or set(new) - set(known):
-        types = known | new
-        fields = ", ".join(f"`{n}` {types[n].simpleString()}" for n in [*(n for n in types if n not in cols), *cols])
+    new = {f.name: f.dataType.simpleString() for f in schema}
+    if not known:
+        fields = ", ".join(f"`{n}` {new[n]}" for n in [*(n for n in new if n not in cols), *cols])
         by = f" PARTITIONED BY ({', '.join(cols)})" if cols else ""
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{by} LOCATION '{path}'")
-    if cols:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        if cols:
+            _recover_partitions(spark, name, path, cols)
+    elif more := [n for n in new if n not in known]:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{n}` {new[n]}' for n in more)})")
     spark.sql(f"REFRESH TABLE {name}")
     return name

@@ -354,3 +354,43 @@ def test_a_register_with_values_of_another_type_is_refused(spark, tmp_root):
         P.load_register(spark, lake, "municipalities", force=True)
     table = spark.table(lake.silver_table("municipalities"))
     assert [r.id_municipio for r in table.collect()] == [12] and dict(table.dtypes)["id_municipio"] == "int"
+
+
+def test_a_load_that_stops_before_the_switch_leaves_the_old_month(spark, tmp_root, monkeypatch):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_switch"
+    _deliver_load(spark, lake, "a", "string", [("1", "2016-03-01"), ("1", "2016-04-01")])
+    name, days = lake.silver_table("load"), lambda: sorted(str(r.event_date) for r in spark.table(lake.silver_table("load")).collect())
+    reader = spark.table(name).where("month = 4")  # its scan is planned before the switch
+    assert reader.count() == 1
+    with monkeypatch.context() as m:
+        m.setattr(P.sinks, "switch_partitions", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            _deliver_load(spark, lake, "b", "string", [("1", "2016-03-02"), ("1", "2016-05-01")])
+    assert days() == ["2016-03-01", "2016-04-01"]
+    # the driver is lost amid the switches: months already switched are new, the others old, none is in parts
+    sql, seen = type(spark).sql, []
+
+    def lost(self, text, *a, **k):
+        if text.startswith("ALTER TABLE") and "LOCATION" in text:
+            seen.append(text)
+            if len(seen) > 1:
+                raise RuntimeError("lost")
+        return sql(self, text, *a, **k)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            P.run_silver(spark, lake, ["load"])
+    assert days() == ["2016-03-01", "2016-03-02", "2016-04-01"]
+    # a catalog that lost the table finds the whole loads, and not one that was broken off
+    open_load = os.path.join(tmp_root, "silver", P.BRONZE_DIRS["load"], "year=2016", "month=4", "load_id=99999999999999999999-broken")
+    spark.createDataFrame([("9", "N", 1.0, dt.date(2016, 4, 9))], "id_subsistema string, nom_subsistema string, val_cargaenergiamwmed double, event_date date").write.parquet(open_load)
+    os.remove(os.path.join(open_load, "_SUCCESS"))
+    spark.sql(f"DROP TABLE {name}")
+    P.sinks.register_table(spark, name, lake.dest("load"), P.SC._st(*[(f.name, f.dataType) for f in P.SC.SILVER["load"]], ("year", P.T.IntegerType()), ("month", P.T.IntegerType())), P.YM)
+    assert days() == ["2016-03-01", "2016-03-02", "2016-04-01", "2016-05-01"]
+    P.run_silver(spark, lake, ["load"])
+    assert days() == ["2016-03-01", "2016-03-02", "2016-04-01", "2016-05-01"]
+    march = os.path.join(tmp_root, "silver", P.BRONZE_DIRS["load"], "year=2016", "month=3")
+    assert len(os.listdir(march)) == 1  # what was replaced or broken off is gone
