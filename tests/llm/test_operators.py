@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -198,14 +199,49 @@ def test_cuts_equal_brute_force(docs, chunk):
 def test_packets_hold_any_ids():
     ids = [substring_dedup.LEAST_ID, -5, 0, 7, (1 << 63) - 1]
     hashes = [np.array([1, 2], np.uint64), np.array([2, 3], np.uint64), np.array([9], np.uint64), np.array([3, 1, 1], np.uint64), np.array([4, 9], np.uint64)]
-    packets = [list(substring_dedup._chunk_rows([i], [0], [h], 256, 4)) for i, h in zip(ids, hashes)] + [list(substring_dedup._chunk_rows(ids, [0] * 5, hashes, 256, 4))]
+    rows = lambda ids, hs: list(substring_dedup._chunk_rows(ids, [0] * len(ids), hs, [h % np.uint64(5) for h in hs], 256, 4, 2))
+    packets = [rows([i], [h]) for i, h in zip(ids, hashes)] + [rows(ids, hashes)]
     bodies = [body for rows in packets[:-1] for kind, _, body in rows if kind == 0]
-    own, h = substring_dedup._repeats(bodies, 0, 256)
-    assert list(zip(own.tolist(), h.tolist())) == [(-5, 2), (7, 1), (7, 3), (ids[4], 9)]
-    own, h = substring_dedup._repeats([b for kind, _, b in packets[-1] if kind == 0], 0, 256)
+    own, h, t = substring_dedup._repeats(bodies, 0, 256, 2)
+    assert list(zip(own.tolist(), h.tolist(), t.tolist())) == [(-5, 2, 2), (7, 1, 1), (7, 3, 3), (ids[4], 9, 4)]
+    own, h, t = substring_dedup._repeats([b for kind, _, b in packets[-1] if kind == 0], 0, 256, 2)
     assert not len(own)  # one packet has each window once
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 30])
+def test_windows_with_one_first_hash_are_told_apart(monkeypatch, chunk):
+    """All tasks run here, with a first hash that is the same for every second window."""
+    real, sd = substring_dedup.window_hashes, substring_dedup
+    weak = lambda words, width, base=sd.BASE: real(words, width, base) if base != sd.BASE else real(words, width, base) % np.uint64(2)
+    monkeypatch.setattr(sd, "window_hashes", weak)
+    some, extra = [(i, t) for i, t in corpus() if i is not None][:60], 8
+    batch = lambda rows, names: pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    docs = batch([(i, 1, t) for i, t in some], ["id", "tk", "text"])
+    sent = [r for b in sd._local(20, 256, 1, chunk, extra)(iter([docs])) for r in b.to_pylist()]
+    sent.sort(key=lambda r: (r["kind"], r["place"]))
+    typed = lambda rows: sd._batch(*([r[k] for r in rows] for k in ("kind", "place", "body")))
+    back = [r for b in sd._count(256, 1, extra)(iter([typed(sent)])) for r in b.to_pylist()]
+    rows = [(0, r["kind"], None, None, r["body"], None) for r in back] + [(0, 3, i, 1, None, t) for i, t in some]
+    met = batch(sorted(rows, key=lambda r: r[1]), ["place", "kind", "id", "tk", "body", "text"])
+    got = {r["id"]: (r["n_words"], r["n_removed"], r["kept"]) for b in sd._cut(20, extra)(iter([met])) for r in b.to_pylist()}
+    want = brute.cut(some)
+    assert got == want and sum(w[1] for w in want.values()) > 100
+
+
+def test_second_hash_follows_the_number_of_windows():
+    assert [substring_dedup.extra_bytes(n) for n in (0, 10**8, 5 * 10**9, 17 * 10**12)] == [2, 2, 2, 5]
+    for n in (10**8, 5 * 10**9, 10**11, 17 * 10**12):
+        assert n * n / 2 ** (65 + 8 * substring_dedup.extra_bytes(n)) < 1e-3
+
+
+def test_many_rows_without_an_id_stay_where_they_are(spark):
+    t = " ".join(map(str, range(30)))
+    rows = [(None, f"{t} {t} z{n % 7}") for n in range(2000)] + [(1, t + " z0"), (2, "x " + t)]
+    out = substring_dedup.without_repeats(frame(spark, rows))
+    got = sorted((r.id or 0, r.n_words, r.n_removed) for r in out.collect())
+    assert got == [(0, 61, 30)] * 2000 + [(1, 31, 31), (2, 31, 30)]
+
+
 def test_window_hashes_tell_windows_apart():
     rng = np.random.default_rng(1)
     for width in (1, 2, 3, 7, 20):
