@@ -433,6 +433,21 @@ def q_late_file_load(spark, d):
     return spark.table(lake.silver_table("load"))
 
 
+def q_weather_states_late_file(spark, d):
+    """Two deliveries with readings of the same days, and after them a file that was
+    replaced; daily weather is merged from the states of the files, each read once."""
+    lake = _new_lake(spark, "states")
+    raw = A.weather_raw(spark, d)
+    part = lambda n: raw.where(F.col("event_id") % 3 == n).drop("event_id")
+    part(0).write.parquet(lake.src("weather") + "/a.parquet")
+    part(1).where("hora < '06'").write.parquet(lake.src("weather") + "/b.parquet")
+    pipeline.run_silver(spark, lake, ["weather"])
+    part(1).write.mode("overwrite").parquet(lake.src("weather") + "/b.parquet")
+    part(2).write.parquet(lake.src("weather") + "/c.parquet")
+    pipeline.run_silver(spark, lake, ["weather"])
+    return spark.table(lake.silver_table("weather"))
+
+
 def q_lake_schema_drift(spark, d):
     """Yearly files whose measures change from text to double, and a column that comes
     late, through the silver load."""
@@ -515,6 +530,7 @@ _QUERIES = {
     "pipeline_bridge": q_pipeline_bridge,
     "pipeline_incremental": q_pipeline_incremental,
     "late_file_load": q_late_file_load,
+    "weather_states_late_file": q_weather_states_late_file,
     "lake_schema_drift": q_lake_schema_drift,
     "lake_key_type_change": q_lake_key_type_change,
     "year_end_delivery": q_year_end_delivery,
@@ -975,6 +991,7 @@ def oracle_sql() -> dict[str, str]:
     q["pipeline_bridge"] = q["weather_generation_bridge"]
     q["pipeline_incremental"] = q["weather_generation_bridge"]
     q["late_file_load"] = q["load_daily"]
+    q["weather_states_late_file"] = q["weather_daily"]
     q["lake_schema_drift"] = q["hydrology_daily"]
     q["lake_key_type_change"] = _round(
         _with("SELECT * REPLACE (substr(id_subsistema, 2, 1) AS id_subsistema) FROM s_load_ev", "s_load_ev"), ["val_cargaenergiamwmed"]

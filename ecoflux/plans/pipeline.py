@@ -18,6 +18,9 @@ Silver series load at (year, month) grain:
    folder, and the catalog's partition is pointed at it when all of it is there, so readers and
    a lost driver never meet half a month. Partitions left without rows are removed. Keys and names are cast to their declared types (``schemas.SILVER``) in each
    layout, and the result is checked against the registered table before any file is touched;
+   The weather keeps mergeable daily states of every file (``plans.states``), written once
+   when the file is first read: its months are merged from them, and only files that have no
+   states yet are opened;
 4. the touched months go to the change log with a rising version, then the files to the ledger.
 
 Each gold table records the version up to which it was built. Its pending work is what the
@@ -41,7 +44,7 @@ from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_n
 from ecoflux.operators.incremental import YM
 from ecoflux.operators.contract import conform_declared, lost_values
 from ecoflux.operators.shaping import only_months, only_years, sanitize_types
-from ecoflux.plans import gold, silver
+from ecoflux.plans import gold, silver, states
 from ecoflux.session import written
 from ecoflux.sources import readers, sinks
 
@@ -81,12 +84,14 @@ GOLD_TABLES = [
 
 @dataclass(frozen=True)
 class Series:
-    """How a daily series is built from raw rows, and the date of a raw row."""
+    """How a daily series is built from raw rows, and the date of a raw row. ``merge`` builds it
+    from the states that the files left (``plans.states``), if it has any."""
 
     build: Callable[[DataFrame], DataFrame]
     numeric: tuple[str, ...]
     time_col: str
     date: Callable[[DataFrame], Column]
+    merge: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _instant_date(raw: DataFrame) -> Column:
@@ -97,7 +102,7 @@ SERIES: dict[str, Series] = {
     "hydrology": Series(silver.hydrology, (*SC.HYDRO_MEASURES, "num_ordemcs", "cod_usina"), "din_instante", _instant_date),
     "load": Series(silver.load, ("val_cargaenergiamwmed",), "din_instante", _instant_date),
     "generation": Series(silver.generation_daily, ("val_geracao",), "din_instante", _instant_date),
-    "weather": Series(silver.weather_daily, tuple(SC.WEATHER_COLS[3:]), "data", lambda raw: local_date("data", "hora")),
+    "weather": Series(silver.weather_daily, tuple(SC.WEATHER_COLS[3:]), "data", lambda raw: local_date("data", "hora"), states.weather_from_states),
 }
 REGISTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "capacity": silver.capacity,
@@ -123,6 +128,8 @@ BRIDGE = "gold_bridge_clima_geracao"
 LOCATION = "gold_dim_localizacao"
 
 # all_months: the months are those of all rows; without it, only of those within ``Lake.years``
+FILE = ["path", "length", "mtime"]
+STATE_FILES = "path string, length long, mtime long, load_id string"
 LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long, all_months boolean"
 CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
 PROGRESS = "table string, version long"
@@ -184,6 +191,40 @@ def _log_change(spark: SparkSession, lake: Lake, ds: str, months: Iterable[tuple
     return version
 
 
+# --- daily states ---------------------------------------------------------------------------
+def _file_key(path: Column, encoded: bool = False) -> Column:
+    """A path as the listing and the scan agree on it: they spell it file:/a b and file:///a%20b."""
+    plain = F.url_decode(F.regexp_replace(path, r"\+", "%2B")) if encoded else path
+    return F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def _state_files(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
+    """(path, length, mtime, load_id): the files with states, each with its latest load."""
+    known = _records(spark, lake.state(f"state_files/{ds}"), STATE_FILES)
+    return known.groupBy(*FILE).agg(F.max("load_id").alias("load_id"))
+
+
+def _states_of(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> DataFrame:
+    """The states of these (path, length, mtime), as their latest load wrote them: states of a
+    replaced file, or of a load that was broken off, are in no record and are left out."""
+    mine = _state_files(spark, lake, ds).join(files.select(*FILE), FILE, "left_semi")
+    return _records(spark, lake.state(f"states/{ds}"), states.WEATHER_STATES).join(mine, [*FILE, "load_id"], "left_semi")
+
+
+def add_states(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> None:
+    """Read these files once and keep their daily states; the record is written last, so what a
+    broken-off run leaves behind does not count."""
+    paths = [r["path"] for r in files.select("path").collect()]  # file names only
+    if not paths:
+        return
+    raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True, declared=SC.raw_text(ds))
+    own = states.weather_states(raw, ["_path"]).withColumn("k", _file_key(F.col("_path"), encoded=True)).drop("_path")
+    named = own.join(files.select(_file_key(F.col("path")).alias("k"), *FILE), "k").drop("k")
+    load_id = f"load-{time.time_ns():020d}"
+    sinks.append_partitions(named.withColumn("load_id", F.lit(load_id)), lake.state(f"states/{ds}"), [*YM, "load_id"])
+    files.select(*FILE, F.lit(load_id).alias("load_id")).write.mode("append").parquet(lake.state(f"state_files/{ds}"))
+
+
 # --- silver -------------------------------------------------------------------------------
 def bronze_files(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
     """(path, length, mtime, file_year) of the dataset's files within the ingest years."""
@@ -222,18 +263,21 @@ def rebuild_months(
     if not months:
         return set()
     series, months = SERIES[ds], sorted(set(months))
-    file = ["path", "length", "mtime"]
-    known = _records(spark, lake.state(f"files/{ds}"), LEDGER).where("all_months").select(*file, "months")
+    known = _records(spark, lake.state(f"files/{ds}"), LEDGER).where("all_months").select(*FILE, "months")
     known = known if news is None else known.unionByName(news)
     touched = F.array(*[F.lit(y * 12 + m - 1) for y, m in months])
-    others = known.groupBy(*file).agg(F.max(F.arrays_overlap("months", touched)).alias("some")).where("NOT some")
-    files = bronze_files(spark, lake, ds).join(others, file, "left_anti")
+    others = known.groupBy(*FILE).agg(F.max(F.arrays_overlap("months", touched)).alias("some")).where("NOT some")
+    files = bronze_files(spark, lake, ds).join(others, FILE, "left_anti")
     paths = [r["path"] for r in files.select("path").collect()]  # file names only
     gone = set(maybe_empty)
     if paths:
-        raw = readers.read_union(spark, paths, list(series.numeric), declared=SC.raw_text(ds))
-        raw = _between(raw, series.time_col, months)
-        out = sanitize_types(conform_declared(only_months(series.build(raw), months), SC.SILVER[ds]))
+        if series.merge:
+            add_states(spark, lake, ds, written(files.join(_state_files(spark, lake, ds), FILE, "left_anti").select(*FILE), "stateless"))
+            daily = series.merge(only_months(_states_of(spark, lake, ds, files), months))
+        else:
+            raw = readers.read_union(spark, paths, list(series.numeric), declared=SC.raw_text(ds))
+            daily = only_months(series.build(_between(raw, series.time_col, months)), months)
+        out = sanitize_types(conform_declared(daily, SC.SILVER[ds]))
         if not whole:
             sinks.check_types(spark, lake.silver_table(ds), out.schema)  # before any file is touched
         fresh = sinks.stage_partitions(spark, out, lake.dest(ds))
@@ -254,14 +298,18 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
     paths = [r["path"] for r in pending.select("path").collect()]  # file names only
     if not paths:
         return []
-    raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True)
-    dated = raw.select("_path", SERIES[ds].date(raw).alias("d")).where(F.col("d").isNotNull())
+    if SERIES[ds].merge:
+        if full:  # the record first: states without a record don't count
+            for name in ("state_files", "states"):
+                sinks.drop_folder(spark, lake.state(f"{name}/{ds}"))
+        add_states(spark, lake, ds, pending.join(_state_files(spark, lake, ds), FILE, "left_anti"))
+        dated = _states_of(spark, lake, ds, pending).select(_file_key(F.col("path")).alias("k"), F.col("event_date").alias("d"))
+    else:
+        raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True)
+        dated = raw.select(_file_key(F.col("_path"), encoded=True).alias("k"), SERIES[ds].date(raw).alias("d")).where(F.col("d").isNotNull())
     # one entry for each file and month, combined map-side: the only pass over the new rows
-    by_file = dated.groupBy("_path").agg(F.collect_set(F.year("d") * 12 + F.month("d") - 1).alias("months"))
-    # the listing and the scan spell a path differently: file:/a b and file:///a%20b
-    plain = F.url_decode(F.regexp_replace("_path", r"\+", "%2B"))
-    one_slash = lambda c: F.regexp_replace(c, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
-    news = pending.withColumn("k", one_slash(F.col("path"))).join(by_file.select(one_slash(plain).alias("k"), "months"), "k", "left")
+    by_file = dated.groupBy("k").agg(F.collect_set(F.year("d") * 12 + F.month("d") - 1).alias("months"))
+    news = pending.withColumn("k", _file_key(F.col("path"))).join(by_file, "k", "left")
     news = written(news.select("path", "length", "mtime", F.coalesce("months", F.array().cast("array<int>")).alias("months")), "new-files")
     codes = lambda df: {(r["c"] // 12, r["c"] % 12 + 1) for r in df.select(F.explode("months").alias("c")).distinct().collect()}
     in_years = lambda ms: {m for m in ms if lake.years is None or lake.years[0] <= m[0] <= lake.years[1]}

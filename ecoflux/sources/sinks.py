@@ -38,6 +38,13 @@ def write_partitioned(df: DataFrame, dest: str, partition_cols: Iterable[str] =
     return dest
 
 
+def append_partitions(df: DataFrame, dest: str, partition_cols: Iterable[str]) -> str:
+    """Add ``df`` below ``dest``, clustered by its partitions; what is there stays."""
+    cols = list(partition_cols)
+    df.hint("rebalance", *cols).write.mode("append").partitionBy(*cols).parquet(dest)
+    return dest
+
+
 def write_dimension(df: DataFrame, dest: str, mode: str = "overwrite") -> str:
     """Write a small, unpartitioned dimension.
 
@@ -201,6 +208,12 @@ def drop_partition_folder(spark: SparkSession, dest: str, values: dict[str, obje
     fs.delete(at, True)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder (no error if it is not there)."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def drop_table_partition(spark: SparkSession, name: str, path: str, values: dict[str, object]) -> None:
     """Remove one partition of an external table, then its files."""
     spec = ", ".join(f"{k} = '{v}'" for k, v in values.items())

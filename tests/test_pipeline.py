@@ -394,3 +394,38 @@ def test_a_load_that_stops_before_the_switch_leaves_the_old_month(spark, tmp_roo
     assert days() == ["2016-03-01", "2016-03-02", "2016-04-01", "2016-05-01"]
     march = os.path.join(tmp_root, "silver", P.BRONZE_DIRS["load"], "year=2016", "month=3")
     assert len(os.listdir(march)) == 1  # what was replaced or broken off is gone
+
+
+def test_a_late_weather_file_is_merged_into_its_days(spark, tmp_root, monkeypatch):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_states"
+    src, opened, real = lake.src("weather"), [], readers.read_union
+
+    def read_union(spark, paths, *a, **k):
+        opened.extend(os.path.basename(os.path.dirname(p)) for p in paths)
+        return real(spark, paths, *a, **k)
+
+    monkeypatch.setattr(P.readers, "read_union", read_union)
+
+    def deliver(name, rows):
+        opened.clear()
+        spark.createDataFrame(rows, WEATHER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{src}/{name}.parquet")
+        P.run_silver(spark, lake, ["weather"])
+        assert set(opened) == {f"{name}.parquet"} and len(opened) == 1  # as many as were delivered
+        want = silver.weather_daily(spark.read.option("recursiveFileLookup", "true").parquet(src))
+        table = spark.table(lake.silver_table("weather"))
+        assert _rows(table.select(*sorted(want.columns))) == _rows(want.select(*sorted(want.columns)))
+
+    undated = [("E1", "2023-12-01", "1200", "1,5", "2,0", "20,0", 1.0)]
+    spark.createDataFrame(undated, WEATHER_SCHEMA).coalesce(1).write.parquet(f"{src}/undated.parquet")
+    assert P.run_silver(spark, lake, ["weather"]) == {"weather": []}
+    deliver("a b", [("E1", "2023-12-01", "15:00:00", "1,5", "2,0", "20,0", 1.0), ("E1", "2023-12-01", "16:00:00", None, None, "22,0", 2.0), ("E2", "2023-12-31", "1200", "1,0", "1,0", "1,0", 1.0)])
+    deliver("late", [("E1", "2023-12-01", "17:00:00", "0,5", "4,0", "x", None), (None, "2023-12-02", "12:00:00", "1,0", None, None, 3.0)])
+    deliver("empty", [])
+    deliver("late", [("E1", "2024-01-01", "01:00:00", "0,5", "4,0", "25,0", 4.0)])  # replaced: its former readings go
+    # states that a broken-off load left without a record don't count
+    spark.read.parquet(lake.state("states/weather")).withColumn("load_id", F.lit("9")).write.mode("append").partitionBy("year", "month", "load_id").parquet(lake.state("states/weather"))
+    deliver("more", [("E1", "2023-12-01", "18:00:00", "0,25", "4,0", "30,0", 4.0)])
+    before = _rows(spark.table(lake.silver_table("weather")))
+    P.run_silver(spark, lake, ["weather"], full=True)
+    assert _rows(spark.table(lake.silver_table("weather"))) == before
