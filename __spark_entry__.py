@@ -448,6 +448,19 @@ def q_weather_states_late_file(spark, d):
     return spark.table(lake.silver_table("weather"))
 
 
+def q_generation_states_late_file(spark, d):
+    """Deliveries that share plants and days; the daily count of distinct plants is
+    merged from the bitmaps that each file left, each file read once."""
+    lake = _new_lake(spark, "bitmaps")
+    raw = A.generation_raw(spark, d)
+    turn = F.dayofyear("din_instante") + F.hour("din_instante")
+    for n in range(3):
+        raw.where(turn % 3 == n).write.parquet(f"{lake.src('generation')}/{n}.parquet")
+        if n != 1:  # two of the files come in one load
+            pipeline.run_silver(spark, lake, ["generation"])
+    return spark.table(lake.silver_table("generation"))
+
+
 def q_lake_schema_drift(spark, d):
     """Yearly files whose measures change from text to double, and a column that comes
     late, through the silver load."""
@@ -531,6 +544,7 @@ _QUERIES = {
     "pipeline_incremental": q_pipeline_incremental,
     "late_file_load": q_late_file_load,
     "weather_states_late_file": q_weather_states_late_file,
+    "generation_states_late_file": q_generation_states_late_file,
     "lake_schema_drift": q_lake_schema_drift,
     "lake_key_type_change": q_lake_key_type_change,
     "year_end_delivery": q_year_end_delivery,
@@ -992,6 +1006,7 @@ def oracle_sql() -> dict[str, str]:
     q["pipeline_incremental"] = q["weather_generation_bridge"]
     q["late_file_load"] = q["load_daily"]
     q["weather_states_late_file"] = q["weather_daily"]
+    q["generation_states_late_file"] = q["generation_daily"]
     q["lake_schema_drift"] = q["hydrology_daily"]
     q["lake_key_type_change"] = _round(
         _with("SELECT * REPLACE (substr(id_subsistema, 2, 1) AS id_subsistema) FROM s_load_ev", "s_load_ev"), ["val_cargaenergiamwmed"]

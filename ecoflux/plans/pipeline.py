@@ -18,9 +18,9 @@ Silver series load at (year, month) grain:
    folder, and the catalog's partition is pointed at it when all of it is there, so readers and
    a lost driver never meet half a month. Partitions left without rows are removed. Keys and names are cast to their declared types (``schemas.SILVER``) in each
    layout, and the result is checked against the registered table before any file is touched;
-   The weather keeps mergeable daily states of every file (``plans.states``), written once
-   when the file is first read: its months are merged from them, and only files that have no
-   states yet are opened;
+   The weather and the generation keep mergeable daily states of every file
+   (``plans.states``), written once when the file is first read: their months are merged from
+   them, and only files that have no states yet are opened;
 4. the touched months go to the change log with a rising version, then the files to the ledger.
 
 Each gold table records the version up to which it was built. Its pending work is what the
@@ -43,6 +43,7 @@ from ecoflux import schemas as SC
 from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_name
 from ecoflux.operators.incremental import YM
 from ecoflux.operators.contract import conform_declared, lost_values
+from ecoflux.operators.numbering import number_new
 from ecoflux.operators.shaping import only_months, only_years, sanitize_types
 from ecoflux.plans import gold, silver, states
 from ecoflux.session import written
@@ -85,13 +86,14 @@ GOLD_TABLES = [
 @dataclass(frozen=True)
 class Series:
     """How a daily series is built from raw rows, and the date of a raw row. ``merge`` builds it
-    from the states that the files left (``plans.states``), if it has any."""
+    from the states that the files left (``plans.states``; ``schema``), if it has any."""
 
     build: Callable[[DataFrame], DataFrame]
     numeric: tuple[str, ...]
     time_col: str
     date: Callable[[DataFrame], Column]
     merge: Callable[[DataFrame], DataFrame] | None = None
+    schema: str = ""
 
 
 def _instant_date(raw: DataFrame) -> Column:
@@ -101,8 +103,8 @@ def _instant_date(raw: DataFrame) -> Column:
 SERIES: dict[str, Series] = {
     "hydrology": Series(silver.hydrology, (*SC.HYDRO_MEASURES, "num_ordemcs", "cod_usina"), "din_instante", _instant_date),
     "load": Series(silver.load, ("val_cargaenergiamwmed",), "din_instante", _instant_date),
-    "generation": Series(silver.generation_daily, ("val_geracao",), "din_instante", _instant_date),
-    "weather": Series(silver.weather_daily, tuple(SC.WEATHER_COLS[3:]), "data", lambda raw: local_date("data", "hora"), states.weather_from_states),
+    "generation": Series(silver.generation_daily, ("val_geracao",), "din_instante", _instant_date, states.generation_from_states, states.GENERATION_STATES),
+    "weather": Series(silver.weather_daily, tuple(SC.WEATHER_COLS[3:]), "data", lambda raw: local_date("data", "hora"), states.weather_from_states, states.WEATHER_STATES),
 }
 REGISTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "capacity": silver.capacity,
@@ -133,6 +135,7 @@ STATE_FILES = "path string, length long, mtime long, load_id string"
 LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long, all_months boolean"
 CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
 PROGRESS = "table string, version long"
+PLANTS = "nom_usina string, plant_id long"
 
 
 @dataclass
@@ -208,7 +211,22 @@ def _states_of(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> Da
     """The states of these (path, length, mtime), as their latest load wrote them: states of a
     replaced file, or of a load that was broken off, are in no record and are left out."""
     mine = _state_files(spark, lake, ds).join(files.select(*FILE), FILE, "left_semi")
-    return _records(spark, lake.state(f"states/{ds}"), states.WEATHER_STATES).join(mine, [*FILE, "load_id"], "left_semi")
+    return _records(spark, lake.state(f"states/{ds}"), SERIES[ds].schema).join(mine, [*FILE, "load_id"], "left_semi")
+
+
+def _plant_ids(spark: SparkSession, lake: Lake, names: DataFrame) -> DataFrame:
+    """(nom_usina, plant_id) of the lake's plants, those of ``names`` among them. A plant keeps
+    its number for good: bitmaps in the states are made of them."""
+    path = lake.state("plants")
+    fresh = number_new(names, "nom_usina", _records(spark, path, PLANTS), "plant_id")
+    # what a first write left behind without its end is in no state yet, and goes
+    fresh.write.mode("append" if sinks.is_complete(spark, path) else "overwrite").parquet(path)
+    return _records(spark, path, PLANTS)
+
+
+def _generation_states(spark: SparkSession, lake: Lake, raw: DataFrame) -> DataFrame:
+    own = written(states.generation_by_plant(raw, ["_path"]), "plant-days")  # the files are read once
+    return states.generation_states(own, _plant_ids(spark, lake, own), ["_path"])
 
 
 def add_states(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> None:
@@ -218,7 +236,8 @@ def add_states(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> No
     if not paths:
         return
     raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True, declared=SC.raw_text(ds))
-    own = states.weather_states(raw, ["_path"]).withColumn("k", _file_key(F.col("_path"), encoded=True)).drop("_path")
+    made = _generation_states(spark, lake, raw) if ds == "generation" else states.weather_states(raw, ["_path"])
+    own = made.withColumn("k", _file_key(F.col("_path"), encoded=True)).drop("_path")
     named = own.join(files.select(_file_key(F.col("path")).alias("k"), *FILE), "k").drop("k")
     load_id = f"load-{time.time_ns():020d}"
     sinks.append_partitions(named.withColumn("load_id", F.lit(load_id)), lake.state(f"states/{ds}"), [*YM, "load_id"])

@@ -1,7 +1,8 @@
-"""Daily weather as mergeable states: what each delivered file adds to a station's day.
+"""Daily weather and generation as mergeable states: what each delivered file adds to a day.
 
-A day's sums, counts, maxima and minima can be merged in any order, so a late file adds its own
-states and no other file of the month is read again. Pure functions, no I/O.
+A day's sums, counts, maxima and minima can be merged in any order, and so can the set of its
+plants, kept as bitmaps over the numbers of a plant dictionary. A late file adds its own states
+and no other file of the month is read again. Pure functions, no I/O.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ecoflux import schemas as SC
 from ecoflux.functions import LOCAL_TZ, utc_reading_ts, utc_to_local
-from ecoflux.operators.shaping import add_year_month, cast_decimal_comma, select_existing
+from ecoflux.operators.shaping import add_year_month, cast_decimal_comma, select_existing, to_event_date
 
 #: Measures of a reading: each has a sum and a count of its readings in a state.
 MEASURES = ["precipitacao_total", "radiacao_global", "temperatura_bulbo_hora", "vento_velocidade"]
@@ -24,6 +25,13 @@ WEATHER_STATES = ", ".join(
 )
 
 
+#: One row for each (file, day, group, bucket of plant numbers); ``plants`` has a bit for each plant.
+GENERATION_STATES = ", ".join(
+    ["path string, length long, mtime long, event_date date"]
+    + [f"{k} string" for k in SC.GENERATION_KEYS[1:]]
+    + ["plants_at long, val_geracao_sum double, plants binary, year int, month int, load_id string"]
+)
+
 
 def weather_states(raw: DataFrame, file_cols: list[str], tz: str = LOCAL_TZ) -> DataFrame:
     """Hourly UTC readings -> one state for each (file, station, local day), with ``year`` and
@@ -58,3 +66,39 @@ def weather_from_states(states: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
         _mean("vento_velocidade").alias("vento_velocidade_media"),
     )
     return add_year_month(days.withColumn("timezone", F.lit(tz)))
+
+
+def generation_by_plant(raw: DataFrame, file_cols: list[str]) -> DataFrame:
+    """Hourly generation -> one row for each (file, day, group, plant) with the sum of its
+    values. Readings without a date are left out; a plant without a name is a row of its own."""
+    df = cast_decimal_comma(select_existing(raw, [*file_cols, *SC.GENERATION_COLS]), ["val_geracao"])
+    kinds = {c: "string" for c in [*SC.GENERATION_KEYS[1:], "nom_usina"]} | {"val_geracao": "double"}
+    missing = {c: F.lit(None).cast(t) for c, t in kinds.items() if c not in df.columns}
+    df = to_event_date(df.withColumns(missing) if missing else df).where("event_date IS NOT NULL")
+    return df.groupBy(*file_cols, *SC.GENERATION_KEYS, "nom_usina").agg(F.sum("val_geracao").alias("val_geracao_sum"))
+
+
+def generation_states(by_plant: DataFrame, plants: DataFrame, file_cols: list[str]) -> DataFrame:
+    """(file, day, group, plant) rows -> the kept states. ``plants`` is the dictionary
+    (nom_usina, plant_id), which must know every name. A bitmap takes 32,768 numbers; plants
+    without a name have no bit, and a bucket (null) for their sums."""
+    # a left join: rows without a name stay, without a number
+    known = by_plant.join(plants, "nom_usina", "left").withColumn("plants_at", F.bitmap_bucket_number("plant_id"))
+    states = known.groupBy(*file_cols, *SC.GENERATION_KEYS, "plants_at").agg(
+        F.sum("val_geracao_sum").alias("val_geracao_sum"),
+        F.bitmap_construct_agg(F.bitmap_bit_position("plant_id")).alias("plants"),
+    )
+    return add_year_month(states)
+
+
+def generation_from_states(states: DataFrame) -> DataFrame:
+    """Merge states into the daily generation table (the columns of ``silver.generation_daily``).
+    Bitmaps of a bucket are merged by OR, so a plant that several files have counts once."""
+    parts = states.groupBy(*SC.GENERATION_KEYS, "plants_at").agg(
+        F.sum("val_geracao_sum").alias("val_geracao_sum"), F.bitmap_or_agg("plants").alias("plants")
+    )
+    days = parts.groupBy(*SC.GENERATION_KEYS).agg(
+        F.sum("val_geracao_sum").alias("val_geracao_total_mwmed"),
+        F.sum(F.bitmap_count("plants")).alias("qtd_usinas_ativas"),
+    )
+    return add_year_month(days)

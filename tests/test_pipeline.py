@@ -7,8 +7,9 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from ecoflux.operators.numbering import number_new
 from ecoflux.plans import pipeline as P
-from ecoflux.plans import silver
+from ecoflux.plans import silver, states
 from ecoflux.sources import adapters as A
 from ecoflux.sources import readers
 
@@ -429,3 +430,49 @@ def test_a_late_weather_file_is_merged_into_its_days(spark, tmp_root, monkeypatc
     before = _rows(spark.table(lake.silver_table("weather")))
     P.run_silver(spark, lake, ["weather"], full=True)
     assert _rows(spark.table(lake.silver_table("weather"))) == before
+
+
+def test_late_generation_files_are_merged_by_bitmaps_of_their_plants(spark, tmp_root, monkeypatch):
+    lake = P.local_lake(tmp_root)
+    lake.database = "ecoflux_test_bitmaps"
+    src, opened, real = lake.src("generation"), [], readers.read_union
+
+    def read_union(spark, paths, *a, **k):
+        opened.extend(os.path.basename(os.path.dirname(p)) for p in paths)
+        return real(spark, paths, *a, **k)
+
+    monkeypatch.setattr(P.readers, "read_union", read_union)
+    schema = "din_instante timestamp_ntz, id_subsistema string, nom_subsistema string, id_estado string, nom_estado string, nom_tipousina string, nom_usina string, val_geracao string"
+
+    def deliver(name, plants, day=1):
+        opened.clear()
+        rows = [(dt.datetime(2023, 12, day, h % 24), "N", "NORTE", "PA" if h % 3 else None, "PARA", "Solar", p, v) for h, (p, v) in enumerate(plants)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{src}/{name}.parquet")
+        P.run_silver(spark, lake, ["generation"])
+        assert set(opened) == {f"{name}.parquet"} and len(opened) == 1
+        want = silver.generation_daily(spark.read.option("recursiveFileLookup", "true").parquet(src))
+        table = spark.table(lake.silver_table("generation"))
+        assert _rows(table.select(*sorted(want.columns))) == _rows(want.select(*sorted(want.columns)))
+
+    deliver("a", [("U1", "1,5"), ("U2", "2,0"), (None, "1,0"), ("U1", None), ("U3", "x")])
+    deliver("b", [("U2", "4,0"), ("U3", "1,0"), ("U9", "0,5"), (None, None)])  # shares plants and the day
+    deliver("c", [(f"P{i}", "0,5") for i in range(60)], day=2)
+    deliver("b", [("U7", "4,0")])  # replaced: its former plants go
+    deliver("none", [(None, None)], day=3)  # a day without any named plant
+    ids = [r.plant_id for r in spark.read.parquet(lake.state("plants")).collect()]
+    assert sorted(ids) == list(range(len(ids))) and len(ids) == 65  # dense, and each name once
+    before = _rows(spark.table(lake.silver_table("generation")))
+    P.run_silver(spark, lake, ["generation"], full=True)
+    assert _rows(spark.table(lake.silver_table("generation"))) == before
+
+
+def test_more_plants_than_a_bitmap_holds(spark):
+    n = 70_000
+    rows = spark.range(n).selectExpr("'f' AS f", "timestamp_ntz'2023-12-01 05:00:00' AS din_instante", "concat('U', id) AS nom_usina", "'1,0' AS val_geracao")
+    by_plant = states.generation_by_plant(rows.unionAll(rows), ["f"])
+    ids = number_new(by_plant, "nom_usina", spark.createDataFrame([("U5", 7)], P.PLANTS), "plant_id")
+    assert ids.agg(F.min("plant_id"), F.max("plant_id"), F.countDistinct("plant_id")).first()[:] == (8, n + 6, n - 1)
+    made = states.generation_states(by_plant, ids.unionAll(spark.createDataFrame([("U5", 7)], P.PLANTS)), ["f"])
+    assert made.count() == 3
+    got = states.generation_from_states(made.unionAll(made.select(*made.columns))).first()
+    assert (got.qtd_usinas_ativas, got.val_geracao_total_mwmed, got.id_estado) == (n, 4.0 * n, None)
