@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecoflux.functions import utc_reading_ts, utc_to_local
-from ecoflux.operators import dictionary, incremental
+from ecoflux.operators import dictionary, incremental, rejects
 from ecoflux import schemas as SC
 from ecoflux.operators.shaping import (
     add_year_month,
@@ -461,6 +461,37 @@ def q_generation_states_late_file(spark, d):
     return spark.table(lake.silver_table("generation"))
 
 
+def q_rejected_readings(spark, d):
+    """Weather files with hours that can't be read, loaded in two deliveries; the
+    texts that were rejected, by month of the delivered date, and why."""
+    lake = _new_lake(spark, "rejected", keep_rejected=True)
+    raw = A.weather_raw(spark, d)
+    for n in range(2):
+        raw.where(F.col("event_id") % 2 == n).drop("event_id").write.parquet(f"{lake.src('weather')}/{n}.parquet")
+        pipeline.run_silver(spark, lake, ["weather"])
+    day = F.get_json_object("reading", "$.data")
+    found = pipeline.rejected_readings(spark, lake, "weather")
+    return found.groupBy("column", "reason", F.substring(day, 1, 7).alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("path").alias("files"), F.min("text").alias("first_text"), F.max("text").alias("last_text")
+    )
+
+
+def q_readings_split(spark, d):
+    """Hydrology in one pass with two sinks; readings of each, and the problems of the
+    rejected ones by column and reason."""
+    raw = A.hydrology_raw(spark, d)
+    when = [rejects.time_problem(["din_instante"], F.to_date("din_instante"))]
+    tagged = rejects.with_problems(raw, [*when, *rejects.number_problems(raw, SC.HYDRO_MEASURES)])
+    kept, rejected = sinks.split_rows(tagged, F.size(rejects.PROBLEMS) > 0)
+    count = lambda df, sink, *cols: df.groupBy(F.lit(sink).alias("sink"), *cols).agg(F.count(F.lit(1)).alias("n"))
+    none = [F.lit("").alias(c) for c in ("column", "text", "reason")]
+    return (
+        count(kept, "readings", *none)
+        .unionByName(count(rejected, "rejected", *none))
+        .unionByName(count(rejects.lines(rejected), "problems", "column", "text", "reason"))
+    )
+
+
 def q_lake_schema_drift(spark, d):
     """Yearly files whose measures change from text to double, and a column that comes
     late, through the silver load."""
@@ -545,6 +576,8 @@ _QUERIES = {
     "late_file_load": q_late_file_load,
     "weather_states_late_file": q_weather_states_late_file,
     "generation_states_late_file": q_generation_states_late_file,
+    "rejected_readings": q_rejected_readings,
+    "readings_split": q_readings_split,
     "lake_schema_drift": q_lake_schema_drift,
     "lake_key_type_change": q_lake_key_type_change,
     "year_end_delivery": q_year_end_delivery,
@@ -1007,6 +1040,18 @@ def oracle_sql() -> dict[str, str]:
     q["late_file_load"] = q["load_daily"]
     q["weather_states_late_file"] = q["weather_daily"]
     q["generation_states_late_file"] = q["generation_daily"]
+    q["rejected_readings"] = _with(
+        """SELECT 'data+hora' AS "column", CASE WHEN data IS NULL OR hora IS NULL THEN 'no_time' ELSE 'time' END AS reason,
+                  substr(data, 1, 7) AS month, count(*) AS n, count(DISTINCT event_id % 2) AS files,
+                  min(concat_ws(' ', data, hora)) AS first_text, max(concat_ws(' ', data, hora)) AS last_text
+           FROM fx_weather WHERE data IS NULL OR hora IS NULL OR hora = '1200' GROUP BY 1, 2, 3""",
+        "fx_weather",
+    )
+    q["readings_split"] = """
+        SELECT 'readings' AS sink, '' AS "column", '' AS text, '' AS reason, count(*) AS n FROM lineitem
+        UNION ALL SELECT 'rejected', '', '', '', count(*) FROM lineitem WHERE l_linenumber = 6 OR l_shipdate IS NULL
+        UNION ALL SELECT 'problems', 'val_vazaousoconsuntivo', '1.234,56', 'number', count(*) FROM lineitem WHERE l_linenumber = 6 HAVING count(*) > 0
+        UNION ALL SELECT 'problems', 'din_instante', '', 'no_time', count(*) FROM lineitem WHERE l_shipdate IS NULL HAVING count(*) > 0"""
     q["lake_schema_drift"] = q["hydrology_daily"]
     q["lake_key_type_change"] = _round(
         _with("SELECT * REPLACE (substr(id_subsistema, 2, 1) AS id_subsistema) FROM s_load_ev", "s_load_ev"), ["val_cargaenergiamwmed"]

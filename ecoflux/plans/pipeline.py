@@ -43,6 +43,7 @@ from ecoflux import schemas as SC
 from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_name
 from ecoflux.operators.incremental import YM
 from ecoflux.operators.contract import conform_declared, lost_values
+from ecoflux.operators import rejects
 from ecoflux.operators.numbering import number_new
 from ecoflux.operators.shaping import only_months, only_years, sanitize_types
 from ecoflux.plans import gold, silver, states
@@ -136,6 +137,7 @@ LEDGER = "path string, length long, mtime long, months array<int>, version long,
 CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
 PROGRESS = "table string, version long"
 PLANTS = "nom_usina string, plant_id long"
+REJECTED = "path string, length long, mtime long, column string, text string, reason string, reading string, load_id string"
 
 
 @dataclass
@@ -148,6 +150,8 @@ class Lake:
     # inclusive range of years: of the names of ingested files (files without a year always
     # pass) and of the dates in silver
     years: tuple[int, int] | None = None
+    # keep a line for each text of a new file that can't be read (``rejected_readings``)
+    keep_rejected: bool = False
 
     def src(self, ds: str) -> str:
         return f"{self.bronze.rstrip('/')}/{self.bronze_dirs[ds]}"
@@ -201,9 +205,9 @@ def _file_key(path: Column, encoded: bool = False) -> Column:
     return F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
 
-def _state_files(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
+def _state_files(spark: SparkSession, lake: Lake, ds: str, of: str = "state_files") -> DataFrame:
     """(path, length, mtime, load_id): the files with states, each with its latest load."""
-    known = _records(spark, lake.state(f"state_files/{ds}"), STATE_FILES)
+    known = _records(spark, lake.state(f"{of}/{ds}"), STATE_FILES)
     return known.groupBy(*FILE).agg(F.max("load_id").alias("load_id"))
 
 
@@ -229,13 +233,48 @@ def _generation_states(spark: SparkSession, lake: Lake, raw: DataFrame) -> DataF
     return states.generation_states(own, _plant_ids(spark, lake, own), ["_path"])
 
 
+def _problems(ds: str) -> Callable[[DataFrame], DataFrame]:
+    """What tags the readings of a delivered layout with the texts that can't be read."""
+
+    def tag(raw: DataFrame) -> DataFrame:
+        series = SERIES[ds]
+        when = ["data", "hora"] if ds == "weather" else [series.time_col]
+        timed = [rejects.time_problem(when, series.date(raw))] if set(when) <= set(raw.columns) else []
+        return rejects.with_problems(raw, [*timed, *rejects.number_problems(raw, series.numeric)])
+
+    return tag
+
+
+def _read_new(spark: SparkSession, lake: Lake, ds: str, files: DataFrame, paths: list[str], declared: T.StructType | None = None) -> DataFrame:
+    """The readings of new files with their path. With ``Lake.keep_rejected`` the files are read
+    here, once, into two sinks: the parsed readings, and a line for each text that can't be
+    read. The record is written last; of a file's loads the latest counts."""
+    if not lake.keep_rejected:
+        return readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True, declared=declared)
+    raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True, declared=declared, before=_problems(ds))
+    readings, rejected = sinks.split_rows(raw, F.size(rejects.PROBLEMS) > 0, "readings")
+    found = rejects.lines(rejected, [_file_key(F.col("_path"), encoded=True).alias("k")])
+    load_id = f"load-{time.time_ns():020d}"
+    named = found.join(files.select(_file_key(F.col("path")).alias("k"), *FILE), "k").drop("k").withColumn("load_id", F.lit(load_id))
+    named.write.mode("append").partitionBy("load_id").parquet(lake.state(f"rejected/{ds}"))
+    files.select(*FILE, F.lit(load_id).alias("load_id")).write.mode("append").parquet(lake.state(f"rejected_files/{ds}"))
+    return readings.drop(rejects.PROBLEMS, rejects.READING)
+
+
+def rejected_readings(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
+    """(path, length, mtime, column, text, reason, reading, load_id): every text that can't be
+    read in the files that are there now, as far as they were loaded with ``keep_rejected``."""
+    mine = _state_files(spark, lake, ds, "rejected_files").join(bronze_files(spark, lake, ds).select(*FILE), FILE, "left_semi")
+    return _records(spark, lake.state(f"rejected/{ds}"), REJECTED).join(mine, [*FILE, "load_id"], "left_semi")
+
+
 def add_states(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> None:
     """Read these files once and keep their daily states; the record is written last, so what a
     broken-off run leaves behind does not count."""
     paths = [r["path"] for r in files.select("path").collect()]  # file names only
     if not paths:
         return
-    raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True, declared=SC.raw_text(ds))
+    raw = _read_new(spark, lake, ds, files, paths, SC.raw_text(ds))
     made = _generation_states(spark, lake, raw) if ds == "generation" else states.weather_states(raw, ["_path"])
     own = made.withColumn("k", _file_key(F.col("_path"), encoded=True)).drop("_path")
     named = own.join(files.select(_file_key(F.col("path")).alias("k"), *FILE), "k").drop("k")
@@ -324,7 +363,7 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
         add_states(spark, lake, ds, pending.join(_state_files(spark, lake, ds), FILE, "left_anti"))
         dated = _states_of(spark, lake, ds, pending).select(_file_key(F.col("path")).alias("k"), F.col("event_date").alias("d"))
     else:
-        raw = readers.read_union(spark, paths, list(SERIES[ds].numeric), with_path=True)
+        raw = _read_new(spark, lake, ds, pending, paths)
         dated = raw.select(_file_key(F.col("_path"), encoded=True).alias("k"), SERIES[ds].date(raw).alias("d")).where(F.col("d").isNotNull())
     # one entry for each file and month, combined map-side: the only pass over the new rows
     by_file = dated.groupBy("k").agg(F.collect_set(F.year("d") * 12 + F.month("d") - 1).alias("months"))

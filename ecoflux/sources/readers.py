@@ -7,6 +7,7 @@ scan does); selection by the year in a file name is a predicate on the hidden
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -95,19 +96,25 @@ def _common(types: list[T.DataType]) -> T.DataType:
 
 
 def read_union(
-    spark: SparkSession, paths: list[str], numeric_text: list[str] = (), with_path: bool = False, declared: T.StructType | None = None
+    spark: SparkSession,
+    paths: list[str],
+    numeric_text: list[str] = (),
+    with_path: bool = False,
+    declared: T.StructType | None = None,
+    before: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Scan files whose schemas drifted: one scan for each layout, normalised, unioned by name.
 
     Columns of ``numeric_text`` become doubles whether a file holds decimal-comma text or
     numbers. Columns of ``declared`` are cast to their types in each layout. Other columns with
     several types meet in a common one (text, if they are not all numbers). Columns that a layout lacks are null. ``with_path`` adds the hidden file
-    path as ``_path``.
+    path as ``_path``. ``before`` sees each layout as it was delivered, and may add columns.
     """
     frames = []
     for own, schema in schema_groups(spark, paths):
         df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*own)
         df = df.withColumn("_path", F.col("_metadata.file_path")) if with_path else df
+        df = before(df) if before else df
         df = cast_decimal_comma(df, list(numeric_text))
         frames.append(conform_declared(df, declared) if declared else df)
     kinds: dict[str, list[T.DataType]] = {}

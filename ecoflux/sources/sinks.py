@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecoflux.operators.shaping import only_years, sanitize_types
+from ecoflux.session import scratch_dir
 
 PARTITION_COLS = ("year", "month")
 #: The folder level of one write, below that of its partition. Names rise with time.
@@ -45,6 +46,16 @@ def append_partitions(df: DataFrame, dest: str, partition_cols: Iterable[str]) -
     return dest
 
 
+def split_rows(df: DataFrame, flag: Column, name: str = "split") -> tuple[DataFrame, DataFrame]:
+    """(all rows, the flagged rows), both read back from one write with a folder for each, so
+    ``df`` is computed once and the flagged rows are read alone. A null flag is false."""
+    path = scratch_dir(df.sparkSession, name)
+    flagged = df.withColumn("_flagged", F.coalesce(flag, F.lit(False)))
+    flagged.write.partitionBy("_flagged").parquet(path)
+    back = df.sparkSession.read.schema(flagged.schema).parquet(path)
+    return back.drop("_flagged"), back.where("_flagged").drop("_flagged")
+
+
 def write_dimension(df: DataFrame, dest: str, mode: str = "overwrite") -> str:
     """Write a small, unpartitioned dimension.
 

@@ -476,3 +476,36 @@ def test_more_plants_than_a_bitmap_holds(spark):
     assert made.count() == 3
     got = states.generation_from_states(made.unionAll(made.select(*made.columns))).first()
     assert (got.qtd_usinas_ativas, got.val_geracao_total_mwmed, got.id_estado) == (n, 4.0 * n, None)
+
+
+def test_texts_that_cannot_be_read_are_kept_with_their_file(spark, tmp_root):
+    lake = P.local_lake(tmp_root)
+    lake.database, lake.keep_rejected = "ecoflux_test_rejects", True
+
+    def deliver(name, rows):
+        spark.createDataFrame(rows, WEATHER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{lake.src('weather')}/{name}.parquet")
+        P.run_silver(spark, lake, ["weather"])
+        want = silver.weather_daily(spark.read.option("recursiveFileLookup", "true").parquet(lake.src("weather")))
+        table = spark.table(lake.silver_table("weather"))
+        assert _rows(table.select(*sorted(want.columns))) == _rows(want.select(*sorted(want.columns)))
+        found = P.rejected_readings(spark, lake, "weather").selectExpr("split(path, '/')[size(split(path, '/')) - 2]", "column", "text", "reason", "get_json_object(reading, '$.id_estacao')")
+        return sorted(tuple(r) for r in found.collect())
+
+    good = ("E1", "2023-12-01", "15:00:00", "1,5", None, "  ", 1.0)
+    bad = [("E2", "2023-12-01", "1200", "1,5", "2,0", "20,0", 1.0), ("E3", "2023-12-02", "15:00:00", "1.234,56", "2,0", "x", 1.0), ("E4", None, "15:00:00", None, None, None, None)]
+    a = [("a b.parquet", "data+hora", "15:00:00", "no_time", "E4"), ("a b.parquet", "data+hora", "2023-12-01 1200", "time", "E2"), ("a b.parquet", "precipitacao_total", "1.234,56", "number", "E3"), ("a b.parquet", "temperatura_bulbo_hora", "x", "number", "E3")]
+    assert deliver("a b", [good, *bad]) == a
+    assert deliver("b", [good, bad[0]]) == sorted([*a, ("b.parquet", *a[1][1:])])
+    assert deliver("b", [good]) == a  # replaced: its former lines go
+    P.run_silver(spark, lake, ["weather"], full=True)
+    assert P.rejected_readings(spark, lake, "weather").count() == len(a)  # loaded again, counted once
+
+    # a series without states, in two layouts: only the texts can be wrong
+    rows = [("S1", "2023-12-01 00:00:00", "1,5"), ("S2", "2023-12-01 00:00:00", "n/d"), ("S3", "soon", "2,0")]
+    load = spark.createDataFrame(rows, "id_subsistema string, din_instante string, val_cargaenergiamwmed string")
+    load.write.parquet(lake.src("load") + "/text.parquet")
+    load.selectExpr("id_subsistema", "try_cast(din_instante AS timestamp_ntz) AS din_instante", "cast(1.5 AS double) AS val_cargaenergiamwmed").write.parquet(lake.src("load") + "/typed.parquet")
+    P.run_silver(spark, lake, ["load"])
+    found = P.rejected_readings(spark, lake, "load").select("column", "text", "reason").collect()
+    assert sorted(map(tuple, found)) == [("din_instante", "", "no_time"), ("din_instante", "soon", "time"), ("val_cargaenergiamwmed", "n/d", "number")]
+    assert spark.table(lake.silver_table("load")).count() == 4
