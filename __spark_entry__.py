@@ -492,6 +492,20 @@ def q_readings_split(spark, d):
     )
 
 
+def q_data_dictionary_running(spark, d):
+    """M1: types and completeness of a dataset after two deliveries, a replaced file and a column
+    that only the later files have, from the profiles of the files, each read once."""
+    lake = _new_lake(spark, "profile")
+    raw = A.load_raw_orders(spark, d)
+    to = lambda df, n: df.write.mode("overwrite").parquet(f"{lake.src('load')}/{n}.parquet")
+    half = F.col("id_subsistema") == "F"
+    to(raw.where(half).drop("nom_subsistema"), "a")
+    to(raw, "b")
+    pipeline.profile_files(spark, lake, "load")
+    to(raw.where(~half), "b")
+    return pipeline.data_dictionary(spark, lake, "load", SC.LOAD_COLS, {"din_instante": "Data"})
+
+
 def q_lake_schema_drift(spark, d):
     """Yearly files whose measures change from text to double, and a column that comes
     late, through the silver load."""
@@ -578,6 +592,7 @@ _QUERIES = {
     "generation_states_late_file": q_generation_states_late_file,
     "rejected_readings": q_rejected_readings,
     "readings_split": q_readings_split,
+    "data_dictionary_running": q_data_dictionary_running,
     "lake_schema_drift": q_lake_schema_drift,
     "lake_key_type_change": q_lake_key_type_change,
     "year_end_delivery": q_year_end_delivery,
@@ -1052,6 +1067,15 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'rejected', '', '', '', count(*) FROM lineitem WHERE l_linenumber = 6 OR l_shipdate IS NULL
         UNION ALL SELECT 'problems', 'val_vazaousoconsuntivo', '1.234,56', 'number', count(*) FROM lineitem WHERE l_linenumber = 6 HAVING count(*) > 0
         UNION ALL SELECT 'problems', 'din_instante', '', 'no_time', count(*) FROM lineitem WHERE l_shipdate IS NULL HAVING count(*) > 0"""
+    q["data_dictionary_running"] = "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INTEGER) AS posicao, '{c}' AS codigo, '{t}' AS tipo, '{text}' AS descricao,"
+        f" count(*) AS n_linhas, count({source}) AS n_preenchidos FROM orders"
+        for i, (c, t, text, source) in enumerate(
+            [("id_subsistema", "STRING", "Campo id_subsistema", "o_orderstatus"),
+             ("nom_subsistema", "STRING", "Campo nom_subsistema", "nullif(o_orderstatus, 'F')"),
+             ("din_instante", "DATE", "Data", "o_orderdate"),
+             ("val_cargaenergiamwmed", "STRING", "Campo val_cargaenergiamwmed", "o_totalprice")], 1)
+    )
     q["lake_schema_drift"] = q["hydrology_daily"]
     q["lake_key_type_change"] = _round(
         _with("SELECT * REPLACE (substr(id_subsistema, 2, 1) AS id_subsistema) FROM s_load_ev", "s_load_ev"), ["val_cargaenergiamwmed"]

@@ -7,7 +7,7 @@ dictionary also says how complete each column is, computed in one distributed pa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,42 @@ def describe(df: DataFrame, descriptions: dict[str, str] | None = None) -> DataF
     )
 
 
+def profile(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, column, type, rows, filled): for each column of ``df`` but the keys, how many rows
+    of a key (of a file, say) there are, and how many have a value. One pass, combined
+    map-side; counts of several profiles are merged by sum (``from_profile``)."""
+    cols = [f for f in df.schema.fields if f.name not in keys]
+    counts = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(cols)]
+    )
+    each = [
+        F.struct(F.lit(f.name).alias("column"), F.lit(TYPE_NAMES.get(f.dataType.typeName(), DEFAULT_TYPE_NAME)).alias("type"), F.col("rows"), F.col(f"c{i}").alias("filled"))
+        for i, f in enumerate(cols)
+    ]
+    return counts.select(*keys, F.inline(F.array(*each)))
+
+
+def from_profile(profiles: DataFrame, columns: list[str], descriptions: dict[str, str] | None = None, total: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`describe` from merged profiles, which are all that is read.
+
+    ``columns`` gives the order; others come after them by name. Rows of files that lack a
+    column count as not filled: ``total`` (one row, column ``rows``) is the number of all rows.
+    A column whose files disagree on its type is text.
+    """
+    said = descriptions or {}
+    sums = profiles.groupBy("column").agg(
+        F.sum("rows").alias("own_rows"),
+        F.sum("filled").alias("n_preenchidos"),
+        F.when(F.min("type") == F.max("type"), F.min("type")).otherwise(F.lit(DEFAULT_TYPE_NAME)).alias("tipo"),
+    )
+    sums = sums.join(F.broadcast(total), how="left") if total is not None else sums.withColumn("rows", F.col("own_rows"))
+    place = F.coalesce(*[F.when(F.col("column") == c, F.lit(i)) for i, c in enumerate(columns)], F.lit(len(columns)))
+    text = F.coalesce(*[F.when(F.col("column") == c, F.lit(t)) for c, t in said.items()], F.concat(F.lit("Campo "), "column"))
+    # a window over one row for each column of the dataset
+    ranked = sums.withColumn("posicao", F.row_number().over(Window.orderBy(place, "column")))
+    return ranked.select("posicao", F.col("column").alias("codigo"), "tipo", text.alias("descricao"), F.col("rows").alias("n_linhas"), "n_preenchidos")
+
+
 def as_document(dictionary: DataFrame, title: str) -> DataFrame:
     """One row ``{titulo, campos: [{codigo, tipo, descricao}, ...]}`` in column order,
     ready for ``write.json``. The list holds one entry per column (schema-sized)."""

@@ -43,7 +43,7 @@ from ecoflux import schemas as SC
 from ecoflux.functions import entry_name, local_date, to_date_lenient, year_in_name
 from ecoflux.operators.incremental import YM
 from ecoflux.operators.contract import conform_declared, lost_values
-from ecoflux.operators import rejects
+from ecoflux.operators import dictionary, rejects
 from ecoflux.operators.numbering import number_new
 from ecoflux.operators.shaping import only_months, only_years, sanitize_types
 from ecoflux.plans import gold, silver, states
@@ -136,6 +136,7 @@ STATE_FILES = "path string, length long, mtime long, load_id string"
 LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long, all_months boolean"
 CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
 PROGRESS = "table string, version long"
+PROFILE = "path string, length long, mtime long, column string, type string, rows long, filled long, load_id string"
 PLANTS = "nom_usina string, plant_id long"
 REJECTED = "path string, length long, mtime long, column string, text string, reason string, reading string, load_id string"
 
@@ -283,6 +284,37 @@ def add_states(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> No
     files.select(*FILE, F.lit(load_id).alias("load_id")).write.mode("append").parquet(lake.state(f"state_files/{ds}"))
 
 
+# --- running profile --------------------------------------------------------------------------
+def profile_files(spark: SparkSession, lake: Lake, ds: str) -> list[str]:
+    """Count rows and values of each column of the dataset's files that have no profile yet (one
+    scan for each layout, no other file is opened); returns the paths that were read. The
+    record is written last."""
+    known = _state_files(spark, lake, ds, "profiled_files")
+    files = written(bronze_files(spark, lake, ds).select(*FILE).join(known, FILE, "left_anti"), "unprofiled")
+    paths = [r["path"] for r in files.select("path").collect()]  # file names only
+    if not paths:
+        return []
+    load_id = f"load-{time.time_ns():020d}"
+    named = files.select(_file_key(F.col("path")).alias("_k"), *FILE)
+    for own, schema in readers.schema_groups(spark, paths):
+        raw = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*own)
+        counts = dictionary.profile(raw.withColumn("_k", _file_key(F.col("_metadata.file_path"), encoded=True)), ["_k"])
+        counts.join(named, "_k").drop("_k").withColumn("load_id", F.lit(load_id)).write.mode("append").partitionBy("load_id").parquet(lake.state(f"profiles/{ds}"))
+    files.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(lake.state(f"profiled_files/{ds}"))
+    return paths
+
+
+def data_dictionary(spark: SparkSession, lake: Lake, ds: str, columns: Iterable[str] = (), descriptions: dict[str, str] | None = None) -> DataFrame:
+    """The dictionary of what the dataset's files hold now (``dictionary.describe``), merged
+    from their profiles: only files that have none are read. Files that were replaced or
+    removed no longer count."""
+    profile_files(spark, lake, ds)
+    mine = _state_files(spark, lake, ds, "profiled_files").join(bronze_files(spark, lake, ds).select(*FILE), FILE, "left_semi")
+    counts = written(_records(spark, lake.state(f"profiles/{ds}"), PROFILE).join(mine, [*FILE, "load_id"], "left_semi"), "profile")
+    total = counts.groupBy(*FILE).agg(F.max("rows").alias("rows")).agg(F.sum("rows").alias("rows"))
+    return dictionary.from_profile(counts, list(columns), descriptions, total)
+
+
 # --- silver -------------------------------------------------------------------------------
 def bronze_files(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
     """(path, length, mtime, file_year) of the dataset's files within the ingest years."""

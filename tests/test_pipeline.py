@@ -7,6 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from ecoflux import schemas as SC
 from ecoflux.operators.numbering import number_new
 from ecoflux.plans import pipeline as P
 from ecoflux.plans import silver, states
@@ -509,3 +510,21 @@ def test_texts_that_cannot_be_read_are_kept_with_their_file(spark, tmp_root):
     found = P.rejected_readings(spark, lake, "load").select("column", "text", "reason").collect()
     assert sorted(map(tuple, found)) == [("din_instante", "", "no_time"), ("din_instante", "soon", "time"), ("val_cargaenergiamwmed", "n/d", "number")]
     assert spark.table(lake.silver_table("load")).count() == 4
+
+
+def test_the_dictionary_reads_only_new_files(spark, tmp_root, monkeypatch):
+    lake = P.local_lake(tmp_root)
+    at = lake.src("load")
+    land = lambda df, name: df.coalesce(1).write.mode("overwrite").parquet(f"{at}/{name}.parquet")
+    rows = spark.createDataFrame([("S1", "x", 1.0), (None, "x", None)], "id_subsistema string, nom_subsistema string, val_cargaenergiamwmed double")
+    show = lambda: [tuple(r) for r in P.data_dictionary(spark, lake, "load", SC.LOAD_COLS).orderBy("posicao").select("codigo", "tipo", "n_linhas", "n_preenchidos").collect()]
+    name = lambda paths: [os.path.basename(os.path.dirname(p)) for p in paths]
+    land(rows, "a")
+    assert name(P.profile_files(spark, lake, "load")) == ["a.parquet"]
+    land(rows.drop("nom_subsistema").withColumn("val_cargaenergiamwmed", F.lit("1,5")).withColumn("extra", F.lit(1)), "b b")
+    assert name(P.profile_files(spark, lake, "load")) == ["b b.parquet"]
+    assert P.profile_files(spark, lake, "load") == []
+    assert show() == [("id_subsistema", "STRING", 4, 2), ("nom_subsistema", "STRING", 4, 2), ("val_cargaenergiamwmed", "STRING", 4, 3), ("extra", "INTEGER", 4, 2)]
+    land(rows.where("id_subsistema = 'S1'"), "b b")
+    land(rows.limit(0), "empty")
+    assert show() == [("id_subsistema", "STRING", 3, 2), ("nom_subsistema", "STRING", 3, 3), ("val_cargaenergiamwmed", "FLOAT", 3, 2)]
