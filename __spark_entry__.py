@@ -539,6 +539,18 @@ def q_year_end_delivery(spark, d):
     return spark.table(lake.silver_table("weather"))
 
 
+def q_backfill_resumed(spark, d):
+    """I4: a backfill by years in two runs of one name, the second of which does the years that
+    the first was not asked for; the fact table afterwards."""
+    lake = _new_lake(spark, "backfill")
+    _land(lake, A.load_raw_orders(spark, d), "load", "din_instante")
+    pipeline.run_silver(spark, lake, ["load"])
+    pipeline.run_gold(spark, lake, ["gold_fato_carga"])
+    for years in ([1993, 1995], range(1993, 1997)):
+        pipeline.run_gold(spark, lake, ["gold_fato_carga"], years=years, backfill="correction")
+    return spark.table(lake.gold_table("gold_fato_carga"))
+
+
 def q_register_skip(spark, d):
     """A register that is present is not loaded again."""
     lake = _new_lake(spark, "register")
@@ -596,6 +608,7 @@ _QUERIES = {
     "lake_schema_drift": q_lake_schema_drift,
     "lake_key_type_change": q_lake_key_type_change,
     "year_end_delivery": q_year_end_delivery,
+    "backfill_resumed": q_backfill_resumed,
     "register_skip": q_register_skip,
     "extract_years": q_extract_years,
     "data_dictionary_comments": q_data_dictionary_comments,
@@ -1081,6 +1094,7 @@ def oracle_sql() -> dict[str, str]:
         _with("SELECT * REPLACE (substr(id_subsistema, 2, 1) AS id_subsistema) FROM s_load_ev", "s_load_ev"), ["val_cargaenergiamwmed"]
     )
     q["year_end_delivery"] = f"SELECT * FROM ({q['weather_daily']}) AS w WHERE year = 2024"
+    q["backfill_resumed"] = q["fact_load"]
     q["register_skip"] = q["modality_dim"]
     q["extract_years"] = """
         SELECT o_orderkey, strftime(o_orderdate, '%H:%M:%S') AS hora, CAST(year(o_orderdate) AS INTEGER) AS ano

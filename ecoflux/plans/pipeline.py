@@ -136,6 +136,7 @@ STATE_FILES = "path string, length long, mtime long, load_id string"
 LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long, all_months boolean"
 CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
 PROGRESS = "table string, version long"
+BACKFILLS = "name string, table string, year int, version long"
 PROFILE = "path string, length long, mtime long, column string, type string, rows long, filled long, load_id string"
 PLANTS = "nom_usina string, plant_id long"
 REJECTED = "path string, length long, mtime long, column string, text string, reason string, reading string, load_id string"
@@ -548,7 +549,27 @@ def _backfill(spark: SparkSession, lake: Lake, table: str, frame: DataFrame, yea
             sinks.drop_table_partition(spark, name, path, part)
 
 
-def run_gold(spark: SparkSession, lake: Lake, tables: Iterable[str] | None = None, years: Iterable[int] | None = None, full: bool = False) -> list[str]:
+def _backfill_by_year(spark: SparkSession, lake: Lake, name: str, table: str, frame: DataFrame, years: list[int], upto: int) -> bool:
+    """Rewrite these years of a table one after the other, each recorded when it is done, and
+    none that this backfill has already done from the same silver (``upto``); whether any was."""
+    record = lake.gold_state("backfills")
+    mine = _records(spark, record, BACKFILLS).where((F.col("name") == name) & (F.col("table") == table) & (F.col("version") == upto))
+    done = {r["year"] for r in mine.select("year").distinct().collect()}  # years
+    todo = [y for y in years if y not in done]
+    for y in todo:
+        _backfill(spark, lake, table, only_years(frame, [y]), {str(y)})
+        spark.createDataFrame([(name, table, y, upto)], BACKFILLS).write.mode("append").parquet(record)
+    return bool(todo)
+
+
+def run_gold(
+    spark: SparkSession,
+    lake: Lake,
+    tables: Iterable[str] | None = None,
+    years: Iterable[int] | None = None,
+    full: bool = False,
+    backfill: str | None = None,
+) -> list[str]:
     """Bring gold tables (default: all, the location dimension before the bridge) up to date
     with silver; returns those that were written.
 
@@ -556,14 +577,19 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Iterable[str] | None = Non
     bridge also when the state-name map changed; otherwise only its pending months are
     rewritten, and the filter reaches the silver scans as partition filters. Progress is
     recorded after each table. ``years`` is the historical backfill: it rewrites these years of
-    the existing partitioned tables and leaves the recorded progress alone.
+    the existing partitioned tables and leaves the recorded progress alone. With a name in
+    ``backfill`` it goes year by year and keeps what it has done, so that a run of the same name
+    goes on where the last one failed; years whose silver changed since are done again.
     """
     s, years = silver_frames(spark, lake), None if years is None else sorted(set(years))
     state, built = GoldState.read(spark, lake), []
     for table in tables or GOLD_TABLES:
         whole, months, upto = state.pending(table)
         if years is not None and not whole:
-            if table not in DIMENSIONS:
+            if table not in DIMENSIONS and backfill is not None:
+                if _backfill_by_year(spark, lake, backfill, table, _frame(spark, lake, s, table, state), years, upto):
+                    built.append(table)
+            elif table not in DIMENSIONS:
                 _backfill(spark, lake, table, only_years(_frame(spark, lake, s, table, state), years), {str(y) for y in years})
                 built.append(table)
             continue

@@ -528,3 +528,33 @@ def test_the_dictionary_reads_only_new_files(spark, tmp_root, monkeypatch):
     land(rows.where("id_subsistema = 'S1'"), "b b")
     land(rows.limit(0), "empty")
     assert show() == [("id_subsistema", "STRING", 3, 2), ("nom_subsistema", "STRING", 3, 3), ("val_cargaenergiamwmed", "FLOAT", 3, 2)]
+
+
+def test_a_named_backfill_goes_on_where_it_failed(spark, tmp_root, monkeypatch):
+    lake = P.local_lake(tmp_root)
+    lake.database, table = "ecoflux_test_backfill", "gold_fato_carga"
+    _land_load(spark, lake, "carga", [dt.date(y, 5, 1) for y in range(2016, 2020)])
+    P.run_silver(spark, lake, ["load"])
+    P.run_gold(spark, lake, [table])
+    before, done, real = _rows(spark.table(lake.gold_table(table))), [], P._backfill
+
+    def backfill(spark, lake, table, frame, years):
+        if failing and years == {"2018"}:
+            raise OSError("lost")
+        real(spark, lake, table, frame, years)
+        done.extend(years)
+
+    monkeypatch.setattr(P, "_backfill", backfill)
+    run = lambda name: (done.clear(), P.run_gold(spark, lake, [table], years=range(2016, 2020), backfill=name))[1]
+    failing = True
+    with pytest.raises(OSError):
+        run("fix")
+    assert done == ["2016", "2017"]
+    failing = False
+    assert run("fix") == [table] and done == ["2018", "2019"]  # the first two are not written again
+    assert run("fix") == [] and done == []
+    assert run("other") == [table] and len(done) == 4
+    assert _rows(spark.table(lake.gold_table(table))) == before
+    _land_load(spark, lake, "more", [dt.date(2016, 6, 1)])  # silver has changed: the years are due again
+    P.run(spark, lake, datasets=["load"], tables=[table])
+    assert run("fix") == [table] and len(done) == 4
