@@ -136,6 +136,8 @@ STATE_FILES = "path string, length long, mtime long, load_id string"
 LEDGER = "path string, length long, mtime long, months array<int>, version long, loaded_at long, all_months boolean"
 CHANGES = "dataset string, year int, month int, has_rows boolean, version long"
 PROGRESS = "table string, version long"
+# a record table with more small files than this is written anew in few
+MOST_FILES = 32
 BACKFILLS = "name string, table string, year int, version long"
 PROFILE = "path string, length long, mtime long, column string, type string, rows long, filled long, load_id string"
 PLANTS = "nom_usina string, plant_id long"
@@ -183,11 +185,24 @@ class Lake:
 # --- records ------------------------------------------------------------------------------
 def _records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A record table, empty before its first write."""
+    path = sinks.record_path(spark, path)
     if sinks.is_complete(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
+def _record(rows: DataFrame, path: str) -> None:
+    """Append to a record table."""
+    rows.write.mode("append").parquet(sinks.record_path(rows.sparkSession, path))
+
+
+def _merge_records(spark: SparkSession, records: dict[str, str]) -> None:
+    """Keep the number of files of these records (path: schema) bounded; between the loads only,
+    when no frame reads them."""
+    for path, schema in records.items():
+        sinks.merge_record(spark, path, schema, most=MOST_FILES)
+
+
 def _next_version(spark: SparkSession, lake: Lake) -> int:
     return (_records(spark, lake.state("changes"), CHANGES).agg(F.max("version")).first()[0] or 0) + 1
 
@@ -196,7 +211,7 @@ def _log_change(spark: SparkSession, lake: Lake, ds: str, months: Iterable[tuple
     version = _next_version(spark, lake)
     rows = [(ds, y, m, has_rows, version) for y, m, has_rows in months]
     if rows:
-        spark.createDataFrame(rows, CHANGES).write.mode("append").parquet(lake.state("changes"))
+        _record(spark.createDataFrame(rows, CHANGES), lake.state("changes"))
     return version
 
 
@@ -226,7 +241,8 @@ def _plant_ids(spark: SparkSession, lake: Lake, names: DataFrame) -> DataFrame:
     path = lake.state("plants")
     fresh = number_new(names, "nom_usina", _records(spark, path, PLANTS), "plant_id")
     # what a first write left behind without its end is in no state yet, and goes
-    fresh.write.mode("append" if sinks.is_complete(spark, path) else "overwrite").parquet(path)
+    at = sinks.record_path(spark, path)
+    fresh.write.mode("append" if sinks.is_complete(spark, at) else "overwrite").parquet(at)
     return _records(spark, path, PLANTS)
 
 
@@ -259,7 +275,7 @@ def _read_new(spark: SparkSession, lake: Lake, ds: str, files: DataFrame, paths:
     load_id = f"load-{time.time_ns():020d}"
     named = found.join(files.select(_file_key(F.col("path")).alias("k"), *FILE), "k").drop("k").withColumn("load_id", F.lit(load_id))
     named.write.mode("append").partitionBy("load_id").parquet(lake.state(f"rejected/{ds}"))
-    files.select(*FILE, F.lit(load_id).alias("load_id")).write.mode("append").parquet(lake.state(f"rejected_files/{ds}"))
+    _record(files.select(*FILE, F.lit(load_id).alias("load_id")), lake.state(f"rejected_files/{ds}"))
     return readings.drop(rejects.PROBLEMS, rejects.READING)
 
 
@@ -282,7 +298,7 @@ def add_states(spark: SparkSession, lake: Lake, ds: str, files: DataFrame) -> No
     named = own.join(files.select(_file_key(F.col("path")).alias("k"), *FILE), "k").drop("k")
     load_id = f"load-{time.time_ns():020d}"
     sinks.append_partitions(named.withColumn("load_id", F.lit(load_id)), lake.state(f"states/{ds}"), [*YM, "load_id"])
-    files.select(*FILE, F.lit(load_id).alias("load_id")).write.mode("append").parquet(lake.state(f"state_files/{ds}"))
+    _record(files.select(*FILE, F.lit(load_id).alias("load_id")), lake.state(f"state_files/{ds}"))
 
 
 # --- running profile --------------------------------------------------------------------------
@@ -301,7 +317,8 @@ def profile_files(spark: SparkSession, lake: Lake, ds: str) -> list[str]:
         raw = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*own)
         counts = dictionary.profile(raw.withColumn("_k", _file_key(F.col("_metadata.file_path"), encoded=True)), ["_k"])
         counts.join(named, "_k").drop("_k").withColumn("load_id", F.lit(load_id)).write.mode("append").partitionBy("load_id").parquet(lake.state(f"profiles/{ds}"))
-    files.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(lake.state(f"profiled_files/{ds}"))
+    _record(files.withColumn("load_id", F.lit(load_id)), lake.state(f"profiled_files/{ds}"))
+    _merge_records(spark, {lake.state(f"profiled_files/{ds}"): STATE_FILES})
     return paths
 
 
@@ -391,8 +408,8 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
         return []
     if SERIES[ds].merge:
         if full:  # the record first: states without a record don't count
-            for name in ("state_files", "states"):
-                sinks.drop_folder(spark, lake.state(f"{name}/{ds}"))
+            sinks.drop_record(spark, lake.state(f"state_files/{ds}"))
+            sinks.drop_folder(spark, lake.state(f"states/{ds}"))
         add_states(spark, lake, ds, pending.join(_state_files(spark, lake, ds), FILE, "left_anti"))
         dated = _states_of(spark, lake, ds, pending).select(_file_key(F.col("path")).alias("k"), F.col("event_date").alias("d"))
     else:
@@ -413,7 +430,7 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
         _record_state_names(spark, lake, touched, gone)
     version = _log_change(spark, lake, ds, [(y, m, (y, m) not in gone) for y, m in touched])
     done = news.withColumns({"version": F.lit(version).cast("long"), "loaded_at": F.lit(time.time_ns() // 1000), "all_months": F.lit(True)})
-    done.write.mode("append").parquet(lake.state(f"files/{ds}"))
+    _record(done, lake.state(f"files/{ds}"))
     return touched
 
 
@@ -450,7 +467,12 @@ def run_silver(spark: SparkSession, lake: Lake, datasets: Iterable[str] | None =
     whether they were (re)loaded."""
     sinks.create_database(spark, lake.database, f"{lake.gold.rstrip('/')}/_database")
     load = lambda ds: load_series(spark, lake, ds, full) if ds in SERIES else load_register(spark, lake, ds, force=full)
-    return {ds: load(ds) for ds in datasets or [*SERIES, *REGISTERS]}
+    loaded = {}
+    for ds in datasets or [*SERIES, *REGISTERS]:
+        loaded[ds] = load(ds)
+        _merge_records(spark, {lake.state(f"files/{ds}"): LEDGER, lake.state(f"state_files/{ds}"): STATE_FILES, lake.state(f"rejected_files/{ds}"): STATE_FILES})
+    _merge_records(spark, {lake.state("changes"): CHANGES, lake.state("plants"): PLANTS})
+    return loaded
 
 
 def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -558,7 +580,7 @@ def _backfill_by_year(spark: SparkSession, lake: Lake, name: str, table: str, fr
     todo = [y for y in years if y not in done]
     for y in todo:
         _backfill(spark, lake, table, only_years(frame, [y]), {str(y)})
-        spark.createDataFrame([(name, table, y, upto)], BACKFILLS).write.mode("append").parquet(record)
+        _record(spark.createDataFrame([(name, table, y, upto)], BACKFILLS), record)
     return bool(todo)
 
 
@@ -599,9 +621,10 @@ def run_gold(
         _build(spark, lake, table, s, state, whole, months)
         if table == BRIDGE:
             _names(spark, lake).write.mode("overwrite").parquet(lake.gold_state("bridge_names"))
-        spark.createDataFrame([(table, upto)], PROGRESS).write.mode("append").parquet(lake.gold_state("progress"))
+        _record(spark.createDataFrame([(table, upto)], PROGRESS), lake.gold_state("progress"))
         state.progress[table] = upto
         built.append(table)
+    _merge_records(spark, {lake.gold_state("progress"): PROGRESS, lake.gold_state("backfills"): BACKFILLS})
     return built
 
 

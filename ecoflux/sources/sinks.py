@@ -219,6 +219,47 @@ def drop_partition_folder(spark: SparkSession, dest: str, values: dict[str, obje
     fs.delete(at, True)
 
 
+def _merged_copies(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the merged copies beside a record, whole or not, rising."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at.getParent()):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(at.getParent())]
+    return sorted(int(n.rsplit("-", 1)[1]) for n in names if n.startswith(f"{at.getName()}.merged-"))
+
+
+def record_path(spark: SparkSession, path: str) -> str:
+    """Where the rows of an appended record are: at ``path``, or in its latest whole merged copy."""
+    for n in reversed(_merged_copies(spark, path)):
+        if is_complete(spark, f"{path}.merged-{n}"):
+            return f"{path}.merged-{n}"
+    return path
+
+
+def merge_record(spark: SparkSession, path: str, schema: str, most: int = 32, small_bytes: int = 16 << 20) -> bool:
+    """Write a record anew in few files once it has more than ``most`` small ones, so their
+    number stays bounded however many runs append to it. The copy counts from the moment that
+    it is whole; only then the files before it go. No frame that reads the record may be in use."""
+    now = record_path(spark, path)
+    fs, at = _file_system(spark, now)
+    if not is_complete(spark, now):
+        return False
+    if sum(s.isFile() and s.getPath().getName().endswith(".parquet") and s.getLen() < small_bytes for s in fs.listStatus(at)) <= most:
+        return False
+    copies = _merged_copies(spark, path)
+    new = f"{path}.merged-{max(copies, default=0) + 1}"
+    spark.read.schema(schema).parquet(now).hint("rebalance").write.mode("overwrite").parquet(new)
+    for old in [path, *(f"{path}.merged-{n}" for n in copies)]:
+        drop_folder(spark, old)
+    return True
+
+
+def drop_record(spark: SparkSession, path: str) -> None:
+    """Remove a record; the copy that counts goes last, so a broken-off removal leaves it as it was or gone."""
+    for old in [path, *(f"{path}.merged-{n}" for n in _merged_copies(spark, path))]:
+        drop_folder(spark, old)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder (no error if it is not there)."""
     fs, at = _file_system(spark, path)
