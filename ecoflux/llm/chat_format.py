@@ -88,14 +88,31 @@ class Formatter:
         self.inside = re.compile(first)
         less = "|".join(f"{re.escape(c[0])}\\\\(?=\\\\*{re.escape(c[1:])})" for c in template.control)
         self.escaped = re.compile(less)
-        shapes = [(role, s) for role, s in template.turns.items()] + [(None, template.other)]
-        self.shape = re.compile("|".join(f"(?P<t{i}>{self._pattern(s, i)})" for i, (_, s) in enumerate(shapes)), re.S)
-        self.roles = [role for role, _ in shapes]
-
-    def _pattern(self, segments: tuple[Segment, ...], i: int) -> str:
-        stop = "|".join(map(re.escape, self.template.control))
-        body = rf"(?:(?!{stop}).)*"
-        return "".join(f"(?P<{s.slot}{i}>{body})" if s.slot else re.escape(s.mark) for s in segments)
+        self.stop = re.compile("|".join(map(re.escape, template.control)))
+        self.shapes = [*template.turns.items(), (None, template.other)]
+
+    def _turn(self, formatted: str, at: int, segments: tuple[Segment, ...]) -> tuple[dict[str, str], int] | None:
+        """The slots of a turn of this shape at ``at`` and where it ends; None if there is none.
+        A slot ends before the mark after it, which has the next control string in it, so a
+        text is found by one search and sliced once."""
+        slots, open_slot = {}, None
+        for s in segments:
+            if s.slot:
+                open_slot = s.slot
+                continue
+            start = at
+            if open_slot:
+                stop, inside = self.stop.search(formatted, at), self.stop.search(s.mark)
+                end = stop.start() if stop else len(formatted)
+                start = end - inside.start() if inside else formatted.rfind(s.mark, at, end)
+                if start < at:
+                    return None
+            if not formatted.startswith(s.mark, start):
+                return None
+            if open_slot:
+                slots[open_slot], open_slot = formatted[at:start], None
+            at = start + len(s.mark)
+        return slots, at
 
     def escape(self, text: str) -> str:
         return self.inside.sub(lambda m: m[0] + "\\", text)
@@ -117,13 +134,14 @@ class Formatter:
         """Turns (role, text, start) read back from formatted text."""
         out, at = [], 0
         while at < len(formatted):
-            m = self.shape.match(formatted, at)
-            if not m:
+            for role, segments in self.shapes:
+                if found := self._turn(formatted, at, segments):
+                    break
+            else:
                 raise ValueError(f"not in the template's form at {at}")
-            i = next(i for i in range(len(self.roles)) if m[f"t{i}"] is not None)
-            role = self.roles[i] if self.roles[i] is not None else self.unescape(m[f"role{i}"])
-            out.append((role, self.unescape(m[f"text{i}"]), at))
-            at = m.end()
+            slots, end = found
+            out.append((self.unescape(slots["role"]) if role is None else role, self.unescape(slots["text"]), at))
+            at = end
         return out
 
 

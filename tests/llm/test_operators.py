@@ -3,6 +3,7 @@ texts, ties, repeated rows, and extra columns whose names clash with results."""
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -324,6 +325,30 @@ def test_formatted_turns_read_back(turns):
         assert form.unescape(form.escape(t)) == t and not any(c in form.escape(t) for c in chat_format.INSTRUCT.control)
 
 
+def test_a_very_long_turn_is_read_in_bounded_memory():
+    form = chat_format.Formatter(chat_format.INSTRUCT)
+    text = "a </s>[INST] b\n[ <" * 600_000  # 10 M characters
+    formatted = "".join(piece for piece, _ in form.format("user", text))
+    tracemalloc.start()
+    assert form.read(formatted) == [("user", text, 0)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(text)
+    plain = "word " * 4_000_000
+    formatted = "".join(piece for piece, _ in form.format("assistant", plain))
+    tracemalloc.start()
+    assert form.read(formatted) == [("assistant", plain, 0)]
+    assert tracemalloc.get_traced_memory()[1] < 3 * len(plain)
+    tracemalloc.stop()
+
+
+def test_text_that_is_not_in_the_form_is_refused():
+    form = chat_format.Formatter(chat_format.INSTRUCT)
+    for bad in ("x", "<s>[INST] no end", "<s>[INST] a</s>", "<s>[ANS] a</s>x", "<s>[INST] a [/INST]", "<s>[ROLE]r</s>"):
+        with pytest.raises(ValueError):
+            form.read(bad)
+
+
 def test_conversations_read_back(spark):
     rows = [(1, 1, "assistant", "fine </s>"), (1, 0, "user", "how"), (2, 0, None, None), (2, None, "user", ""), (3, 0, "assistant", "first"), (3, 0, "assistant", "first"), (None, 5, "tool", "x")]
     rows += [(4, t, "user" if t % 2 == 0 else "assistant", "é" * t) for t in range(500)]
