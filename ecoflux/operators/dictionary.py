@@ -89,11 +89,11 @@ def profile(df: DataFrame, keys: list[str]) -> DataFrame:
     return counts.select(*keys, F.inline(F.array(*each)))
 
 
-def from_profile(profiles: DataFrame, columns: list[str], descriptions: dict[str, str] | None = None, total: DataFrame | None = None) -> DataFrame:
+def from_profile(profiles: DataFrame, columns: list[str], descriptions: dict[str, str] | None = None, total: int | None = None) -> DataFrame:
     """The rows of :func:`describe` from merged profiles, which are all that is read.
 
     ``columns`` gives the order; others come after them by name. Rows of files that lack a
-    column count as not filled: ``total`` (one row, column ``rows``) is the number of all rows.
+    column count as not filled: ``total`` is the number of all rows.
     A column whose files disagree on its type is text.
     """
     said = descriptions or {}
@@ -102,7 +102,7 @@ def from_profile(profiles: DataFrame, columns: list[str], descriptions: dict[str
         F.sum("filled").alias("n_preenchidos"),
         F.when(F.min("type") == F.max("type"), F.min("type")).otherwise(F.lit(DEFAULT_TYPE_NAME)).alias("tipo"),
     )
-    sums = sums.join(F.broadcast(total), how="left") if total is not None else sums.withColumn("rows", F.col("own_rows"))
+    sums = sums.withColumn("rows", F.col("own_rows") if total is None else F.lit(total).cast("long"))
     place = F.coalesce(*[F.when(F.col("column") == c, F.lit(i)) for i, c in enumerate(columns)], F.lit(len(columns)))
     text = F.coalesce(*[F.when(F.col("column") == c, F.lit(t)) for c, t in said.items()], F.concat(F.lit("Campo "), "column"))
     # a window over one row for each column of the dataset

@@ -329,7 +329,7 @@ def data_dictionary(spark: SparkSession, lake: Lake, ds: str, columns: Iterable[
     profile_files(spark, lake, ds)
     mine = _state_files(spark, lake, ds, "profiled_files").join(bronze_files(spark, lake, ds).select(*FILE), FILE, "left_semi")
     counts = written(_records(spark, lake.state(f"profiles/{ds}"), PROFILE).join(mine, [*FILE, "load_id"], "left_semi"), "profile")
-    total = counts.groupBy(*FILE).agg(F.max("rows").alias("rows")).agg(F.sum("rows").alias("rows"))
+    total = counts.groupBy(*FILE).agg(F.max("rows").alias("rows")).agg(F.sum("rows")).first()[0]
     return dictionary.from_profile(counts, list(columns), descriptions, total)
 
 
