@@ -4,19 +4,22 @@ Subwords are the byte n-grams (``GRAMS``) of the text, letters lowered and every
 byte a blank; they are hashed into ``BUCKETS`` rows of an embedding table. A document is the
 mean of its subwords' embeddings, and a softmax over a linear map of it gives the languages.
 
-Training: stochastic gradient descent in numpy on a bounded sample, about ``rows_per_lang``
-labelled documents of each of the ``max_langs`` most frequent languages (rows are chosen by a
-hash of their id against a threshold from the language's count, so reruns agree). The sampled
-documents are counted into buckets by Spark tasks; only these counts reach the driver. A
-further third as many rows set the softmax temperature.
-
-Rejection is calibrated on its own sample, about ``calibration_rows`` labelled documents that
-were not trained on. They are scored in Spark tasks, and the driver gets a histogram of the
-scores of those predicted rightly, for each class of variety (how many different subwords a
-text has: a sure model is surer of a text that has many, so a text in an unknown language
-shows). A class's threshold is the highest at which, with 95 % confidence, no more than
-``cost`` of its rightly predicted documents score lower. Where the sample is too small to tell
-(under 3 / cost rows in a class), only texts without letters are rejected.
+Training: stochastic gradient descent in numpy over every labelled document. It starts from a
+table and a map that a bounded sample gives (about ``rows_per_lang`` documents of each of the
+``max_langs`` most frequent languages, counted into buckets by Spark tasks). Each task then goes
+once through all of its labelled documents, and the model is the mean of what the tasks have
+made of the start, weighed by their documents; tasks send it as whole numbers, so that the sum
+does not depend on their order.
+
+Calibration takes every labelled document that the start has not seen. Documents are dealt to
+two folds, each of which has a model of its own, and the model of one fold scores the other's, so
+none is scored by what it was learned into. The softmax temperature is the one of least log
+loss. A histogram of the scores of those predicted rightly, for each class of variety (how many
+different subwords a text has: a sure model is surer of a text that has many, so a text in an
+unknown language shows), gives the rejection: a class's threshold is the highest at which, with
+95 % confidence, no more than ``cost`` of its rightly predicted documents score lower. Where the
+documents are too few to tell (under 3 / cost in a class), only texts without letters are
+rejected.
 
 Since all is linear up to the softmax, table and map are multiplied into one row of scores per
 bucket, and every whole text of any length is scored in blocks of bytes in Spark tasks.
@@ -39,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ecoflux.llm.common import utf8
+from ecoflux.llm.common import utf8, written
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
@@ -51,6 +54,13 @@ SCORE_BINS = 4096
 #: Different subwords are counted among one bucket in so many, and these counts part the classes of variety.
 VARIETY_SHARE = 16
 VARIETY = (4, 16, 64)
+#: The softmax temperatures to choose from.
+TEMPERATURES = np.geomspace(0.1, 10, 41)
+#: Documents are dealt to so many folds; each is scored by a model that has not learned from it.
+FOLDS = 2
+#: Tasks send what they have learned in pieces of so many numbers, in whole units of 1 / ``UNITS``.
+PIECE = 1 << 13
+UNITS = 1 << 22
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
@@ -88,14 +98,17 @@ class Model:
     def read(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The logits and the class of variety of each text."""
         total = np.zeros((len(off) - 1, len(self.langs)))
+        columns = np.ascontiguousarray(self.scores.T, np.float64)
         count = np.zeros(len(off) - 1)
         some = [np.zeros(0, np.int64)]
         for doc, bucket in subwords(raw, off):
             if len(doc):
                 start = np.flatnonzero(np.diff(doc, prepend=-1))
-                total[doc[start]] += np.add.reduceat(self.scores[bucket], start, axis=0)
-                count[doc[start]] += np.diff(np.concatenate((start, [len(doc)])))
-                counted = bucket % VARIETY_SHARE == 0
+                own = doc[start]
+                for i, column in enumerate(columns):  # the subwords of a block times one language
+                    total[own, i] += np.add.reduceat(column[bucket], start)
+                count[own] += np.diff(np.concatenate((start, [len(doc)])))
+                counted = bucket & np.uint32(VARIETY_SHARE - 1) == 0
                 some.append(np.unique(doc[counted] * BUCKETS + bucket[counted]))
                 if len(some) == 32:
                     some = [np.unique(np.concatenate(some))]
@@ -106,46 +119,57 @@ class Model:
         return self.read(raw, off)[0]
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
-        z = logits / self.temperature
-        z = np.exp(z - z.max(1, keepdims=True))
-        return z / z.sum(1, keepdims=True)
+        return _rows_softmax(logits / self.temperature)
+
+
+def _rows_softmax(z: np.ndarray) -> np.ndarray:
+    z = np.exp(z - z.max(1, keepdims=True))
+    return z / z.sum(1, keepdims=True)
 
 
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_lang: int, max_langs: int) -> tuple[DataFrame | None, int]:
-    """(lang, text, h, most) of the rows to learn from, and their number: a row trains if its
-    hash h is below its language's ``most``."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_lang: int, max_langs: int) -> DataFrame | None:
+    """(lang, text, h, most, fold) of the rows to learn from: the start is learned from a row if
+    its hash h is below its language's ``most``."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & has_letter(F.col(text_col)))
     lang = F.col(lang_col).cast("string")
     # one count for each language of the model; texts are not dealt out by language
     sizes = rows.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not sizes:
-        return None, 0
+        return None
     most = [x for r in sorted(sizes) for x in (F.lit(r["lang"]), F.lit(min(0.75, rows_per_lang / r["count"]) * (1 << 30)))]
     h = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 30))
-    rows = rows.select(lang.alias("lang"), F.col(text_col).alias("text"), h.alias("h"), F.element_at(F.create_map(*most), lang).alias("most"))
-    return rows.where(F.col("most").isNotNull()), sum(r["count"] for r in sizes)
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col(id_col)), F.lit(FOLDS)).cast("int")
+    rows = rows.select(lang.alias("lang"), F.col(text_col).alias("text"), h.alias("h"), F.element_at(F.create_map(*most), lang).alias("most"), fold.alias("fold"))
+    return rows.where(F.col("most").isNotNull())
+
+
+def _counts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text's subwords and how many subwords each has."""
+    count = np.zeros(BUCKETS, np.int64)
+    for _, bucket in subwords(raw, np.array([0, len(raw)])):
+        count += np.bincount(bucket, minlength=BUCKETS)
+    bucket = np.flatnonzero(count)
+    return bucket, count[bucket]
 
 
 def _sample(rows: DataFrame) -> list:
-    """(lang, part, bucket, count) of the sampled documents; part 0 trains, part 1 sets the temperature."""
-    taken = rows.where(F.col("h") < F.col("most") * 4 / 3)
-    taken = taken.select("lang", (F.col("h") >= F.col("most")).cast("int").alias("part"), "h", "text")
+    """(lang, bucket, count) of the documents that the start is learned from."""
+    taken = rows.where(F.col("h") < F.col("most")).select("lang", "h", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                got = [bucket for _, bucket in subwords(*utf8(b.column(3).slice(i, 1)))]
-                bucket, count = np.unique(np.concatenate(got), return_counts=True)
+                bucket, count = _counts(utf8(b.column(2).slice(i, 1))[0])
                 cells = [[bucket.astype(np.uint16).tobytes()], [count.astype(np.float32).tobytes()]]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in b.columns[:3]), *(pa.array(c, pa.binary()) for c in cells)], ["lang", "part", "h", "bucket", "count"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in b.columns[:2]), *(pa.array(c, pa.binary()) for c in cells)], ["lang", "h", "bucket", "count"])
 
-    got = taken.mapInArrow(counted, "lang string, part int, h long, bucket binary, count binary").collect()
+    got = taken.mapInArrow(counted, "lang string, h long, bucket binary, count binary").collect()
     got.sort(key=lambda r: (r["h"], r["lang"], r["bucket"], r["count"]))
-    return [(r["lang"], r["part"], np.frombuffer(r["bucket"], np.uint16), np.frombuffer(r["count"], np.float32)) for r in got]
+    return [(r["lang"], np.frombuffer(r["bucket"], np.uint16), np.frombuffer(r["count"], np.float32)) for r in got]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -153,6 +177,91 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum()
 
 
+@dataclass
+class Weights:
+    """The embedding table, the map and the bias, and a step of their training."""
+
+    table: np.ndarray = field(repr=False)  # BUCKETS x DIM
+    out: np.ndarray = field(repr=False)  # DIM x languages
+    bias: np.ndarray = field(repr=False)
+
+    def step(self, bucket: np.ndarray, count: np.ndarray, right: int, rate: float) -> None:
+        share, own = count / count.sum(), self.table[bucket]
+        mean = share @ own
+        wrong = _softmax(mean @ self.out + self.bias)
+        wrong[right] -= 1
+        back = self.out @ wrong
+        self.out -= rate * np.outer(mean, wrong)
+        self.bias -= 0.01 * rate * wrong
+        self.table[bucket] = own - np.outer(rate * share, back)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate((self.table.ravel(), self.out.ravel(), self.bias))
+
+    def shaped(self, flat: np.ndarray) -> Weights:
+        table, out, bias = np.split(flat, np.cumsum((self.table.size, self.out.size)))
+        return Weights(table.reshape(self.table.shape), out.reshape(self.out.shape), bias)
+
+    def model(self, langs: list[str]) -> Model:
+        return Model(langs, (self.table @ self.out).astype(np.float32), self.bias)
+
+
+def _start(sample: list, number: dict[str, int], epochs: int, rate: float, seed: int) -> Weights:
+    rng = np.random.default_rng(seed)
+    w = Weights(rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)), np.zeros((DIM, len(number))), np.zeros(len(number)))
+    step, steps = 0, epochs * len(sample)
+    for _ in range(epochs):
+        for i in rng.permutation(len(sample)):
+            lang, bucket, count = sample[i]
+            w.step(bucket, count, number[lang], rate * (1 - step / steps))
+            step += 1
+    return w
+
+
+def _learned(rows: DataFrame, start: Weights, number: dict[str, int], rate: float, seed: int) -> list[tuple[Weights, int]]:
+    """The weights that each fold's rows make of ``start`` and the number of these rows. A task
+    goes through all of its rows once; its change counts by the number of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, rng = start.flat(), np.random.default_rng(seed)
+        own, seen = [start.shaped(first.copy()) for _ in range(FOLDS)], [0] * FOLDS
+        for b in batches:
+            lang, fold = b.column(0).to_pylist(), b.column(2).to_pylist()
+            raw, off = utf8(b.column(1))
+            for i in rng.permutation(b.num_rows):  # tables are often sorted
+                bucket, count = _counts(raw[off[i] : off[i + 1]])
+                if len(bucket) and lang[i] in number:
+                    own[fold[i]].step(bucket, count, number[lang[i]], rate / (1 + seen[fold[i]] / 1000))
+                    seen[fold[i]] += 1
+        for f in range(FOLDS):
+            if seen[f]:
+                change = np.rint((own[f].flat() - first) * UNITS).astype(np.int32)
+                pieces = [change[at : at + PIECE].tobytes() for at in range(0, len(change), PIECE)]
+                k = len(pieces)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f] * k, pa.int32()), pa.array(range(k), pa.int32()), pa.array([seen[f]] * k, pa.int64()), pa.array(pieces, pa.binary())], ["fold", "at", "n", "change"]
+                )
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        for b in batches:
+            for f, at, n, change in zip(*(c.to_pylist() for c in b.columns)):
+                was = total.get((f, at), (0, 0))
+                total[f, at] = was[0] + n, was[1] + np.frombuffer(change, np.int32).astype(np.int64) * n
+        for (f, at), (n, change) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([at], pa.int32()), pa.array([n], pa.int64()), pa.array([change.tobytes()], pa.binary())], ["fold", "at", "n", "change"])
+
+    kind = "fold int, at int, n long, change binary"
+    changes = rows.select("lang", "text", "fold").mapInArrow(run, kind).repartition("fold", "at").mapInArrow(summed, kind)
+    flat = start.flat()
+    total, count = np.zeros((FOLDS, len(flat)), np.int64), [0] * FOLDS
+    for r in changes.toLocalIterator():  # the size of the weights, for each fold
+        part = np.frombuffer(r["change"], np.int64)
+        total[r["fold"], r["at"] * PIECE : r["at"] * PIECE + len(part)] += part
+        count[r["fold"]] += r["n"] if r["at"] == 0 else 0
+    return [(start.shaped(flat + total[f] / max(count[f], 1) / UNITS), count[f]) for f in range(FOLDS)]
+
+
 def fit(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -163,76 +272,64 @@ def fit(
     rate: float = 8.0,
     seed: int = 8,
     max_langs: int = 512,
-    calibration_rows: int = 30_000,
     cost: float = 0.001,
 ) -> Model:
-    """Train on (at most about ``rows_per_lang`` rows a language of) the labelled documents."""
-    rows, n_rows = _labelled(docs, id_col, text_col, lang_col, rows_per_lang, max_langs)
+    """Train on all labelled documents, from a start that (at most about) ``rows_per_lang`` of a
+    language give, and calibrate on all that the start has not seen."""
+    rows = _labelled(docs, id_col, text_col, lang_col, rows_per_lang, max_langs)
     sample = _sample(rows) if rows is not None else []
     langs = sorted({s[0] for s in sample})
     number = {x: i for i, x in enumerate(langs)}
-    rng = np.random.default_rng(seed)
-    table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
-    out, bias = np.zeros((DIM, len(langs))), np.zeros(len(langs))
-    train = [s for s in sample if s[1] == 0] or sample
-    step, steps = 0, epochs * len(train)
-    for _ in range(epochs):
-        for i in rng.permutation(len(train)):
-            lang, _, bucket, count = train[i]
-            share = (count / count.sum())[:, None]
-            mean = (table[bucket] * share).sum(0)
-            wrong = _softmax(mean @ out + bias)
-            wrong[number[lang]] -= 1
-            now = rate * (1 - step / steps)
-            back = out @ wrong
-            out -= now * np.outer(mean, wrong)
-            bias -= 0.01 * now * wrong
-            table[bucket] -= now * share * back
-            step += 1
-    model = Model(langs, (table @ out).astype(np.float32), bias)
-    _set_temperature(model, [s for s in sample if s[1] == 1] or sample, number)
-    if rows is not None:
-        share = min(1.0, calibration_rows / n_rows)
-        unseen = rows.where((F.col("h") >= F.col("most")) & (F.pmod(F.xxhash64(F.lit("calibrate"), "h"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))))
-        model.thresholds = [_threshold(h, cost) for h in _histograms(unseen, model)]
+    start = _start(sample, number, epochs, rate, seed)
+    if not langs:
+        return start.model(langs)
+    # small steps: each task sees few rows, and the mean must stay near what all of them want
+    folds = _learned(rows, start, number, rate / 16, seed)
+    n = sum(k for _, k in folds)
+    model = (start.shaped(sum(w.flat() * (k / n) for w, k in folds)) if n else start).model(langs)
+    others = [w.model(langs) for w, _ in reversed(folds)]  # by fold, the model of the other one
+    model.temperature, histograms = _histograms(rows.where(F.col("h") >= F.col("most")), others)
+    model.thresholds = [_threshold(h, cost) for h in histograms]
     return model
 
 
-def _set_temperature(model: Model, rows: list, number: dict[str, int]) -> None:
-    """The softmax temperature of least log loss."""
-    if not rows:
-        return
-    logits = np.array([(model.scores[b] * (c / c.sum())[:, None]).sum(0) + model.bias for _, _, b, c in rows])
-    right = np.array([number[r[0]] for r in rows])
-    losses = []
-    for model.temperature in (grid := np.geomspace(0.1, 10, 41)):
-        p = model.probabilities(logits)
-        losses.append(-np.log(np.maximum(p[np.arange(len(p)), right], 1e-12)).mean())
-    model.temperature = float(grid[int(np.argmin(losses))])
-
-
-def _histograms(rows: DataFrame, model: Model) -> np.ndarray:
-    """How many rightly predicted rows of (lang, text, ...) score in each of ``SCORE_BINS``
-    bins, for each class of variety."""
+def _histograms(rows: DataFrame, models: list[Model]) -> tuple[float, np.ndarray]:
+    """The temperature of least log loss over all rows of (lang, text, fold, ...), each scored by
+    its fold's entry in ``models``, and how many rightly predicted ones then score in each of
+    ``SCORE_BINS`` bins, for each class of variety."""
     cells = (len(VARIETY) + 1) * SCORE_BINS
+    number = {x: i for i, x in enumerate(models[0].langs)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, np.int64)
-        langs = np.array(model.langs, object)
+        counts, loss = np.zeros((len(TEMPERATURES), cells), np.int64), np.zeros(len(TEMPERATURES), np.int64)
         for b in batches:
-            if b.num_rows:
-                logits, variety = model.read(*utf8(b.column(1)))
-                p = model.probabilities(logits)
-                good = langs[p.argmax(1)] == np.array(b.column(0).to_pylist(), object)
-                score = np.minimum((p.max(1)[good] * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
-                counts += np.bincount(variety[good] * SCORE_BINS + score, minlength=cells)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some])], ["cell", "n"])
-
+            folds = b.column(2).to_numpy()
+            for f, model in enumerate(models):
+                if not len(own := np.flatnonzero(folds == f)):
+                    continue
+                right = np.array([number.get(x, -1) for x in b.column(0).take(pa.array(own)).to_pylist()])
+                logits, variety = model.read(*utf8(b.column(1).take(pa.array(own))))
+                logits, variety, right = logits[right >= 0], variety[right >= 0], right[right >= 0]
+                good = logits.argmax(1) == right
+                for t, temperature in enumerate(TEMPERATURES):
+                    p = _rows_softmax(logits / temperature)
+                    score = np.minimum((p.max(1)[good] * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
+                    counts[t] += np.bincount(variety[good] * SCORE_BINS + score, minlength=cells)
+                    # in whole numbers, so that the sum does not depend on the order of the rows
+                    loss[t] += np.rint(-np.log(np.maximum(p[np.arange(len(p)), right], 1e-12)) * (1 << 20)).astype(np.int64).sum()
+        t, cell = np.nonzero(counts)
+        every = np.arange(len(TEMPERATURES))
+        columns = [np.concatenate((every, t)), np.concatenate((every * 0 - 1, cell)), np.concatenate((loss, counts[t, cell]))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.int64()))], ["t", "cell", "n"])
+
+    found = rows.select("lang", "text", "fold").mapInArrow(run, "t int, cell int, n long").groupBy("t", "cell").agg(F.sum("n").alias("n"))
+    found = written(found, "langid-scores")
+    losses = {r["t"]: r["n"] for r in found.where("cell < 0").collect()}  # one for each temperature
+    best = min(losses, key=lambda t: (losses[t], t)) if any(losses.values()) else int(np.abs(np.log(TEMPERATURES)).argmin())
     out = np.zeros(cells, np.int64)
-    for r in rows.select("lang", "text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # ``cells`` rows at most
+    for r in found.where((F.col("cell") >= 0) & (F.col("t") == best)).collect():  # ``cells`` rows at most
         out[r["cell"]] = r["n"]
-    return out.reshape(-1, SCORE_BINS)
+    return float(TEMPERATURES[best]), out.reshape(-1, SCORE_BINS)
 
 
 def _threshold(histogram: np.ndarray, cost: float, doubt: float = 0.05) -> float:

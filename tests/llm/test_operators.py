@@ -461,6 +461,20 @@ def test_rejection_costs_what_it_may(spark, sf):
     assert n > 150 and gone <= 0.002 * n
 
 
+def test_every_labelled_text_is_learned_from_and_calibrates(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, say(rng, 30) if i % 2 else say(rng, 30).translate(str.maketrans("Abcde", "vwxyz")), "xy"[i % 2]) for i in range(400)]
+    fitted = lambda rows: langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows_per_lang=10)
+    found, histograms = [], langid._histograms
+    monkeypatch.setattr(langid, "_histograms", lambda *a: found.append(histograms(*a)) or found[-1])
+    model = fitted(rows)
+    assert found[0][1].sum() > 350  # all but those of the start, however many there are
+    assert np.array_equal(model.scores, fitted(rows).scores)
+    for i in (7, 100, 251):  # most rows are not in the start
+        other = fitted([(n, "quite other words here" if n == i else t, x) for n, t, x in rows])
+        assert not np.array_equal(model.scores, other.scores)
+
+
 def test_threshold_has_the_confidence_it_states():
     scores = np.zeros(100, np.int64)
     scores[[10, 20, 30, 40, 99]] = [1, 1, 1, 1, 2990]
