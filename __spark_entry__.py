@@ -369,7 +369,8 @@ def _new_lake(spark, name, **how):
 def _land(lake, df, ds, col, mode="append"):
     """Deliver ``df`` as one entry for each year of ``col``."""
     entry = F.concat(F.lit(ds + "_"), F.year(col).cast("string"), F.lit(".parquet"))
-    df.withColumn("entry", entry).write.mode(mode).partitionBy("entry").parquet(lake.src(ds))
+    with sinks.unsorted_writes(df.sparkSession):
+        df.withColumn("entry", entry).write.mode(mode).partitionBy("entry").parquet(lake.src(ds))
 
 
 def _land_registers(spark, d, lake):

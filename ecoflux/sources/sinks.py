@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,22 @@ from ecoflux.session import scratch_dir
 PARTITION_COLS = ("year", "month")
 #: The folder level of one write, below that of its partition. Names rise with time.
 LOAD_COL = "load_id"
+#: A task keeps the files of so many partitions open; with more of them, it sorts the rest of its rows.
+OPEN_FILES = 128
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Within it, tasks write rows to the files of their partitions as they come. Spark otherwise
+    sorts all rows of a task by partition first, which holds them unpacked in memory (16 times
+    what they take in the shuffle and in files); open files hold them encoded."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def write_partitioned(df: DataFrame, dest: str, partition_cols: Iterable[str] = PARTITION_COLS) -> str:
@@ -28,21 +45,17 @@ def write_partitioned(df: DataFrame, dest: str, partition_cols: Iterable[str] =
     write only.
     """
     cols = list(partition_cols)
-    (
-        sanitize_types(df)
-        .hint("rebalance", *cols)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*cols)
-        .parquet(dest)
-    )
+    out = sanitize_types(df).hint("rebalance", *cols)
+    with unsorted_writes(df.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(dest)
     return dest
 
 
 def append_partitions(df: DataFrame, dest: str, partition_cols: Iterable[str]) -> str:
     """Add ``df`` below ``dest``, clustered by its partitions; what is there stays."""
     cols = list(partition_cols)
-    df.hint("rebalance", *cols).write.mode("append").partitionBy(*cols).parquet(dest)
+    with unsorted_writes(df.sparkSession):
+        df.hint("rebalance", *cols).write.mode("append").partitionBy(*cols).parquet(dest)
     return dest
 
 
@@ -92,7 +105,8 @@ def create_table(
         w = w.option("path", path)
     if cols:
         w = w.partitionBy(*cols)
-    w.mode("overwrite" if replace else "errorifexists").saveAsTable(name)
+    with unsorted_writes(spark):
+        w.mode("overwrite" if replace else "errorifexists").saveAsTable(name)
     return name
 
 
@@ -132,7 +146,8 @@ def stage_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by
     :func:`switch_partitions`, and what a table reads now stays untouched."""
     cols, load_id = list(partition_by), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     out = sanitize_types(df).withColumn(LOAD_COL, F.lit(load_id))
-    out.hint("rebalance", *cols).write.mode("append").partitionBy(*cols, LOAD_COL).parquet(path)
+    with unsorted_writes(spark):
+        out.hint("rebalance", *cols).write.mode("append").partitionBy(*cols, LOAD_COL).parquet(path)
     fs, _ = _file_system(spark, path)
     fresh = {}
     for values, folder in _partition_folders(spark, path, cols):

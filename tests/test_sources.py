@@ -198,3 +198,17 @@ def test_scratch_is_cleared(spark):
         assert os.path.isdir(path) and session.clear_scratch(spark) == 1 and not os.path.exists(path)
     finally:
         session._scratch.extend(before)
+
+
+def test_partitioned_writes_hold_no_rows_for_a_sort(spark, tmp_root):
+    rows = spark.range(200_000, numPartitions=1).selectExpr("id", "cast(id AS STRING) AS text", "2024 AS year", "cast(id % 3 + 1 AS INT) AS month")
+    key, peaks = "spark.sql.maxConcurrentOutputFileWriters", {}
+    before = spark.conf.get(key, None)
+    sinks.stage_partitions(spark, rows, f"{tmp_root}/staged")
+    sinks.write_partitioned(rows, f"{tmp_root}/written")
+    assert spark.conf.get(key, None) == before
+    with sinks.unsorted_writes(spark):
+        assert int(spark.conf.get(key)) == sinks.OPEN_FILES
+    for at in ("staged", "written"):
+        back = spark.read.parquet(f"{tmp_root}/{at}")
+        assert back.groupBy("month").count().count() == 3 and back.count() == 200_000
