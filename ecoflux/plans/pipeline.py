@@ -398,6 +398,15 @@ def rebuild_months(
     return gone
 
 
+def _months_by_file(dated: DataFrame, encoded: bool) -> DataFrame:
+    """(k, months) of rows (path, d): one entry for each file and date, combined map-side, is all
+    that leaves a task. Paths are spelled out for these entries, not for each row."""
+    # the count keeps this aggregation: Spark removes one without below the set of months
+    days = dated.groupBy("path", "d").agg(F.count("d").alias("n")).where("n > 0")
+    months = days.select(_file_key(F.col("path"), encoded).alias("k"), (F.year("d") * 12 + F.month("d") - 1).alias("m"))
+    return months.groupBy("k").agg(F.collect_set("m").alias("months"))
+
+
 def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) -> list[tuple[int, int]]:
     """Incrementally load one daily silver series; returns the (year, month) pairs written."""
     ledger = _records(spark, lake.state(f"files/{ds}"), LEDGER)
@@ -411,13 +420,11 @@ def load_series(spark: SparkSession, lake: Lake, ds: str, full: bool = False) ->
             sinks.drop_record(spark, lake.state(f"state_files/{ds}"))
             sinks.drop_folder(spark, lake.state(f"states/{ds}"))
         add_states(spark, lake, ds, pending.join(_state_files(spark, lake, ds), FILE, "left_anti"))
-        dated = _states_of(spark, lake, ds, pending).select(_file_key(F.col("path")).alias("k"), F.col("event_date").alias("d"))
+        dated = _states_of(spark, lake, ds, pending).select("path", F.col("event_date").alias("d"))
     else:
         raw = _read_new(spark, lake, ds, pending, paths)
-        dated = raw.select(_file_key(F.col("_path"), encoded=True).alias("k"), SERIES[ds].date(raw).alias("d")).where(F.col("d").isNotNull())
-    # one entry for each file and month, combined map-side: the only pass over the new rows
-    by_file = dated.groupBy("k").agg(F.collect_set(F.year("d") * 12 + F.month("d") - 1).alias("months"))
-    news = pending.withColumn("k", _file_key(F.col("path"))).join(by_file, "k", "left")
+        dated = raw.select(F.col("_path").alias("path"), SERIES[ds].date(raw).alias("d"))
+    news = pending.withColumn("k", _file_key(F.col("path"))).join(_months_by_file(dated, encoded=not SERIES[ds].merge), "k", "left")
     news = written(news.select("path", "length", "mtime", F.coalesce("months", F.array().cast("array<int>")).alias("months")), "new-files")
     codes = lambda df: {(r["c"] // 12, r["c"] % 12 + 1) for r in df.select(F.explode("months").alias("c")).distinct().collect()}
     in_years = lambda ms: {m for m in ms if lake.years is None or lake.years[0] <= m[0] <= lake.years[1]}

@@ -596,3 +596,10 @@ def test_records_stay_in_few_files(spark, tmp_root, monkeypatch):
     assert P.run(spark, lake, datasets=["load"], tables=[table]) == {"silver": {"load": []}, "gold": []}
     assert spark.table(lake.gold_table(table)).count() == 4
     assert any(".merged-" in d for d in os.listdir(lake.state("files"))) and len(_parquets(lake.state("files"))) <= 2
+
+
+def test_paths_are_spelled_out_for_files_and_days_only(spark, tmp_root):
+    rows = spark.range(100).selectExpr("concat('file:///a%20b/', id % 2) AS path", "CASE WHEN id < 90 THEN date_add(DATE'2024-01-30', cast(id % 4 AS INT)) END AS d")
+    out = P._months_by_file(rows, encoded=True)
+    assert {r.k: sorted(r.months) for r in out.collect()} == {"file:/a b/0": [24288, 24289], "file:/a b/1": [24288, 24289]}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # the lower one by path and day
