@@ -4,22 +4,23 @@ Subwords are the byte n-grams (``GRAMS``) of the text, letters lowered and every
 byte a blank; they are hashed into ``BUCKETS`` rows of an embedding table. A document is the
 mean of its subwords' embeddings, and a softmax over a linear map of it gives the languages.
 
-Training: stochastic gradient descent in numpy over every labelled document. It starts from a
-table and a map that a bounded sample gives (about ``rows_per_lang`` documents of each of the
-``max_langs`` most frequent languages, counted into buckets by Spark tasks). Each task then goes
-once through all of its labelled documents, and the model is the mean of what the tasks have
-made of the start, weighed by their documents; tasks send it as whole numbers, so that the sum
-does not depend on their order.
-
-Calibration takes every labelled document that the start has not seen. Documents are dealt to
-two folds, each of which has a model of its own, and the model of one fold scores the other's, so
-none is scored by what it was learned into. The softmax temperature is the one of least log
-loss. A histogram of the scores of those predicted rightly, for each class of variety (how many
-different subwords a text has: a sure model is surer of a text that has many, so a text in an
-unknown language shows), gives the rejection: a class's threshold is the highest at which, with
-95 % confidence, no more than ``cost`` of its rightly predicted documents score lower. Where the
-documents are too few to tell (under 3 / cost in a class), only texts without letters are
-rejected.
+Training takes every labelled document twice, and no sample of them (languages are the
+``max_langs`` most frequent). First, tasks add up how often each language has each bucket, each
+text counting alike; the table and the map start as the main axes of the log ratios of these
+shares to those of all languages (what more than ``DIM`` languages have beside them is added to
+the scores and not trained). Then stochastic gradient descent in numpy: each task goes once
+through all of its documents, and the model is the mean of what the tasks have made of the start,
+weighed by their documents. Tasks send whole numbers, so that sums do not depend on their order.
+
+Calibration takes every labelled document too. Documents are dealt to two folds, each of which has
+counts, a start and a model of its own beside those of all documents, and the model of one fold
+scores the other's, so none is scored by what it was learned into. The softmax temperature is the
+one of least log loss. A histogram of the scores of those predicted rightly, for each class of
+variety (how many different subwords a text has: a sure model is surer of a text that has many, so
+a text in an unknown language shows), gives the rejection: a class's threshold is the highest at
+which, with 95 % confidence, no more than ``cost`` of its rightly predicted documents score lower.
+Where the documents are too few to tell (under 3 / cost in a class), only texts without letters
+are rejected.
 
 Since all is linear up to the softmax, table and map are multiplied into one row of scores per
 bucket, and every whole text of any length is scored in blocks of bytes in Spark tasks.
@@ -61,6 +62,12 @@ FOLDS = 2
 #: Tasks send what they have learned in pieces of so many numbers, in whole units of 1 / ``UNITS``.
 PIECE = 1 << 13
 UNITS = 1 << 22
+#: What a text is shared out in when subwords are counted (sums of 2 ** 31 texts fit 64 bits).
+TEXT_UNITS = 1 << 32
+#: So many languages of a fold are counted at once, and a task holds twice as many at most.
+COUNTED = 32
+#: The length of the map's rows and the scale of the logits in the start.
+START_OUT, START_LOGITS = 8.0, 4.0
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
@@ -131,20 +138,15 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_lang: int, max_langs: int) -> DataFrame | None:
-    """(lang, text, h, most, fold) of the rows to learn from: the start is learned from a row if
-    its hash h is below its language's ``most``."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_langs: int) -> tuple[DataFrame, list[str]]:
+    """(lang, text, fold) of the rows to learn from, and the languages."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & has_letter(F.col(text_col)))
     lang = F.col(lang_col).cast("string")
     # one count for each language of the model; texts are not dealt out by language
     sizes = rows.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    if not sizes:
-        return None
-    most = [x for r in sorted(sizes) for x in (F.lit(r["lang"]), F.lit(min(0.75, rows_per_lang / r["count"]) * (1 << 30)))]
-    h = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 30))
+    langs = sorted(r["lang"] for r in sizes)
     fold = F.pmod(F.xxhash64(F.lit("fold"), F.col(id_col)), F.lit(FOLDS)).cast("int")
-    rows = rows.select(lang.alias("lang"), F.col(text_col).alias("text"), h.alias("h"), F.element_at(F.create_map(*most), lang).alias("most"), fold.alias("fold"))
-    return rows.where(F.col("most").isNotNull())
+    return rows.select(lang.alias("lang"), F.col(text_col).alias("text"), fold.alias("fold")).where(F.col("lang").isin(langs)), langs
 
 
 def _counts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,20 +158,60 @@ def _counts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bucket, count[bucket]
 
 
-def _sample(rows: DataFrame) -> list:
-    """(lang, bucket, count) of the documents that the start is learned from."""
-    taken = rows.where(F.col("h") < F.col("most")).select("lang", "h", "text")
+_PIECES = "part int, at int, n long, numbers binary"
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _pieces(part: int, n: int, numbers: np.ndarray) -> pa.RecordBatch:
+    pieces = [numbers[at : at + PIECE].tobytes() for at in range(0, len(numbers), PIECE)]
+    k = len(pieces)
+    return pa.RecordBatch.from_arrays([pa.array([part] * k, pa.int32()), pa.array(range(k), pa.int32()), pa.array([n] * k, pa.int64()), pa.array(pieces, pa.binary())], ["part", "at", "n", "numbers"])
+
+
+def _added(pieces: DataFrame, kind: type) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(part, first number, n, numbers) of each piece: the sum of its rows, times their n."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
         for b in batches:
-            for i in range(b.num_rows):
-                bucket, count = _counts(utf8(b.column(2).slice(i, 1))[0])
-                cells = [[bucket.astype(np.uint16).tobytes()], [count.astype(np.float32).tobytes()]]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in b.columns[:2]), *(pa.array(c, pa.binary()) for c in cells)], ["lang", "h", "bucket", "count"])
+            for i, (part, at, n) in enumerate(zip(*(c.to_pylist() for c in b.columns[:3]))):
+                was = total.get((part, at), (0, 0))
+                total[part, at] = was[0] + n, was[1] + np.frombuffer(b.column(3)[i].as_buffer(), kind).astype(np.int64) * n
+        for (part, at), (n, numbers) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at], pa.int32()), pa.array([n], pa.int64()), pa.array([numbers.tobytes()], pa.binary())], ["part", "at", "n", "numbers"])
+
+    for r in pieces.repartition("part", "at").mapInArrow(run, _PIECES).toLocalIterator():
+        yield r["part"], r["at"] * PIECE, r["n"], np.frombuffer(r["numbers"], np.int64)
 
-    got = taken.mapInArrow(counted, "lang string, h long, bucket binary, count binary").collect()
-    got.sort(key=lambda r: (r["h"], r["lang"], r["bucket"], r["count"]))
-    return [(r["lang"], np.frombuffer(r["bucket"], np.uint16), np.frombuffer(r["count"], np.float32)) for r in got]
+
+def _shares(rows: DataFrame, number: dict[str, int]) -> np.ndarray:
+    """What each bucket has of the texts of each language, for each fold, over all rows: a text
+    counts 1 at most (the less the more blanks it has), however long it is."""
+    n_langs = len(number)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            part = np.array([number[x] for x in b.column(0).to_pylist()], np.int64) + n_langs * b.column(2).to_numpy()
+            parts, nth = np.unique(part, return_inverse=True)
+            for first in range(0, len(parts), COUNTED):
+                some = np.flatnonzero((nth >= first) & (nth < first + COUNTED))
+                raw, off = utf8(b.column(1).take(pa.array(some)))
+                unit = np.maximum(TEXT_UNITS // (len(GRAMS) * np.maximum(np.diff(off), 1)), 1)
+                total = np.zeros((min(COUNTED, len(parts) - first), BUCKETS), np.int64)
+                cell = (nth[some] - first) * BUCKETS
+                for doc, bucket in subwords(raw, off):
+                    np.add.at(total.reshape(-1), cell[doc] + bucket, unit[doc])
+                for p, own in zip(parts[first : first + COUNTED].tolist(), total):
+                    held[p] = held[p] + own if p in held else own
+                if len(held) > COUNTED:
+                    yield from (_pieces(p, 1, own) for p, own in held.items())
+                    held = {}
+        yield from (_pieces(p, 1, own) for p, own in held.items())
+
+    out = np.zeros((FOLDS * n_langs, BUCKETS), np.float32)
+    for part, at, _, numbers in _added(rows.select("lang", "text", "fold").mapInArrow(run, _PIECES), np.int64):  # the size of the model, for each fold
+        out[part, at : at + len(numbers)] = numbers / TEXT_UNITS
+    return out.reshape(FOLDS, n_langs, BUCKETS)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -181,14 +223,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 class Weights:
     """The embedding table, the map and the bias, and a step of their training."""
 
-    table: np.ndarray = field(repr=False)  # BUCKETS x DIM
-    out: np.ndarray = field(repr=False)  # DIM x languages
+    table: np.ndarray = field(repr=False)  # BUCKETS x axes (``DIM`` at most)
+    out: np.ndarray = field(repr=False)  # axes x languages
     bias: np.ndarray = field(repr=False)
+    rest: np.ndarray | None = field(repr=False, default=None)  # BUCKETS x languages: added to the scores
 
     def step(self, bucket: np.ndarray, count: np.ndarray, right: int, rate: float) -> None:
         share, own = count / count.sum(), self.table[bucket]
         mean = share @ own
-        wrong = _softmax(mean @ self.out + self.bias)
+        logits = mean @ self.out + self.bias
+        wrong = _softmax(logits if self.rest is None else logits + share.astype(np.float32) @ self.rest[bucket])
         wrong[right] -= 1
         back = self.out @ wrong
         self.out -= rate * np.outer(mean, wrong)
@@ -200,66 +244,57 @@ class Weights:
 
     def shaped(self, flat: np.ndarray) -> Weights:
         table, out, bias = np.split(flat, np.cumsum((self.table.size, self.out.size)))
-        return Weights(table.reshape(self.table.shape), out.reshape(self.out.shape), bias)
+        return Weights(table.reshape(self.table.shape), out.reshape(self.out.shape), bias, self.rest)
 
     def model(self, langs: list[str]) -> Model:
-        return Model(langs, (self.table @ self.out).astype(np.float32), self.bias)
-
-
-def _start(sample: list, number: dict[str, int], epochs: int, rate: float, seed: int) -> Weights:
-    rng = np.random.default_rng(seed)
-    w = Weights(rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)), np.zeros((DIM, len(number))), np.zeros(len(number)))
-    step, steps = 0, epochs * len(sample)
-    for _ in range(epochs):
-        for i in rng.permutation(len(sample)):
-            lang, bucket, count = sample[i]
-            w.step(bucket, count, number[lang], rate * (1 - step / steps))
-            step += 1
+        scores = (self.table @ self.out).astype(np.float32)
+        return Model(langs, scores if self.rest is None else scores + self.rest, self.bias)
+
+
+def _start(shares: np.ndarray) -> Weights:
+    """The main axes of the languages' log ratios (with one more text that is as all languages
+    are). ``DIM`` axes at most, and no more than languages: further ones could not change a score."""
+    dim = min(DIM, len(shares))
+    w = Weights(np.zeros((BUCKETS, dim)), np.zeros((dim, len(shares))), np.zeros(len(shares)))
+    every = shares.sum(0)
+    seen = every > 0
+    if seen.any():
+        every = every[seen] / every.sum()
+        ratio = np.log((shares[:, seen] + every) / (shares.sum(1)[:, None] + 1) / every)
+        ratio -= ratio.mean(0)
+        axes = np.linalg.eigh((ratio * every) @ ratio.T)[1][:, ::-1][:, :dim]
+        w.table[seen] = ratio.T @ axes * (START_LOGITS / START_OUT)
+        w.out[:] = axes.T * START_OUT
+        if dim < len(shares):
+            w.rest = np.zeros((BUCKETS, len(shares)), np.float32)
+            w.rest[seen] = START_LOGITS * (ratio.T - ratio.T @ axes @ axes.T)
     return w
 
 
-def _learned(rows: DataFrame, start: Weights, number: dict[str, int], rate: float, seed: int) -> list[tuple[Weights, int]]:
-    """The weights that each fold's rows make of ``start`` and the number of these rows. A task
-    goes through all of its rows once; its change counts by the number of its rows."""
+def _learned(rows: DataFrame, starts: list[Weights], number: dict[str, int], rate: float, slow: int, seed: int) -> list[Weights]:
+    """The weights that each fold's rows, and last all rows, make of their start. A task goes
+    through all of its rows once; its change counts by the number of its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, rng = start.flat(), np.random.default_rng(seed)
-        own, seen = [start.shaped(first.copy()) for _ in range(FOLDS)], [0] * FOLDS
+        rng = np.random.default_rng(seed)
+        own, seen = [w.shaped(w.flat()) for w in starts], [0] * len(starts)
         for b in batches:
             lang, fold = b.column(0).to_pylist(), b.column(2).to_pylist()
             raw, off = utf8(b.column(1))
             for i in rng.permutation(b.num_rows):  # tables are often sorted
                 bucket, count = _counts(raw[off[i] : off[i + 1]])
-                if len(bucket) and lang[i] in number:
-                    own[fold[i]].step(bucket, count, number[lang[i]], rate / (1 + seen[fold[i]] / 1000))
-                    seen[fold[i]] += 1
-        for f in range(FOLDS):
-            if seen[f]:
-                change = np.rint((own[f].flat() - first) * UNITS).astype(np.int32)
-                pieces = [change[at : at + PIECE].tobytes() for at in range(0, len(change), PIECE)]
-                k = len(pieces)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f] * k, pa.int32()), pa.array(range(k), pa.int32()), pa.array([seen[f]] * k, pa.int64()), pa.array(pieces, pa.binary())], ["fold", "at", "n", "change"]
-                )
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
-        for b in batches:
-            for f, at, n, change in zip(*(c.to_pylist() for c in b.columns)):
-                was = total.get((f, at), (0, 0))
-                total[f, at] = was[0] + n, was[1] + np.frombuffer(change, np.int32).astype(np.int64) * n
-        for (f, at), (n, change) in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([at], pa.int32()), pa.array([n], pa.int64()), pa.array([change.tobytes()], pa.binary())], ["fold", "at", "n", "change"])
-
-    kind = "fold int, at int, n long, change binary"
-    changes = rows.select("lang", "text", "fold").mapInArrow(run, kind).repartition("fold", "at").mapInArrow(summed, kind)
-    flat = start.flat()
-    total, count = np.zeros((FOLDS, len(flat)), np.int64), [0] * FOLDS
-    for r in changes.toLocalIterator():  # the size of the weights, for each fold
-        part = np.frombuffer(r["change"], np.int64)
-        total[r["fold"], r["at"] * PIECE : r["at"] * PIECE + len(part)] += part
-        count[r["fold"]] += r["n"] if r["at"] == 0 else 0
-    return [(start.shaped(flat + total[f] / max(count[f], 1) / UNITS), count[f]) for f in range(FOLDS)]
+                if len(bucket):
+                    for part in (fold[i], FOLDS):
+                        own[part].step(bucket, count, number[lang[i]], rate / (1 + seen[part] / slow))
+                        seen[part] += 1
+        for part, start in enumerate(starts):
+            if seen[part]:
+                yield _pieces(part, seen[part], np.rint((own[part].flat() - start.flat()) * UNITS).astype(np.int32))
+
+    flat = [w.flat() for w in starts]
+    for part, at, n, numbers in _added(rows.select("lang", "text", "fold").mapInArrow(run, _PIECES), np.int32):  # the size of the weights, for each of them
+        flat[part][at : at + len(numbers)] += numbers / n / UNITS
+    return [w.shaped(f) for w, f in zip(starts, flat)]
 
 
 def fit(
@@ -268,27 +303,24 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     rows_per_lang: int = 400,
-    epochs: int = 6,
-    rate: float = 8.0,
+    rate: float = 0.5,
     seed: int = 8,
     max_langs: int = 512,
     cost: float = 0.001,
 ) -> Model:
-    """Train on all labelled documents, from a start that (at most about) ``rows_per_lang`` of a
-    language give, and calibrate on all that the start has not seen."""
-    rows = _labelled(docs, id_col, text_col, lang_col, rows_per_lang, max_langs)
-    sample = _sample(rows) if rows is not None else []
-    langs = sorted({s[0] for s in sample})
+    """Train and calibrate on all labelled documents. A task's steps are half as long after
+    ``rows_per_lang`` documents for each language."""
+    rows, langs = _labelled(docs, id_col, text_col, lang_col, max_langs)
     number = {x: i for i, x in enumerate(langs)}
-    start = _start(sample, number, epochs, rate, seed)
     if not langs:
-        return start.model(langs)
+        return _start(np.zeros((0, BUCKETS))).model(langs)
+    shares = _shares(rows, number)
+    starts = [_start(s) for s in (*shares, shares.sum(0))]
     # small steps: each task sees few rows, and the mean must stay near what all of them want
-    folds = _learned(rows, start, number, rate / 16, seed)
-    n = sum(k for _, k in folds)
-    model = (start.shaped(sum(w.flat() * (k / n) for w, k in folds)) if n else start).model(langs)
-    others = [w.model(langs) for w, _ in reversed(folds)]  # by fold, the model of the other one
-    model.temperature, histograms = _histograms(rows.where(F.col("h") >= F.col("most")), others)
+    *folds, whole = _learned(rows, starts, number, rate, rows_per_lang * len(langs), seed)
+    model = whole.model(langs)
+    others = [w.model(langs) for w in reversed(folds)]  # by fold, the model of the other one
+    model.temperature, histograms = _histograms(rows, others)
     model.thresholds = [_threshold(h, cost) for h in histograms]
     return model
 

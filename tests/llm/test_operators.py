@@ -475,6 +475,27 @@ def test_every_labelled_text_is_learned_from_and_calibrates(spark, monkeypatch):
         assert not np.array_equal(model.scores, other.scores)
 
 
+def test_no_sample_gives_languages_start_or_thresholds(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, say(rng, 30) if i % 2 else say(rng, 30).translate(str.maketrans("Abcde", "vwxyz")), "xy"[i % 2]) for i in range(400)]
+    rows += [(1000 + k, "".join(chr(0x4E00 + 50 * k + rng.randrange(40)) for _ in range(60)), f"z{k:02}") for k in range(40)]  # one text each
+    docs = spark.createDataFrame(sorted(rows, key=lambda r: r[2]), "doc_id long, text string, lang string").repartitionByRange(5, "lang")
+    found, histograms = [], langid._histograms
+    monkeypatch.setattr(langid, "_histograms", lambda *a: found.append(histograms(*a)) or found[-1])
+    model = langid.fit(docs)
+    assert model.langs == sorted({r[2] for r in rows})
+    assert found[0][1].sum() == 400  # all that the other fold can know
+    assert all(r.lang_pred == r.lang for r in langid.predicted(docs, model).collect())
+    learned, langs = langid._labelled(docs, "doc_id", "text", "lang", 512)
+    shares = langid._shares(learned, {x: i for i, x in enumerate(langs)}).sum(0)
+    for lang in ("x", "y", "z07"):
+        want = np.zeros(langid.BUCKETS)
+        for text in (r[1].encode() for r in rows if r[2] == lang):
+            bucket, count = langid._counts(np.frombuffer(text, np.uint8))
+            want[bucket] += count / (3 * len(text))
+        assert np.allclose(shares[langs.index(lang)], want, rtol=1e-5)
+
+
 def test_threshold_has_the_confidence_it_states():
     scores = np.zeros(100, np.int64)
     scores[[10, 20, 30, 40, 99]] = [1, 1, 1, 1, 2990]
