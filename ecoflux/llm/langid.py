@@ -48,7 +48,12 @@ from ecoflux.llm.common import utf8, written
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
 DIM = 16
-BLOCK = 1 << 18
+#: Bytes of text that are split into subwords at once.
+BLOCK = 1 << 16
+#: Texts that are counted at once: a text's number and a bucket share 32 bits.
+ROWS = 1 << 16
+#: Texts of a batch that a training task takes out of its order at once.
+TAKEN = 256
 UNKNOWN = "und"
 #: Bins of scores from 0 to 1, for the threshold of rejection.
 SCORE_BINS = 4096
@@ -69,29 +74,50 @@ COUNTED = 32
 #: The length of the map's rows and the scale of the logits in the start.
 START_OUT, START_LOGITS = 8.0, 4.0
 
-_FOLD = np.full(256, 0x20, np.uint8)
-_FOLD[0x80:] = np.arange(0x80, 0x100)
-_FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
-_FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
+_FOLD = bytes(c if c >= 0x80 or 0x61 <= c < 0x7B else c + 0x20 if 0x41 <= c < 0x5B else 0x20 for c in range(256))
+_SHIFT = BUCKETS.bit_length() - 1
 
 
-def subwords(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(document number, bucket) of the subwords, block by block of bytes."""
+def subwords(raw: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
+    """document number * ``BUCKETS`` + bucket of the subwords of at most ``ROWS`` texts, block by
+    block of bytes."""
     for at in range(0, int(off[-1]), BLOCK):
         end = min(at + BLOCK, int(off[-1]))
-        seg = _FOLD[raw[at : end + max(GRAMS) - 1]]
+        seg = np.frombuffer(raw[at : end + max(GRAMS) - 1].tobytes().translate(_FOLD), np.uint8)
         n = end - at
         lo, hi = np.searchsorted(off, at, "right") - 1, np.searchsorted(off, end, "left")
-        doc = np.repeat(np.arange(lo, hi), np.diff(np.clip(off[lo : hi + 1], at, end)))
-        room = off[doc + 1] - np.arange(at, end)
+        size = np.diff(np.clip(off[lo : hi + 1], at, end))
+        doc = np.repeat(np.arange(lo, hi, dtype=np.uint32) << np.uint32(_SHIFT), size)
+        room = np.repeat(np.minimum(off[lo + 1 : hi + 1] - at, n + max(GRAMS)).astype(np.int32), size) - np.arange(n, dtype=np.int32)
         code, seen = seg[:n].astype(np.uint32), seg[:n] != 0x20
         for k in range(1, max(GRAMS)):
             m = min(n, max(len(seg) - k, 0))
             code[:m] |= seg[k : k + m].astype(np.uint32) << np.uint32(8 * k)
             seen[:m] |= seg[k : k + m] != 0x20
             if k + 1 in GRAMS:
-                ok = seen & (room > k)
-                yield doc[ok], (code[ok] * np.uint32(2654435761) + np.uint32(k * 0x3C6EF372)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+                key = code * np.uint32(2654435761)
+                key += np.uint32(k * 0x3C6EF372)
+                key >>= np.uint32(32 - _SHIFT)
+                key |= doc
+                yield key[seen & (room > k)]
+
+
+def tallies(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(document number, bucket, subwords in it) of each bucket that a text has, in order; no
+    text is parted, and a long one comes alone."""
+    lo = 0
+    while lo < len(off) - 1:
+        hi = max(lo + 1, min(lo + ROWS, int(np.searchsorted(off, off[lo] + BLOCK, "right")) - 1))
+        own = raw[off[lo] : off[hi]]
+        if len(own) > BLOCK:
+            bucket, count = _counts(own)
+            yield np.full(len(bucket), lo), bucket, count
+        elif len(own):
+            key = np.sort(np.concatenate([*subwords(own, off[lo : hi + 1] - off[lo])]))
+            first = np.flatnonzero(np.concatenate((key[:1] == key[:1], key[1:] != key[:-1])))
+            count, key = np.diff(first, append=len(key)), key[first].astype(np.int64)
+            yield lo + (key >> _SHIFT), key & (BUCKETS - 1), count
+        lo = hi
 
 
 @dataclass
@@ -106,20 +132,15 @@ class Model:
         """The logits and the class of variety of each text."""
         total = np.zeros((len(off) - 1, len(self.langs)))
         columns = np.ascontiguousarray(self.scores.T, np.float64)
-        count = np.zeros(len(off) - 1)
-        some = [np.zeros(0, np.int64)]
-        for doc, bucket in subwords(raw, off):
+        count, different = np.zeros(len(off) - 1), np.zeros(len(off) - 1, np.int64)
+        for doc, bucket, times in tallies(raw, off):
             if len(doc):
                 start = np.flatnonzero(np.diff(doc, prepend=-1))
                 own = doc[start]
-                for i, column in enumerate(columns):  # the subwords of a block times one language
-                    total[own, i] += np.add.reduceat(column[bucket], start)
-                count[own] += np.diff(np.concatenate((start, [len(doc)])))
-                counted = bucket & np.uint32(VARIETY_SHARE - 1) == 0
-                some.append(np.unique(doc[counted] * BUCKETS + bucket[counted]))
-                if len(some) == 32:
-                    some = [np.unique(np.concatenate(some))]
-        different = np.bincount(np.unique(np.concatenate(some)) // BUCKETS, minlength=len(off) - 1)
+                for i, column in enumerate(columns):  # the buckets of some texts times one language
+                    total[own, i] = np.add.reduceat(column.take(bucket) * times, start)
+                count[own] = np.add.reduceat(times, start)
+                different[own] = np.add.reduceat((bucket & (VARIETY_SHARE - 1) == 0).astype(np.int64), start)
         return total / np.maximum(count, 1)[:, None] + self.bias, np.searchsorted(VARIETY, different, "right")
 
     def logits(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -152,7 +173,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_la
 def _counts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of a text's subwords and how many subwords each has."""
     count = np.zeros(BUCKETS, np.int64)
-    for _, bucket in subwords(raw, np.array([0, len(raw)])):
+    for bucket in subwords(raw, np.array([0, len(raw)])):
         count += np.bincount(bucket, minlength=BUCKETS)
     bucket = np.flatnonzero(count)
     return bucket, count[bucket]
@@ -199,8 +220,8 @@ def _shares(rows: DataFrame, number: dict[str, int]) -> np.ndarray:
                 unit = np.maximum(TEXT_UNITS // (len(GRAMS) * np.maximum(np.diff(off), 1)), 1)
                 total = np.zeros((min(COUNTED, len(parts) - first), BUCKETS), np.int64)
                 cell = (nth[some] - first) * BUCKETS
-                for doc, bucket in subwords(raw, off):
-                    np.add.at(total.reshape(-1), cell[doc] + bucket, unit[doc])
+                for doc, bucket, times in tallies(raw, off):
+                    np.add.at(total.reshape(-1), cell[doc] + bucket, unit[doc] * times)
                 for p, own in zip(parts[first : first + COUNTED].tolist(), total):
                     held[p] = held[p] + own if p in held else own
                 if len(held) > COUNTED:
@@ -228,8 +249,8 @@ class Weights:
     bias: np.ndarray = field(repr=False)
     rest: np.ndarray | None = field(repr=False, default=None)  # BUCKETS x languages: added to the scores
 
-    def step(self, bucket: np.ndarray, count: np.ndarray, right: int, rate: float) -> None:
-        share, own = count / count.sum(), self.table[bucket]
+    def step(self, bucket: np.ndarray, share: np.ndarray, right: int, rate: float) -> None:
+        own = self.table.take(bucket, axis=0)
         mean = share @ own
         logits = mean @ self.out + self.bias
         wrong = _softmax(logits if self.rest is None else logits + share.astype(np.float32) @ self.rest[bucket])
@@ -237,7 +258,9 @@ class Weights:
         back = self.out @ wrong
         self.out -= rate * np.outer(mean, wrong)
         self.bias -= 0.01 * rate * wrong
-        self.table[bucket] = own - np.outer(rate * share, back)
+        own -= (rate * share)[:, None] @ back[None]  # by BLAS: far faster than a product with so short rows
+        row = np.dtype((np.void, own.itemsize * own.shape[1]))
+        self.table.view(row)[bucket] = own.view(row)  # rows are copied whole
 
     def flat(self) -> np.ndarray:
         return np.concatenate((self.table.ravel(), self.out.ravel(), self.bias))
@@ -280,13 +303,16 @@ def _learned(rows: DataFrame, starts: list[Weights], number: dict[str, int], rat
         own, seen = [w.shaped(w.flat()) for w in starts], [0] * len(starts)
         for b in batches:
             lang, fold = b.column(0).to_pylist(), b.column(2).to_pylist()
-            raw, off = utf8(b.column(1))
-            for i in rng.permutation(b.num_rows):  # tables are often sorted
-                bucket, count = _counts(raw[off[i] : off[i + 1]])
-                if len(bucket):
-                    for part in (fold[i], FOLDS):
-                        own[part].step(bucket, count, number[lang[i]], rate / (1 + seen[part] / slow))
-                        seen[part] += 1
+            order = rng.permutation(b.num_rows)  # tables are often sorted
+            for at in range(0, len(order), TAKEN):
+                some = order[at : at + TAKEN]
+                for doc, bucket, times in tallies(*utf8(b.column(1).take(pa.array(some)))):
+                    start = np.flatnonzero(np.diff(doc, prepend=-1))
+                    for i, of, to in zip(some[doc[start]].tolist(), start.tolist(), [*start[1:].tolist(), len(doc)]):
+                        share = times[of:to] / times[of:to].sum()
+                        for part in (fold[i], FOLDS):
+                            own[part].step(bucket[of:to], share, number[lang[i]], rate / (1 + seen[part] / slow))
+                            seen[part] += 1
         for part, start in enumerate(starts):
             if seen[part]:
                 yield _pieces(part, seen[part], np.rint((own[part].flat() - start.flat()) * UNITS).astype(np.int32))

@@ -521,6 +521,52 @@ def test_blocks_of_bytes_do_not_change_scores(monkeypatch):
     assert np.allclose(whole[4], model.logits(*utf8(texts.slice(4, 1)))[0], atol=1e-6)
 
 
+def test_tallies_equal_a_plain_count(monkeypatch):
+    import pyarrow as pa
+
+    from ecoflux.llm.common import utf8
+
+    rng = random.Random(13)
+    texts = ["", None, "a", "Éa b", "A-b\n", "zz" * 40, *("".join(rng.choice("ab cÉ\t9é") for _ in range(rng.randrange(40))) for _ in range(30)), ""]
+    want = {}
+    for i, text in enumerate(texts):
+        plain = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in (text or "").encode()).lower()
+        for n in langid.GRAMS:
+            for gram in (plain[at : at + n] for at in range(len(plain) - n + 1)):
+                if gram.strip(b" "):
+                    bucket = ((int.from_bytes(gram, "little") * 2654435761 + (n - 1) * 0x3C6EF372) % (1 << 32)) >> (32 - langid.BUCKETS.bit_length() + 1)
+                    want[i, bucket] = want.get((i, bucket), 0) + 1
+    model = langid.Model(["a"], np.zeros((langid.BUCKETS, 1), np.float32), np.zeros(1))
+    different = [sum(b % langid.VARIETY_SHARE == 0 for j, b in want if j == i) for i in range(len(texts))]
+    for block, rows in ((1 << 16, 1 << 16), (50, 1 << 16), (50, 2), (7, 1)):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        monkeypatch.setattr(langid, "ROWS", rows)
+        got = [(d, b, n) for part in langid.tallies(*utf8(pa.array(texts))) for d, b, n in zip(*(x.tolist() for x in part))]
+        assert got == [(*key, n) for key, n in sorted(want.items())]
+        assert model.read(*utf8(pa.array(texts)))[1].tolist() == np.searchsorted(langid.VARIETY, different, "right").tolist()
+
+
+def test_scoring_sorts_in_proportion_to_the_batch(monkeypatch):
+    import pyarrow as pa
+
+    from ecoflux.llm.common import utf8
+
+    rng = random.Random(14)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200)) for _ in range(400)]
+    model = langid.Model(["a"], np.zeros((langid.BUCKETS, 1), np.float32), np.zeros(1))
+    monkeypatch.setattr(langid, "BLOCK", 256)
+    sorted_rows, plain = [], {"sort": np.sort, "unique": np.unique}
+    for name, f in plain.items():
+        monkeypatch.setattr(np, name, lambda a, *more, f=f, **named: sorted_rows.append(len(a)) or f(a, *more, **named))
+
+    def work(n: int) -> int:
+        sorted_rows.clear()
+        model.read(*utf8(pa.array(texts[:n])))
+        return sum(sorted_rows)
+
+    assert 0 < work(400) < 5 * work(100)  # four times the texts; they were sorted again and again: 12 times the work
+
+
 def test_quality_is_learned_and_calibrated(spark, docs, empty):
     rng = random.Random(7)
     rows = [(i, say(rng, 60) if i % 3 else "JUNK!! " * rng.randrange(20, 60)) for i in range(400)] + [(900, None), (901, ""), (None, "x y")]
